@@ -1,7 +1,8 @@
 """Joining a large side to a side that is expected to be small.
 
-The small side is measured first. Up to a limit it is broadcast, so that the large side is not shuffled; beyond
-it both sides are shuffled on the key and a salt, so that a key with a large share of the rows is spread.
+The small side is computed once, into the shared checkpoint folder, and measured there. Up to a limit it is
+broadcast, so that the large side is not shuffled; beyond it both sides are shuffled on the key and a salt, so that
+a key with a large share of the rows is spread.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALT_BUCKETS = 32
 _SALT = "__salt"
@@ -37,10 +40,18 @@ def salted_join(
     return spread.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows kept in the checkpoint folder: computed once, and safe when an executor is lost."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def join_small_side(
     large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", *, salt_on: Sequence[str],
-    limit: int = BROADCAST_BYTES, buckets: int = SALT_BUCKETS,
+    limit: int = BROADCAST_BYTES, buckets: int = SALT_BUCKETS, is_settled: bool = False,
 ) -> DataFrame:
-    if measured_bytes(small) <= limit:
-        return large.join(F.broadcast(small), list(on), how)
-    return salted_join(large, small, on, how, salt_on, buckets)
+    """Pass `is_settled` for a small side that needs no computing, such as one that was settled before."""
+    kept = small if is_settled else settled(small)
+    if measured_bytes(kept) <= limit:
+        return large.join(F.broadcast(kept), list(on), how)
+    return salted_join(large, kept, on, how, salt_on, buckets)

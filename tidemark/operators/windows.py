@@ -40,23 +40,26 @@ def with_window_status(marks: DataFrame) -> DataFrame:
     return marks.withColumn("window_status", window_status(F.col("last_version"), F.col("newest_version")))
 
 
-def rows_in_window(feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN) -> DataFrame:
+def rows_in_window(
+    feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN, *, is_settled: bool = False
+) -> DataFrame:
     """Feed rows inside the window of their endpoint, with the columns of the window.
 
     Windows that are unchanged or out of sequence take no rows.
     """
     open_windows = windows.filter(F.col("window_status").isin(VALID, UNBOUNDED))
-    joined = join_small_side(feed, open_windows, keys, salt_on=["change_version"])
+    joined = join_small_side(feed, open_windows, keys, salt_on=["change_version"], is_settled=is_settled)
     return joined.filter(in_window(F.col("change_version"), F.col("last_version"), F.col("newest_version")))
 
 
-def delta_counts(feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN) -> DataFrame:
+def delta_counts(
+    feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN, *, is_settled: bool = False
+) -> DataFrame:
     """Endpoints with new rows and how many. Endpoints without any do not appear."""
     versions = feed.select(*keys, "change_version")
     bounds = windows.select(*keys, "last_version", "newest_version", "window_status")
-    return rows_in_window(versions, bounds, keys).groupBy(*keys, "last_version", "newest_version").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    rows = rows_in_window(versions, bounds, keys, is_settled=is_settled)
+    return rows.groupBy(*keys, "last_version", "newest_version").agg(F.count(F.lit(1)).alias("n"))
 
 
 def slice_number(version: Column, low: Column, step: Column) -> Column:

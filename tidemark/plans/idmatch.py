@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.constants import REQUIRED_MATCH_RATE
 from tidemark.operators import matchrates as R
+from tidemark.operators.joins import settled
 from tidemark.plans.lake import Lake
 from tidemark.schemas import MATCH_RATE_FILE, MATCH_RATE_PARTITIONS, MATCH_RATES
 from tidemark.sinks import grain
@@ -33,7 +34,7 @@ def id_match(
     people = roster_of(roster, tenant_code, api_year, parameters)
     rates = R.match_rates(source, people, source_columns, roster_columns)
     labelled = rates.withColumns({key: F.lit(value) for key, value in grain_of_run.items()}).select(MATCH_RATES.names)
-    computed = labelled.checkpoint()
+    computed = settled(labelled)
     passed = R.gate(computed, required).first()["passed"]
     if passed:
         publish_match_rates(computed, lake)

@@ -11,10 +11,10 @@ from tidemark import constants as C
 from tidemark.operators import marks as M, outcomes as O, windows as W
 from tidemark.operators.counts import reconcile, row_counts
 from tidemark.operators.endpoints import endpoint_streams, kinds_to_run, requested_endpoints, snake_names
+from tidemark.operators.joins import settled
 from tidemark.plans.lake import Lake
-from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run
+from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run, tenant_year
 from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS
-from tidemark.session import ensure_checkpoint_dir
 from tidemark.sinks import grain
 from tidemark.sinks.jsonl import with_run_folders, write_landing
 from tidemark.sources.landing import raw_envelope, scan_landing, with_row_numbers
@@ -48,10 +48,10 @@ def due_windows(
     with_stream = streams.withColumn("stream", M.stream_of_kind(F.col("kind")))
     marked = M.with_last_version(with_stream, M.prior_marks_by_stream(ledger)).drop("stream")
     bounded = marked.withColumn("newest_version", F.lit(newest).cast("bigint"))
-    windows = W.with_window_status(bounded)
+    windows = settled(W.with_window_status(bounded))
     if not delta_check:
         return windows.withColumn("n", F.lit(None).cast("bigint"))
-    counts = W.delta_counts(feed, windows, STREAM).select(*STREAM, "n")
+    counts = W.delta_counts(feed, windows, STREAM, is_settled=True).select(*STREAM, "n")
     return windows.join(counts, STREAM, "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -68,7 +68,6 @@ def ingest_incremental(
     marks only for what was loaded: a run that breaks off is pulled again, and a run repeated with the same
     `run_at` replaces its own rows. `through_landing` keeps the pulled rows as JSON lines and loads them from there.
     """
-    ensure_checkpoint_dir(spark)
     ods, model = resolve_versions(ods_version, data_model_version, has_change_versions=has_change_versions)
     run = {"tenant_code": tenant_code, "api_year": api_year}
     moment = run_moment(run_at)
@@ -89,9 +88,10 @@ def ingest_incremental(
         clear_shared(spark, lake, **run, names=names)
 
     ledger = lake.read_ledger(spark, run)
-    windows = due_windows(streams, ledger, own_feed, newest, delta_check=delta_check).checkpoint()
+    windows = settled(due_windows(streams, ledger, own_feed, newest, delta_check=delta_check))
     due = windows.filter(F.col("window_status").isin(W.VALID, W.UNBOUNDED) & F.coalesce(F.col("n") > 0, F.lit(True)))
-    pulled = W.rows_in_window(own_feed, due.select(*STREAM, "last_version", "newest_version", "window_status"), STREAM)
+    bounds = due.select(*STREAM, "last_version", "newest_version", "window_status")
+    pulled = W.rows_in_window(own_feed, bounds, STREAM, is_settled=True)
 
     if through_landing:
         rows = _through_landing(spark, lake, pulled, run, moment, ods, model)
@@ -102,7 +102,7 @@ def ingest_incremental(
     else:
         store_raw_run(rows, lake, **run, run_at=moment)
 
-    landed = _landed(spark, lake, run, moment).checkpoint()
+    landed = settled(_landed(spark, lake, run, moment))
     if has_change_versions:
         marked = O.succeeded(due, landed, STREAM).select(
             *STREAM, F.col("newest_version").alias("max_version"), moment.cast("date").alias("pull_date"),
@@ -137,9 +137,8 @@ def _through_landing(spark, lake: Lake, pulled: DataFrame, run: dict, moment: Co
 
 def _landed(spark, lake: Lake, run: dict, moment: Column) -> DataFrame:
     """Rows of this run in the raw table, counted per stream."""
-    parts = [lake.read_raw(spark, {"kind": kind, **run}) for kind in C.KINDS]
-    whole = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    return row_counts(whole.filter(F.col("pull_timestamp") == moment), STREAM, "pulled_rows")
+    raw = lake.read_raw(spark, tenant_year(**run))
+    return row_counts(raw.filter(F.col("pull_timestamp") == moment), STREAM, "pulled_rows")
 
 
 def _outcomes(windows: DataFrame, landed: DataFrame) -> DataFrame:

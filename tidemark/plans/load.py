@@ -12,6 +12,7 @@ from tidemark.plans.lake import Lake
 from tidemark.schemas import RAW, RAW_PARTITIONS
 from tidemark.sinks import grain
 from tidemark.sources.landing import raw_envelope, scan_landing, with_row_numbers
+from tidemark.sources.tables import ANY
 
 
 def resolve_versions(
@@ -63,10 +64,14 @@ def store_raw_run(rows: DataFrame, lake: Lake, *, tenant_code: str, api_year: in
     mine = (
         (F.col("tenant_code") == tenant_code) & (F.col("api_year") == api_year) & (F.col("pull_timestamp") == run_at)
     )
-    kinds = [{"kind": kind, "tenant_code": tenant_code, "api_year": api_year} for kind in C.KINDS]
-    for within in kinds:
-        of_kind = rows.filter(F.col("kind") == within["kind"])
-        grain.insert_once(of_kind, lake.raw, RAW, RAW_PARTITIONS, again=mine, within=within)
+    grain.insert_once(
+        rows, lake.raw, RAW, RAW_PARTITIONS, again=mine, within=tenant_year(tenant_code, api_year)
+    )
+
+
+def tenant_year(tenant_code: str, api_year: int) -> dict:
+    """Leading partition values of the raw table for all kinds of a tenant-year."""
+    return {"kind": ANY, "tenant_code": tenant_code, "api_year": api_year}
 
 
 def run_moment(run_at: datetime | str) -> Column:

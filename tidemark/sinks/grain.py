@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.operators.joins import settled
 from tidemark.sources.tables import partition_folder, path_exists, read_or_empty
 
 
@@ -73,9 +73,7 @@ def rewrite(
 
 def _swap(spark, rows: DataFrame, touched: DataFrame, path: str, schema, partition_by: Sequence[str]) -> None:
     """Write new versions of the touched partitions, from a copy in reliable storage; emptied ones are cleared."""
-    ensure_checkpoint_dir(spark)
-    touched = touched.checkpoint()
-    staged = rows.checkpoint()
+    touched, staged = settled(touched), settled(rows)
     if not staged.isEmpty():
         replace(staged, path, schema, partition_by)
     emptied = _join_nulls(touched, staged.select(*partition_by).distinct(), "left_anti")

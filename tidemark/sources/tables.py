@@ -12,24 +12,34 @@ from pyspark.sql import types as T
 _ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+ANY = object()
+
 
 def partition_folder(path: str, values: Mapping[str, object]) -> str:
-    """Folder of leading partition values below a table's path."""
-    segments = [f"{column}={NULL_PARTITION if value is None else _escape(str(value))}" for column, value in values.items()]
+    """Folder of leading partition values below a table's path; `ANY` stands for every value."""
+    segments = [f"{column}={_segment(value)}" for column, value in values.items()]
     return "/".join([path.rstrip("/"), *segments])
 
 
+def _segment(value: object) -> str:
+    if value is ANY:
+        return "*"
+    return NULL_PARTITION if value is None else _escape(str(value))
+
+
 def _escape(value: str) -> str:
     return "".join(f"%{ord(char):02X}" if char in _ESCAPED or char < " " else char for char in value)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, within: Mapping[str, object] | None = None) -> DataFrame:
+def read_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, within: Mapping[str, object] | None = None
+) -> DataFrame:
     """A table, or no rows where it does not exist.
 
-    `within` gives values of the leading partition columns: only their folder is listed, which matters when the
+    `within` gives values of the leading partition columns: only their folders are listed, which matters when the
     table has very many partitions. The schema is always given, so `007` stays text.
     """
-    folder = partition_folder(path, within) if within else path
+    folder = partition_folder(path, within or {})
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(folder)
     except AnalysisException as error:
