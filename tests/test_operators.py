@@ -1,0 +1,209 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark import constants as C
+from tidemark.operators import counts, endpoints as E, joins, marks as M, outcomes as O, routing, windows as W
+from tidemark.schemas import GRAIN, LEDGER
+
+FLAGS = [None, False, True]
+
+
+@pytest.fixture(scope="module")
+def flag_ledger(spark):
+    """Every pair of flag values, each with its own mark; inactive rows carry higher ones."""
+    data = []
+    for i, deletes in enumerate(FLAGS):
+        for j, key_changes in enumerate(FLAGS):
+            mark = 10 * i + j + 1
+            data.append(("a", None, None, mark, True, deletes, key_changes, "t", 2024))
+            data.append(("a", None, None, mark + 1000, False, deletes, key_changes, "t", 2024))
+            data.append(("b", None, None, mark, None, deletes, key_changes, "t", 2024))
+    return spark.createDataFrame(data, LEDGER)
+
+
+@pytest.mark.parametrize("stream, mark", [(M.LIVE, 12), (M.DELETES, 23), (M.KEY_CHANGES, 23)])
+def test_stream_flags_follow_three_valued_logic(flag_ledger, stream, mark):
+    assert rows(M.prior_marks(flag_ledger, stream)) == [("t", 2024, "a", mark)]
+
+
+def test_all_streams_in_one_pass(flag_ledger):
+    got = rows(M.prior_marks_by_stream(flag_ledger), "stream", "max_version")
+    assert got == [(M.DELETES, 23), (M.KEY_CHANGES, 23), (M.LIVE, 12)]
+
+
+def test_ledger_without_key_changes(flag_ledger):
+    assert rows(M.prior_marks(flag_ledger.drop("is_key_changes"), M.LIVE), "max_version") == [(13,)]
+
+
+def test_last_version_is_zero_without_mark(spark, flag_ledger):
+    known = spark.createDataFrame([("t", 2024, "a"), ("t", 2024, "new"), ("u", 2024, "a")], "tenant_code string, api_year int, name string")
+    got = rows(M.with_last_version(known, M.prior_marks(flag_ledger)))
+    assert got == [("t", 2024, "a", 12), ("t", 2024, "new", 0), ("u", 2024, "a", 0)]
+
+
+def test_reset_touches_only_its_grain(spark):
+    ledger = spark.createDataFrame(
+        [("a", None, None, 1, True, False, False, "t", 2024), ("b", None, None, 1, True, None, None, "t", 2024),
+         ("a", None, None, 1, True, False, False, "t", 2023), ("a", None, None, 2, None, False, False, "t", 2024)],
+        LEDGER,
+    )
+    got = rows(M.reset_marks(ledger, "t", 2024, ["a"]), "name", "api_year", "max_version", "is_active")
+    assert got == [("a", 2023, 1, True), ("a", 2024, 1, False), ("a", 2024, 2, None), ("b", 2024, 1, True)]
+    assert rows(M.reset_marks(ledger, "t", 2024), "name", "api_year", "is_active").count(("b", 2024, False)) == 1
+
+
+@pytest.mark.parametrize(
+    "full_refresh, has_key_changes, kind, flags",
+    [
+        (False, True, C.RESOURCES, [(False, False)]),
+        (False, True, C.RESOURCE_DELETES, [(True, False)]),
+        (False, True, C.RESOURCE_KEY_CHANGES, [(False, True)]),
+        (True, False, C.RESOURCES, [(False, False), (True, False)]),
+        (True, True, C.DESCRIPTORS, [(False, False), (False, True), (True, False)]),
+    ],
+)
+def test_new_marks(spark, full_refresh, has_key_changes, kind, flags):
+    landed = spark.createDataFrame([("t", 2024, "a", kind, 9)], "tenant_code string, api_year int, name string, kind string, max_version long")
+    landed = landed.withColumns({"pull_date": F.current_date(), "pull_timestamp": F.current_timestamp()})
+    got = M.new_marks(landed, full_refresh=full_refresh, has_key_changes=has_key_changes)
+    assert rows(got, "is_deletes", "is_key_changes") == flags
+    assert got.schema.names == LEDGER.names
+
+
+@pytest.mark.parametrize(
+    "low, high, status",
+    [(None, None, "unbounded"), (1, None, "unbounded"), (None, 1, "unbounded"), (5, 5, "unchanged"), (6, 5, "out_of_sequence"), (0, 5, "valid")],
+)
+def test_window_status(spark, low, high, status):
+    frame = spark.createDataFrame([(low, high)], "low long, high long")
+    assert frame.select(W.window_status(F.col("low"), F.col("high"))).first()[0] == status
+
+
+@pytest.mark.parametrize(
+    "low, high, taken",
+    [(0, 3, [0, 1, 2, 3]), (1, 3, [2, 3]), (3, 3, []), (None, 2, [0, 1, 2]), (2, None, [3, 4]), (None, None, [0, 1, 2, 3, 4])],
+)
+def test_window_bounds(spark, low, high, taken):
+    frame = spark.range(5).withColumns({"low": F.lit(low).cast("long"), "high": F.lit(high).cast("long")})
+    assert rows(frame.filter(W.in_window(F.col("id"), F.col("low"), F.col("high"))), "id") == [(i,) for i in taken]
+
+
+def _windows(spark, data):
+    frame = spark.createDataFrame(data, "tenant_code string, api_year int, name string, last_version long, newest_version long")
+    return W.with_window_status(frame)
+
+
+def test_deltas_drop_unchanged_empty_and_bad_windows(spark):
+    feed = spark.createDataFrame(
+        [("t", 2024, name, version) for name in ("a", "b", "c", "d") for version in (0, 5, 6, 10, 11)],
+        "tenant_code string, api_year int, name string, change_version long",
+    )
+    windows = _windows(spark, [("t", 2024, "a", 5, 10), ("t", 2024, "b", 10, 10), ("t", 2024, "c", 11, 10), ("t", 2024, "e", 0, 10), ("t", 2024, "d", 0, 10)])
+    got = rows(W.delta_counts(feed, windows))
+    assert got == [("t", 2024, "a", 5, 10, 2), ("t", 2024, "d", 0, 10, 4)]
+
+
+def test_slices_cover_a_window_once(spark):
+    data = [("t", 2024, "a", 0, 120000), ("t", 2024, "b", 10, 20), ("t", 2024, "c", 20, 20), ("t", 2024, "d", None, 9)]
+    slices = W.window_slices(_windows(spark, data).withColumn("change_version_step_size", F.lit(50000)))
+    assert rows(slices, "name", "slice", "slice_min", "slice_max") == [
+        ("a", 0, 0, 49999), ("a", 1, 50000, 99999), ("a", 2, 100000, 120000), ("b", 0, 11, 20), ("d", 0, None, 9),
+    ]
+
+
+def test_total_counts_stay_below_the_newest(spark):
+    feed = spark.createDataFrame(
+        [("t", 2024, "a", 1), ("t", 2024, "a", 9), ("t", 2024, "b", 9), ("t", 2024, "c", 1)],
+        "tenant_code string, api_year int, name string, change_version long",
+    )
+    asked = spark.createDataFrame([("t", 2024, "a", 5), ("t", 2024, "b", 5), ("t", 2024, "x", 5)], "tenant_code string, api_year int, name string, newest_version long")
+    assert rows(counts.total_counts(feed, asked)) == [("t", 2024, "a", 1)]
+    assert rows(counts.total_counts(feed)) == [("t", 2024, "a", 2), ("t", 2024, "b", 1), ("t", 2024, "c", 1)]
+
+
+def test_reconcile_shows_both_sides(spark):
+    pulled = spark.createDataFrame([("t", 1, "a", 3), ("t", 1, "b", 2), ("t", 1, "extra", 1)], "tenant_code string, api_year int, name string, pulled_rows long")
+    expected = spark.createDataFrame([("t", 1, "a", 3), ("t", 1, "b", 5), ("t", 1, "missing", 4), ("t", 1, "none", 0)], "tenant_code string, api_year int, name string, expected_rows long")
+    assert rows(counts.reconcile(pulled, expected), "name", "pulled_rows", "expected_rows", "count_status") == [
+        ("a", 3, 3, "match"), ("b", 2, 5, "mismatch"), ("extra", 1, None, "unavailable"), ("missing", 0, 4, "mismatch"), ("none", 0, 0, "match"),
+    ]
+
+
+def test_outcomes(spark):
+    tried = spark.createDataFrame([("t", 1, "a"), ("t", 1, "b"), ("u", 1, "a")], "tenant_code string, api_year int, name string")
+    landed = spark.createDataFrame([("t", 1, "a"), ("t", 1, "a"), ("u", 1, "a")], "tenant_code string, api_year int, name string")
+    assert rows(O.succeeded(tried, landed), *GRAIN) == [("t", 1, "a"), ("u", 1, "a")]
+    assert rows(O.failed(tried, landed), *GRAIN) == [("t", 1, "b")]
+    outcome = O.with_outcome(tried, landed)
+    assert rows(O.any_failed(outcome, ["tenant_code"])) == [("t", True), ("u", False)]
+    with pytest.raises(O.RunFailed, match="1 rows"):
+        O.fail_when(outcome, F.col("outcome") == O.FAILED, "failed")
+    O.fail_when(outcome, O.status_in([], "outcome"), "never")
+
+
+def test_endpoint_config_forms(spark):
+    configs = {
+        "studentSchools": {"namespace": "tx", "page_size": 10, "fetch_deletes": True, "query_parameters": {"a": 1}},
+        "staffs": {},
+        "gone": {"enabled": False, "fetch_deletes": True},
+    }
+    got = E.endpoints_from_config(spark, configs, tenant_code="t", api_year=2024, multiyear=True)
+    columns = ("name", "namespace", "page_size", "num_retries", "change_version_step_size", "fetch_deletes")
+    assert rows(got, *columns) == [("staffs", "ed-fi", 500, 5, 50000, False), ("student_schools", "tx", 10, 5, 50000, True)]
+    parameters = {row["name"]: row["query_parameters"] for row in got.collect()}
+    assert parameters == {"staffs": {"schoolYear": "2024"}, "student_schools": {"a": "1", "schoolYear": "2024"}}
+    pairs = E.endpoints_from_config(spark, [("schoolTypes", "ed-fi")], tenant_code="t", api_year=2024)
+    assert rows(pairs, "name", "fetch_deletes") == [("school_types", True)]
+    assert E.endpoints_from_config(spark, None, tenant_code="t", api_year=2024).isEmpty()
+    with pytest.raises(ValueError):
+        E.endpoints_from_config(spark, "students", tenant_code="t", api_year=2024)
+
+
+def test_endpoint_streams_and_refresh(spark):
+    resources = E.endpoints_from_config(spark, [("a", "x")], tenant_code="t", api_year=1)
+    descriptors = E.endpoints_from_config(spark, [("b", "x")], tenant_code="t", api_year=1, kind=C.DESCRIPTORS)
+    streams = E.endpoint_streams(E.merge_endpoints(resources, descriptors))
+    assert rows(streams, "name", "kind") == [("a", "resource_deletes"), ("a", "resource_key_changes"), ("a", "resources"), ("b", "descriptors")]
+    assert rows(E.kinds_to_run(streams, True), "kind") == [("descriptors",), ("resources",)]
+    assert rows(streams.select(E.table_name(F.col("kind"), F.col("name")))) == [("_deletes",), ("_descriptors",), ("_key_changes",), ("a",)]
+
+
+def test_specified(spark):
+    names = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
+    assert rows(names.filter(E.specified([], []))) == [("a",), ("b",), ("c",)]
+    assert rows(names.filter(E.specified(["a", "b"], ["b", "c"]))) == [("b",)]
+
+
+def test_routing(spark):
+    frame = spark.createDataFrame([("studentGrades",), ("gradeLevelDescriptors",)], "e string")
+    assert rows(routing.routed(frame, "e", "nwea"), "table_name", "name") == [
+        ("_descriptors", "grade_level_descriptors__nwea"), ("student_grades", "student_grades__nwea"),
+    ]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_a_plain_one(spark, how):
+    large = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 50).alias("k"), "id")
+    small = spark.range(0, 60, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    plain = rows(large.join(small, ["k"], how))
+    assert rows(joins.salted_join(large, small, ["k"], how, ["id"], 8)) == plain
+    assert rows(joins.join_small_side(large, small, ["k"], how, salt_on=["id"], limit=0)) == plain
+    assert rows(joins.join_small_side(large, small, ["k"], how, salt_on=["id"])) == plain
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    large = spark.range(8000).select(F.lit(1).alias("k"), "id")
+    small = spark.createDataFrame([(1, "v")], "k int, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = joins.salted_join(large, small, ["k"], "inner", ["id"], 32)
+        sizes = [row["n"] for row in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 8000
+
+
+def test_salted_join_refuses_joins_that_keep_the_small_side(spark):
+    with pytest.raises(ValueError):
+        joins.salted_join(spark.range(1), spark.range(1), ["id"], "full_outer", ["id"])

@@ -7,10 +7,14 @@ def get_or(params: Column, key: str, default: Column) -> Column:
     return F.coalesce(params[F.lit(key)], default)
 
 
+def or_empty(params: Column) -> Column:
+    """A map of text, empty where it is null."""
+    return F.coalesce(params, F.create_map().cast("map<string,string>"))
+
+
 def merge_maps(first: Column, second: Column) -> Column:
     """Both maps; on a common key the second wins. Null counts as an empty map."""
-    empty = F.from_json(F.lit("{}"), "map<string,string>")
-    left, right = F.coalesce(first, empty), F.coalesce(second, empty)
+    left, right = or_empty(first), or_empty(second)
     return F.map_concat(F.map_filter(left, lambda key, _: ~F.map_contains_key(right, key)), right)
 
 

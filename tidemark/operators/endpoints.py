@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import constants as C
-from tidemark.functions import camel_to_snake, merge_maps
+from tidemark.functions import camel_to_snake, merge_maps, or_empty
 from tidemark.schemas import ENDPOINTS
 
 _KEYS = ["tenant_code", "api_year", "name"]
@@ -45,7 +45,7 @@ def _config_row(name: str, options: dict) -> tuple:
 
 def normalise_endpoints(raw: DataFrame, *, multiyear: bool = False) -> DataFrame:
     """Enabled endpoints with snake-case names and defaults filled in."""
-    parameters = raw["query_parameters"]
+    parameters = or_empty(F.col("query_parameters"))
     if multiyear:
         year = F.create_map(F.lit(C.SCHOOL_YEAR_PARAMETER), F.col("api_year").cast("string"))
         parameters = merge_maps(parameters, year)
@@ -60,7 +60,7 @@ def normalise_endpoints(raw: DataFrame, *, multiyear: bool = False) -> DataFrame
         {
             "name": camel_to_snake(F.col("name")),
             "enabled": F.lit(True),
-            "query_parameters": merge_maps(parameters, F.lit(None)),
+            "query_parameters": parameters,
             **{column: F.coalesce(column, F.lit(value)) for column, value in defaults.items()},
         }
     )
