@@ -1,0 +1,102 @@
+import json
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark.operators import orgs
+from tidemark.operators.outcomes import RunFailed
+
+LEA = "edfi.LocalEducationAgency"
+ORG = "array<struct<type:string,local_education_agency_id:string>>"
+
+
+def variants(spark, data):
+    frame = spark.createDataFrame([(c, json.dumps(v)) for c, v in data], "connection_id string, t string")
+    return frame.select("connection_id", F.parse_json("t").alias("v"))
+
+
+def school(school_id, lea=None):
+    return {"schoolId": school_id, **({"localEducationAgencyReference": {"localEducationAgencyId": lea}} if lea else {})}
+
+
+def calendar(school_id):
+    return {"schoolReference": {"schoolId": school_id}}
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    ids = ["match", "other", "two", "listed", "listed_two", "via", "via_two", "none", "nomap", "broken", "lacks"]
+    connections = spark.createDataFrame(
+        [(f"edfi_{i}_2024", "boom" if i == "broken" else None) for i in ids] + [("edfi_match_2025", None), ("edfi_skip_2024", None), ("x_a_2024", None)],
+        "connection_id string, error string",
+    )
+    token = lambda *leas: [(LEA, lea) for lea in leas]
+    tokens = spark.createDataFrame(
+        [
+            ("edfi_match_2024", token("1") + [("edfi.School", "9"), (LEA, None)]), ("edfi_match_2025", token("1")),
+            ("edfi_other_2024", token("5")), ("edfi_two_2024", token("1", "2")), ("edfi_broken_2024", token("1")),
+            ("edfi_listed_2024", []), ("edfi_nomap_2024", token("1")),
+        ],
+        f"connection_id string, orgs {ORG}",
+    )
+    lea = lambda value: {"localEducationAgencyId": value}
+    leas = variants(spark, [
+        ("edfi_listed_2024", lea(7)), ("edfi_listed_2024", {"x": 1}), ("edfi_listed_two_2024", lea(7)), ("edfi_listed_two_2024", lea(7)),
+        ("edfi_match_2024", lea(99)), ("edfi_two_2024", lea(1)),
+    ])
+    calendars = variants(spark, [
+        ("edfi_via_2024", calendar(10)), ("edfi_via_2024", calendar(10)), ("edfi_via_2024", {"schoolReference": {}}), ("edfi_via_2024", {}),
+        ("edfi_via_two_2024", calendar(10)), ("edfi_via_two_2024", calendar(11)), ("edfi_lacks_2024", calendar(50)),
+    ])
+    schools = variants(spark, [
+        ("edfi_via_2024", school(10, 8)), ("edfi_via_2024", school(12, 9)), ("edfi_via_two_2024", school(10, 8)),
+        ("edfi_via_two_2024", school(11, 9)), ("edfi_lacks_2024", school(50)), ("edfi_none_2024", school(1, 1)),
+    ])
+    mapping = spark.createDataFrame([(i, "1") for i in ids if i not in ("nomap", "via")] + [("via", "8")], "tenant string, expected_lea_id string")
+    return orgs.validate_tenant_orgs(connections, tokens, leas, calendars, schools, mapping, exclude=["edfi_skip_2024"])
+
+
+def test_every_branch_of_the_fallback(results):
+    failed = "all_methods_failed (token_info: no_leas_found, leas: found_{}_leas, calendars: {})"
+    expected = {
+        "edfi_match_2024": ("1", "token_info (found_1_leas)", "MATCH", "LEA ID matches: 1 (via token_info (found_1_leas))"),
+        "edfi_match_2025": ("1", "token_info (found_1_leas)", "MATCH", "LEA ID matches: 1 (via token_info (found_1_leas))"),
+        "edfi_other_2024": (None, "token_info_mismatch (returned: ['5'], expected: 1)", "NO_ORG_ID", None),
+        "edfi_two_2024": (None, "token_info_multiple_leas (returned: ['1', '2'])", "NO_ORG_ID", None),
+        "edfi_listed_2024": ("7", "leas_endpoint (found_1_leas)", "MISMATCH", "Expected 1, got 7 (via leas_endpoint (found_1_leas))"),
+        "edfi_listed_two_2024": (None, failed.format(2, "no_schools_in_calendars"), "NO_ORG_ID", None),
+        "edfi_via_2024": ("8", "calendars_schools (found_1_leas_via_schools)", "MATCH", None),
+        "edfi_via_two_2024": (None, failed.format(0, "found_2_leas_via_schools"), "NO_ORG_ID", None),
+        "edfi_lacks_2024": (None, failed.format(0, "found_0_leas_via_schools"), "NO_ORG_ID", None),
+        "edfi_none_2024": (None, failed.format(0, "no_schools_in_calendars"), "NO_ORG_ID", None),
+        "edfi_nomap_2024": (None, "token_info_mismatch (returned: ['1'], expected: )", "NO_MAPPING", "No LEA ID mapping for tenant: nomap"),
+        "edfi_broken_2024": (None, "error", "ERROR", "boom"),
+    }
+    got = {row["connection_id"]: row for row in results.collect()}
+    assert set(got) == set(expected)
+    for name, (org, method, status, message) in expected.items():
+        row = got[name]
+        assert (row["actual_org_id"], row["method_used"], row["status"]) == (org, method, status), name
+        assert message is None or row["message"] == message
+    assert (got["edfi_listed_two_2024"]["tenant"], got["edfi_listed_two_2024"]["year"]) == ("listed_two", "2024")
+
+
+def test_summary_and_verdict(results):
+    assert rows(orgs.status_histogram(results)) == [(12, 3, 1, 1, 6, 1)]
+    with pytest.raises(RunFailed, match="9 rows"):
+        orgs.fail_on_status(results)
+    orgs.fail_on_status(results, [])
+    with pytest.raises(RunFailed, match="edfi_broken_2024"):
+        orgs.fail_on_status(results, ["ERROR"])
+
+
+def test_tenants_with_several_organisations(spark):
+    data = [("a", "1", "MATCH"), ("a", "2", "MISMATCH"), ("a", "2", "MISMATCH"), ("b", "1", "MATCH"), ("b", "1", "MATCH"), ("c", "1", "MATCH"), ("c", "2", "ERROR"), ("d", None, "NO_ORG_ID")]
+    frame = spark.createDataFrame(data, "tenant string, actual_org_id string, status string")
+    assert rows(orgs.multi_org_tenants(frame), "tenant", "org_id", "n_orgs") == [("a", "1", 2), ("a", "2", 2)]
+
+
+def test_connection_names(spark):
+    frame = spark.createDataFrame([(n,) for n in ("p.x_a_b_2024", "pAx_a_2024", "p.x_a_2024_more", "p.x_a_24", "p.x_2023_2024")], "connection_id string")
+    assert rows(orgs.parse_connections(frame, "p.x"), "tenant", "year") == [("2023", "2024"), ("a", "2024"), ("a_b", "2024")]

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 def read_mapping(spark: SparkSession, path: str, key: str = "tenant", value: str = "expected_lea_id") -> DataFrame:
     """A JSON object in a file, one row per key."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return mapping_rows(text, "value", key, value)
 
 
