@@ -12,7 +12,7 @@ from tidemark import functions as fn
 from tidemark.operators import (
     counts, endpoints as E, logs as L, marks as M, matchrates as R, orgs, outcomes as O, payloads as P, routing, windows as W,
 )
-from tidemark.plans.idmatch import publish_match_rates
+from tidemark.plans.idmatch import publish_match_rate_file, publish_match_rates
 from tidemark.plans.ingest import ingest_incremental, reset_ledger
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import load_raw, store_raw
@@ -24,7 +24,7 @@ from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIO
 from tidemark.session import scratch_path
 from tidemark.sinks import grain
 from tidemark.sinks.jsonl import json_line, with_run_folders, write_archive, write_json_lines, write_landing
-from tidemark.sources.csvs import read_text_columns
+from tidemark.sources.csvs import read_match_rates, read_text_columns
 from tidemark.sources.feed import change_window, pull_slices, roster_of
 from tidemark.sources.landing import raw_envelope, scan_landing, scan_variant, with_row_numbers
 from tidemark.sources.manifest import with_match
@@ -108,7 +108,7 @@ select name, max_version, is_active and not (tenant_code='t1' and api_year=2024
 def reset_change_versions(spark, sf_dir):
     lake = _lake(spark, "reset")
     grain.insert(V.ledger(spark, sf_dir), lake.ledger, LEDGER, LEDGER_PARTITIONS)
-    reset_ledger(spark, lake, tenant_code="t1", api_year=2024, names=["click", "view"])
+    reset_ledger(spark, lake, {"tenant_code": "t1", "api_year": 2024}, ["click", "view"])
     return lake.read_ledger(spark).drop("pull_date", "pull_timestamp")
 
 
@@ -471,27 +471,43 @@ def stream_landing_files(spark, sf_dir):
 
 
 @query(
-    V.with_views("feed", "ledger", "endpoints", "live", "windows") + """,
-w as (select *, case when last_version=newest_version then 'unchanged' when newest_version<last_version then 'out_of_sequence' else 'valid' end st from windows
-      where tenant_code='t1'),
-n as (select tenant_code, api_year, name, count(*) n from w join feed f using (tenant_code, api_year, name)
-      where st='valid' and (change_version > last_version or last_version = 0) and change_version <= newest_version group by all)
-select 'resources' kind, w.tenant_code, cast(w.api_year as integer) api_year, w.name, cast(last_version as bigint) last_version,
-       (select max(change_version) from feed where tenant_code='t1') newest_version, st window_status,
+    V.with_views("feed", "ledger", "endpoints", "live") + """,
+top as (select tenant_code, max(change_version) newest_version from feed group by all),
+w as (select e.tenant_code, e.name, coalesce(mv,0) last_version, newest_version,
+      case when coalesce(mv,0)=newest_version then 'unchanged' when newest_version<coalesce(mv,0) then 'out_of_sequence' else 'valid' end window_status
+      from endpoints e join top using (tenant_code) left join live using (tenant_code, api_year, name)),
+n as (select tenant_code, name, count(*) n from w join feed f using (tenant_code, name)
+      where window_status='valid' and (change_version > last_version or last_version = 0) and change_version <= newest_version group by all)
+select 'resources' kind, tenant_code, 2024 api_year, name, cast(last_version as bigint) last_version, newest_version, window_status,
        coalesce(n,0) expected_rows, coalesce(n,0) pulled_rows, 'match' count_status,
        case when coalesce(n,0)>0 then 'success' else 'skipped' end outcome
-from (select tenant_code, api_year, name, last_version, (select max(change_version) from feed where tenant_code='t1') newest_version,
-      case when last_version=(select max(change_version) from feed where tenant_code='t1') then 'unchanged' else 'valid' end st
-      from windows where tenant_code='t1') w left join n using (tenant_code, api_year, name)"""
+from w left join n using (tenant_code, name)"""
 )
 def ingest_run(spark, sf_dir):
-    """A whole run of one tenant-year over the feed, from marks to outcomes."""
+    """A whole run of all tenants over the feed, from marks to outcomes."""
     lake = _lake(spark, "ingest")
     grain.insert(V.ledger(spark, sf_dir), lake.ledger, LEDGER, LEDGER_PARTITIONS)
     return ingest_incremental(
-        spark, lake, V.feed(spark, sf_dir), _ingest_endpoints(spark, sf_dir), tenant_code="t1", api_year=2024,
-        run_at="2024-02-01 00:00:00", ods_version="7.1", data_model_version="5.0",
+        spark, lake, V.feed(spark, sf_dir), _ingest_endpoints(spark, sf_dir), run_at="2024-02-01 00:00:00",
+        ods_version="7.1", data_model_version="5.0",
+    )
+
+
+@query(
+    V.with_views("feed", "endpoints") + """
+select e.tenant_code, 2024 api_year, e.name, newest_version max_version, f.d is_deletes, f.k is_key_changes
+from endpoints e join (select tenant_code, max(change_version) newest_version from feed group by all) using (tenant_code)
+cross join (values (false,false),(true,false),(false,true)) f(d,k)"""
+)
+def full_refresh_run(spark, sf_dir):
+    """Active marks after a full refresh of all tenants: one per endpoint and stream."""
+    lake = _lake(spark, "refresh")
+    grain.insert(V.ledger(spark, sf_dir), lake.ledger, LEDGER, LEDGER_PARTITIONS)
+    ingest_incremental(
+        spark, lake, V.feed(spark, sf_dir), _ingest_endpoints(spark, sf_dir), run_at="2024-02-01 00:00:00",
+        full_refresh=True, ods_version="7.1", data_model_version="5.0",
     )
+    return lake.read_ledger(spark).filter("is_active").select(*GRAIN, "max_version", "is_deletes", "is_key_changes")
 
 
 def _ingest_endpoints(spark, sf_dir):
@@ -499,22 +515,20 @@ def _ingest_endpoints(spark, sf_dir):
 
 
 @query(
-    V.with_views("feed") + f"""
+    V.with_views("feed") + """
 select kind, tenant_code, cast(api_year as integer) api_year, name, count(*) n,
-       cast(sum(cast(json_extract(payload,'$.k') as integer)) as bigint) k, max(rn) newest
-from (select *, 1 rn from feed where tenant_code='t2') group by all"""
+       cast(sum(cast(json_extract(payload,'$.k') as integer)) as bigint) k from feed group by all"""
 )
 def ingest_twice(spark, sf_dir):
-    """Two runs through the landing folder, the second repeated: every row of the tenant is loaded once."""
+    """Two runs through the landing folder, the second repeated: every row is loaded once."""
     lake, feed = _lake(spark, "ingest2"), V.feed(spark, sf_dir)
     early = feed.filter(F.col("ts") < F.lit(V.CUT).cast("timestamp_ntz"))
     known = _ingest_endpoints(spark, sf_dir)
     for part, moment in ((early, "2024-01-16 00:00:00"), (feed, "2024-02-01 00:00:00"), (feed, "2024-02-01 00:00:00")):
         ingest_incremental(
-            spark, lake, part, known, tenant_code="t2", api_year=2024, run_at=moment, ods_version="7.1",
-            data_model_version="5.0", through_landing=True,
+            spark, lake, part, known, run_at=moment, ods_version="7.1", data_model_version="5.0", through_landing=True
         )
-    return _raw_counts(lake.read_raw(spark).withColumn("file_row_number", F.lit(1)))
+    return _raw_counts(lake.read_raw(spark)).drop("newest")
 
 
 # --- counts and outcomes ---------------------------------------------------------------------------------------
@@ -766,7 +780,7 @@ select connection_id, n_via, case when n_via=1 then lea end lea from conn join v
 def lea_via_schools(spark, sf_dir):
     views = V.organisations(spark, sf_dir)
     known = orgs.parse_connections(views["connections"]).select("connection_id")
-    via = orgs.leas_via_schools(views["calendars"], views["schools"]).filter("n_via_schools is not null")
+    via = orgs.leas_via_schools(views["calendars"], views["schools"]).filter("n_via_schools > 0")
     return via.join(known, "connection_id", "left_semi").select(
         "connection_id", F.col("n_via_schools").alias("n_via"),
         F.when(F.col("n_via_schools") == 1, F.col("lea_from_schools")).alias("lea"),
@@ -1052,3 +1066,60 @@ def zipped_lists(spark, sf_dir):
 def json_mapping(spark, sf_dir):
     events = V.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("user_id"), "props")
     return mapping_rows(events, "props", "key", "value", keep=["user_id"])
+
+
+# --- rate files ------------------------------------------------------------------------------------------------
+
+
+def _rate_file(spark, sf_dir):
+    """Rates of one assessment and year as a CSV folder, in the column order of a rate file."""
+    path = scratch_path(spark, "ratefile")
+    one = _rates(spark, sf_dir).filter("api_year = 1997 and assessment_name = '5-LOW'")
+    columns = ["source_column_name", "edfi_column_name", "num_matches", "num_rows", "match_rate"]
+    one.select(*columns).write.option("header", True).csv(path)
+    return path
+
+
+@query(
+    V.with_views("rates") + """
+select source_column_name, edfi_column_name, num_matches, num_rows, round(match_rate, 6) match_rate, 't0' tenant_code, 1997 api_year, 'low' assessment_name
+from rates where api_year=1997 and assessment_name='5-LOW'"""
+)
+def published_rate_file(spark, sf_dir):
+    """A rate file read by position and published, twice."""
+    lake, path = _lake(spark, "published"), _rate_file(spark, sf_dir)
+    for _ in range(2):
+        publish_match_rate_file(spark, lake, path, tenant_code="t0", api_year=1997, assessment_name="low")
+    return _rounded(lake.read_match_rates(spark), "match_rate")
+
+
+@query(
+    V.with_views("rates") + """
+select source_column_name, bool_or(match_rate >= 0.1) passed, round(max(match_rate), 6) best from rates
+where api_year=1997 and assessment_name='5-LOW' group by all"""
+)
+def rate_file_gate(spark, sf_dir):
+    """A rate file read by its header, and the gate on it."""
+    rates = read_match_rates(spark, _rate_file(spark, sf_dir))
+    gates = R.gate(rates, 0.1, ["source_column_name"])
+    best = rates.groupBy("source_column_name").agg(F.max("match_rate").alias("best"))
+    return _rounded(gates.join(best, "source_column_name"), "best")
+
+
+@query(
+    """
+select source, count(*) n, case when count(*) filter (lang='en') > 0 then 'in/en' end first_input,
+       case when count(*) filter (lang='en') > 0 then 'en' else 'non_file_source' end basename
+from documents group by all"""
+)
+def input_mapping(spark, sf_dir):
+    """Parameters paired with their files, and the name a run takes from its first file."""
+    counts_of = V.table(spark, sf_dir, "documents").groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("lang") == "en").alias("english")
+    )
+    paths = F.when(F.col("english") > 0, F.array(F.lit("in/en"))).otherwise(F.array().cast("array<string>"))
+    names = F.when(F.col("english") > 0, F.array(F.lit("INPUT_FILE"))).otherwise(F.array().cast("array<string>"))
+    mapping = fn.input_mapping(names, paths)
+    return counts_of.select(
+        "source", "n", mapping["INPUT_FILE"].alias("first_input"), fn.run_basename(paths).alias("basename")
+    )

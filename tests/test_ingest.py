@@ -63,6 +63,33 @@ def test_runs_follow_the_feed(spark, folder, through_landing):
     assert loaded(spark, lake) == before
 
 
+def test_a_repeated_run_of_some_endpoints_leaves_the_others(spark, folder):
+    lake = Lake(folder)
+    feed = feed_of(spark, (C.RESOURCES, "students", 1), (C.RESOURCES, "schools", 2))
+    run(spark, lake, feed, "2024-01-01", requested=["students"])
+    run(spark, lake, feed, "2024-01-01", requested=["schools"])
+    assert loaded(spark, lake) == [(C.RESOURCES, "schools", 2), (C.RESOURCES, "students", 1)]
+    assert active_marks(spark, lake) == [("schools", 2, False, False), ("students", 2, False, False)]
+
+
+def test_all_tenants_in_one_run(spark, folder):
+    lake = Lake(folder)
+    feed = spark.createDataFrame([(C.RESOURCES, t, y, "students", v, "{}") for t, y, v in (("t", 2023, 5), ("t", 2024, 7), ("u", 2024, 9))], FEED)
+    every = E.endpoints_from_config(spark, {"students": {}}, tenant_code="t", api_year=2023)
+    for tenant, year in (("t", 2024), ("u", 2024), ("v", 2024)):
+        every = every.unionByName(E.endpoints_from_config(spark, {"students": {}}, tenant_code=tenant, api_year=year))
+    options = dict(ods_version="7", data_model_version="5")
+    out = ingest_incremental(spark, lake, feed, every, run_at="2024-01-01", **options)
+    assert rows(out, "tenant_code", "api_year", "newest_version", "outcome") == [
+        ("t", 2023, 5, "success"), ("t", 2024, 7, "success"), ("u", 2024, 9, "success"), ("v", 2024, None, "skipped"),
+    ]
+    ingest_incremental(spark, lake, feed, every, run_at="2024-01-02", full_refresh=True, **options)
+    assert rows(lake.read_raw(spark), "tenant_code", "api_year", F.col("pull_date").cast("string")) == [
+        ("t", 2023, "2024-01-02"), ("t", 2024, "2024-01-02"), ("u", 2024, "2024-01-02"),
+    ]
+    assert lake.read_ledger(spark).filter("is_active").count() == 9
+
+
 def test_a_run_that_broke_off_before_its_marks_is_repeated_whole(spark, folder):
     lake = Lake(folder)
     feed = feed_of(spark, (C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2))
@@ -143,7 +170,7 @@ def test_total_counts(spark, folder):
 
 
 def test_reset_of_a_ledger_that_does_not_exist(spark, folder):
-    reset_ledger(spark, Lake(folder), tenant_code="t", api_year=2024)
+    reset_ledger(spark, Lake(folder), {"tenant_code": "t", "api_year": 2024})
     assert Lake(folder).read_ledger(spark).isEmpty()
 
 

@@ -1,5 +1,6 @@
 from tidemark.functions.maps import (
-    field_list, flatten_paths, get_or, input_parameters, inject_parameters, merge_maps, or_empty, pair_up, stringify_values,
+    field_list, flatten_paths, get_or, input_mapping, input_parameters, inject_parameters, merge_maps, or_empty, pair_up, run_basename,
+    stringify_values,
 )
 from tidemark.functions.names import camel_to_snake, snake_to_camel
 from tidemark.functions.paths import (
@@ -10,7 +11,7 @@ from tidemark.functions.scalars import as_number, flag, json_text, same_text, ut
 
 __all__ = [
     "as_number", "base_name", "camel_to_snake", "decoded_path", "directory_name", "endpoint_name", "field_list",
-    "file_stem", "flag", "flatten_paths", "get_or", "inject_parameters", "input_parameters", "join_path",
-    "json_text", "landing_lineage", "merge_maps", "or_empty", "pair_up", "pull_date", "pull_timestamp", "same_text",
+    "file_stem", "flag", "flatten_paths", "get_or", "inject_parameters", "input_mapping", "input_parameters", "join_path",
+    "json_text", "landing_lineage", "merge_maps", "or_empty", "pair_up", "pull_date", "pull_timestamp", "run_basename", "same_text",
     "snake_to_camel", "stringify_values", "utc_iso",
 ]

@@ -2,6 +2,11 @@
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.paths import file_stem
+
+# Name of a run that has no input file.
+NO_INPUT_FILE = "non_file_source"
+
 
 def get_or(params: Column, key: str, default: Column) -> Column:
     return F.coalesce(params[F.lit(key)], default)
@@ -49,3 +54,13 @@ def flatten_paths(nested: Column) -> Column:
     """One list out of a list of lists, without the nulls on either level."""
     lists = F.filter(nested, lambda part: part.isNotNull())
     return F.filter(F.flatten(lists), lambda path: path.isNotNull())
+
+
+def input_mapping(names: Column, paths: Column) -> Column:
+    """Parameter names with their files, paired by position."""
+    return F.map_from_arrays(names, paths)
+
+
+def run_basename(paths: Column) -> Column:
+    """Stem of the first input file, which names the outputs of a run."""
+    return F.coalesce(file_stem(F.get(paths, F.lit(0))), F.lit(NO_INPUT_FILE))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,29 +18,30 @@ def match_rates(
     """Share of source rows whose id occurs in the roster, for every pair of id columns.
 
     Rates are per group `by`; the roster is kept apart by `roster_by`, those of `by` that the roster has. Every
-    source row counts, copies and null ids included. Ids are counted per value before they meet the roster, so a
-    frequent id is one row in the join.
+    source row counts, copies and null ids included. Ids are counted per value before they meet the roster, and the
+    roster is reduced to one row per value, so a frequent id is one row on either side of the join.
     """
     by = list(by)
     roster_by = [key for key in by if key in roster.columns] if roster_by is None else list(roster_by)
     ids = _ids(source, source_columns, by, "source_column_name").groupBy(*by, "source_column_name", "id").agg(
         F.count(F.lit(1)).alias("rows")
     )
-    known = _ids(roster, roster_columns, roster_by, "edfi_column_name").filter("id is not null").distinct()
-    hits = (
-        ids.join(known, [*roster_by, "id"])
-        .groupBy(*by, "source_column_name", "edfi_column_name")
-        .agg(F.sum("rows").alias("num_matches"))
+    flags = {column: f"__in_{i}" for i, column in enumerate(roster_columns)}
+    known = (
+        _ids(roster, roster_columns, roster_by, "edfi_column_name").filter("id is not null").groupBy(*roster_by, "id")
+        .agg(*[F.bool_or(F.col("edfi_column_name") == column).alias(name) for column, name in flags.items()])
     )
-    totals = ids.groupBy(*by, "source_column_name").agg(F.sum("rows").alias("num_rows"))
-    pairs = source.sparkSession.createDataFrame(
-        list(product(source_columns, roster_columns)), "source_column_name string, edfi_column_name string"
+    matches = [F.sum(F.when(F.col(name), F.col("rows")).otherwise(0)).alias(name) for name in flags.values()]
+    sums = ids.join(known, [*roster_by, "id"], "left").groupBy(*by, "source_column_name").agg(
+        F.sum("rows").alias("num_rows"), *matches
     )
-    every = totals.join(pairs, "source_column_name")
-    matches = F.coalesce("num_matches", F.lit(0)).cast("bigint")
-    return every.join(hits, [*by, "source_column_name", "edfi_column_name"], "left").select(
-        *by, "source_column_name", "edfi_column_name", matches.alias("num_matches"), "num_rows",
-        (matches / F.col("num_rows")).alias("match_rate"),
+    pairs = [
+        F.struct(F.lit(column).alias("edfi_column_name"), F.col(name).alias("num_matches")) for column, name in flags.items()
+    ]
+    rates = sums.select(*by, "source_column_name", "num_rows", F.inline(F.array(*pairs)))
+    return rates.select(
+        *by, "source_column_name", "edfi_column_name", "num_matches", "num_rows",
+        (F.col("num_matches") / F.col("num_rows")).alias("match_rate"),
     )
 
 

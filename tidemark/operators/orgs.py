@@ -60,19 +60,20 @@ def calendar_schools(calendars: DataFrame) -> DataFrame:
 
 
 def leas_via_schools(calendars: DataFrame, schools: DataFrame) -> DataFrame:
-    """Agencies of the schools that occur in calendars: how many, and the one id where there is one."""
+    """Agencies of the schools that occur in calendars: how many, and the one id where there is one.
+
+    A connection without schools in its calendars does not appear.
+    """
     used = calendar_schools(calendars)
     owners = schools.select(
         "connection_id",
         F.try_variant_get("v", "$.schoolId", "string").alias("school_id"),
         F.try_variant_get("v", "$.localEducationAgencyReference.localEducationAgencyId", "string").alias("lea_id"),
     ).filter("school_id is not null and lea_id is not null").distinct()
-    agencies = owners.join(used, ["connection_id", "school_id"], "left_semi").select("connection_id", "lea_id").distinct()
-    per_connection = agencies.groupBy("connection_id").agg(
-        F.count(F.lit(1)).alias("n_via_schools"), F.min("lea_id").alias("lea_from_schools")
+    agencies = used.join(owners, ["connection_id", "school_id"], "left").select("connection_id", "lea_id").distinct()
+    return agencies.groupBy("connection_id").agg(
+        F.count("lea_id").alias("n_via_schools"), F.min("lea_id").alias("lea_from_schools")
     )
-    with_calendars = used.groupBy("connection_id").agg(F.count(F.lit(1)).alias("n_schools"))
-    return with_calendars.join(per_connection, "connection_id", "left")
 
 
 def _listed(ids: Column) -> Column:
@@ -88,7 +89,7 @@ def with_org(connections: DataFrame) -> DataFrame:
     n_via = F.coalesce("n_via_schools", F.lit(0))
     token_text = F.when(n_tokens > 0, F.format_string("found_%d_leas", n_tokens)).otherwise("no_leas_found")
     leas_text = F.format_string("found_%d_leas", n_leas)
-    via_text = F.when(F.col("n_schools").isNull(), "no_schools_in_calendars").otherwise(
+    via_text = F.when(F.col("n_via_schools").isNull(), "no_schools_in_calendars").otherwise(
         F.format_string("found_%d_leas_via_schools", n_via)
     )
     actual = (

@@ -1,8 +1,9 @@
-"""Incremental ingestion of one tenant-year: read marks, pull windows, load, advance the marks."""
+"""Incremental ingestion: read marks, pull windows, load, advance the marks."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,44 +12,47 @@ from tidemark import constants as C
 from tidemark.operators import marks as M, outcomes as O, windows as W
 from tidemark.operators.counts import reconcile, row_counts
 from tidemark.operators.endpoints import endpoint_streams, kinds_to_run, requested_endpoints, snake_names
-from tidemark.operators.joins import settled
+from tidemark.operators.joins import join_small_side, settled
 from tidemark.plans.lake import Lake
-from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run, tenant_year
-from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS
+from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run
+from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS, TENANT_YEAR
 from tidemark.sinks import grain
 from tidemark.sinks.jsonl import with_run_folders, write_landing
 from tidemark.sources.landing import raw_envelope, scan_landing, with_row_numbers
-from tidemark.sources.tables import partition_folder, path_exists
+from tidemark.sources.tables import ANY, partition_folder, path_exists
 
 STREAM = ["kind", *GRAIN]
+CONCURRENT_CLEARS = 8
 
 
-def reset_ledger(
-    spark: SparkSession, lake: Lake, *, tenant_code: str, api_year: int, names: Iterable[str] | None = None
-) -> None:
-    """Make the marks of a tenant-year inactive, of some names or of all."""
-    partition = {"tenant_code": tenant_code, "api_year": api_year}
+def reset_ledger(spark: SparkSession, lake: Lake, tenant_years: DataFrame | dict, names: Iterable[str] | None = None) -> None:
+    """Make the marks of some tenant-years inactive, of some names or of all."""
     grain.rewrite(
-        spark, lake.ledger, LEDGER, LEDGER_PARTITIONS, partition,
-        lambda ledger: M.reset_marks(ledger, tenant_code, api_year, names),
+        spark, lake.ledger, LEDGER, LEDGER_PARTITIONS, tenant_years, lambda ledger: M.reset_marks(ledger, names=names)
     )
 
 
-def clear_shared(spark: SparkSession, lake: Lake, *, tenant_code: str, api_year: int, names: list[str] | None = None) -> None:
-    """Empty the deletes and key changes of a tenant-year before it is loaded afresh."""
-    for kind in (C.RESOURCE_DELETES, C.RESOURCE_KEY_CHANGES):
-        within = {"kind": kind, "tenant_code": tenant_code, "api_year": api_year}
-        grain.clear(spark, lake.raw, RAW, RAW_PARTITIONS, within, names)
+def clear_shared(spark: SparkSession, lake: Lake, tenant_years: DataFrame, names: list[str] | None = None) -> None:
+    """Empty the deletes and key changes of some tenant-years before they are loaded afresh."""
+    grains = [
+        {"kind": kind, **row.asDict()}
+        for row in tenant_years.select(*TENANT_YEAR).toLocalIterator()
+        for kind in (C.RESOURCE_DELETES, C.RESOURCE_KEY_CHANGES)
+    ]
+    with ThreadPoolExecutor(CONCURRENT_CLEARS) as pool:
+        list(pool.map(lambda within: grain.clear(spark, lake.raw, RAW, RAW_PARTITIONS, within, names), grains))
 
 
 def due_windows(
-    streams: DataFrame, ledger: DataFrame, feed: DataFrame, newest: int | None, *, delta_check: bool = True
+    streams: DataFrame, ledger: DataFrame, feed: DataFrame, newest: DataFrame, *, delta_check: bool = True
 ) -> DataFrame:
-    """Window of every stream with its status and, with the delta check, the number of new rows."""
+    """Window of every stream with its status and, with the delta check, the number of new rows.
+
+    `newest` has the newest version of every tenant-year.
+    """
     with_stream = streams.withColumn("stream", M.stream_of_kind(F.col("kind")))
     marked = M.with_last_version(with_stream, M.prior_marks_by_stream(ledger)).drop("stream")
-    bounded = marked.withColumn("newest_version", F.lit(newest).cast("bigint"))
-    windows = settled(W.with_window_status(bounded))
+    windows = settled(W.with_window_status(marked.join(newest, TENANT_YEAR, "left")))
     if not delta_check:
         return windows.withColumn("n", F.lit(None).cast("bigint"))
     counts = W.delta_counts(feed, windows, STREAM, is_settled=True).select(*STREAM, "n")
@@ -56,66 +60,83 @@ def due_windows(
 
 
 def ingest_incremental(
-    spark: SparkSession, lake: Lake, feed: DataFrame, endpoints: DataFrame, *, tenant_code: str, api_year: int,
-    run_at: datetime | str, full_refresh: bool = False, requested: Iterable[str] | None = None,
-    newest: int | None = None, has_change_versions: bool = True, delta_check: bool = True,
-    get_key_changes: bool = True, ods_version: str | None = None, data_model_version: str | None = None,
-    through_landing: bool = False,
+    spark: SparkSession, lake: Lake, feed: DataFrame, endpoints: DataFrame, *, run_at: datetime | str,
+    tenant_code: str | None = None, api_year: int | None = None, full_refresh: bool = False,
+    requested: Iterable[str] | None = None, newest: int | None = None, has_change_versions: bool = True,
+    delta_check: bool = True, get_key_changes: bool = True, ods_version: str | None = None,
+    data_model_version: str | None = None, through_landing: bool = False,
 ) -> DataFrame:
     """Load what is new in a feed and return one row per stream with what became of it.
 
-    `feed` has the grain, `kind`, `change_version` and `payload` (JSON text). Data are written before marks, and
-    marks only for what was loaded: a run that breaks off is pulled again, and a run repeated with the same
-    `run_at` replaces its own rows. `through_landing` keeps the pulled rows as JSON lines and loads them from there.
+    `feed` has the grain, `kind`, `change_version` and `payload` (JSON text). One call takes all tenants and years
+    of `endpoints`, or those given. The newest version of each is fixed at the start, so that a run is consistent.
+
+    Data are written before marks, and marks only for what was loaded: a run that breaks off is pulled again, and a
+    run repeated with the same `run_at` replaces its own rows. `through_landing` keeps the pulled rows as JSON lines
+    and loads them from there.
     """
     ods, model = resolve_versions(ods_version, data_model_version, has_change_versions=has_change_versions)
-    run = {"tenant_code": tenant_code, "api_year": api_year}
     moment = run_moment(run_at)
-    own_feed = feed.filter(M.in_grain(tenant_code, api_year))
-    if has_change_versions and newest is None:
-        newest = own_feed.agg(F.max("change_version")).first()[0]
+    replacing = full_refresh or not has_change_versions
+    scope = M.in_grain(tenant_code, api_year)
+    own_feed, own = feed.filter(scope), endpoints.filter(scope)
+    one = None if tenant_code is None or api_year is None else {"tenant_code": tenant_code, "api_year": api_year}
+    raw_folder = None if one is None else {"kind": ANY, **one}
 
-    streams = kinds_to_run(
-        endpoint_streams(endpoints.filter(M.in_grain(tenant_code, api_year)), get_key_changes=get_key_changes), full_refresh
-    )
+    streams = kinds_to_run(endpoint_streams(own, get_key_changes=get_key_changes), full_refresh)
     names = None
     if wanted := list(requested or []):
         asked = snake_names(spark, wanted)
         names = [row["name"] for row in asked.collect()]
         streams = requested_endpoints(streams, asked)
+    tenant_years = settled(own.select(*TENANT_YEAR).distinct())
     if full_refresh:
-        reset_ledger(spark, lake, **run, names=names)
-        clear_shared(spark, lake, **run, names=names)
+        reset_ledger(spark, lake, tenant_years, names)
+        clear_shared(spark, lake, tenant_years, names)
 
-    ledger = lake.read_ledger(spark, run)
-    windows = settled(due_windows(streams, ledger, own_feed, newest, delta_check=delta_check))
+    versions = _newest(own_feed, tenant_years, newest, has_change_versions)
+    ledger = lake.read_ledger(spark, one)
+    windows = settled(due_windows(streams, ledger, own_feed, versions, delta_check=delta_check))
     due = windows.filter(F.col("window_status").isin(W.VALID, W.UNBOUNDED) & F.coalesce(F.col("n") > 0, F.lit(True)))
     bounds = due.select(*STREAM, "last_version", "newest_version", "window_status")
     pulled = W.rows_in_window(own_feed, bounds, STREAM, is_settled=True)
 
     if through_landing:
-        rows = _through_landing(spark, lake, pulled, run, moment, ods, model)
+        rows = _through_landing(spark, lake, pulled, due, one, moment, ods, model)
     else:
         rows = _envelope(pulled, moment, ods, model)
-    if full_refresh or not has_change_versions:
+    if replacing:
         store_raw(rows, lake, full_refresh=True)
     else:
-        store_raw_run(rows, lake, **run, run_at=moment)
+        store_raw_run(rows, lake, run_at=moment, streams=due.select(*STREAM), within=raw_folder)
 
-    landed = settled(_landed(spark, lake, run, moment))
+    of_run = lake.read_raw(spark, raw_folder).filter(F.col("pull_timestamp") == moment)
+    landed = settled(row_counts(_of_streams(of_run.select(*STREAM, "pull_timestamp"), due), STREAM, "pulled_rows"))
     if has_change_versions:
         marked = O.succeeded(due, landed, STREAM).select(
             *STREAM, F.col("newest_version").alias("max_version"), moment.cast("date").alias("pull_date"),
             moment.alias("pull_timestamp"),
         )
-        ledger_rows = M.new_marks(marked, full_refresh=full_refresh, has_key_changes=get_key_changes)
-        same_run = F.col("pull_timestamp") == moment
-        if names is not None:
-            same_run &= F.col("name").isin(names)
-        grain.insert_once(ledger_rows, lake.ledger, LEDGER, LEDGER_PARTITIONS, again=same_run, within=run)
+        marks = settled(M.new_marks(marked, full_refresh=full_refresh, has_key_changes=get_key_changes))
+        grain.insert_once(
+            marks, lake.ledger, LEDGER, LEDGER_PARTITIONS, again=F.col("pull_timestamp") == moment,
+            among=marks.select(*GRAIN, "is_deletes", "is_key_changes"), within=one,
+        )
     return _outcomes(windows, landed)
 
 
+def _newest(feed: DataFrame, tenant_years: DataFrame, newest: int | None, has_change_versions: bool) -> DataFrame:
+    if has_change_versions and newest is None:
+        return settled(W.newest_versions(feed))
+    return tenant_years.withColumn("newest_version", F.lit(newest).cast("bigint"))
+
+
+def _of_streams(rows: DataFrame, streams: DataFrame) -> DataFrame:
+    """Rows of some streams; the streams are few, and the raw table's partitions are pruned by them."""
+    keys = streams.select(*STREAM)
+    return join_small_side(rows, keys, STREAM, "left_semi", salt_on=["pull_timestamp"], is_settled=True)
+
+
 def _envelope(pulled: DataFrame, moment: Column, ods: str, model: str) -> DataFrame:
     return pulled.select(
         moment.cast("date").alias("pull_date"), moment.alias("pull_timestamp"),
@@ -125,20 +146,18 @@ def _envelope(pulled: DataFrame, moment: Column, ods: str, model: str) -> DataFr
     )
 
 
-def _through_landing(spark, lake: Lake, pulled: DataFrame, run: dict, moment: Column, ods: str, model: str) -> DataFrame:
-    """Keep the pulled rows in the landing folder of the run and read them back from there."""
+def _through_landing(
+    spark, lake: Lake, pulled: DataFrame, due: DataFrame, one: dict | None, moment: Column, ods: str, model: str
+) -> DataFrame:
+    """Keep the pulled rows in the landing folders of the run and read them back from there."""
     write_landing(with_run_folders(pulled, moment), lake.landing)
-    segments = with_run_folders(spark.range(1), moment).first()
-    folder = partition_folder(lake.landing, {**run, "ds": segments["ds"], "ts": segments["ts"]})
+    run = with_run_folders(spark.range(1), moment).first()
+    owner = one or {"tenant_code": ANY, "api_year": ANY}
+    folder = partition_folder(lake.landing, {**owner, "ds": run["ds"], "ts": run["ts"]})
     if not path_exists(spark, folder):
         return spark.createDataFrame([], RAW)
-    return raw_envelope(with_row_numbers(scan_landing(spark, folder)), ods_version=ods, data_model_version=model)
-
-
-def _landed(spark, lake: Lake, run: dict, moment: Column) -> DataFrame:
-    """Rows of this run in the raw table, counted per stream."""
-    raw = lake.read_raw(spark, tenant_year(**run))
-    return row_counts(raw.filter(F.col("pull_timestamp") == moment), STREAM, "pulled_rows")
+    lines = with_row_numbers(scan_landing(spark, folder))
+    return _of_streams(raw_envelope(lines, ods_version=ods, data_model_version=model), due)
 
 
 def _outcomes(windows: DataFrame, landed: DataFrame) -> DataFrame:

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark import constants as C
+from tidemark.constants import NO_CHANGE_VERSIONS
 from tidemark.plans.lake import Lake
 from tidemark.schemas import RAW, RAW_PARTITIONS
 from tidemark.sinks import grain
 from tidemark.sources.landing import raw_envelope, scan_landing, with_row_numbers
-from tidemark.sources.tables import ANY
 
 
 def resolve_versions(
@@ -21,7 +20,7 @@ def resolve_versions(
 ) -> tuple[str, str]:
     """Version texts: what was given, else what the source told, else the mark of a source without change versions."""
     if not has_change_versions:
-        found = (C.NO_CHANGE_VERSIONS, C.NO_CHANGE_VERSIONS)
+        found = (NO_CHANGE_VERSIONS, NO_CHANGE_VERSIONS)
     ods, model = ods_version or found[0], data_model_version or found[1]
     if not (ods and model):
         raise ValueError("ods_version and data_model_version were not found and must be given")
@@ -34,12 +33,14 @@ def load_raw(
     data_model_version: str | None = None, has_change_versions: bool = True, full_refresh: bool = False,
     row_numbers: bool = True, lineage: str = "path", on_bad_line: str = "fail",
     transform: Callable[[DataFrame], DataFrame] | None = None, then: Callable[[str], None] | None = None,
+    balance: bool = True,
 ) -> None:
     """Load all files below some folders, whatever their number, in one scan and one write.
 
     Appends, or on a full refresh replaces the tenants, years and names found in the files. A source without
     change versions is always refreshed in full. `transform` changes the rows before the write, `then` is called
-    with the table's path after it.
+    with the table's path after it. Without `balance` the rows are written as they were read or numbered: one
+    shuffle less, good when every endpoint has few files.
     """
     ods, model = resolve_versions(ods_version, data_model_version, has_change_versions=has_change_versions)
     lines = scan_landing(spark, *paths)
@@ -49,29 +50,23 @@ def load_raw(
         lines, ods_version=ods, data_model_version=model, tenant_code=tenant_code, api_year=api_year, kind=kind,
         name=name, lineage=lineage, on_bad_line=on_bad_line,
     )
-    store_raw(rows if transform is None else rows.transform(transform), lake, full_refresh or not has_change_versions)
+    rows = rows if transform is None else rows.transform(transform)
+    store_raw(rows, lake, full_refresh or not has_change_versions, balance)
     if then is not None:
         then(lake.raw)
 
 
-def store_raw(rows: DataFrame, lake: Lake, full_refresh: bool) -> None:
+def store_raw(rows: DataFrame, lake: Lake, full_refresh: bool, balance: bool = True) -> None:
     write = grain.replace if full_refresh else grain.insert
-    write(rows, lake.raw, RAW, RAW_PARTITIONS)
+    write(rows, lake.raw, RAW, RAW_PARTITIONS, balance=balance)
 
 
-def store_raw_run(rows: DataFrame, lake: Lake, *, tenant_code: str, api_year: int, run_at: Column) -> None:
-    """Append the rows of a run; a repeated run replaces its own rows."""
-    mine = (
-        (F.col("tenant_code") == tenant_code) & (F.col("api_year") == api_year) & (F.col("pull_timestamp") == run_at)
-    )
-    grain.insert_once(
-        rows, lake.raw, RAW, RAW_PARTITIONS, again=mine, within=tenant_year(tenant_code, api_year)
-    )
-
-
-def tenant_year(tenant_code: str, api_year: int) -> dict:
-    """Leading partition values of the raw table for all kinds of a tenant-year."""
-    return {"kind": ANY, "tenant_code": tenant_code, "api_year": api_year}
+def store_raw_run(
+    rows: DataFrame, lake: Lake, *, run_at: Column, streams: DataFrame, within: Mapping[str, object] | None = None
+) -> None:
+    """Append the rows that a run pulled for some streams; a repeated run replaces its own rows."""
+    same_run = F.col("pull_timestamp") == run_at
+    grain.insert_once(rows, lake.raw, RAW, RAW_PARTITIONS, again=same_run, among=streams, within=within)
 
 
 def run_moment(run_at: datetime | str) -> Column:

@@ -13,72 +13,94 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.joins import settled
+from tidemark.operators.joins import BROADCAST_BYTES, measured_bytes, settled
 from tidemark.sources.tables import partition_folder, path_exists, read_or_empty
 
 
-def _writer(df: DataFrame, schema: T.StructType, partition_by: Sequence[str], mode: str):
+def _writer(df: DataFrame, schema: T.StructType, partition_by: Sequence[str], mode: str, balance: bool = True):
     rows = df.select(*[F.col(field.name).cast(field.dataType) for field in schema.fields])
-    return rows.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    if balance:
+        rows = rows.hint("rebalance", *partition_by)
+    return rows.write.mode(mode).partitionBy(*partition_by)
 
 
-def insert(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+def insert(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str], balance: bool = True) -> None:
     """Append rows; columns are taken by name."""
-    _writer(df, schema, partition_by, "append").parquet(path)
+    _writer(df, schema, partition_by, "append", balance).parquet(path)
 
 
-def replace(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+def replace(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str], balance: bool = True) -> None:
     """Replace the partitions that the rows belong to, in one commit; others stay."""
-    _writer(df, schema, partition_by, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    writer = _writer(df, schema, partition_by, "overwrite", balance)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def insert_once(
-    df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str], *, again: Column | DataFrame,
-    within: Mapping[str, object] | None = None,
+    df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str], *, again: Column,
+    among: DataFrame | None = None, within: Mapping[str, object] | None = None,
 ) -> None:
     """Append a batch that may have been written before.
 
-    `again` tells the rows of an earlier attempt at the batch: a condition, or a table of key values. Where there
-    are none, which is the usual case, this is a plain append. Otherwise the partitions that hold them are
-    rewritten without them, then the batch is appended.
+    Rows of an earlier attempt at the batch are those that meet the condition `again` and, where it is given, have
+    their key in the small table `among`. Mostly there are none and this is a plain append. Otherwise the
+    partitions that hold them are rewritten without them, then the batch is appended. `within` gives leading
+    partition values beyond which no such row can be.
     """
-    spark = df.sparkSession
-    table = read_or_empty(spark, path, schema, within)
-    keyed = isinstance(again, DataFrame)
-    earlier = _join_nulls(table, again, "left_semi") if keyed else table.filter(again)
+    keys = None if among is None else _Keys(among)
+    table = read_or_empty(df.sparkSession, path, schema, within)
+    earlier = table.filter(again)
+    if keys is not None:
+        earlier = keys.semi(earlier)
     if not earlier.isEmpty():
-        touched = earlier.select(*partition_by).distinct()
-        kept = _join_nulls(table, touched, "left_semi")
-        kept = _join_nulls(kept, again, "left_anti") if keyed else kept.filter(~F.coalesce(again, F.lit(False)))
-        _swap(spark, kept, touched, path, schema, partition_by)
+        touched = settled(earlier.select(*partition_by).distinct())
+        kept = _Keys(touched, is_settled=True).semi(table)
+        stale = F.coalesce(again, F.lit(False))
+        kept = kept.filter(~stale) if keys is None else keys.without(kept, stale)
+        _swap(kept, touched, path, schema, partition_by)
     insert(df, path, schema, partition_by)
 
 
-def _join_nulls(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join on all columns of the right side, null equal to null."""
-    renamed = right.select(*[F.col(column).alias(f"__{column}") for column in right.columns])
-    same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(f"__{column}")) for column in right.columns])
-    return left.join(renamed, same, how)
+class _Keys:
+    """A small table of keys, null equal to null, to select rows of a large one without shuffling it."""
+
+    def __init__(self, keys: DataFrame, is_settled: bool = False):
+        self.columns = keys.columns
+        renamed = [F.col(column).alias(f"__{column}") for column in keys.columns]
+        kept = keys if is_settled else settled(keys.distinct())
+        table = kept.select(*renamed).withColumn("__known", F.lit(True))
+        self.table = F.broadcast(table) if measured_bytes(table) <= BROADCAST_BYTES else table
+        self.same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(f"__{column}")) for column in keys.columns])
+
+    def semi(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.table, self.same, "left_semi")
+
+    def without(self, rows: DataFrame, condition: Column) -> DataFrame:
+        """Rows but for those that meet a condition and are in the keys."""
+        return rows.join(self.table, self.same & condition, "left_anti")
 
 
 def rewrite(
-    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str], partition: Mapping[str, object],
-    change: Callable[[DataFrame], DataFrame],
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str],
+    partitions: Mapping[str, object] | DataFrame, change: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Replace one partition by a changed version of it."""
-    rows = change(read_or_empty(spark, path, schema, partition))
-    key = spark.createDataFrame([()], T.StructType([])).select(*[F.lit(v).alias(c) for c, v in partition.items()])
-    _swap(spark, rows, key, path, schema, partition_by)
+    """Replace partitions by a changed version: one, given by its values, or those of a small table."""
+    if isinstance(partitions, DataFrame):
+        touched = settled(partitions.select(*partition_by).distinct())
+        rows = _Keys(touched, is_settled=True).semi(read_or_empty(spark, path, schema))
+    else:
+        touched = spark.range(1).select(*[F.lit(partitions[column]).alias(column) for column in partition_by])
+        rows = read_or_empty(spark, path, schema, partitions)
+    _swap(change(rows), touched, path, schema, partition_by)
 
 
-def _swap(spark, rows: DataFrame, touched: DataFrame, path: str, schema, partition_by: Sequence[str]) -> None:
+def _swap(rows: DataFrame, touched: DataFrame, path: str, schema, partition_by: Sequence[str]) -> None:
     """Write new versions of the touched partitions, from a copy in reliable storage; emptied ones are cleared."""
-    touched, staged = settled(touched), settled(rows)
+    staged = settled(rows)
     if not staged.isEmpty():
         replace(staged, path, schema, partition_by)
-    emptied = _join_nulls(touched, staged.select(*partition_by).distinct(), "left_anti")
-    for row in emptied.toLocalIterator():
-        _clear_leaf(spark, path, schema, partition_by, row.asDict())
+    left = _Keys(staged.select(*partition_by))
+    for row in left.without(touched, F.lit(True)).toLocalIterator():
+        _clear_leaf(rows.sparkSession, path, schema, partition_by, row.asDict())
 
 
 def clear(

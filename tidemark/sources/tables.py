@@ -50,7 +50,7 @@ def read_or_empty(
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.format("binaryFile").load(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

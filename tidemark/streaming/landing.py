@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import resolve_versions
 from tidemark.schemas import RAW, RAW_PARTITIONS
 from tidemark.sinks import grain
 from tidemark.sources.landing import raw_envelope, stream_landing
+from tidemark.sources.tables import ANY, path_exists
 
 
 def ingest_landing(
@@ -20,7 +21,7 @@ def ingest_landing(
 ) -> None:
     """Load all files that came since the last run with this checkpoint, then stop.
 
-    For a full refresh, clear the grain and use a new checkpoint folder. Rows have no `file_row_number`.
+    Rows have no `file_row_number`. For a full refresh see `refresh_landing`.
     """
     ods, model = resolve_versions(ods_version, data_model_version)
     lines = stream_landing(spark, path, files_per_batch=files_per_batch)
@@ -30,14 +31,30 @@ def ingest_landing(
     )
     if transform is not None:
         rows = rows.transform(transform)
+    given = tenant_code is not None and api_year is not None
+    within = {"kind": kind or ANY, "tenant_code": tenant_code, "api_year": api_year} if given else None
     query = (
         rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-        .foreachBatch(_batch_writer(lake)).start()
+        .foreachBatch(_batch_writer(lake, within)).start()
     )
     query.awaitTermination()
 
 
-def _batch_writer(lake: Lake) -> Callable[[DataFrame, int], None]:
+def refresh_landing(
+    spark: SparkSession, lake: Lake, path: str, checkpoint: str, *, kind: str, tenant_code: str, api_year: int,
+    names: Iterable[str] | None = None, **options,
+) -> None:
+    """Clear a grain and load the folder afresh. The checkpoint folder must be a new one."""
+    if path_exists(spark, checkpoint):
+        raise ValueError(f"{checkpoint!r} was used before; a full refresh needs a new checkpoint folder")
+    within = {"kind": kind, "tenant_code": tenant_code, "api_year": api_year}
+    grain.clear(spark, lake.raw, RAW, RAW_PARTITIONS, within, names)
+    ingest_landing(
+        spark, lake, path, checkpoint, kind=kind, tenant_code=tenant_code, api_year=api_year, **options
+    )
+
+
+def _batch_writer(lake: Lake, within: Mapping[str, object] | None) -> Callable[[DataFrame, int], None]:
     """Append batches. Only the first batch after a start can be a repetition, so only that one is checked."""
     started = []
 
@@ -46,7 +63,7 @@ def _batch_writer(lake: Lake) -> Callable[[DataFrame, int], None]:
             grain.insert(batch, lake.raw, RAW, RAW_PARTITIONS)
             return
         files = batch.select("kind", "tenant_code", "api_year", "filename").distinct()
-        grain.insert_once(batch, lake.raw, RAW, RAW_PARTITIONS, again=files)
+        grain.insert_once(batch, lake.raw, RAW, RAW_PARTITIONS, again=F.lit(True), among=files, within=within)
         started.append(True)
 
     return write
