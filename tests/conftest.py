@@ -18,7 +18,7 @@ def spark():
         "tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g",
+            "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "2000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -48,10 +48,12 @@ def settled(df: DataFrame) -> DataFrame:
 
 def join_small_side(
     large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", *, salt_on: Sequence[str],
-    limit: int = BROADCAST_BYTES, buckets: int = SALT_BUCKETS, is_settled: bool = False,
+    limit: int = BROADCAST_BYTES, buckets: int = SALT_BUCKETS, size: int | None = None,
 ) -> DataFrame:
-    """Pass `is_settled` for a small side that needs no computing, such as one that was settled before."""
-    kept = small if is_settled else settled(small)
-    if measured_bytes(kept) <= limit:
-        return large.join(F.broadcast(kept), list(on), how)
-    return salted_join(large, kept, on, how, salt_on, buckets)
+    """Pass `size` for a small side that was settled and measured before, or is a part of one that was."""
+    if size is None:
+        small = settled(small)
+        size = measured_bytes(small)
+    if size <= limit:
+        return large.join(F.broadcast(small), list(on), how)
+    return salted_join(large, small, on, how, salt_on, buckets)

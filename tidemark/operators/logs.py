@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.constants import ERROR_LEVEL
 from tidemark.functions import base_name
-from tidemark.operators.joins import join_small_side, settled
+from tidemark.operators.joins import join_small_side, measured_bytes, settled
 
 RUN = ["tenant_code", "api_year", "grain_update", "run_type", "run_date", "run_timestamp"]
 ERROR_FIELDS = ["timestamp", "name", "level", "message", "pathname", "lineno"]
@@ -34,18 +34,19 @@ def error_rollup(logs: DataFrame, run: Sequence[str] = RUN, chunk: int = CHUNK_E
     errors = errors_only(logs)
     last = F.max_by(F.struct("args", "kwargs", F.col("timestamp").alias("last_error_timestamp")), "seq")
     totals = settled(errors.groupBy(*run).agg(F.count(F.lit(1)).alias("n_errors"), last.alias("last")))
+    size = measured_bytes(totals)
     keyed = [F.coalesce(F.col(key).cast("string"), F.lit("")).alias(f"__k{i}") for i, key in enumerate(run)]
     on = [f"__k{i}" for i in range(len(run))]
     sizes = totals.select(*keyed, F.col("n_errors").alias("__n"))
     fields = [field for field in ERROR_FIELDS if field in logs.columns]
     placed = join_small_side(
-        errors.select(*keyed, "seq", *fields), sizes, on, salt_on=["seq"], is_settled=True
+        errors.select(*keyed, "seq", *fields), sizes, on, salt_on=["seq"], size=size
     ).withColumn("part", F.when(F.col("__n") <= chunk, F.lit(0)).otherwise(F.floor(F.col("seq") / chunk)).cast("bigint"))
     ordered = F.sort_array(F.collect_list(F.struct("seq", *fields)))
     parts = placed.groupBy(*on, "part").agg(ordered.alias("errors"))
     without_seq = F.transform("errors", lambda error: error.dropFields("seq"))
     heads = totals.select(*run, *keyed, "n_errors", "last")
-    return join_small_side(parts, heads, on, salt_on=["part"], is_settled=True).select(
+    return join_small_side(parts, heads, on, salt_on=["part"], size=size).select(
         *run, "part", "n_errors", "last.args", "last.kwargs", "last.last_error_timestamp", without_seq.alias("errors")
     )
 

@@ -41,24 +41,24 @@ def with_window_status(marks: DataFrame) -> DataFrame:
 
 
 def rows_in_window(
-    feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN, *, is_settled: bool = False
+    feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN, *, size: int | None = None
 ) -> DataFrame:
     """Feed rows inside the window of their endpoint, with the columns of the window.
 
     Windows that are unchanged or out of sequence take no rows.
     """
     open_windows = windows.filter(F.col("window_status").isin(VALID, UNBOUNDED))
-    joined = join_small_side(feed, open_windows, keys, salt_on=["change_version"], is_settled=is_settled)
+    joined = join_small_side(feed, open_windows, keys, salt_on=["change_version"], size=size)
     return joined.filter(in_window(F.col("change_version"), F.col("last_version"), F.col("newest_version")))
 
 
 def delta_counts(
-    feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN, *, is_settled: bool = False
+    feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN, *, size: int | None = None
 ) -> DataFrame:
     """Endpoints with new rows and how many. Endpoints without any do not appear."""
     versions = feed.select(*keys, "change_version")
     bounds = windows.select(*keys, "last_version", "newest_version", "window_status")
-    rows = rows_in_window(versions, bounds, keys, is_settled=is_settled)
+    rows = rows_in_window(versions, bounds, keys, size=size)
     return rows.groupBy(*keys, "last_version", "newest_version").agg(F.count(F.lit(1)).alias("n"))
 
 

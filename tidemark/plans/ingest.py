@@ -12,7 +12,7 @@ from tidemark import constants as C
 from tidemark.operators import marks as M, outcomes as O, windows as W
 from tidemark.operators.counts import reconcile, row_counts
 from tidemark.operators.endpoints import endpoint_streams, kinds_to_run, requested_endpoints, snake_names
-from tidemark.operators.joins import join_small_side, settled
+from tidemark.operators.joins import join_small_side, measured_bytes, settled
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run
 from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS, TENANT_YEAR
@@ -43,19 +43,19 @@ def clear_shared(spark: SparkSession, lake: Lake, tenant_years: DataFrame, names
         list(pool.map(lambda within: grain.clear(spark, lake.raw, RAW, RAW_PARTITIONS, within, names), grains))
 
 
-def due_windows(
-    streams: DataFrame, ledger: DataFrame, feed: DataFrame, newest: DataFrame, *, delta_check: bool = True
-) -> DataFrame:
-    """Window of every stream with its status and, with the delta check, the number of new rows.
-
-    `newest` has the newest version of every tenant-year.
-    """
+def stream_windows(streams: DataFrame, ledger: DataFrame, newest: DataFrame) -> DataFrame:
+    """Window of every stream with its status. `newest` has the newest version of every tenant-year."""
     with_stream = streams.withColumn("stream", M.stream_of_kind(F.col("kind")))
-    marked = M.with_last_version(with_stream, M.prior_marks_by_stream(ledger)).drop("stream")
-    windows = settled(W.with_window_status(marked.join(newest, TENANT_YEAR, "left")))
+    marked = M.with_last_version(with_stream, M.prior_marks_by_stream(ledger))
+    bounded = W.with_window_status(marked.join(newest, TENANT_YEAR, "left"))
+    return bounded.select(*STREAM, "last_version", "newest_version", "window_status")
+
+
+def with_delta_counts(windows: DataFrame, feed: DataFrame, size: int, *, delta_check: bool = True) -> DataFrame:
+    """Windows with the number of new rows, or with an unknown number when that is not checked."""
     if not delta_check:
         return windows.withColumn("n", F.lit(None).cast("bigint"))
-    counts = W.delta_counts(feed, windows, STREAM, is_settled=True).select(*STREAM, "n")
+    counts = W.delta_counts(feed, windows, STREAM, size=size).select(*STREAM, "n")
     return windows.join(counts, STREAM, "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
@@ -89,29 +89,31 @@ def ingest_incremental(
         asked = snake_names(spark, wanted)
         names = [row["name"] for row in asked.collect()]
         streams = requested_endpoints(streams, asked)
-    tenant_years = settled(own.select(*TENANT_YEAR).distinct())
     if full_refresh:
+        tenant_years = settled(own.select(*TENANT_YEAR).distinct())
         reset_ledger(spark, lake, tenant_years, names)
         clear_shared(spark, lake, tenant_years, names)
 
-    versions = _newest(own_feed, tenant_years, newest, has_change_versions)
-    ledger = lake.read_ledger(spark, one)
-    windows = settled(due_windows(streams, ledger, own_feed, versions, delta_check=delta_check))
+    versions = _newest(own_feed, own, newest, has_change_versions)
+    windows = settled(stream_windows(streams, lake.read_ledger(spark, one), versions))
+    size = measured_bytes(windows)
+    windows = settled(with_delta_counts(windows, own_feed, size, delta_check=delta_check))
     due = windows.filter(F.col("window_status").isin(W.VALID, W.UNBOUNDED) & F.coalesce(F.col("n") > 0, F.lit(True)))
-    bounds = due.select(*STREAM, "last_version", "newest_version", "window_status")
-    pulled = W.rows_in_window(own_feed, bounds, STREAM, is_settled=True)
+    pulled = W.rows_in_window(own_feed, due.drop("n"), STREAM, size=size)
 
     if through_landing:
-        rows = _through_landing(spark, lake, pulled, due, one, moment, ods, model)
+        lines = _through_landing(spark, lake, pulled, one, moment, ods, model)
+        rows = _of_streams(lines, due, size, salt_on=["filename", "file_row_number"])
     else:
         rows = _envelope(pulled, moment, ods, model)
     if replacing:
         store_raw(rows, lake, full_refresh=True)
     else:
-        store_raw_run(rows, lake, run_at=moment, streams=due.select(*STREAM), within=raw_folder)
+        store_raw_run(rows, lake, run_at=moment, streams=due.select(*STREAM), size=size, within=raw_folder)
 
     of_run = lake.read_raw(spark, raw_folder).filter(F.col("pull_timestamp") == moment)
-    landed = settled(row_counts(_of_streams(of_run.select(*STREAM, "pull_timestamp"), due), STREAM, "pulled_rows"))
+    counts = row_counts(of_run, STREAM, "pulled_rows")
+    landed = settled(_of_streams(counts, due, size, salt_on=["pulled_rows"]))
     if has_change_versions:
         marked = O.succeeded(due, landed, STREAM).select(
             *STREAM, F.col("newest_version").alias("max_version"), moment.cast("date").alias("pull_date"),
@@ -125,16 +127,15 @@ def ingest_incremental(
     return _outcomes(windows, landed)
 
 
-def _newest(feed: DataFrame, tenant_years: DataFrame, newest: int | None, has_change_versions: bool) -> DataFrame:
+def _newest(feed: DataFrame, endpoints: DataFrame, newest: int | None, has_change_versions: bool) -> DataFrame:
     if has_change_versions and newest is None:
-        return settled(W.newest_versions(feed))
-    return tenant_years.withColumn("newest_version", F.lit(newest).cast("bigint"))
+        return W.newest_versions(feed)
+    return endpoints.select(*TENANT_YEAR).distinct().withColumn("newest_version", F.lit(newest).cast("bigint"))
 
 
-def _of_streams(rows: DataFrame, streams: DataFrame) -> DataFrame:
-    """Rows of some streams; the streams are few, and the raw table's partitions are pruned by them."""
-    keys = streams.select(*STREAM)
-    return join_small_side(rows, keys, STREAM, "left_semi", salt_on=["pull_timestamp"], is_settled=True)
+def _of_streams(rows: DataFrame, streams: DataFrame, size: int, salt_on: list[str]) -> DataFrame:
+    """Rows of some streams."""
+    return join_small_side(rows, streams.select(*STREAM), STREAM, "left_semi", salt_on=salt_on, size=size)
 
 
 def _envelope(pulled: DataFrame, moment: Column, ods: str, model: str) -> DataFrame:
@@ -147,7 +148,7 @@ def _envelope(pulled: DataFrame, moment: Column, ods: str, model: str) -> DataFr
 
 
 def _through_landing(
-    spark, lake: Lake, pulled: DataFrame, due: DataFrame, one: dict | None, moment: Column, ods: str, model: str
+    spark, lake: Lake, pulled: DataFrame, one: dict | None, moment: Column, ods: str, model: str
 ) -> DataFrame:
     """Keep the pulled rows in the landing folders of the run and read them back from there."""
     write_landing(with_run_folders(pulled, moment), lake.landing)
@@ -157,7 +158,7 @@ def _through_landing(
     if not path_exists(spark, folder):
         return spark.createDataFrame([], RAW)
     lines = with_row_numbers(scan_landing(spark, folder))
-    return _of_streams(raw_envelope(lines, ods_version=ods, data_model_version=model), due)
+    return raw_envelope(lines, ods_version=ods, data_model_version=model)
 
 
 def _outcomes(windows: DataFrame, landed: DataFrame) -> DataFrame:

@@ -37,23 +37,23 @@ def replace(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequen
 
 def insert_once(
     df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str], *, again: Column,
-    among: DataFrame | None = None, within: Mapping[str, object] | None = None,
+    among: DataFrame | None = None, size: int | None = None, within: Mapping[str, object] | None = None,
 ) -> None:
     """Append a batch that may have been written before.
 
     Rows of an earlier attempt at the batch are those that meet the condition `again` and, where it is given, have
     their key in the small table `among`. Mostly there are none and this is a plain append. Otherwise the
     partitions that hold them are rewritten without them, then the batch is appended. `within` gives leading
-    partition values beyond which no such row can be.
+    partition values beyond which no such row can be. `size` is that of `among`, where it was settled and measured.
     """
-    keys = None if among is None else _Keys(among)
+    keys = None if among is None else _Keys(among, size)
     table = read_or_empty(df.sparkSession, path, schema, within)
     earlier = table.filter(again)
     if keys is not None:
         earlier = keys.semi(earlier)
     if not earlier.isEmpty():
         touched = settled(earlier.select(*partition_by).distinct())
-        kept = _Keys(touched, is_settled=True).semi(table)
+        kept = _Keys(touched, measured_bytes(touched)).semi(table)
         stale = F.coalesce(again, F.lit(False))
         kept = kept.filter(~stale) if keys is None else keys.without(kept, stale)
         _swap(kept, touched, path, schema, partition_by)
@@ -63,12 +63,12 @@ def insert_once(
 class _Keys:
     """A small table of keys, null equal to null, to select rows of a large one without shuffling it."""
 
-    def __init__(self, keys: DataFrame, is_settled: bool = False):
-        self.columns = keys.columns
-        renamed = [F.col(column).alias(f"__{column}") for column in keys.columns]
-        kept = keys if is_settled else settled(keys.distinct())
-        table = kept.select(*renamed).withColumn("__known", F.lit(True))
-        self.table = F.broadcast(table) if measured_bytes(table) <= BROADCAST_BYTES else table
+    def __init__(self, keys: DataFrame, size: int | None = None):
+        if size is None:
+            keys = settled(keys.distinct())
+            size = measured_bytes(keys)
+        table = keys.select(*[F.col(column).alias(f"__{column}") for column in keys.columns])
+        self.table = F.broadcast(table) if size <= BROADCAST_BYTES else table
         self.same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(f"__{column}")) for column in keys.columns])
 
     def semi(self, rows: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def rewrite(
     """Replace partitions by a changed version: one, given by its values, or those of a small table."""
     if isinstance(partitions, DataFrame):
         touched = settled(partitions.select(*partition_by).distinct())
-        rows = _Keys(touched, is_settled=True).semi(read_or_empty(spark, path, schema))
+        rows = _Keys(touched, measured_bytes(touched)).semi(read_or_empty(spark, path, schema))
     else:
         touched = spark.range(1).select(*[F.lit(partitions[column]).alias(column) for column in partition_by])
         rows = read_or_empty(spark, path, schema, partitions)
