@@ -208,7 +208,7 @@ def pulled_slices(spark, sf_dir):
 
 @query(
     """
-select year(o_orderdate) "schoolYear", o_orderstatus, o_orderpriority, count(*) n, max(o_orderkey) newest
+select cast(year(o_orderdate) as integer) "schoolYear", o_orderstatus, o_orderpriority, count(*) n, max(o_orderkey) newest
 from orders where year(o_orderdate)=1997 and o_orderstatus='F' and o_orderkey > 100 group by all"""
 )
 def school_year_filter(spark, sf_dir):
@@ -1026,7 +1026,7 @@ def name_casing(spark, sf_dir):
 
 @query(
     """
-select event_id, to_json(props) props_json, cast(event_id as varchar) id_json, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') moment,
+select event_id, cast(to_json(props) as varchar) props_json, cast(event_id as varchar) id_json, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') moment,
        value num, event_type='click' clicked, cast(user_id as varchar)=cast(event_id as varchar) same from events"""
 )
 def scalar_functions(spark, sf_dir):

@@ -11,6 +11,7 @@ from tidemark.plans.totals import store_total_counts
 from tidemark.schemas import LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS
 from tidemark.sinks import grain
 from tidemark.sources.feed import pull_slices
+from tidemark.sources.tables import read_or_empty
 from tidemark.operators.windows import with_window_status
 
 FEED = "kind string, tenant_code string, api_year int, name string, change_version long, payload string"
@@ -174,14 +175,23 @@ def test_reset_of_a_ledger_that_does_not_exist(spark, folder):
     assert Lake(folder).read_ledger(spark).isEmpty()
 
 
+def test_compact_keeps_the_rows(spark, folder):
+    marks = spark.createDataFrame([("a", None, None, 1, True, False, False, "t", 2024)], LEDGER)
+    for _ in range(4):
+        grain.insert(marks, folder, LEDGER, LEDGER_PARTITIONS)
+    before = read_or_empty(spark, folder, LEDGER)
+    assert len(before.inputFiles()) == 4
+    grain.compact(spark, folder, LEDGER, LEDGER_PARTITIONS, before.select("tenant_code", "api_year"))
+    after = read_or_empty(spark, folder, LEDGER)
+    assert len(after.inputFiles()) == 1 and after.count() == 4
+
+
 def test_tenant_codes_keep_their_text(spark, folder):
     frame = spark.createDataFrame([("n", "007", 2024, "a:b/c"), ("n", "x", 2024, None)], "filename string, tenant_code string, api_year int, name string")
     table = frame.withColumns({"pull_date": F.current_date(), "pull_timestamp": F.current_timestamp(), "file_row_number": F.lit(1),
                                "ods_version": F.lit("1"), "data_model_version": F.lit("1"), "v": F.parse_json(F.lit("{}")), "kind": F.lit("resources")})
     grain.insert(table, folder, RAW, RAW_PARTITIONS)
     lake = Lake(folder)
-    from tidemark.sources.tables import read_or_empty
-
     whole = read_or_empty(spark, folder, RAW)
     assert rows(whole, "tenant_code", "name") == [("007", "a:b/c"), ("x", None)]
     within = {"kind": "resources", "tenant_code": "007", "api_year": 2024, "name": "a:b/c"}

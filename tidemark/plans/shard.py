@@ -34,10 +34,12 @@ def partition_on_tenant_and_year(
     if len(set(stems)) < len(stems):
         raise ValueError("two inputs have the same base name and would overwrite each other")
     targets = [f"{str(output_dir).rstrip('/')}/{stem}" for stem in stems]
-    shards = [
-        shard_rows(_read(spark, path, multiline), tenant_col, tenant_map, year_col, year_map) for path in paths
-    ]
+
+    def read(path: str) -> DataFrame:
+        return shard_rows(_read(spark, path, multiline), tenant_col, tenant_map, year_col, year_map)
+
     with ThreadPoolExecutor(CONCURRENT_FILES) as pool:
+        shards = list(pool.map(read, paths))
         list(pool.map(write_shards, shards, targets))
     return targets
 

@@ -93,6 +93,14 @@ def rewrite(
     _swap(change(rows), touched, path, schema, partition_by)
 
 
+def compact(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str],
+    partitions: Mapping[str, object] | DataFrame,
+) -> None:
+    """Rewrite partitions that many small appends have left in many small files."""
+    rewrite(spark, path, schema, partition_by, partitions, lambda rows: rows)
+
+
 def _swap(rows: DataFrame, touched: DataFrame, path: str, schema, partition_by: Sequence[str]) -> None:
     """Write new versions of the touched partitions, from a copy in reliable storage; emptied ones are cleared."""
     staged = settled(rows)
