@@ -155,6 +155,43 @@ def test_feed_filters_reach_one_tenant_year(spark, folder):
     assert rows(lake.read_raw(spark).select("tenant_code").distinct()) == [("t",)]
 
 
+def test_query_parameters_hold_per_endpoint(spark, folder):
+    lake = Lake(folder)
+    data = [(C.RESOURCES, "t", 2024, name, version, f'{{"id": {version}}}', year, "x") for name, version, year in
+            (("students", 1, 2024), ("students", 2, 2023), ("students", 3, None), ("schools", 4, 2024), ("schools", 5, 2023), ("staffs", 6, 2023))]
+    feed = spark.createDataFrame(data, FEED + ", schoolYear int, unused string")
+    own = E.endpoints_from_config(spark, {"students": {}, "staffs": {}}, tenant_code="t", api_year=2024, multiyear=True)
+    own = own.unionByName(E.endpoints_from_config(spark, {"schools": {}}, tenant_code="t", api_year=2024))
+    out = ingest_incremental(spark, lake, feed, own, run_at="2024-01-01", ods_version="7", data_model_version="5", tenant_code="t", api_year=2024)
+    assert loaded(spark, lake) == [(C.RESOURCES, "schools", 4), (C.RESOURCES, "schools", 5), (C.RESOURCES, "students", 1)]
+    assert rows(out, "name", "expected_rows", "pulled_rows", "outcome") == [("schools", 2, 2, "success"), ("staffs", 0, 0, "skipped"), ("students", 1, 1, "success")]
+
+
+@pytest.mark.parametrize("through_landing", [False, True])
+def test_a_paged_source_in_place_of_a_feed(spark, folder, through_landing):
+    lake = Lake(folder)
+    own = E.endpoints_from_config(
+        spark, {"students": {"page_size": 2, "change_version_step_size": 5, "query_parameters": {"a": "b"}}, "schools": {}}, tenant_code="t", api_year=2024
+    )
+
+    def fetch(piece, offset, size):
+        if piece["name"] == "schools":
+            return []
+        assert piece["query_parameters"] == {"a": "b"} and size == 2
+        low = int(piece["slice_min"]) + offset
+        return [f'{{"id": {version}}}' for version in range(low, min(low + size, int(piece["slice_max"]) + 1))]
+
+    options = dict(ods_version="7", data_model_version="5", through_landing=through_landing)
+    for at, newest in (("2024-01-01", 11), ("2024-01-02", 14)):
+        out = ingest_incremental(
+            spark, lake, None, own, run_at=at, newest=newest, pull=lambda due: pull_slices(due, fetch, partitions=3), **options
+        )
+    assert rows(out, "name", "last_version", "pulled_rows", "outcome") == [("schools", 0, 0, "skipped"), ("students", 11, 3, "success")]
+    assert loaded(spark, lake) == sorted([(C.RESOURCES, "students", i) for i in range(15)], key=repr)
+    with pytest.raises(ValueError):
+        ingest_incremental(spark, lake, None, own, run_at="2024-01-03", **options)
+
+
 def test_total_counts(spark, folder):
     lake = Lake(folder)
     feed = feed_of(spark, (C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2), (C.RESOURCES, "schools", 9))

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.plans.shard import partition_on_tenant_and_year, read_shards, rejected_rows
+from tidemark.plans.shard import partition_on_tenant_and_year, read_shards, rejected_rows, shard_rows
 
 EXPECTED = ["tenant_code=tenant/api_year=1999", "tenant_code=tenant/api_year=2000", "tenant_code=tenant_2/api_year=2000", "tenant_code=tenant_2/api_year=2001"]
 ABSENT = ["tenant_code=tenant/api_year=2001", "tenant_code=tenant_2/api_year=1999"]
@@ -110,3 +110,13 @@ def test_files_written_again_replace_the_old_ones(spark, folder):
     write_csv(f"{folder}/data.csv", "id,tenant_code,api_year", tenants=("x", "y"))
     (target,) = partition_on_tenant_and_year(spark, f"{folder}/data.csv", folder)
     assert rows(read_shards(spark, target).select("tenant_code").distinct()) == [("x",), ("y",)]
+
+
+def test_long_maps_are_joined(spark):
+    data = spark.range(500).select(F.concat(F.lit("k"), F.col("id") % 120).alias("t"), F.lit("00").alias("y"), "id")
+    long_map = {f"k{i}": f"v{i}" for i in range(100)}
+    got = shard_rows(data, "t", long_map, "y", {"00": "2000"})
+    want = data.collect()
+    assert rows(got, "id", "tenant_code", "api_year") == sorted(
+        [(row["id"], long_map.get(row["t"]), "2000") for row in want], key=repr
+    )

@@ -111,6 +111,23 @@ def equality_filter(feed: DataFrame, parameters: Mapping[str, object]) -> DataFr
     return reduce(lambda rows, item: rows.filter(F.col(item[0]) == F.lit(item[1])), parameters.items(), feed)
 
 
+def parameter_keys(endpoints: DataFrame) -> list[str]:
+    """Names of the parameters that some endpoint sets; a few, from the configuration."""
+    if "query_parameters" not in endpoints.columns:
+        return []
+    keys = endpoints.select(F.explode(F.map_keys("query_parameters")).alias("key")).distinct()
+    return sorted(row["key"] for row in keys.collect())
+
+
+def meets_parameters(keys: Sequence[str]) -> Column:
+    """Feed rows that equal every parameter of their endpoint; each key is a column of the feed."""
+    conditions = [
+        F.coalesce(F.col(key).cast("string") == F.col("query_parameters")[key], F.col("query_parameters")[key].isNull())
+        for key in keys
+    ]
+    return reduce(Column.__and__, conditions, F.lit(True))
+
+
 def kinds_to_run(streams: DataFrame, full_refresh: bool) -> DataFrame:
     """A full refresh leaves deletes and key changes out."""
     if not full_refresh:

@@ -29,7 +29,7 @@ def id_match(
     """
     grain_of_run = {"tenant_code": tenant_code, "api_year": api_year, "assessment_name": assessment_name}
     known = lake.read_match_rates(spark, grain_of_run)
-    if known.agg(F.max("match_rate")).first()[0] is not None and not known.filter(R.meets_rate(required)).isEmpty():
+    if not known.filter(R.meets_rate(required)).isEmpty():
         return R.best_config_of(known, tenant_code, api_year, assessment_name, required), True
     people = roster_of(roster, tenant_code, api_year, parameters)
     rates = R.match_rates(source, people, source_columns, roster_columns)

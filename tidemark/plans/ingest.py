@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import constants as C
-from tidemark.operators import marks as M, outcomes as O, windows as W
+from tidemark.operators import endpoints as E, marks as M, outcomes as O, windows as W
 from tidemark.operators.counts import reconcile, row_counts
-from tidemark.operators.endpoints import endpoint_streams, kinds_to_run, requested_endpoints, snake_names
 from tidemark.operators.joins import join_small_side, measured_bytes, settled
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run
@@ -22,6 +21,7 @@ from tidemark.sources.landing import raw_envelope, scan_landing, with_row_number
 from tidemark.sources.tables import ANY, partition_folder, path_exists
 
 STREAM = ["kind", *GRAIN]
+OPTIONS = ["namespace", "page_size", "num_retries", "change_version_step_size", "query_parameters"]
 CONCURRENT_CLEARS = 8
 
 
@@ -44,32 +44,38 @@ def clear_shared(spark: SparkSession, lake: Lake, tenant_years: DataFrame, names
 
 
 def stream_windows(streams: DataFrame, ledger: DataFrame, newest: DataFrame) -> DataFrame:
-    """Window of every stream with its status. `newest` has the newest version of every tenant-year."""
+    """Window of every stream with its status and options. `newest` has the newest version of every tenant-year."""
     with_stream = streams.withColumn("stream", M.stream_of_kind(F.col("kind")))
     marked = M.with_last_version(with_stream, M.prior_marks_by_stream(ledger))
     bounded = W.with_window_status(marked.join(newest, TENANT_YEAR, "left"))
-    return bounded.select(*STREAM, "last_version", "newest_version", "window_status")
+    options = [column for column in OPTIONS if column in streams.columns]
+    return bounded.select(*STREAM, "last_version", "newest_version", "window_status", *options)
 
 
-def with_delta_counts(windows: DataFrame, feed: DataFrame, size: int, *, delta_check: bool = True) -> DataFrame:
-    """Windows with the number of new rows, or with an unknown number when that is not checked."""
-    if not delta_check:
-        return windows.withColumn("n", F.lit(None).cast("bigint"))
-    counts = W.delta_counts(feed, windows, STREAM, size=size).select(*STREAM, "n")
-    return windows.join(counts, STREAM, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+def due_rows(feed: DataFrame, windows: DataFrame, size: int, keys: list[str]) -> DataFrame:
+    """Feed rows in the windows of their streams that meet the streams' parameters."""
+    bounds = windows.select(
+        *STREAM, "last_version", "newest_version", "window_status", *(["query_parameters"] if keys else [])
+    )
+    return W.rows_in_window(feed, bounds, STREAM, size=size).filter(E.meets_parameters(keys))
 
 
 def ingest_incremental(
-    spark: SparkSession, lake: Lake, feed: DataFrame, endpoints: DataFrame, *, run_at: datetime | str,
+    spark: SparkSession, lake: Lake, feed: DataFrame | None, endpoints: DataFrame, *, run_at: datetime | str,
     tenant_code: str | None = None, api_year: int | None = None, full_refresh: bool = False,
     requested: Iterable[str] | None = None, newest: int | None = None, has_change_versions: bool = True,
     delta_check: bool = True, get_key_changes: bool = True, ods_version: str | None = None,
     data_model_version: str | None = None, through_landing: bool = False,
+    pull: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Load what is new in a feed and return one row per stream with what became of it.
 
-    `feed` has the grain, `kind`, `change_version` and `payload` (JSON text). One call takes all tenants and years
-    of `endpoints`, or those given. The newest version of each is fixed at the start, so that a run is consistent.
+    `feed` has the grain, `kind`, `change_version`, `payload` (JSON text) and a column for each query parameter of the
+    endpoints. One call takes all tenants and years of `endpoints`, or those given. The newest version of each is fixed
+    at the start, so that a run is consistent.
+
+    A source that is no table is given as `pull` in place of the feed: a function from due windows, with the options of
+    their endpoints, to rows of `kind`, the grain and `payload`; `newest` must then be given.
 
     Data are written before marks, and marks only for what was loaded: a run that breaks off is pulled again, and a
     run repeated with the same `run_at` replaces its own rows. `through_landing` keeps the pulled rows as JSON lines
@@ -79,16 +85,19 @@ def ingest_incremental(
     moment = run_moment(run_at)
     replacing = full_refresh or not has_change_versions
     scope = M.in_grain(tenant_code, api_year)
-    own_feed, own = feed.filter(scope), endpoints.filter(scope)
+    own = endpoints.filter(scope)
+    own_feed = None if feed is None else feed.filter(scope)
+    if own_feed is None and (pull is None or (has_change_versions and newest is None)):
+        raise ValueError("without a feed, `pull` and `newest` must be given")
     one = None if tenant_code is None or api_year is None else {"tenant_code": tenant_code, "api_year": api_year}
     raw_folder = None if one is None else {"kind": ANY, **one}
 
-    streams = kinds_to_run(endpoint_streams(own, get_key_changes=get_key_changes), full_refresh)
+    streams = E.kinds_to_run(E.endpoint_streams(own, get_key_changes=get_key_changes), full_refresh)
     names = None
     if wanted := list(requested or []):
-        asked = snake_names(spark, wanted)
+        asked = E.snake_names(spark, wanted)
         names = [row["name"] for row in asked.collect()]
-        streams = requested_endpoints(streams, asked)
+        streams = E.requested_endpoints(streams, asked)
     if full_refresh:
         tenant_years = settled(own.select(*TENANT_YEAR).distinct())
         reset_ledger(spark, lake, tenant_years, names)
@@ -97,9 +106,15 @@ def ingest_incremental(
     versions = _newest(own_feed, own, newest, has_change_versions)
     windows = settled(stream_windows(streams, lake.read_ledger(spark, one), versions))
     size = measured_bytes(windows)
-    windows = settled(with_delta_counts(windows, own_feed, size, delta_check=delta_check))
+    keys = E.parameter_keys(windows)
+    if own_feed is None or not delta_check:
+        windows = windows.withColumn("n", F.lit(None).cast("bigint"))
+    else:
+        versions_only = own_feed.select(*STREAM, "change_version", *keys)
+        counts = row_counts(due_rows(versions_only, windows, size, keys), STREAM)
+        windows = settled(windows.join(counts, STREAM, "left").withColumn("n", F.coalesce("n", F.lit(0))))
     due = windows.filter(F.col("window_status").isin(W.VALID, W.UNBOUNDED) & F.coalesce(F.col("n") > 0, F.lit(True)))
-    pulled = W.rows_in_window(own_feed, due.drop("n"), STREAM, size=size)
+    pulled = due_rows(own_feed, due, size, keys) if pull is None else pull(due)
 
     if through_landing:
         lines = _through_landing(spark, lake, pulled, one, moment, ods, model)
@@ -112,8 +127,8 @@ def ingest_incremental(
         store_raw_run(rows, lake, run_at=moment, streams=due.select(*STREAM), size=size, within=raw_folder)
 
     of_run = lake.read_raw(spark, raw_folder).filter(F.col("pull_timestamp") == moment)
-    counts = row_counts(of_run, STREAM, "pulled_rows")
-    landed = settled(_of_streams(counts, due, size, salt_on=["pulled_rows"]))
+    loaded = row_counts(of_run, STREAM, "pulled_rows")
+    landed = settled(_of_streams(loaded, due, size, salt_on=["pulled_rows"]))
     if has_change_versions:
         marked = O.succeeded(due, landed, STREAM).select(
             *STREAM, F.col("newest_version").alias("max_version"), moment.cast("date").alias("pull_date"),

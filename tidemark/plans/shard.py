@@ -10,10 +10,12 @@ from posixpath import basename
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.joins import join_small_side
 from tidemark.sources.csvs import read_text_columns
 
 TENANT, YEAR = "tenant_code", "api_year"
 CONCURRENT_FILES = 4
+LITERAL_ENTRIES = 50
 
 
 def partition_on_tenant_and_year(
@@ -75,11 +77,20 @@ def shard_rows(
 
 
 def _mapped(rows: DataFrame, column: str, mapping: Mapping[str, str] | None) -> DataFrame:
-    """Values replaced through a map; the map is a small literal inside the plan, so nothing is shuffled."""
+    """Values replaced through a map, null where it has none.
+
+    A short map is part of the plan. A long one is joined, as a lookup in it would be a search for every row.
+    """
     if mapping is None:
         return rows
-    literal = F.create_map(*[F.lit(str(part)) for pair in mapping.items() for part in pair])
-    return rows.withColumn(column, literal[F.col(column)])
+    if len(mapping) <= LITERAL_ENTRIES:
+        literal = F.create_map(*[F.lit(str(part)) for pair in mapping.items() for part in pair])
+        return rows.withColumn(column, literal[F.col(column)])
+    pairs = [(str(key), str(value)) for key, value in mapping.items()]
+    table = rows.sparkSession.createDataFrame(pairs, f"{column} string, __mapped string")
+    size = sum(len(key) + len(value) for key, value in pairs)
+    joined = join_small_side(rows, table, [column], "left", salt_on=rows.columns, size=size)
+    return joined.withColumn(column, F.col("__mapped")).drop("__mapped")
 
 
 def write_shards(rows: DataFrame, target: str) -> None:

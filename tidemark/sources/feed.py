@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.constants import DEFAULT_NUM_RETRIES, DEFAULT_PAGE_SIZE
 from tidemark.operators.endpoints import equality_filter
 from tidemark.operators.windows import window_slices
 
@@ -33,50 +35,52 @@ def roster_of(roster: DataFrame, tenant_code: str, api_year: int, parameters: Ma
 
 
 def pull_slices(
-    windows: DataFrame, fetch: Callable[[dict, int, int], list[str]], *, partitions: int, num_retries: int = 5,
-    reverse: bool = True,
+    windows: DataFrame, fetch: Callable[[dict, int, int], list[str]], *, partitions: int, reverse: bool = True
 ) -> DataFrame:
     """Records of a paged source, one slice of a window at a time, slices spread over the executors.
 
-    `fetch(slice, offset, page_size)` returns one page of JSON texts, an empty one past the end; it runs inside
-    the tasks. A page that fails is tried again. Windows come from `with_window_status` joined to the endpoints'
-    options; those without both bounds are one slice. With `reverse` the last slices go first, as rows that
-    change while they are read move to the end.
+    `windows` has the grain, the bounds, and the options of the endpoints. `fetch(slice, offset, page_size)` returns
+    one page of JSON texts, an empty one past the end; it runs inside the tasks. A page that fails is tried again.
+    A window without both bounds is one slice. With `reverse` the last slices go first, as rows that change while
+    they are read move to the end.
     """
-    keys = [column for column in ("tenant_code", "api_year", "kind", "name", "namespace") if column in windows.columns]
-    columns = [*keys, "slice", "slice_min", "slice_max", "page_size"]
+    keys = [column for column in ("kind", "tenant_code", "api_year", "name") if column in windows.columns]
+    options = [column for column in ("namespace", "page_size", "num_retries") if column in windows.columns]
+    parameters = ["query_parameters"] if "query_parameters" in windows.columns else []
+    slices = window_slices(windows).select(
+        *keys, *options, "slice", "slice_min", "slice_max", *[F.to_json(column).alias(column) for column in parameters]
+    )
     order = F.desc("slice") if reverse else F.asc("slice")
-    slices = window_slices(windows).select(*columns)
     spread = slices.repartition(partitions, *keys, "slice").sortWithinPartitions(*keys, order)
     out = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in spread.schema if field.name in keys)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for piece in batch.astype(object).where(batch.notna(), None).to_dict("records"):
-                for page in _pages(fetch, piece, num_retries):
+                if parameters:
+                    piece["query_parameters"] = json.loads(piece["query_parameters"] or "{}")
+                for page in _pages(fetch, piece):
                     yield pd.DataFrame({**{key: piece[key] for key in keys}, "payload": page})
 
     return spread.mapInPandas(read, f"{out}, payload string")
 
 
-def _pages(fetch, piece: dict, num_retries: int) -> Iterator[list[str]]:
-    size, offset = int(piece["page_size"]), 0
-    while True:
-        page = _attempt(fetch, piece, offset, size, num_retries)
+def _pages(fetch, piece: dict) -> Iterator[list[str]]:
+    size = int(piece.get("page_size") or DEFAULT_PAGE_SIZE)
+    tries = int(DEFAULT_NUM_RETRIES if piece.get("num_retries") is None else piece["num_retries"])
+    offset, page = 0, None
+    while page is None or len(page) == size:
+        page = _attempt(fetch, piece, offset, size, tries)
         if page:
             yield page
-        if len(page) < size:
-            return
         offset += len(page)
 
 
-def _attempt(fetch, piece: dict, offset: int, size: int, num_retries: int) -> list[str]:
-    for left in range(num_retries, -1, -1):
+def _attempt(fetch, piece: dict, offset: int, size: int, tries: int) -> list[str]:
+    while True:
         try:
             return fetch(piece, offset, size)
         except Exception:
-            if not left:
+            if tries == 0:
                 raise
-    return []
-
-
+            tries -= 1
