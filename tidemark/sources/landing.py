@@ -41,13 +41,14 @@ def with_row_numbers(lines: DataFrame) -> DataFrame:
 
     Lines are numbered inside each block of a file and moved by the lines of the blocks before it. A block is
     never longer than a read split, so a huge file is numbered by many tasks. The offset of a block depends only
-    on where it starts; a block without one stops the query instead of numbering wrongly.
+    on where it starts; a block without one stops the query instead of numbering wrongly. What the path tells is
+    read once per block and kept in `origin`, so that `raw_envelope` need not read it for every line.
     """
     block = ["file_path", "block_start"]
     before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         lines.groupBy(*block).agg(F.count(F.lit(1)).alias("__lines"))
-        .select(*block, F.coalesce(F.sum("__lines").over(before), F.lit(0)).alias("__offset"))
+        .select(*block, F.coalesce(F.sum("__lines").over(before), F.lit(0)).alias("__offset"), _origin().alias("origin"))
     )
     inside = F.row_number().over(Window.partitionBy(*block).orderBy("__order"))
     numbered = lines.withColumn("__order", F.monotonically_increasing_id()).withColumn("__inside", inside)
@@ -56,6 +57,12 @@ def with_row_numbers(lines: DataFrame) -> DataFrame:
     return numbered.join(offsets, block, "left").withColumn("file_row_number", number).drop("__order", "__inside", "__offset")
 
 
+def _origin() -> Column:
+    path = decoded_path(F.col("file_path"))
+    parts = {"filename": path, **landing_lineage(path)}
+    return F.struct(*[column.alias(name) for name, column in parts.items()])
+
+
 def raw_envelope(
     lines: DataFrame, *, ods_version: str | Column, data_model_version: str | Column,
     tenant_code: str | None = None, api_year: int | None = None, kind: str | None = None, name: str | None = None,
@@ -69,8 +76,9 @@ def raw_envelope(
     """
     if lineage not in ("path", "load_time") or on_bad_line not in ("fail", "null"):
         raise ValueError(f"unknown option: lineage={lineage!r}, on_bad_line={on_bad_line!r}")
-    path = decoded_path(F.col("file_path"))
-    origin = landing_lineage(path)
+    if "origin" not in lines.columns:
+        lines = lines.withColumn("origin", _origin())
+    origin = {name: F.col("origin")[name] for name in lines.schema["origin"].dataType.names}
     if lineage == "load_time":
         origin |= {"pull_date": F.current_date(), "pull_timestamp": F.current_timestamp()}
     given = {"tenant_code": tenant_code, "api_year": api_year, "kind": kind, "name": name}
@@ -80,7 +88,6 @@ def raw_envelope(
     columns = {
         **origin,
         "file_row_number": number,
-        "filename": path,
         "ods_version": _column(ods_version),
         "data_model_version": _column(data_model_version),
         "v": parse(F.col("value")),
