@@ -6,13 +6,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.plans.lake import Lake
-from tidemark.plans.load import load_raw, resolve_versions
+from tidemark.plans.load import load_raw, resolve_versions, store_raw
 from tidemark.plans.sideload import sideload
 from tidemark.sinks.jsonl import write_json_lines
 from tidemark.sources.landing import raw_envelope, scan_landing, scan_variant, with_row_numbers
 from tidemark.sources.manifest import file_fingerprints, file_manifest, with_folder
 from tidemark.sources.mappings import mapping_from_json, read_mapping
-from tidemark.streaming.landing import ingest_landing
+from tidemark.streaming.landing import ingest_landing, refresh_landing
 
 VERSIONS = dict(ods_version="7.1", data_model_version="5.0")
 
@@ -128,8 +128,6 @@ def test_stream_batch_written_before_a_crash_is_not_doubled(spark, folder):
     put(folder, f"{base}/students.jsonl", {"id": 1}, {"id": 2})
     put(folder, f"{base}/a-b.jsonl", {"id": 3})
     left_over = raw_envelope(scan_landing(spark, folder + "/in"), **VERSIONS)
-    from tidemark.plans.load import store_raw
-
     store_raw(left_over, lake, full_refresh=False)
     put(folder, "other/t/2024/20231201/20231201T000000/resources/students.jsonl", {"id": 0})
     store_raw(raw_envelope(scan_landing(spark, folder + "/other"), **VERSIONS), lake, full_refresh=False)
@@ -139,6 +137,19 @@ def test_stream_batch_written_before_a_crash_is_not_doubled(spark, folder):
     ]
 
 
+def test_stream_full_refresh(spark, folder):
+    lake = Lake(folder + "/lake")
+    options = dict(kind="resources", tenant_code="t", api_year=2024, **VERSIONS)
+    put(folder, "in/t/2024/20240101/20240101T000000/resources/students.jsonl", {"id": 1})
+    for _ in range(2):
+        ingest_landing(spark, lake, folder + "/in", folder + "/first", **options)
+    put(folder, "in/t/2024/20240102/20240102T000000/resources/students.jsonl", {"id": 2})
+    refresh_landing(spark, lake, folder + "/in", folder + "/second", **options)
+    assert rows(lake.read_raw(spark), F.col("v").cast("string")) == [('{"id":1}',), ('{"id":2}',)]
+    with pytest.raises(ValueError):
+        refresh_landing(spark, lake, folder + "/in", folder + "/second", **options)
+
+
 def test_sideload(spark, folder):
     lake = Lake(folder + "/lake")
     base = "in/t/2024/20240101/20240101T000000/x"

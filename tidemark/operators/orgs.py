@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.constants import CONNECTION_PREFIX, FAIL_ON, LEA_TYPE, ORG_STATUSES
 from tidemark.functions import same_text
-from tidemark.operators.joins import join_small_side
+from tidemark.operators.joins import join_small_side, settled
 from tidemark.operators.outcomes import fail_when, status_in
 
 RESULT = [
@@ -160,7 +160,7 @@ def validate_tenant_orgs(
 def multi_org_tenants(results: DataFrame) -> DataFrame:
     """Tenants seen with more than one organisation, one row per tenant and organisation."""
     compared = results.filter(F.col("actual_org_id").isNotNull() & status_in(["MATCH", "MISMATCH"]))
-    pairs = compared.select("tenant", F.col("actual_org_id").alias("org_id")).distinct()
+    pairs = settled(compared.select("tenant", F.col("actual_org_id").alias("org_id")).distinct())
     several = pairs.groupBy("tenant").agg(F.count(F.lit(1)).alias("n_orgs")).filter("n_orgs > 1")
     return pairs.join(several, "tenant")
 
