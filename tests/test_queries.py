@@ -20,7 +20,7 @@ def test_query_equals_oracle(spark, sf_dir, connection, name):
 
 
 def test_entry_points(spark):
-    assert entry_points.queries().keys() >= entry_points.oracle_sql().keys() == ORACLE.keys()
+    assert entry_points.queries().keys() >= entry_points.oracle_sql().keys() >= ORACLE.keys()
     frame = entry_points.entry(spark)
     assert frame.columns == ["tenant_code", "api_year", "name", "last_version", "newest_version", "n"]
     assert not frame.isEmpty()
