@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules
+from tidemark.llm import compression_quality, quality_rules
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_compression_quality(spark, sf_dir):
+    return compression_quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query()
 def op5_quality_rules(spark, sf_dir):
     out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
