@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, quality_rules
+from tidemark.llm import compression_quality, quality_rules, simhash_anchors
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,8 @@ def op5_quality_rules(spark, sf_dir):
     out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return out.select(*first, "rule")
+
+
+@query()
+def op10_simhash_anchors(spark, sf_dir):
+    return simhash_anchors.near_duplicates(read(spark, sf_dir, "documents"))
