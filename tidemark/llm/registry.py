@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, containment, quality_rules, simhash_anchors
+from tidemark.llm import compression_quality, containment, quality_rules, secret_scan, simhash_anchors
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op6_containment(spark, sf_dir):
     return containment.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op9_secret_scan(spark, sf_dir):
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_simhash_anchors(spark, sf_dir):
     return simhash_anchors.near_duplicates(read(spark, sf_dir, "documents"))
