@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, containment, quality_rules, secret_scan, simhash_anchors
+from tidemark.llm import compression_quality, containment, mixing, quality_rules, secret_scan, simhash_anchors
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,14 @@ def op6_containment(spark, sf_dir):
     return containment.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+MIX = {"share": 0.6, "epochs": 3, "seed": 7}
+
+
+@query(mixing.oracle(**MIX))
+def op8_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"), mixing.domain_tree(), **MIX)
+
+
 @query()
 def op9_secret_scan(spark, sf_dir):
     return secret_scan.scan(read(spark, sf_dir, "documents"))
