@@ -25,12 +25,13 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # settled first: Spark splits a node with very many edges only where both sides of a join come from an exchange
+        least = settled(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         # every larger neighbour moves to the least one
         large = edges.select(F.col("b").alias("a"), F.col("a").alias("far")).join(least, "a").select(F.col("far").alias("a"), F.col("m").alias("b")).distinct()
         large = settled(large)
         # every node, and its smaller neighbours, move to the least of these
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = settled(large.groupBy("a").agg(F.min("b").alias("m")))
         moved = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         small = settled(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         before, state = state, _state(small)
