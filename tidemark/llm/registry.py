@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, containment, mixing, quality_rules, secret_scan, simhash_anchors
+from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, secret_scan, simhash_anchors
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op1_compression_quality(spark, sf_dir):
     return compression_quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query()
+def op3_license_diagonals(spark, sf_dir):
+    return license_diagonals.scan(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_quality_rules(spark, sf_dir):
     out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
