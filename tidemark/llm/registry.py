@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, secret_scan, simhash_anchors
+from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, secret_scan, simhash_anchors, token_counts
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def op1_compression_quality(spark, sf_dir):
     return compression_quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query()
+def op2_token_counts(spark, sf_dir):
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
 @query()
 def op3_license_diagonals(spark, sf_dir):
     return license_diagonals.scan(read(spark, sf_dir, "documents"))
