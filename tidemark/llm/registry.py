@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, secret_scan, simhash_anchors, token_counts
+from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, secret_scan, simhash_anchors, token_counts, toxicity_crf
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op3_license_diagonals(spark, sf_dir):
     return license_diagonals.scan(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_toxicity_crf(spark, sf_dir):
+    return toxicity_crf.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query()
 def op5_quality_rules(spark, sf_dir):
     out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
