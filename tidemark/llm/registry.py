@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, secret_scan, simhash_anchors, token_counts, toxicity_crf
+from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, recurrent_lm, secret_scan, simhash_anchors, token_counts, toxicity_crf
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op6_containment(spark, sf_dir):
     return containment.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op7_recurrent_lm(spark, sf_dir):
+    return recurrent_lm.score(read(spark, sf_dir, "documents"))
+
+
 MIX = {"share": 0.6, "epochs": 3, "seed": 7}
 
 
