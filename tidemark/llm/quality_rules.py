@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.common import label_sample, slices, utf8
 
@@ -104,7 +105,7 @@ def statistics(texts: list[bytes]) -> list[np.ndarray]:
     ]
 
 
-@arrow_udf("struct<" + ",".join(f"{s}:bigint" for s in STATS) + ">")
+@arrow_udf(StructType([StructField(s, LongType()) for s in STATS]))
 def _statistics(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         parts = [statistics(texts) for texts in slices(batch)]

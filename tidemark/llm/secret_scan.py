@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from tidemark.llm.common import slices, text_key, utf8
 from tidemark.operators.joins import settled
@@ -36,7 +37,8 @@ LEAST_BARE, LEAST_ENTROPY = 20, 2.5
 MAX_OWNERS = 3
 MASK = "[SECRET]"
 
-_CANDIDATE = "struct<rank:int,start:int,end:int,value_start:int,value_end:int,hash:string,random:boolean>"
+_PLACES = ("rank", "start", "end", "value_start", "value_end")
+_CANDIDATE = StructType([*(StructField(n, IntegerType()) for n in _PLACES), StructField("hash", StringType()), StructField("random", BooleanType())])
 
 
 def looks_random(value: str) -> bool:
@@ -64,13 +66,12 @@ def candidates(text: str) -> list[tuple[int, int, int, int, int, str, bool]]:
     return [(*f[:5], hashlib.sha256(f[5].encode()).hexdigest(), f[0] == 1 or looks_random(f[5])) for f in found]
 
 
-@arrow_udf(f"array<{_CANDIDATE}>")
+@arrow_udf(ArrayType(_CANDIDATE))
 def _candidates(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    names = ("rank", "start", "end", "value_start", "value_end")
-    kind = pa.list_(pa.struct([*((n, pa.int32()) for n in names), ("hash", pa.string()), ("random", pa.bool_())]))
+    kind = pa.list_(pa.struct([*((n, pa.int32()) for n in _PLACES), ("hash", pa.string()), ("random", pa.bool_())]))
     for batch in batches:
         rows = [candidates(t.decode("utf-8", "replace")) for texts in slices(batch) for t in texts]
-        yield pa.array([[dict(zip((*names, "hash", "random"), c)) for c in row] for row in rows], kind)
+        yield pa.array([[dict(zip((*_PLACES, "hash", "random"), c)) for c in row] for row in rows], kind)
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def scan(docs: DataFrame, *, owner: Column | None = None, repository: Column | N
     )
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def _masked(text: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
     for raw, found in zip(text.to_pylist(), spans.to_pylist()):

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType
 
 from tidemark.llm.common import slices, text_key, utf8
 from tidemark.llm.components import components
@@ -67,7 +68,7 @@ def fingerprints(texts: list[bytes], width: int = SHINGLE) -> np.ndarray:
     return out
 
 
-@arrow_udf("bigint")
+@arrow_udf(LongType())
 def _fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         parts = [fingerprints(texts) for texts in slices(batch)]

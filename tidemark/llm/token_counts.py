@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.llm.common import slices, utf8
 from tidemark.operators.joins import settled
@@ -32,7 +32,7 @@ from tidemark.sources.tables import read_or_empty
 
 #: Stretches whose counts a task remembers.
 REMEMBERED = 500_000
-CACHE = StructType.fromDDL("tokenizer string, digest string, n_tokens long")
+CACHE = StructType([StructField("digest", StringType()), StructField("n_tokens", LongType()), StructField("tokenizer", StringType())])
 
 #: What is not left to stretches: white space before a space, and characters that libraries may see differently.
 _WHOLE = re.compile("\\s |[\x00\x1c-\x1f\x85]")
