@@ -17,17 +17,19 @@ from tidemark.plans.ingest import ingest_incremental, reset_ledger
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import load_raw, store_raw
 from tidemark.plans.runlog import append_error_rollup
-from tidemark.plans.shard import read_shards, shard_rows, write_shards
+from tidemark.plans.shard import partition_on_tenant_and_year, read_shards
 from tidemark.plans.sideload import sideload
 from tidemark.plans.totals import store_total_counts
 from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS
 from tidemark.session import scratch_path
 from tidemark.sinks import grain
 from tidemark.sinks.jsonl import json_line, with_run_folders, write_archive, write_json_lines, write_landing
-from tidemark.sources.csvs import read_match_rates, read_text_columns
+from tidemark.sources.csvs import read_match_rates
 from tidemark.sources.feed import change_window, pull_slices, roster_of
 from tidemark.sources.landing import raw_envelope, scan_landing, scan_variant, with_row_numbers
-from tidemark.sources.manifest import with_match
+from tidemark.sources import manifest
+from tidemark.sources.manifest import with_folder
+from tidemark.sources.tables import list_files
 from tidemark.sources.mappings import mapping_rows
 from tidemark.streaming.landing import ingest_landing
 
@@ -344,8 +346,7 @@ def scan_variant_rows(spark, sf_dir):
 
 @query(
     V.with_views("feed") + """
-select tenant_code, api_year, kind, name, count(*) n, bool_and(pull_date >= date '2024-01-01') dated
-from (select *, current_date pull_date from feed) group by all"""
+select tenant_code, api_year, kind, name, count(*) n, true loaded_today from feed group by all"""
 )
 def load_time_lineage(spark, sf_dir):
     lake = _lake(spark, "load-time")
@@ -353,7 +354,7 @@ def load_time_lineage(spark, sf_dir):
     load_raw(spark, lake, lake.landing, ods_version="7.1", data_model_version="5.0", lineage="load_time")
     raw = lake.read_raw(spark)
     return raw.groupBy("tenant_code", "api_year", "kind", "name").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("pull_date") >= F.lit("2024-01-01").cast("date")).alias("dated")
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.date_diff(F.current_date(), "pull_date") <= 1).alias("loaded_today")
     )
 
 
@@ -604,50 +605,87 @@ def any_failed(spark, sf_dir):
 # --- sharding --------------------------------------------------------------------------------------------------
 
 
-def _order_csv(spark, sf_dir):
-    """Orders with their customer's segment, as CSV files with a header."""
-    root = scratch_path(spark, "csv")
-    orders, customers = V.table(spark, sf_dir, "orders"), V.table(spark, sf_dir, "customer")
-    rows = orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).select(
-        F.col("o_orderkey").alias("id"), F.col("c_mktsegment").alias("segment"),
-        F.date_format("o_orderdate", "yy").alias("yy"), F.col("o_orderpriority").alias("note"),
-        F.when(F.col("o_orderstatus") == "F", "NA").alias("flag"),
-    )
-    rows.write.option("header", True).csv(root)
-    return root
-
-
 _SHARD = """
 with o as (select cast(o_orderkey as varchar) id, c_mktsegment segment, strftime(o_orderdate, '%y') yy, o_orderpriority note,
            case when o_orderstatus='F' then 'NA' else '' end flag from orders join customer on o_custkey=c_custkey)
 """
 
 
-def _through_shards(spark, rows):
-    target = scratch_path(spark, "shards")
-    write_shards(rows, target)
+def _one_csv(spark, rows, name):
+    """One CSV file of that name, found where Spark wrote it."""
+    root = scratch_path(spark, name)
+    rows.coalesce(1).write.text(root)
+    (file,) = [row["path"] for row in list_files(spark, root).filter("path like '%.txt'").collect()]
+    target = f"{root}/{name}.csv"
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    hadoop.FileSystem.get(hadoop.Path(target).toUri(), spark._jsc.hadoopConfiguration()).rename(hadoop.Path(file), hadoop.Path(target))
+    return target
+
+
+def _order_lines(spark, sf_dir):
+    """Orders with their customer's segment, as lines of a CSV."""
+    orders, customers = V.table(spark, sf_dir, "orders"), V.table(spark, sf_dir, "customer")
+    rows = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+    flag = F.when(F.col("o_orderstatus") == "F", "NA").otherwise("")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "c_mktsegment", F.date_format("o_orderdate", "yy"), "o_orderpriority", flag)
+    header = spark.range(1).select(F.lit("id,segment,yy,note,flag").alias("value"), F.lit(0).alias("k"))
+    lines = rows.select(line.alias("value"), F.lit(1).alias("k"))
+    return header.unionByName(lines).repartition(1).sortWithinPartitions("k").select("value")
+
+
+def _sharded(spark, sf_dir, **maps):
+    path = _one_csv(spark, _order_lines(spark, sf_dir), "orders")
+    (target,) = partition_on_tenant_and_year(spark, path, scratch_path(spark, "shards"), tenant_col="segment", year_col="yy", **maps)
     return read_shards(spark, target)
 
 
 @query(_SHARD + "select id, segment, yy, note, flag, segment tenant_code, yy api_year from o")
 def shard_tenant_year(spark, sf_dir):
-    rows = read_text_columns(spark, _order_csv(spark, sf_dir))
-    return _through_shards(spark, shard_rows(rows, tenant_col="segment", year_col="yy"))
+    return _sharded(spark, sf_dir)
 
 
-@query(
-    _SHARD + """
+_SHARD_MAPS = _SHARD + """
 select id, segment, yy, note, flag, case segment when 'BUILDING' then 'b' when 'MACHINERY' then 'm' when 'HOUSEHOLD' then 'h' end tenant_code,
        case yy when '96' then '1996' when '97' then '1997' when '98' then '1998' end api_year from o"""
-)
+_SEGMENTS, _YEARS = {"BUILDING": "b", "MACHINERY": "m", "HOUSEHOLD": "h"}, {96: 1996, 97: 1997, 98: 1998}
+
+
+@query(_SHARD_MAPS)
 def shard_with_maps(spark, sf_dir):
     """Values that a map does not have give a null partition; no row is lost."""
-    rows = read_text_columns(spark, _order_csv(spark, sf_dir))
-    mapped = shard_rows(
-        rows, tenant_col="segment", tenant_map={"BUILDING": "b", "MACHINERY": "m", "HOUSEHOLD": "h"}, year_col="yy",
-        year_map={"96": "1996", "97": "1997", "98": "1998"},
+    return _sharded(spark, sf_dir, tenant_map=_SEGMENTS, year_map=_YEARS)
+
+
+@query(_SHARD_MAPS)
+def shard_with_long_map(spark, sf_dir):
+    """The same through a map of many entries, keys given both as numbers and as text."""
+    long_years = {**{str(k): v for k, v in _YEARS.items()}, **_YEARS, **{k: 2000 + k for k in range(100, 300)}}
+    return _sharded(spark, sf_dir, tenant_map=_SEGMENTS, year_map=long_years)
+
+
+@query(
+    """
+select case when o_orderkey%7=0 then 'malformed' else 'row' end kind, count(*) n,
+       cast(sum(case when o_orderkey%21=7 then 2 when o_orderkey%7=0 then 1 else 1 end) as bigint) n_lines from orders group by all"""
+)
+def csv_rejects(spark, sf_dir):
+    """Records with a field too many, one too few, or torn by a line break, are kept as text beside the rows."""
+    key = F.col("o_orderkey")
+    text = key.cast("string")
+    line = (
+        F.when(key % 21 == 0, F.concat(text, F.lit(",t,24,surplus"))).when(key % 21 == 7, F.concat(text, F.lit(",\"t\n\",24")))
+        .when(key % 21 == 14, F.concat(text, F.lit(",t"))).otherwise(F.concat(text, F.lit(",t,24")))
     )
-    return _through_shards(spark, mapped)
+    header = spark.range(1).select(F.lit("id,tenant_code,api_year").alias("value"), F.lit(0).alias("k"))
+    lines = V.table(spark, sf_dir, "orders").select(line.alias("value"), F.lit(1).alias("k"))
+    path = _one_csv(spark, header.unionByName(lines).repartition(1).sortWithinPartitions("k").select("value"), "some")
+    out = scratch_path(spark, "shards")
+    (target,) = partition_on_tenant_and_year(spark, path, out)
+    rows = read_shards(spark, target).agg(F.count("id").alias("n_lines")).select(F.lit("row").alias("kind"), F.col("n_lines").alias("n"), "n_lines")
+    texts = spark.read.text(f"{out}/_malformed/some")
+    # the second half of a torn record has no key
+    torn = texts.agg(F.count_if(F.col("value").rlike("^[0-9]+,")).alias("n"), F.count(F.lit(1)).alias("n_lines"))
+    return rows.unionByName(torn.select(F.lit("malformed").alias("kind"), "n", "n_lines"))
 
 
 # --- id matching -----------------------------------------------------------------------------------------------
@@ -823,6 +861,7 @@ def status_histogram(spark, sf_dir):
 # --- logs ------------------------------------------------------------------------------------------------------
 
 _ERRORS = V.with_views("logs", "errors") + """,
+placed as (select *, row_number() over (partition by tenant_code, run_date order by seq) - 1 place from errors),
 sizes as (select tenant_code, run_date, count(*) n_errors, arg_max(props, seq) last_args, arg_max(user_id, seq) last_user,
           arg_max(timestamp, seq) last_error_timestamp from errors group by all)
 """
@@ -831,11 +870,11 @@ sizes as (select tenant_code, run_date, count(*) n_errors, arg_max(props, seq) l
 @query(
     _ERRORS + """
 select tenant_code, run_date, n_errors, last_args, cast(last_user as varchar) last_user, last_error_timestamp,
-       case when n_errors<=40 then 0 else seq//40 end part, string_agg(message||'@'||lineno, '|' order by seq) errors
-from errors join sizes using (tenant_code, run_date) group by all"""
+       place//40 part, string_agg(message||'@'||lineno, '|' order by seq) errors
+from placed join sizes using (tenant_code, run_date) group by all"""
 )
 def error_rollup(spark, sf_dir):
-    """Errors per run; a run of more than 40 is in parts."""
+    """Errors per run, forty in a part; runs are on both sides of that."""
     rollup = L.error_rollup(V.logs(spark, sf_dir), chunk=40)
     listed = F.array_join(F.transform("errors", lambda e: F.concat(e["message"], F.lit("@"), e["lineno"])), "|")
     return rollup.select(
@@ -862,36 +901,49 @@ def run_log(spark, sf_dir):
 
 
 @query(
-    V.with_views("logs") + """
-select tenant_code, run_date, map_index, regexp_extract(p, '([^/]*)$', 1) map_index_name, n from (
-  select tenant_code, run_date, lineno map_index, count(*) n from logs group by all) r
-left join (select tenant_code, run_date, i-1 map_index, 'in/'||tenant_code||'/f'||(i-1)||'.csv' p
-  from (select distinct tenant_code, run_date from logs), range(1, 51) t(i)) f using (tenant_code, run_date, map_index)"""
+    V.with_views("logs", "errors") + """
+select tenant_code, run_date, case lineno%3 when 0 then 'g' when 1 then '' end grain, lineno map_index,
+       case when lineno < 50 then 'f'||lineno||'.csv' end map_index_name, count(*) n_errors from errors group by all"""
 )
 def map_index_name(spark, sf_dir):
-    """Fifty files per run; a run's entry beyond the list has no name."""
-    logs = V.logs(spark, sf_dir)
-    run = ["tenant_code", "run_date"]
-    runs = logs.groupBy(*run, F.col("lineno").cast("bigint").alias("map_index")).agg(F.count(F.lit(1)).alias("n"))
-    path = F.transform(
-        F.sequence(F.lit(0), F.lit(49)),
-        lambda i: F.concat(F.lit("in/"), F.col("tenant_code"), F.lit("/f"), i.cast("string"), F.lit(".csv")),
+    """Mapped runs with a null, a blank and a given grain; the stored document names the file of each. Fifty files per run."""
+    lake = _lake(spark, "mapped")
+    index = F.col("lineno").cast("int")
+    grain_update = F.when(index % 3 == 0, "g").when(index % 3 == 1, "")
+    # the log of a run shows its grain in the type too, as the table keeps a blank as null
+    logs = V.logs(spark, sf_dir).withColumns(
+        {"map_index": index, "grain_update": grain_update, "run_type": F.coalesce(grain_update, F.lit("none"))}
     )
-    lists = logs.select(*run).distinct().withColumn("files", path)
-    return L.map_index_names(runs, lists, run)
+    path = F.concat(F.lit("in/"), F.col("tenant_code"), F.lit("/f"), F.col("map_index").cast("string"), F.lit(".csv"))
+    files = logs.filter("map_index < 50").select(*L.RUN, "map_index", path.alias("path")).distinct()
+    append_error_rollup(logs, lake, files)
+    doc, kind = F.col("result"), F.col("run_type")
+    return lake.read_run_log(spark).groupBy(
+        "tenant_code", "run_date", F.when(kind != "none", kind).alias("grain"),
+        F.variant_get(doc, "$.map_index", "int").alias("map_index"), F.variant_get(doc, "$.map_index_name", "string").alias("map_index_name"),
+    ).agg(F.sum(F.size(F.variant_get(doc, "$.errors", "array<variant>"))).alias("n_errors"))
 
 
 # --- files and payloads ----------------------------------------------------------------------------------------
 
 
+_FOLDERS = {"en": "plain", "de": "100% #1", "fr": "a b+c", "es": "x%20y"}
+
+
 @query(
     """
-select url path, regexp_matches(regexp_extract(url, '([^/]*)$', 1), '[0-9]+\\?page') matched, regexp_replace(url, '/?[^/]*$', '') folder from pages"""
+select case lang when 'en' then 'plain' when 'de' then '100% #1' when 'fr' then 'a b+c' else 'x%20y' end folder,
+       cast(sum(strlen(text) + 1) filter (lang in ('de', 'es')) as bigint) n_bytes, lang in ('de', 'es') matched from documents group by all"""
 )
 def file_manifest(spark, sf_dir):
-    """Page addresses as file paths: which base names match, and in which folder they are."""
-    files = V.table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
-    return with_match(files, r"[0-9]+\?page").withColumn("folder", fn.directory_name(F.col("path")))
+    """Documents as files in folders with odd names; which match a pattern, in which folder they lie."""
+    root = scratch_path(spark, "manifest")
+    docs = V.table(spark, sf_dir, "documents")
+    for lang, folder in _FOLDERS.items():
+        texts = docs.filter(F.col("lang") == lang).select("text")
+        texts.write.option("compression", "none" if "%" in folder else "gzip").text(f"{root}/{folder}")
+    files = with_folder(manifest.file_manifest(spark, root, r"[.]txt$"), root)
+    return files.groupBy("folder").agg(F.sum(F.when(F.col("matched"), F.col("length"))).alias("n_bytes"), F.bool_and("matched").alias("matched"))
 
 
 _SENT = """
@@ -920,21 +972,22 @@ def payloads_to_send(spark, sf_dir):
 
 @query(
     """
-with cur as (select source||'/'||doc_id||'.txt' path, sha256(text) content_hash from documents),
-state as (select source||'/'||doc_id||'.txt' path, sha256(case when toxic=1 then text||'!' else text end) content_hash
-          from documents join labels using (doc_id))
-select * from cur where not exists (select 1 from state where state.path=cur.path and state.content_hash=cur.content_hash)"""
+with s as (select source, count(distinct text) n_texts, cast(regexp_extract(source, '[0-9]+') as integer) k from documents group by all)
+select source from s where k%5=0 or (k%2=0 and n_texts > 1)"""
 )
 def unchanged_inputs(spark, sf_dir):
-    """Documents as input files; those labelled are known, of which the toxic ones have changed."""
-    docs = V.table(spark, sf_dir, "documents")
-    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
-    current = docs.select(path.alias("path"), F.sha2("text", 256).alias("content_hash"))
-    old = F.when(F.col("toxic") == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    state = docs.join(V.table(spark, sf_dir, "labels"), "doc_id").select(
-        path.alias("path"), F.sha2(old, 256).alias("content_hash")
-    )
-    return P.changed_inputs(current, state)
+    """A file for each source, written twice: of even sources with its documents in reverse, of each fifth with one more line."""
+    docs = V.table(spark, sf_dir, "documents").select("source", "doc_id", F.regexp_replace("text", "\n", " ").alias("text"))
+    number = F.regexp_extract("source", "[0-9]+", 0).cast("int")
+    more = docs.filter(number % 5 == 0).groupBy("source").agg(F.lit(-1).cast("bigint").alias("doc_id"), F.lit("one more").alias("text"))
+    changed = docs.withColumn("doc_id", F.when(number % 2 == 0, -F.col("doc_id")).otherwise(F.col("doc_id"))).unionByName(more)
+    found = []
+    for rows in (docs, changed):
+        root = scratch_path(spark, "inputs")
+        rows.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text").write.partitionBy("source").text(root)
+        prints = manifest.file_fingerprints(spark, root)
+        found.append(prints.withColumn("path", F.regexp_extract("path", "/source=([^/]+)/", 1)))
+    return P.changed_inputs(found[1], found[0]).select(F.col("path").alias("source"))
 
 
 @query(

@@ -120,8 +120,7 @@ def organisations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
-    return customers.select("c_custkey", "c_nationkey")
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
 
 
 def source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +161,7 @@ logs as (select 't'||cast(user_id%3 as varchar) tenant_code, cast(ts as date) ru
 errors as (select * from logs where level='ERROR' or contains(message,'ERROR'))""",
     "rates": """
 src as (select 't0' tenant_code, year(o_orderdate) api_year, o_orderpriority assessment_name, o_custkey, o_orderkey from orders),
-ros as (select c_custkey, c_nationkey from customer where c_mktsegment='BUILDING'),
+ros as (select c_custkey, c_nationkey from customer),
 sids as (select tenant_code, api_year, assessment_name, 'o_custkey' source_column_name, cast(o_custkey as varchar) id from src
    union all select tenant_code, api_year, assessment_name, 'o_orderkey', cast(o_orderkey as varchar) from src),
 rids as (select distinct 'c_custkey' edfi_column_name, cast(c_custkey as varchar) id from ros
@@ -185,23 +184,16 @@ found as (select conn.*, n_via,
    case when k%6=0 then (case when 'L'||nk=coalesce(expected,'') then expected end)
         when k%6=1 then null when k%6=2 then null when k%6=3 then 'L'||nk
         when n_via=1 then via.lea end actual,
-   case when k%6=0 and 'L'||nk=coalesce(expected,'') then 'token_info (found_1_leas)'
-        when k%6=0 then 'token_info_mismatch (returned: [''L'||nk||'''], expected: '||coalesce(expected,'')||')'
-        when k%6=1 then 'token_info_mismatch (returned: [''L_other''], expected: '||coalesce(expected,'')||')'
-        when k%6=2 then 'token_info_multiple_leas (returned: [''L'||nk||''', ''L_other''])'
-        when k%6=3 then 'leas_endpoint (found_1_leas)'
-        when n_via=1 then 'calendars_schools (found_1_leas_via_schools)'
-        when n_via is null then 'all_methods_failed (token_info: no_leas_found, leas: found_0_leas, calendars: no_schools_in_calendars)'
-        else 'all_methods_failed (token_info: no_leas_found, leas: found_0_leas, calendars: found_'||n_via||'_leas_via_schools)' end meth
+   case when k%6=0 and 'L'||nk=coalesce(expected,'') then 'token' when k%6 in (0,1) then 'token_differs' when k%6=2 then 'token_many'
+        when k%6=3 then 'agencies' when n_via=1 then 'schools' else 'none' end meth,
+   case when k%6 in (0,1) then 1 when k%6=2 then 2 else 0 end n_token_ids, case when k%6=3 then 1 else 0 end n_leas
    from conn left join via using (k)),
 results as (select connection_id, tenant, year, expected expected_lea_id,
    case when error is null then actual end actual_org_id, case when error is null then meth else 'error' end method_used,
    case when error is not null then 'ERROR' when expected is null then 'NO_MAPPING' when actual is null then 'NO_ORG_ID'
         when actual=expected then 'MATCH' else 'MISMATCH' end status,
-   case when error is not null then error when expected is null then 'No LEA ID mapping for tenant: '||tenant
-        when actual is null then 'No LEA ID found using any method ('||meth||')'
-        when actual=expected then 'LEA ID matches: '||actual||' (via '||meth||')'
-        else 'Expected '||expected||', got '||actual||' (via '||meth||')' end message from found)""",
+   case when error is not null then error else concat_ws(' ', 'wanted='||expected, 'seen='||actual, 'step='||meth) end message,
+   n_token_ids, n_leas, n_via n_via_schools from found)""",
 }
 
 

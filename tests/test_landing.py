@@ -9,7 +9,7 @@ from tidemark.plans.lake import Lake
 from tidemark.plans.load import load_raw, resolve_versions, store_raw
 from tidemark.plans.sideload import sideload
 from tidemark.sinks.jsonl import write_json_lines
-from tidemark.sources.landing import raw_envelope, scan_landing, scan_variant, with_row_numbers
+from tidemark.sources.landing import raw_envelope, scan_landing, scan_variant, unread_files, with_row_numbers
 from tidemark.sources.manifest import file_fingerprints, file_manifest, with_folder
 from tidemark.sources.mappings import mapping_from_json, read_mapping
 from tidemark.streaming.landing import ingest_landing, refresh_landing
@@ -195,6 +195,48 @@ def test_fingerprints(spark, folder):
     assert hashes["a.txt"] == hashes["b.txt"] != hashes["c.txt"]
 
 
+def test_fingerprints_tell_the_order_of_lines_but_not_how_a_file_is_cut(spark, folder):
+    lines = [f"line {i}" for i in range(3000)]
+    for name, own in (("a", lines), ("b", lines), ("swapped", [lines[1], lines[0], *lines[2:]])):
+        put(folder, f"in/{name}.txt", *own)
+    once = dict(rows(file_fingerprints(spark, folder + "/in")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert dict(rows(file_fingerprints(spark, folder + "/in"))) == once
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    a, b, swapped = (next(h for path, h in once.items() if path.endswith(f"/{n}.txt")) for n in ("a", "b", "swapped"))
+    assert a == b != swapped
+
+
+@pytest.mark.parametrize("name", ["a%20b.csv", "100%.csv", "c#1 d+e.csv"])
+def test_manifest_takes_names_as_they_are(spark, folder, name):
+    put(folder, f"in/{name}", "x")
+    assert rows(with_folder(file_manifest(spark, folder + "/in", r"[.]csv$"), folder + "/in"), "file", "matched") == [(name, True)]
+
+
+def test_packed_and_unread_files(spark, folder):
+    import gzip
+
+    base = "in/t/2024/20240101/20240101T000000/resources"
+    put(folder, f"{base}/students.ndjson", {"id": 1})
+    put(folder, f"{base}/notes.csv", "x")
+    with gzip.open(f"{folder}/{base}/schools.jsonl.gz", "wt") as file:
+        file.write("".join(f'{{"id": {i}}}\n' for i in range(1, 501)))
+    raw = raw_envelope(with_row_numbers(scan_landing(spark, folder + "/in")), **VERSIONS)
+    assert rows(raw.groupBy("name").agg(F.count("*"), F.max("file_row_number"))) == [("schools", 500, 500), ("students", 1, 1)]
+    assert raw.filter("name = 'schools' and file_row_number <> variant_get(v, '$.id', 'int')").isEmpty()
+    assert [r[0].rsplit("/", 1)[1] for r in rows(unread_files(spark, folder + "/in"), "path")] == ["notes.csv"]
+
+
+def test_payloads_over_several_lines_go_through_the_landing_folder(spark, folder):
+    from tidemark.sinks.jsonl import write_landing
+
+    frame = spark.createDataFrame([("t", 2024, "20240101", "20240101T000000", "resources", "students", '{"a":\n 1}')], "tenant_code string, api_year int, ds string, ts string, kind string, name string, payload string")
+    write_landing(frame, folder + "/in")
+    assert rows(raw_envelope(scan_landing(spark, folder + "/in"), **VERSIONS), "name", F.col("v").cast("string")) == [("students", '{"a":1}')]
+
+
 def test_mapping(spark, folder):
     Path(folder, "map.json").write_text('{\n "t": "1",\n "u": 2\n}')
     assert rows(read_mapping(spark, folder + "/map.json")) == [("t", "1"), ("u", "2")]

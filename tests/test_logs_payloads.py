@@ -37,8 +37,26 @@ def test_long_runs_are_in_parts_and_whole(spark):
 
 def test_map_index_names(spark):
     runs = spark.createDataFrame([("r", 0), ("r", 1), ("r", 2), ("s", 0)], "run string, map_index int")
-    files = spark.createDataFrame([("r", ["/in/a.csv", "b.csv"])], "run string, files array<string>")
+    files = spark.createDataFrame([("r", 0, "/in/a.csv"), ("r", 1, "b.csv")], "run string, map_index int, path string")
     assert rows(L.map_index_names(runs, files, ["run"])) == [("r", 0, "a.csv"), ("r", 1, "b.csv"), ("r", 2, None), ("s", 0, None)]
+    none = spark.createDataFrame([(None, 0), ("", 0)], "run string, map_index int")
+    files = spark.createDataFrame([(None, 0, "/in/c.csv"), ("", 0, "d.csv")], "run string, map_index int, path string")
+    assert rows(L.map_index_names(none, files, ["run"])) == [("", 0, "d.csv"), (None, 0, "c.csv")]
+
+
+def test_grains_null_and_blank_are_runs_of_their_own(spark):
+    frame = log(spark, ("a", 1, "ERROR", "of null"))
+    both = frame.unionByName(frame.withColumns({"grain_update": F.lit(""), "message": F.lit("of blank")}))
+    got = rows(L.error_rollup(both).select("grain_update", "n_errors", F.transform("errors", lambda e: e["message"])))
+    assert got == [("", 1, ["of blank"]), (None, 1, ["of null"])]
+
+
+def test_parts_follow_one_rule(spark):
+    """Positions are by order, so that neither gaps nor one error more change what a part holds."""
+    for n in (4, 5):
+        frame = log(spark, *[("r", 10 ** i, "ERROR", str(i)) for i in range(n)])
+        parts = rows(L.error_rollup(frame, chunk=4).select("part", F.size("errors")))
+        assert parts == [(0, 4), (1, 1)][: n - 3]
 
 
 def test_captured_work_logs_its_error_and_raises(spark, folder):
@@ -56,7 +74,7 @@ def test_captured_work_logs_its_error_and_raises(spark, folder):
     document = json.loads(row["text"])
     assert (row["tenant_code"], row["grain_update"], row["run_type"]) == ("t", None, "x")
     assert document["args"] == {"0": "4"} and document["kwargs"] == {"by": "0"}
-    assert document["errors"][0]["message"] == "ZeroDivisionError raised during task execution: division by zero"
+    assert document["errors"][0]["message"] == "work stopped by ZeroDivisionError: division by zero"
 
 
 def test_run_log_keeps_any_json(spark, folder):

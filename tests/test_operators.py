@@ -183,27 +183,23 @@ def test_routing(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_a_plain_one(spark, how):
+def test_joins_are_the_same_on_both_sides_of_the_limit(spark, how):
     large = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 50).alias("k"), "id")
     small = spark.range(0, 60, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     plain = rows(large.join(small, ["k"], how))
-    assert rows(joins.salted_join(large, small, ["k"], how, ["id"], 8)) == plain
-    assert rows(joins.join_small_side(large, small, ["k"], how, salt_on=["id"], limit=0)) == plain
-    assert rows(joins.join_small_side(large, small, ["k"], how, salt_on=["id"])) == plain
+    assert rows(joins.join_small_side(large, small, ["k"], how, limit=0)) == plain
+    assert rows(joins.join_small_side(large, small, ["k"], how)) == plain
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    large = spark.range(8000).select(F.lit(1).alias("k"), "id")
-    small = spark.createDataFrame([(1, "v")], "k int, v string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        joined = joins.salted_join(large, small, ["k"], "inner", ["id"], 32)
-        sizes = [row["n"] for row in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 8000
+def test_joins_that_keep_the_small_side_are_refused(spark):
+    with pytest.raises(ValueError):
+        joins.join_small_side(spark.range(1), spark.range(1), ["id"], "full_outer")
 
 
-def test_salted_join_refuses_joins_that_keep_the_small_side(spark):
-    with pytest.raises(ValueError):
-        joins.salted_join(spark.range(1), spark.range(1), ["id"], "full_outer", ["id"])
+def test_literal_values_let_all_joined_rows_pass(spark, monkeypatch):
+    table = spark.createDataFrame([(k, n) for k in ("a", "b", None) for n in (1, 2, None)], "k string, n int")
+    few = spark.createDataFrame([("a", 1), (None, 1)], "k string, n int")
+    assert rows(table.filter(joins.among_values(few, ["k", "n"]))) == [("a", 1), (None, 1)]
+    assert table.filter(joins.among_values(few.limit(0), ["k"])).isEmpty()
+    monkeypatch.setattr(joins, "LITERAL_VALUES", 0)
+    assert table.filter(joins.among_values(few, ["k", "n"])).count() == 9

@@ -58,27 +58,26 @@ def results(spark):
 
 
 def test_every_branch_of_the_fallback(results):
-    failed = "all_methods_failed (token_info: no_leas_found, leas: found_{}_leas, calendars: {})"
     expected = {
-        "edfi_match_2024": ("1", "token_info (found_1_leas)", "MATCH", "LEA ID matches: 1 (via token_info (found_1_leas))"),
-        "edfi_match_2025": ("1", "token_info (found_1_leas)", "MATCH", "LEA ID matches: 1 (via token_info (found_1_leas))"),
-        "edfi_other_2024": (None, "token_info_mismatch (returned: ['5'], expected: 1)", "NO_ORG_ID", None),
-        "edfi_two_2024": (None, "token_info_multiple_leas (returned: ['1', '2'])", "NO_ORG_ID", None),
-        "edfi_listed_2024": ("7", "leas_endpoint (found_1_leas)", "MISMATCH", "Expected 1, got 7 (via leas_endpoint (found_1_leas))"),
-        "edfi_listed_two_2024": (None, failed.format(2, "no_schools_in_calendars"), "NO_ORG_ID", None),
-        "edfi_via_2024": ("8", "calendars_schools (found_1_leas_via_schools)", "MATCH", None),
-        "edfi_via_two_2024": (None, failed.format(0, "found_2_leas_via_schools"), "NO_ORG_ID", None),
-        "edfi_lacks_2024": (None, failed.format(0, "found_0_leas_via_schools"), "NO_ORG_ID", None),
-        "edfi_none_2024": (None, failed.format(0, "no_schools_in_calendars"), "NO_ORG_ID", None),
-        "edfi_nomap_2024": (None, "token_info_mismatch (returned: ['1'], expected: )", "NO_MAPPING", "No LEA ID mapping for tenant: nomap"),
-        "edfi_broken_2024": (None, "error", "ERROR", "boom"),
+        "edfi_match_2024": ("1", "token", "MATCH", "wanted=1 seen=1 step=token", (1, 1, None)),
+        "edfi_match_2025": ("1", "token", "MATCH", "wanted=1 seen=1 step=token", (1, 0, None)),
+        "edfi_other_2024": (None, "token_differs", "NO_ORG_ID", "wanted=1 step=token_differs", (1, 0, None)),
+        "edfi_two_2024": (None, "token_many", "NO_ORG_ID", "wanted=1 step=token_many", (2, 1, None)),
+        "edfi_listed_2024": ("7", "agencies", "MISMATCH", "wanted=1 seen=7 step=agencies", (0, 1, None)),
+        "edfi_listed_two_2024": (None, "none", "NO_ORG_ID", "wanted=1 step=none", (0, 2, None)),
+        "edfi_via_2024": ("8", "schools", "MATCH", "wanted=8 seen=8 step=schools", (0, 0, 1)),
+        "edfi_via_two_2024": (None, "none", "NO_ORG_ID", "wanted=1 step=none", (0, 0, 2)),
+        "edfi_lacks_2024": (None, "none", "NO_ORG_ID", "wanted=1 step=none", (0, 0, 0)),
+        "edfi_none_2024": (None, "none", "NO_ORG_ID", "wanted=1 step=none", (0, 0, None)),
+        "edfi_nomap_2024": (None, "token_differs", "NO_MAPPING", "step=token_differs", (1, 0, None)),
+        "edfi_broken_2024": (None, "error", "ERROR", "boom", (1, 0, None)),
     }
     got = {row["connection_id"]: row for row in results.collect()}
     assert set(got) == set(expected)
-    for name, (org, method, status, message) in expected.items():
+    for name, (org, method, status, message, seen) in expected.items():
         row = got[name]
-        assert (row["actual_org_id"], row["method_used"], row["status"]) == (org, method, status), name
-        assert message is None or row["message"] == message
+        assert (row["actual_org_id"], row["method_used"], row["status"], row["message"]) == (org, method, status, message), name
+        assert (row["n_token_ids"], row["n_leas"], row["n_via_schools"]) == seen, name
     assert (got["edfi_listed_two_2024"]["tenant"], got["edfi_listed_two_2024"]["year"]) == ("listed_two", "2024")
 
 

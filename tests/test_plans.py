@@ -13,7 +13,7 @@ from tidemark.operators import joins, marks as M, matchrates as R, windows as W
 from tidemark.plans.shard import shard_rows
 from tidemark.schemas import RAW, RAW_PARTITIONS
 from tidemark.sinks import grain
-from tidemark.sources.csvs import read_text_columns
+from tidemark.sources.csvs import read_text_columns, well_formed
 from tidemark.sources.feed import change_window
 from tidemark.sources.tables import read_or_empty
 
@@ -44,20 +44,80 @@ def test_deltas_shuffle_only_partial_counts(spark, sf_dir):
     assert read_columns(plan) == [{"event_id", "user_id", "event_type"}]
 
 
-def test_deltas_beyond_the_broadcast_limit_are_salted(spark, sf_dir, monkeypatch):
+def test_deltas_beyond_the_broadcast_limit_are_the_same(spark, sf_dir, monkeypatch):
     expected = sorted(map(tuple, QUERIES["delta_endpoints"](spark, sf_dir).collect()))
     monkeypatch.setattr(joins.join_small_side, "__kwdefaults__", {**joins.join_small_side.__kwdefaults__, "limit": 0})
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        salted = QUERIES["delta_endpoints"](spark, sf_dir)
-        plan = plan_of(salted)
-        got = sorted(map(tuple, salted.collect()))
+        shuffled = QUERIES["delta_endpoints"](spark, sf_dir)
+        plan = plan_of(shuffled)
+        got = sorted(map(tuple, shuffled.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "__salt" in plan and "Broadcast" not in plan
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert got == expected
 
 
+def windows_of(spark, *bounds):
+    frame = spark.createDataFrame([("t1", 2024, "click", *b) for b in bounds], "tenant_code string, api_year int, name string, last_version long, newest_version long")
+    return W.with_window_status(frame)
+
+
+@pytest.mark.parametrize("bounds, pushed, absent", [
+    ([(10, 90), (40, 70)], ["GreaterThan(event_id,10)", "LessThanOrEqual(event_id,90)"], []),
+    ([(0, 90), (40, 70)], ["LessThanOrEqual(event_id,90)"], ["GreaterThan(event_id"]),
+    ([(10, 90), (40, None)], ["GreaterThan(event_id,10)"], ["LessThanOrEqual(event_id"]),
+])
+def test_windows_reach_the_scan(spark, sf_dir, bounds, pushed, absent):
+    feed = V.feed(spark, sf_dir)
+    windows = windows_of(spark, *bounds)
+    plan = plan_of(W.delta_counts(feed, windows))
+    (filters,) = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)
+    assert all(p in filters for p in [*pushed, "EqualTo(event_type,click)"]) and not any(p in filters for p in absent)
+    want = feed.filter("tenant_code = 't1' and name = 'click'").join(F.broadcast(windows), ["tenant_code", "api_year", "name"])
+    want = want.filter(W.in_window(F.col("change_version"), F.col("last_version"), F.col("newest_version"))).count()
+    assert sum(r["n"] for r in W.delta_counts(feed, windows).collect()) == want > 0
+
+
+def test_ingestion_scans_only_open_windows(spark, sf_dir, folder):
+    from tidemark.plans.ingest import due_rows
+
+    feed = V.feed(spark, sf_dir).drop("payload")
+    windows = windows_of(spark, (10, 90), (90, 90)).withColumn("kind", F.lit("resources"))
+    (filters,) = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan_of(due_rows(feed, joins.settled(windows), 100, [])))
+    assert "GreaterThan(event_id,10)" in filters and "LessThanOrEqual(event_id,90)" in filters
+
+
+def test_repeated_batches_open_only_their_partitions(spark, sf_dir, folder):
+    rows = V.feed(spark, sf_dir).select(
+        F.to_date("ts").alias("pull_date"), F.col("ts").cast("timestamp").alias("pull_timestamp"), F.lit(1).alias("file_row_number"),
+        F.lit("f").alias("filename"), F.lit("7").alias("ods_version"), F.lit("5").alias("data_model_version"), F.parse_json("payload").alias("v"),
+        "kind", "tenant_code", "api_year", "name",
+    )
+    grain.insert(rows, folder, RAW, RAW_PARTITIONS)
+    keys = grain._Keys(rows.filter("tenant_code = 't1' and name = 'click'").select("kind", "tenant_code", "api_year", "name"))
+    earlier = keys.semi(read_or_empty(spark, folder, RAW).filter(keys.among(RAW_PARTITIONS)))
+    (pruned,) = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan_of(earlier))
+    assert "tenant_code" in pruned and "t1" in pruned and "name" in pruned and "click" in pruned
+
+
+def test_row_numbers_shuffle_no_text(spark, folder):
+    from tidemark.sources.landing import scan_landing, with_row_numbers
+
+    spark.range(100).select(F.to_json(F.struct("id")).alias("value")).write.text(folder + "/in")
+    plan = plan_of(with_row_numbers(scan_landing(spark, folder + "/in")))
+    assert "Exchange hashpartitioning" not in plan and "Sort" not in plan
+
+
+def test_payload_texts_are_moved_only_where_they_are_sent(spark):
+    from tidemark.operators.payloads import payloads_to_send
+
+    payloads = spark.range(50).select(F.lit("e").alias("endpoint"), F.repeat(F.col("id").cast("string"), 9).alias("payload"))
+    sent = spark.createDataFrame([], "endpoint string, payload_hash string, sent_at timestamp, status_code int")
+    plan = plan_of(payloads_to_send(payloads, sent))
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_prior_marks_read_one_tenant_year(spark, folder, sf_dir):
     from tidemark.schemas import LEDGER, LEDGER_PARTITIONS
 
@@ -97,7 +157,7 @@ def test_best_of_one_assessment_is_a_top_one(spark, sf_dir):
 def test_sharding_through_maps_does_not_shuffle(spark, folder):
     with open(folder + "/a.csv", "w") as file:
         file.write("t,y\na,1\n")
-    plan = plan_of(shard_rows(read_text_columns(spark, folder + "/a.csv"), "t", {"a": "b"}, "y", {"1": "2001"}))
+    plan = plan_of(shard_rows(well_formed(read_text_columns(spark, folder + "/a.csv")), "t", {"a": "b"}, "y", {"1": "2001"}))
     assert "Exchange" not in plan and "Join" not in plan
 
 

@@ -1,3 +1,8 @@
+"""Sharding against a plain count of the same records."""
+
+import csv
+import random
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -6,117 +11,122 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.shard import partition_on_tenant_and_year, read_shards, rejected_rows, shard_rows
 
-EXPECTED = ["tenant_code=tenant/api_year=1999", "tenant_code=tenant/api_year=2000", "tenant_code=tenant_2/api_year=2000", "tenant_code=tenant_2/api_year=2001"]
-ABSENT = ["tenant_code=tenant/api_year=2001", "tenant_code=tenant_2/api_year=1999"]
-
-
-def write_csv(path, header, tenants=("tenant", "tenant_2"), years=("1999", "2000", "2001")):
-    lines = [header] + [f"{i},{tenants[i // 3]},{years[i // 2]}" for i in range(6)]
-    Path(path).write_text("\n".join(lines) + "\n")
-
-
-def check_folders(root):
-    for part in EXPECTED:
-        assert any((Path(root) / part).iterdir()), part
-    for part in ABSENT:
-        assert not (Path(root) / part).exists(), part
+DISTRICTS = ["north", "south side", "é-lab", "007"]
 
 
-def test_basic(spark, folder):
-    write_csv(f"{folder}/data.csv", "id,tenant_code,api_year")
-    partition_on_tenant_and_year(spark, Path(folder) / "data.csv", folder)
-    check_folders(f"{folder}/data")
-    got = rows(read_shards(spark, f"{folder}/data"))
-    assert got[0] == ("0", "tenant", "1999") and len(got) == 6
+def records(n, seed, districts=DISTRICTS, years=range(2011, 2016)):
+    """Most of the records are of the first district, one is of the last."""
+    random.seed(seed)
+    out = [(f"p{i:05}", random.choice(districts[:2] if i % 3 else districts[:1]), str(random.choice(years)), random.choice(["", "NA", 'say "so"', "a,b"])) for i in range(n)]
+    out[n // 2] = (out[n // 2][0], districts[-1], *out[n // 2][2:])
+    return out
 
 
-def test_several_files_as_paths_and_text(spark, folder):
-    names = ["one", "two", "three"]
-    for name in names:
-        write_csv(f"{folder}/{name}.csv", "id,tenant_code,api_year")
-    paths = [Path(folder) / "one.csv", f"{folder}/two.csv", Path(folder) / "three.csv"]
-    assert partition_on_tenant_and_year(spark, paths, folder) == [f"{folder}/{name}" for name in names]
-    for name in names:
-        check_folders(f"{folder}/{name}")
+def put(path, data, header=("pupil", "tenant_code", "api_year", "remark")):
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows([header, *data])
+    return str(path)
 
 
-def test_other_column_names(spark, folder):
-    write_csv(f"{folder}/data.csv", "id,name,data_year")
-    partition_on_tenant_and_year(spark, f"{folder}/data.csv", folder, tenant_col="name", year_col="data_year")
-    check_folders(f"{folder}/data")
-    assert read_shards(spark, f"{folder}/data").columns == ["id", "name", "data_year", "tenant_code", "api_year"]
+def counts(spark, target):
+    return {(r["tenant_code"], r["api_year"]): r["count"] for r in read_shards(spark, target).groupBy("tenant_code", "api_year").count().collect()}
 
 
-@pytest.mark.parametrize("header, options", [("id,tenant_code,api_year", {}), ("id,name,data_year", {"tenant_col": "name", "year_col": "data_year"})])
-def test_value_maps(spark, folder, header, options):
-    write_csv(f"{folder}/data.csv", header, tenants=("dt", "dt2"), years=("99", "00", "01"))
-    partition_on_tenant_and_year(
-        spark, f"{folder}/data.csv", folder, tenant_map={"dt": "tenant", "dt2": "tenant_2"},
-        year_map={"99": "1999", "00": "2000", "01": "2001"}, **options,
-    )
-    check_folders(f"{folder}/data")
-
-
-def test_one_row_among_six_million(spark, folder):
-    """Two huge tenants and one with a single row, whose id stays text."""
-    ids = spark.range(6_000_000)
-    tenant = F.when(F.col("id") < 3_000_000, "tenant").when(F.col("id") == 3_000_000, "special").otherwise("tenant_2")
-    year = (F.floor(F.col("id") / 2_000_000) + 1999).cast("string")
-    source = ids.select("id", tenant.alias("tenant_code"), year.alias("api_year"))
-    source.coalesce(1).write.option("header", True).csv(f"{folder}/in")
-    (path,) = Path(folder, "in").glob("*.csv")
-    (target,) = partition_on_tenant_and_year(spark, str(path), folder)
-    shards = read_shards(spark, target)
-    assert rows(shards.filter("tenant_code = 'special'"), "id") == [("3000000",)]
-    counts = rows(shards.groupBy("tenant_code").count())
-    assert counts == [("special", 1), ("tenant", 3_000_000), ("tenant_2", 2_999_999)]
+def folders(target):
+    return {p.relative_to(target).as_posix() for p in Path(target).glob("*/*") if any(p.glob("part-*"))}
 
 
-def test_wrong_suffix_missing_file_and_folder(spark, folder):
-    write_csv(f"{folder}/data.yar", "id,tenant_code,api_year")
-    Path(folder, "dir.csv").mkdir()
-    write_csv(f"{folder}/dir.csv/x.csv", "id,tenant_code,api_year")
-    for path in ("data.yar", "none.csv", "dir.csv"):
-        with pytest.raises(ValueError):
-            partition_on_tenant_and_year(spark, f"{folder}/{path}", folder)
+def test_rows_lie_in_the_folder_of_their_tenant_and_year(spark, folder):
+    data = records(700, 1, ["north", "west", "lone"])
+    path = put(f"{folder}/enrol.csv", data)
+    (target,) = partition_on_tenant_and_year(spark, Path(path), Path(folder) / "out")
+    want = Counter(r[1:3] for r in data)
+    assert target == f"{folder}/out/enrol" and counts(spark, target) == want
+    assert folders(target) == {f"tenant_code={t}/api_year={y}" for t, y in want}
+    assert rows(read_shards(spark, target), "pupil", "remark", "tenant_code", "api_year") == sorted([(r[0], r[3], r[1], r[2]) for r in data], key=repr)
 
 
-def test_missing_column(spark, folder):
-    write_csv(f"{folder}/data.csv", "id,tenant_code,api_year")
-    for options in ({"tenant_col": "not_found"}, {"year_col": "not_found"}):
-        with pytest.raises(KeyError):
-            partition_on_tenant_and_year(spark, f"{folder}/data.csv", folder, **options)
+def test_each_file_has_a_folder_of_its_own(spark, folder):
+    sizes = {"a": 11, "b.2": 90, "c d": 3}
+    paths = [put(f"{folder}/{stem}.csv", records(n, n)) for stem, n in sizes.items()]
+    targets = partition_on_tenant_and_year(spark, [Path(paths[0]), *paths[1:]], f"{folder}/out")
+    assert [t.rsplit("/", 1)[1] for t in targets] == list(sizes)
+    assert [sum(counts(spark, t).values()) for t in targets] == list(sizes.values())
 
 
-def test_same_base_name_twice(spark, folder):
-    for part in ("a", "b"):
-        Path(folder, part).mkdir()
-        write_csv(f"{folder}/{part}/data.csv", "id,tenant_code,api_year")
-    with pytest.raises(ValueError):
-        partition_on_tenant_and_year(spark, [f"{folder}/a/data.csv", f"{folder}/b/data.csv"], folder)
+@pytest.mark.parametrize("name", ["with blank", "half%", "c#1", "plus+and=", "pct%20y"])
+def test_names_of_files_may_hold_any_character(spark, folder, name):
+    (target,) = partition_on_tenant_and_year(spark, put(f"{folder}/{name}.csv", records(20, 5)), f"{folder}/out")
+    assert sum(counts(spark, target).values()) == 20
 
 
-def test_blanks_quotes_and_unmapped_values(spark, folder):
-    Path(folder, "data set.csv").write_text('id,tenant_code,api_year,note\n1,t,00,"a, ""b"""\n2,,00,NA\n3,x,00,\n')
-    (target,) = partition_on_tenant_and_year(spark, f"{folder}/data set.csv", folder, tenant_map={"t": "007"})
+def test_columns_and_values_may_have_other_names(spark, folder):
+    data = records(300, 2, ["N", "S", "X"], years=range(1, 5))
+    path = put(f"{folder}/x.csv", data, ("pupil", "school", "term", "remark"))
+    (target,) = partition_on_tenant_and_year(
+        spark, path, f"{folder}/out", tenant_col="school", tenant_map={"N": "north", "S": "south"}, year_col="term", year_map={1: 2020, "2": "2021", 3: "03"},
+    )
+    tenants, years = {"N": "north", "S": "south"}, {"1": "2020", "2": "2021", "3": "03"}
+    assert counts(spark, target) == Counter((tenants.get(r[1]), years.get(r[2])) for r in data)
     shards = read_shards(spark, target)
-    assert rows(shards) == [("1", 'a, "b"', "007", "00"), ("2", "NA", None, "00"), ("3", "", None, "00")]
-    assert rows(rejected_rows(shards), "id") == [("2",), ("3",)]
-
+    assert shards.columns == ["pupil", "school", "term", "remark", "tenant_code", "api_year"]
+    assert rejected_rows(shards).count() == sum(r[1] not in tenants or r[2] not in years for r in data)
 
-def test_files_written_again_replace_the_old_ones(spark, folder):
-    write_csv(f"{folder}/data.csv", "id,tenant_code,api_year")
-    partition_on_tenant_and_year(spark, f"{folder}/data.csv", folder)
-    write_csv(f"{folder}/data.csv", "id,tenant_code,api_year", tenants=("x", "y"))
-    (target,) = partition_on_tenant_and_year(spark, f"{folder}/data.csv", folder)
-    assert rows(read_shards(spark, target).select("tenant_code").distinct()) == [("x",), ("y",)]
 
-
-def test_long_maps_are_joined(spark):
-    data = spark.range(500).select(F.concat(F.lit("k"), F.col("id") % 120).alias("t"), F.lit("00").alias("y"), "id")
-    long_map = {f"k{i}": f"v{i}" for i in range(100)}
-    got = shard_rows(data, "t", long_map, "y", {"00": "2000"})
-    want = data.collect()
-    assert rows(got, "id", "tenant_code", "api_year") == sorted(
-        [(row["id"], long_map.get(row["t"]), "2000") for row in want], key=repr
+def test_a_lone_row_beside_a_huge_tenant(spark, folder):
+    n, lone = 1_200_000, 777_777
+    source = spark.range(n).select(
+        F.format_string("u%07d", F.col("id")).alias("pupil"), F.when(F.col("id") == lone, "lone").when(F.col("id") % 50 == 0, "small").otherwise("huge").alias("tenant_code"),
+        (F.col("id") % 4 + 2018).cast("string").alias("api_year"),
     )
+    source.coalesce(1).write.option("header", True).csv(f"{folder}/in")
+    (path,) = Path(folder, "in").glob("*.csv")
+    (target,) = partition_on_tenant_and_year(spark, str(path), f"{folder}/out")
+    got = counts(spark, target)
+    assert got["lone", str(lone % 4 + 2018)] == 1 and sum(got.values()) == n
+    assert sum(k for (tenant, _), k in got.items() if tenant == "small") == sum(i % 50 == 0 and i != lone for i in range(0, n, 50))
+    assert rows(read_shards(spark, target).filter("tenant_code = 'lone'"), "pupil") == [(f"u{lone:07}",)]
+
+
+def test_malformed_records_are_kept_beside_the_rows(spark, folder):
+    good, bad = records(40, 8), ["p1,north,2011,x,surplus", "p2,north", 'p3,north,2012,"torn', 'in two"']
+    path = put(f"{folder}/m.csv", good)
+    Path(path).write_text(Path(path).read_text() + "\n".join(bad) + "\n")
+    (target,) = partition_on_tenant_and_year(spark, path, f"{folder}/out")
+    assert counts(spark, target) == Counter(r[1:3] for r in good)
+    assert rows(spark.read.text(f"{folder}/out/_malformed/m")) == sorted([(line,) for line in bad], key=repr)
+    whole = put(f"{folder}/w.csv", [("p1", "north", "2011", "two\nlines")])
+    (target,) = partition_on_tenant_and_year(spark, whole, f"{folder}/out", multiline=True)
+    assert rows(read_shards(spark, target), "remark") == [("two\nlines",)] and not Path(folder, "out/_malformed/w").exists()
+
+
+def test_what_is_refused(spark, folder):
+    path = put(f"{folder}/in/d.csv", records(9, 3))
+    Path(folder, "folder.csv").mkdir()
+    for wrong in (f"{folder}/absent.csv", f"{folder}/folder.csv", put(f"{folder}/d.tsv", [])):
+        with pytest.raises(ValueError):
+            partition_on_tenant_and_year(spark, wrong, folder)
+    with pytest.raises(ValueError, match="base name"):
+        partition_on_tenant_and_year(spark, [path, put(f"{folder}/other/d.csv", [])], folder)
+    for options in ({"tenant_col": "nobody"}, {"year_col": "never"}):
+        with pytest.raises(KeyError, match="nobody|never"):
+            partition_on_tenant_and_year(spark, path, f"{folder}/out", **options)
+    assert not Path(folder, "out").exists()
+    with pytest.raises(ValueError, match="two values"):
+        partition_on_tenant_and_year(spark, path, folder, year_map={2011: "a", "2011": "b"})
+
+
+def test_sharding_again_replaces_the_rows(spark, folder):
+    for seed, districts in ((1, ["old", "older"]), (2, ["new", "newer"])):
+        data = records(30, seed, districts)
+        (target,) = partition_on_tenant_and_year(spark, put(f"{folder}/d.csv", data), folder)
+    assert counts(spark, target) == Counter(r[1:3] for r in data)
+
+
+@pytest.mark.parametrize("entries", [3, 90])
+def test_maps_of_any_length_give_the_same(spark, entries):
+    data = spark.range(600).select((F.col("id") % 120).cast("string").alias("t"), F.lit("9").alias("y"), "id")
+    values = {**{k: f"v{k}" for k in range(entries)}, **{str(k): f"v{k}" for k in range(0, entries, 2)}}
+    got = rows(shard_rows(data, "t", values, "y", {}), "id", "tenant_code", "api_year")
+    assert got == sorted([(i, f"v{i % 120}" if i % 120 < entries else None, None) for i in range(600)], key=repr)

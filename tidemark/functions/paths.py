@@ -14,7 +14,7 @@ TIMESTAMP_SEGMENT = r"\d{8}T\d{6}"
 NAME_SEGMENT = r"\w+"
 
 _PULL = rf"/(?:ds=)?({DATE_SEGMENT})/(?:ts=)?({TIMESTAMP_SEGMENT})/"
-_NAME = rf"/(?:({NAME_SEGMENT})\.jsonl?(?:/part-[^/]+)?|name=({NAME_SEGMENT})/part-[^/]+)$"
+_NAME = rf"/(?:({NAME_SEGMENT})\.(?:jsonl?|ndjson)(?:\.gz)?(?:/part-[^/]+)?|name=({NAME_SEGMENT})/part-[^/]+)$"
 _OWNER = (
     rf"/(?:tenant_code=)?([^/]+)/(?:api_year=)?(\d{{4}})"
     rf"/(?:ds=)?{DATE_SEGMENT}/(?:ts=)?{TIMESTAMP_SEGMENT}/(?:kind=)?(\w+)/"
@@ -40,7 +40,7 @@ def pull_timestamp(path: Column) -> Column:
 
 
 def endpoint_name(path: Column) -> Column:
-    """File name without `.json`/`.jsonl`; null when it is no plain word."""
+    """File name without `.json`, `.jsonl` or `.ndjson`, packed or not; null when it is no plain word."""
     return F.coalesce(_capture(path, _NAME, 1), _capture(path, _NAME, 2))
 
 

@@ -23,7 +23,7 @@ def total_counts(feed: DataFrame, endpoints: DataFrame | None = None) -> DataFra
     if endpoints is not None:
         bounds = [column for column in ("newest_version",) if column in endpoints.columns]
         wanted = endpoints.select(*GRAIN, *bounds).distinct()
-        versions = join_small_side(versions, wanted, GRAIN, salt_on=["change_version"])
+        versions = join_small_side(versions, wanted, GRAIN)
         if bounds:
             versions = versions.filter(
                 F.col("newest_version").isNull() | (F.col("change_version") <= F.col("newest_version"))

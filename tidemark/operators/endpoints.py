@@ -102,8 +102,8 @@ def requested_endpoints(endpoints: DataFrame, requested: DataFrame) -> DataFrame
 
 def snake_names(spark: SparkSession, names: Iterable[str] | None) -> DataFrame:
     """Names asked for by a user, as a table in snake case."""
-    raw = spark.createDataFrame([(name,) for name in names or []], "name string")
-    return raw.select(camel_to_snake(F.col("name")).alias("name")).distinct()
+    raw = F.array(*[F.lit(name) for name in names or []]).cast("array<string>")
+    return spark.range(1).select(F.explode(raw).alias("name")).select(camel_to_snake(F.col("name")).alias("name")).distinct()
 
 
 def equality_filter(feed: DataFrame, parameters: Mapping[str, object]) -> DataFrame:

@@ -1,21 +1,22 @@
 """Joining a large side to a side that is expected to be small.
 
 The small side is computed once, into the shared checkpoint folder, and measured there. Up to a limit it is
-broadcast, so that the large side is not shuffled; beyond it both sides are shuffled on the key and a salt, so that
-a key with a large share of the rows is spread.
+broadcast, so that the large side is not shuffled. Beyond, the join is a plain one of two settled or scanned sides, of
+which adaptive execution splits the partitions of hot keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import ensure_checkpoint_dir
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALT_BUCKETS = 32
-_SALT = "__salt"
+#: Values of a column that are put into a plan as literals.
+LITERAL_VALUES = 500
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -24,22 +25,6 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def salted_join(
-    large: DataFrame, small: DataFrame, on: Sequence[str], how: str, salt_on: Sequence[str],
-    buckets: int = SALT_BUCKETS,
-) -> DataFrame:
-    """`large` joined to `small`, every key spread over `buckets` partitions.
-
-    The salt is a hash of row values, so a recomputed task gives the same rows. Only joins that keep or drop
-    rows of the large side are possible, as the small side is repeated.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"a salted join cannot be `{how}`")
-    spread = large.withColumn(_SALT, F.pmod(F.xxhash64(*salt_on), F.lit(buckets)).cast("int"))
-    repeated = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return spread.join(repeated, [*on, _SALT], how).drop(_SALT)
-
-
 def settled(df: DataFrame) -> DataFrame:
     """The rows kept in the checkpoint folder: computed once, and safe when an executor is lost."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -47,13 +32,32 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def join_small_side(
-    large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", *, salt_on: Sequence[str],
-    limit: int = BROADCAST_BYTES, buckets: int = SALT_BUCKETS, size: int | None = None,
+    large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", *, limit: int = BROADCAST_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Pass `size` for a small side that was settled and measured before, or is a part of one that was."""
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a join to a small side cannot be `{how}`")
     if size is None:
         small = settled(small)
         size = measured_bytes(small)
-    if size <= limit:
-        return large.join(F.broadcast(small), list(on), how)
-    return salted_join(large, small, on, how, salt_on, buckets)
+    return large.join(F.broadcast(small) if size <= limit else small, list(on), how)
+
+
+def among_values(small: DataFrame, columns: Sequence[str]) -> Column:
+    """What rows must meet to equal some row of a settled small table in each column, as literals that reach a scan.
+
+    It lets more rows pass than a join does, never fewer. A column of very many values is left out.
+    """
+    if not columns:
+        return F.lit(True)
+    counts = small.agg(*[F.count_distinct(column).alias(column) for column in columns]).first()
+    few = [column for column in columns if counts[column] <= LITERAL_VALUES]
+    values = small.agg(*[F.collect_set(c).alias(c) for c in few], *[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"{c}__null") for c in few]).first() if few else None
+
+    def one(column: str) -> Column:
+        found = sorted(values[column])
+        same = F.col(column).isin(found) if found else F.lit(False)
+        return same | F.col(column).isNull() if values[f"{column}__null"] else same
+
+    return reduce(Column.__and__, [one(column) for column in few], F.lit(True))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.constants import ERROR_LEVEL
 from tidemark.functions import base_name
@@ -26,37 +26,46 @@ def errors_only(logs: DataFrame) -> DataFrame:
 def error_rollup(logs: DataFrame, run: Sequence[str] = RUN, chunk: int = CHUNK_ERRORS) -> DataFrame:
     """Errors of every run: the last one's arguments and time, and all of them as a list in order.
 
-    `logs` has the run's columns, `seq` (the record's position in its run), and the fields of a log record. A run
-    of up to `chunk` errors is one row, as `part` 0. A run with more has one row per `chunk` positions, so that no
-    task holds all errors of a run; every part repeats the run's totals. Runs without errors do not appear.
+    `logs` has the run's columns, `seq` (the record's position in its run), and the fields of a log record. There is
+    one row for each `chunk` errors of a run, numbered by `part`, so that no task holds all errors of a run; every
+    part repeats the run's totals. Runs without errors do not appear. A null and a blank in the run's columns are two
+    runs.
     """
     run = list(run)
-    errors = errors_only(logs)
+    errors = errors_only(logs).withColumn("__run", _run_key(run)).withColumn("__block", F.floor(F.col("seq") / chunk))
     last = F.max_by(F.struct("args", "kwargs", F.col("timestamp").alias("last_error_timestamp")), "seq")
-    totals = settled(errors.groupBy(*run).agg(F.count(F.lit(1)).alias("n_errors"), last.alias("last")))
+    first = [F.first(key).alias(key) for key in run]
+    totals = settled(errors.groupBy("__run").agg(*first, F.count(F.lit(1)).alias("n_errors"), last.alias("last")))
     size = measured_bytes(totals)
-    keyed = [F.coalesce(F.col(key).cast("string"), F.lit("")).alias(f"__k{i}") for i, key in enumerate(run)]
-    on = [f"__k{i}" for i in range(len(run))]
-    sizes = totals.select(*keyed, F.col("n_errors").alias("__n"))
     fields = [field for field in ERROR_FIELDS if field in logs.columns]
-    placed = join_small_side(
-        errors.select(*keyed, "seq", *fields), sizes, on, salt_on=["seq"], size=size
-    ).withColumn("part", F.when(F.col("__n") <= chunk, F.lit(0)).otherwise(F.floor(F.col("seq") / chunk)).cast("bigint"))
-    ordered = F.sort_array(F.collect_list(F.struct("seq", *fields)))
-    parts = placed.groupBy(*on, "part").agg(ordered.alias("errors"))
-    without_seq = F.transform("errors", lambda error: error.dropFields("seq"))
-    heads = totals.select(*run, *keyed, "n_errors", "last")
-    return join_small_side(parts, heads, on, salt_on=["part"], size=size).select(
-        *run, "part", "n_errors", "last.args", "last.kwargs", "last.last_error_timestamp", without_seq.alias("errors")
+    # the position of an error is its place in its block of positions, moved by the errors of the blocks before
+    before = Window.partitionBy("__run").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = errors.groupBy("__run", "__block").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = blocks.select("__run", "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    inside = F.row_number().over(Window.partitionBy("__run", "__block").orderBy("seq", *fields))
+    placed = errors.select("__run", "__block", "seq", *fields, inside.alias("__inside")).join(offsets, ["__run", "__block"])
+    placed = placed.withColumn("__position", F.col("__offset") + F.col("__inside") - 1)
+    ordered = F.sort_array(F.collect_list(F.struct("__position", *fields)))
+    parts = placed.groupBy("__run", F.floor(F.col("__position") / chunk).cast("bigint").alias("part")).agg(ordered.alias("errors"))
+    without_position = F.transform("errors", lambda error: error.dropFields("__position"))
+    return join_small_side(parts, totals, ["__run"], size=size).select(
+        *run, "part", "n_errors", "last.args", "last.kwargs", "last.last_error_timestamp", without_position.alias("errors")
     )
 
 
-def map_index_names(runs: DataFrame, file_lists: DataFrame, run: Sequence[str]) -> DataFrame:
-    """Base name of the file a mapped run worked on: entry `map_index` of its list, null beyond the end."""
-    files = file_lists.select(*run, F.posexplode("files").alias("map_index", "__path"))
-    names = files.withColumn("map_index_name", base_name(F.col("__path"))).drop("__path")
-    keys = [*run, "map_index"]
-    return runs.join(names.withColumn("map_index", F.col("map_index").cast(runs.schema["map_index"].dataType)), keys, "left")
+def _run_key(run: Sequence[str]) -> Column:
+    """One text that tells runs apart, null from blank too."""
+    return F.to_json(F.struct(*run), {"ignoreNullFields": "false"})
+
+
+def map_index_names(runs: DataFrame, files: DataFrame, run: Sequence[str]) -> DataFrame:
+    """Base name of the file a mapped run worked on, null where it had none.
+
+    `files` has the run's columns, `map_index` and `path`. Nulls in the run's columns equal nulls.
+    """
+    key = lambda: F.concat_ws(":", F.col("map_index").cast("string"), _run_key(run))
+    names = files.select(key().alias("__run"), base_name(F.col("path")).alias("map_index_name")).dropDuplicates(["__run"])
+    return runs.withColumn("__run", key()).join(names, "__run", "left").drop("__run")
 
 
 def result_text(rollup: DataFrame) -> Column:

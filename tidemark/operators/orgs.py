@@ -18,6 +18,7 @@ from tidemark.operators.outcomes import fail_when, status_in
 
 RESULT = [
     "connection_id", "tenant", "year", "expected_lea_id", "actual_org_id", "method_used", "status", "message",
+    "n_token_ids", "n_leas", "n_via_schools",
 ]
 
 
@@ -76,71 +77,34 @@ def leas_via_schools(calendars: DataFrame, schools: DataFrame) -> DataFrame:
     )
 
 
-def _listed(ids: Column) -> Column:
-    return F.concat(F.lit("['"), F.array_join(ids, "', '"), F.lit("']"))
-
-
 def with_org(connections: DataFrame) -> DataFrame:
-    """Pick the organisation along the fallback chain and name the step that gave it."""
+    """Pick the organisation along the fallback chain and name the step that gave it, with what each step saw."""
     tokens = F.coalesce("token_ids", F.array().cast("array<string>"))
-    n_tokens = F.size(tokens)
+    connections = connections.withColumns({"n_token_ids": F.size(tokens), "n_leas": F.coalesce("n_leas", F.lit(0))})
+    one_token, several_tokens = F.col("n_token_ids") == 1, F.col("n_token_ids") > 1
     expected = F.coalesce(F.col("expected_lea_id").cast("string"), F.lit(""))
-    n_leas = F.coalesce("n_leas", F.lit(0))
-    n_via = F.coalesce("n_via_schools", F.lit(0))
-    token_text = F.when(n_tokens > 0, F.format_string("found_%d_leas", n_tokens)).otherwise("no_leas_found")
-    leas_text = F.format_string("found_%d_leas", n_leas)
-    via_text = F.when(F.col("n_via_schools").isNull(), "no_schools_in_calendars").otherwise(
-        F.format_string("found_%d_leas_via_schools", n_via)
-    )
-    actual = (
-        F.when(n_tokens == 1, F.when(F.get(tokens, F.lit(0)) == expected, expected))
-        .when(n_tokens > 1, F.lit(None))
-        .when(n_leas == 1, F.col("lea_from_list"))
-        .when(n_via == 1, F.col("lea_from_schools"))
+    as_expected = F.get(tokens, F.lit(0)) == expected
+    step = (
+        F.when(one_token & as_expected, "token").when(one_token, "token_differs").when(several_tokens, "token_many")
+        .when(F.col("n_leas") == 1, "agencies").when(F.col("n_via_schools") == 1, "schools").otherwise("none")
     )
-    method = (
-        F.when(
-            n_tokens == 1,
-            F.when(F.get(tokens, F.lit(0)) == expected, F.concat(F.lit("token_info ("), token_text, F.lit(")"))).otherwise(
-                F.concat(F.lit("token_info_mismatch (returned: "), _listed(tokens), F.lit(", expected: "), expected, F.lit(")"))
-            ),
-        )
-        .when(n_tokens > 1, F.concat(F.lit("token_info_multiple_leas (returned: "), _listed(tokens), F.lit(")")))
-        .when(n_leas == 1, F.concat(F.lit("leas_endpoint ("), leas_text, F.lit(")")))
-        .when(n_via == 1, F.concat(F.lit("calendars_schools ("), via_text, F.lit(")")))
-        .otherwise(
-            F.concat(
-                F.lit("all_methods_failed (token_info: "), token_text, F.lit(", leas: "), leas_text,
-                F.lit(", calendars: "), via_text, F.lit(")"),
-            )
-        )
-    )
-    return connections.withColumns({"actual_org_id": actual, "method_used": method})
+    given = {"token": expected, "agencies": F.col("lea_from_list"), "schools": F.col("lea_from_schools")}
+    actual = F.coalesce(*[F.when(F.col("method_used") == name, value) for name, value in given.items()])
+    return connections.withColumn("method_used", step).withColumn("actual_org_id", actual)
 
 
 def with_status(connections: DataFrame) -> DataFrame:
     """Compare the organisation found with the expected one; a connection with an error is not compared."""
     error = F.col("error") if "error" in connections.columns else F.lit(None).cast("string")
-    expected, actual, method = F.col("expected_lea_id"), F.col("actual_org_id"), F.col("method_used")
+    expected, actual = F.col("expected_lea_id").cast("string"), F.col("actual_org_id")
     status = (
         F.when(error.isNotNull(), "ERROR").when(expected.isNull(), "NO_MAPPING").when(actual.isNull(), "NO_ORG_ID")
-        .when(same_text(expected, actual), "MATCH").otherwise("MISMATCH")
-    )
-    found_by = F.concat(F.lit(" (via "), method, F.lit(")"))
-    message = (
-        F.when(error.isNotNull(), error)
-        .when(expected.isNull(), F.concat(F.lit("No LEA ID mapping for tenant: "), "tenant"))
-        .when(actual.isNull(), F.concat(F.lit("No LEA ID found using any method ("), method, F.lit(")")))
-        .when(same_text(expected, actual), F.concat(F.lit("LEA ID matches: "), actual, found_by))
-        .otherwise(F.concat(F.lit("Expected "), expected.cast("string"), F.lit(", got "), actual, found_by))
+        .when(same_text(F.col("expected_lea_id"), actual), "MATCH").otherwise("MISMATCH")
     )
-    return connections.withColumns(
-        {
-            "status": status,
-            "message": message,
-            "actual_org_id": F.when(error.isNull(), actual),
-            "method_used": F.when(error.isNull(), method).otherwise("error"),
-        }
+    text = F.concat_ws(" ", F.concat(F.lit("wanted="), expected), F.concat(F.lit("seen="), actual), F.concat(F.lit("step="), "method_used"))
+    judged = connections.withColumns({"status": status, "message": F.coalesce(error, text)})
+    return judged.withColumns(
+        {"actual_org_id": F.when(error.isNull(), actual), "method_used": F.when(error.isNull(), F.col("method_used")).otherwise("error")}
     )
 
 
@@ -151,7 +115,7 @@ def validate_tenant_orgs(
     """One row per connection: what was expected, what was found, by which step, and the verdict."""
     parsed = parse_connections(connections, prefix, exclude)
     expected = mapping.select("tenant", F.col("expected_lea_id").cast("string").alias("expected_lea_id"))
-    rows = join_small_side(parsed, expected, ["tenant"], "left", salt_on=["connection_id"])
+    rows = join_small_side(parsed, expected, ["tenant"], "left")
     for step in (token_leas(token_orgs), listed_leas(leas), leas_via_schools(calendars, schools)):
         rows = rows.join(step, "connection_id", "left")
     return with_status(with_org(rows)).select(RESULT)

@@ -7,6 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.joins import join_small_side
+
 NEW, RESEND, FORCED = "new", "resend", "forced"
 
 
@@ -22,13 +24,11 @@ def payloads_to_send(
 
     `payloads` has `endpoint` and `payload`; `sent` has `endpoint`, `payload_hash`, `sent_at`, `status_code` with
     one row per sending, of which the last counts. Copies are one row with `copies`: the second would be skipped
-    as already sent. Both sides are reduced to one row per hash before they meet.
+    as already sent. Both sides are reduced to one row per hash before they meet, and only the texts that are to be
+    sent are moved.
     """
-    distinct = (
-        payloads.withColumn("payload_hash", payload_hash(F.col("payload")))
-        .groupBy("endpoint", "payload_hash")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("payload").alias("payload"))
-    )
+    hashed = payloads.select("endpoint", payload_hash(F.col("payload")).alias("payload_hash"), "payload")
+    distinct = hashed.groupBy("endpoint", "payload_hash").agg(F.count(F.lit(1)).alias("copies"))
     last = (
         sent.groupBy("endpoint", "payload_hash")
         .agg(F.max(F.struct("sent_at", "status_code")).alias("__last"))
@@ -37,7 +37,9 @@ def payloads_to_send(
     resend = _resend(list(resend_status_codes), older_than, newer_than)
     reason = F.when(F.lit(force), FORCED).when(F.col("__sent").isNull(), NEW).when(resend, RESEND)
     joined = distinct.join(last, ["endpoint", "payload_hash"], "left").withColumn("reason", reason)
-    return joined.filter("reason is not null").select("endpoint", "payload_hash", "payload", "copies", "reason")
+    chosen = joined.filter("reason is not null").select("endpoint", "payload_hash", "copies", "reason")
+    texts = join_small_side(hashed, chosen, ["endpoint", "payload_hash"])
+    return texts.dropDuplicates(["endpoint", "payload_hash"]).select("endpoint", "payload_hash", "payload", "copies", "reason")
 
 
 def _resend(codes: list[int], older_than, newer_than) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.joins import join_small_side
+from tidemark.operators.joins import among_values, join_small_side, measured_bytes, settled
 from tidemark.schemas import GRAIN
 
 UNBOUNDED, UNCHANGED, OUT_OF_SEQUENCE, VALID = "unbounded", "unchanged", "out_of_sequence", "valid"
@@ -31,11 +31,6 @@ def newest_versions(feed: DataFrame, by: tuple[str, ...] = ("tenant_code", "api_
     return feed.groupBy(*by).agg(F.max("change_version").alias("newest_version"))
 
 
-def newest_version(feed: DataFrame) -> Column:
-    """Newest version of the whole feed as a scalar subquery."""
-    return feed.agg(F.max("change_version")).scalar()
-
-
 def with_window_status(marks: DataFrame) -> DataFrame:
     return marks.withColumn("window_status", window_status(F.col("last_version"), F.col("newest_version")))
 
@@ -45,13 +40,31 @@ def rows_in_window(
 ) -> DataFrame:
     """Feed rows inside the window of their endpoint, with the columns of the window.
 
-    Windows that are unchanged or out of sequence take no rows.
+    Windows that are unchanged or out of sequence take no rows. What all open windows have in common, their outer
+    bounds and their keys, reaches the feed's scan as literals. Pass `size` for windows that were settled and measured.
     """
     open_windows = windows.filter(F.col("window_status").isin(VALID, UNBOUNDED))
-    joined = join_small_side(feed, open_windows, keys, salt_on=["change_version"], size=size)
+    if size is None:
+        open_windows = settled(open_windows)
+        size = measured_bytes(open_windows)
+    rows = feed.filter(among_values(open_windows, keys) & _outer_bounds(open_windows))
+    joined = join_small_side(rows, open_windows, keys, size=size)
     return joined.filter(in_window(F.col("change_version"), F.col("last_version"), F.col("newest_version")))
 
 
+def _outer_bounds(windows: DataFrame) -> Column:
+    """Versions that some window can take; no bound on a side where a window has none."""
+    low, high = F.col("last_version"), F.col("newest_version")
+    ends = windows.agg(
+        F.count(F.lit(1)).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"),
+        F.bool_or(low.isNull() | (low == 0)).alias("from_start"), F.bool_or(high.isNull()).alias("to_end"),
+    ).first()
+    if not ends["n"]:
+        return F.lit(False)
+    after = F.lit(True) if ends["from_start"] else F.col("change_version") > ends["low"]
+    return after if ends["to_end"] else after & (F.col("change_version") <= ends["high"])
+
+
 def delta_counts(
     feed: DataFrame, windows: DataFrame, keys: list[str] = GRAIN, *, size: int | None = None
 ) -> DataFrame:

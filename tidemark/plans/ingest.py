@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark import constants as C
 from tidemark.operators import endpoints as E, marks as M, outcomes as O, windows as W
 from tidemark.operators.counts import reconcile, row_counts
-from tidemark.operators.joins import join_small_side, measured_bytes, settled
+from tidemark.operators.joins import among_values, join_small_side, measured_bytes, settled
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run
 from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS, TENANT_YEAR
@@ -22,7 +21,6 @@ from tidemark.sources.tables import ANY, partition_folder, path_exists
 
 STREAM = ["kind", *GRAIN]
 OPTIONS = ["namespace", "page_size", "num_retries", "change_version_step_size", "query_parameters"]
-CONCURRENT_CLEARS = 8
 
 
 def reset_ledger(spark: SparkSession, lake: Lake, tenant_years: DataFrame | dict, names: Iterable[str] | None = None) -> None:
@@ -34,13 +32,9 @@ def reset_ledger(spark: SparkSession, lake: Lake, tenant_years: DataFrame | dict
 
 def clear_shared(spark: SparkSession, lake: Lake, tenant_years: DataFrame, names: list[str] | None = None) -> None:
     """Empty the deletes and key changes of some tenant-years before they are loaded afresh."""
-    grains = [
-        {"kind": kind, **row.asDict()}
-        for row in tenant_years.select(*TENANT_YEAR).toLocalIterator()
-        for kind in (C.RESOURCE_DELETES, C.RESOURCE_KEY_CHANGES)
-    ]
-    with ThreadPoolExecutor(CONCURRENT_CLEARS) as pool:
-        list(pool.map(lambda within: grain.clear(spark, lake.raw, RAW, RAW_PARTITIONS, within, names), grains))
+    for row in tenant_years.select(*TENANT_YEAR).toLocalIterator():
+        for kind in (C.RESOURCE_DELETES, C.RESOURCE_KEY_CHANGES):
+            grain.clear(spark, lake.raw, RAW, RAW_PARTITIONS, {"kind": kind, **row.asDict()}, names)
 
 
 def stream_windows(streams: DataFrame, ledger: DataFrame, newest: DataFrame) -> DataFrame:
@@ -66,7 +60,8 @@ def ingest_incremental(
     requested: Iterable[str] | None = None, newest: int | None = None, has_change_versions: bool = True,
     delta_check: bool = True, get_key_changes: bool = True, ods_version: str | None = None,
     data_model_version: str | None = None, through_landing: bool = False,
-    pull: Callable[[DataFrame], DataFrame] | None = None,
+    pull: Callable[[DataFrame], DataFrame] | None = None, pull_counts: Callable[[DataFrame], DataFrame] | None = None,
+    find_versions: Callable[[], tuple[str | None, str | None]] | None = None,
 ) -> DataFrame:
     """Load what is new in a feed and return one row per stream with what became of it.
 
@@ -75,13 +70,16 @@ def ingest_incremental(
     at the start, so that a run is consistent.
 
     A source that is no table is given as `pull` in place of the feed: a function from due windows, with the options of
-    their endpoints, to rows of `kind`, the grain and `payload`; `newest` must then be given.
+    their endpoints, to rows of `kind`, the grain and `payload`; `newest` must then be given. `pull_counts` tells the
+    rows `n` to expect of each of these streams: streams without any are not pulled, and one that falls short of its
+    count has failed. `find_versions` asks the source for the versions that are not given.
 
-    Data are written before marks, and marks only for what was loaded: a run that breaks off is pulled again, and a
+    Data are written before marks, and marks only for what was loaded whole: a run that breaks off is pulled again, and a
     run repeated with the same `run_at` replaces its own rows. `through_landing` keeps the pulled rows as JSON lines
     and loads them from there.
     """
-    ods, model = resolve_versions(ods_version, data_model_version, has_change_versions=has_change_versions)
+    found = find_versions() if find_versions and has_change_versions and not (ods_version and data_model_version) else (None, None)
+    ods, model = resolve_versions(ods_version, data_model_version, found=found, has_change_versions=has_change_versions)
     moment = run_moment(run_at)
     replacing = full_refresh or not has_change_versions
     scope = M.in_grain(tenant_code, api_year)
@@ -107,18 +105,21 @@ def ingest_incremental(
     windows = settled(stream_windows(streams, lake.read_ledger(spark, one), versions))
     size = measured_bytes(windows)
     keys = E.parameter_keys(windows)
-    if own_feed is None or not delta_check:
+    if not delta_check or (own_feed is None and pull_counts is None):
         windows = windows.withColumn("n", F.lit(None).cast("bigint"))
     else:
-        versions_only = own_feed.select(*STREAM, "change_version", *keys)
-        counts = row_counts(due_rows(versions_only, windows, size, keys), STREAM)
+        if own_feed is None:
+            counts = pull_counts(windows.filter(F.col("window_status").isin(W.VALID, W.UNBOUNDED))).select(*STREAM, "n")
+        else:
+            versions_only = own_feed.select(*STREAM, "change_version", *keys)
+            counts = row_counts(due_rows(versions_only, windows, size, keys), STREAM)
         windows = settled(windows.join(counts, STREAM, "left").withColumn("n", F.coalesce("n", F.lit(0))))
     due = windows.filter(F.col("window_status").isin(W.VALID, W.UNBOUNDED) & F.coalesce(F.col("n") > 0, F.lit(True)))
     pulled = due_rows(own_feed, due, size, keys) if pull is None else pull(due)
 
     if through_landing:
         lines = _through_landing(spark, lake, pulled, one, moment, ods, model)
-        rows = _of_streams(lines, due, size, salt_on=["filename", "file_row_number"])
+        rows = _of_streams(lines, due, size)
     else:
         rows = _envelope(pulled, moment, ods, model)
     if replacing:
@@ -126,11 +127,13 @@ def ingest_incremental(
     else:
         store_raw_run(rows, lake, run_at=moment, streams=due.select(*STREAM), size=size, within=raw_folder)
 
-    of_run = lake.read_raw(spark, raw_folder).filter(F.col("pull_timestamp") == moment)
+    written = lake.read_raw(spark, raw_folder).filter(among_values(due, STREAM))
+    of_run = written.filter(F.col("pull_timestamp") == moment)
     loaded = row_counts(of_run, STREAM, "pulled_rows")
-    landed = settled(_of_streams(loaded, due, size, salt_on=["pulled_rows"]))
+    landed = settled(_of_streams(loaded, due, size))
     if has_change_versions:
-        marked = O.succeeded(due, landed, STREAM).select(
+        whole = due.join(landed, STREAM).filter(F.coalesce(F.col("pulled_rows") >= F.col("n"), F.lit(True)))
+        marked = O.succeeded(due, whole, STREAM).select(
             *STREAM, F.col("newest_version").alias("max_version"), moment.cast("date").alias("pull_date"),
             moment.alias("pull_timestamp"),
         )
@@ -148,9 +151,9 @@ def _newest(feed: DataFrame, endpoints: DataFrame, newest: int | None, has_chang
     return endpoints.select(*TENANT_YEAR).distinct().withColumn("newest_version", F.lit(newest).cast("bigint"))
 
 
-def _of_streams(rows: DataFrame, streams: DataFrame, size: int, salt_on: list[str]) -> DataFrame:
+def _of_streams(rows: DataFrame, streams: DataFrame, size: int) -> DataFrame:
     """Rows of some streams."""
-    return join_small_side(rows, streams.select(*STREAM), STREAM, "left_semi", salt_on=salt_on, size=size)
+    return join_small_side(rows, streams.select(*STREAM), STREAM, "left_semi", size=size)
 
 
 def _envelope(pulled: DataFrame, moment: Column, ods: str, model: str) -> DataFrame:
@@ -180,6 +183,7 @@ def _outcomes(windows: DataFrame, landed: DataFrame) -> DataFrame:
     counts = reconcile(landed, windows.select(*STREAM, F.col("n").alias("expected_rows")), STREAM)
     outcome = (
         F.when(F.col("window_status") == W.OUT_OF_SEQUENCE, O.FAILED)
+        .when(F.coalesce("pulled_rows", F.lit(0)) < F.col("n"), O.FAILED)
         .when(F.coalesce("pulled_rows", F.lit(0)) > 0, O.SUCCESS)
         .when((F.col("window_status") == W.UNCHANGED) | F.coalesce(F.col("n") == 0, F.lit(True)), O.SKIPPED)
         .otherwise(O.FAILED)

@@ -33,7 +33,8 @@ def append_error_rollup(logs: DataFrame, lake: Lake, file_lists: DataFrame | Non
 def captured(spark: SparkSession, lake: Lake, run: dict, work: Callable, *args, **kwargs):
     """Run `work`; when it raises, log the error with the arguments and raise it again.
 
-    `run` has the tenant, year, run type, date and timestamp, and may have `grain_update`.
+    `run` has the tenant, year, run type, date and timestamp, and may have `grain_update`, and for mapped work
+    `map_index` and the `path` of the file it works on.
     """
     try:
         return work(*args, **kwargs)
@@ -41,13 +42,17 @@ def captured(spark: SparkSession, lake: Lake, run: dict, work: Callable, *args,
         frame = traceback.extract_tb(error.__traceback__)[-1]
         record = (
             datetime.now(timezone.utc).isoformat(), "tidemark", ERROR_LEVEL,
-            f"{type(error).__name__} raised during task execution: {error}", frame.filename, frame.lineno,
+            f"work stopped by {type(error).__name__}: {error}", frame.filename, frame.lineno,
             {str(i): _text(value) for i, value in enumerate(args)}, {key: _text(value) for key, value in kwargs.items()},
         )
         logs = spark.createDataFrame([record], LOG_RECORD).withColumn("seq", F.lit(0).cast("bigint"))
         own = {"grain_update": None, **run}
-        logs = logs.withColumns({key: F.lit(own[key]) for key in RUN})
-        append_error_rollup(logs, lake)
+        logs = logs.withColumns({key: F.lit(own[key]).cast("string" if own[key] is None else "int" if key == "api_year" else "string") for key in RUN})
+        files = None
+        if run.get("map_index") is not None:
+            logs = logs.withColumn("map_index", F.lit(int(run["map_index"])))
+            files = logs.select(*RUN, "map_index", F.lit(run.get("path")).cast("string").alias("path"))
+        append_error_rollup(logs, lake, files)
         raise
 
 

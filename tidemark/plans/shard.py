@@ -7,11 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from os import PathLike
 from posixpath import basename
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.joins import join_small_side
-from tidemark.sources.csvs import read_text_columns
+from tidemark.sources.csvs import MALFORMED, read_text_columns, well_formed
+from tidemark.sources.tables import path_kind
 
 TENANT, YEAR = "tenant_code", "api_year"
 CONCURRENT_FILES = 4
@@ -26,37 +26,42 @@ def partition_on_tenant_and_year(
     """Write every CSV to a parquet folder of its base name, partitioned by tenant and year.
 
     All columns stay text. Rows whose tenant or year is blank or not in its map are in the null partition; see
-    `rejected_rows`. Returns the folders written.
+    `rejected_rows`. Records with more or fewer fields than the header, or a line break inside quotes without
+    `multiline`, are no rows: they are kept as text in `_malformed/` and their base name, below the output. Returns the
+    folders written.
     """
     paths = [str(path) for path in (csv_paths if isinstance(csv_paths, (list, tuple)) else [csv_paths])]
     for path in paths:
         if not path.endswith(".csv"):
-            raise ValueError(f"{path!r} is not a file whose name ends with '.csv'")
+            raise ValueError(f"expected a name in .csv, got {path!r}")
     stems = [basename(path).removesuffix(".csv") for path in paths]
     if len(set(stems)) < len(stems):
         raise ValueError("two inputs have the same base name and would overwrite each other")
     targets = [f"{str(output_dir).rstrip('/')}/{stem}" for stem in stems]
 
-    def read(path: str) -> DataFrame:
-        return shard_rows(_read(spark, path, multiline), tenant_col, tenant_map, year_col, year_map)
+    def write(source: tuple[DataFrame, str, str]) -> None:
+        records, target, stem = source
+        malformed = Observation()
+        counted = records.observe(malformed, F.count(MALFORMED).alias("n"))
+        write_shards(shard_rows(well_formed(counted), tenant_col, tenant_map, year_col, year_map), target)
+        if malformed.get["n"]:
+            # the reader gives this text only together with another column
+            text = F.coalesce(F.col(MALFORMED), F.col(f"`{records.columns[0]}`"))
+            texts = records.where(F.col(MALFORMED).isNotNull()).select(text.alias("value"))
+            texts.write.mode("overwrite").text(f"{str(output_dir).rstrip('/')}/_malformed/{stem}")
 
     with ThreadPoolExecutor(CONCURRENT_FILES) as pool:
-        shards = list(pool.map(read, paths))
-        list(pool.map(write_shards, shards, targets))
+        records = list(pool.map(lambda path: _read(spark, path, multiline), paths))
+        for own in records:
+            shard_rows(well_formed(own), tenant_col, None, year_col, None)  # names are checked before anything is written
+        list(pool.map(write, zip(records, targets, stems)))
     return targets
 
 
 def _read(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
-    try:
-        rows = read_text_columns(spark, path, multiline=multiline)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise ValueError(f"{path!r} is not a path to a file") from error
-    files = rows.inputFiles()
-    if len(files) != 1 or basename(files[0]) != basename(path).replace(" ", "%20"):
-        raise ValueError(f"{path!r} is a folder, not a file")
-    return rows
+    if path_kind(spark, path) != "file":
+        raise ValueError(f"there is no file {path!r}")
+    return read_text_columns(spark, path, multiline=multiline)
 
 
 def shard_rows(
@@ -83,13 +88,17 @@ def _mapped(rows: DataFrame, column: str, mapping: Mapping[str, str] | None) ->
     """
     if mapping is None:
         return rows
-    if len(mapping) <= LITERAL_ENTRIES:
-        literal = F.create_map(*[F.lit(str(part)) for pair in mapping.items() for part in pair])
-        return rows.withColumn(column, literal[F.col(column)])
-    pairs = [(str(key), str(value)) for key, value in mapping.items()]
+    texts: dict[str, str] = {}
+    for key, value in mapping.items():
+        if texts.setdefault(str(key), str(value)) != str(value):
+            raise ValueError(f"a map has two values for {str(key)!r}")
+    if len(texts) <= LITERAL_ENTRIES:
+        literal = F.create_map(*[F.lit(part) for pair in texts.items() for part in pair]) if texts else F.lit(None)
+        return rows.withColumn(column, literal[F.col(column)] if texts else literal.cast("string"))
+    pairs = list(texts.items())
     table = rows.sparkSession.createDataFrame(pairs, f"{column} string, __mapped string")
     size = sum(len(key) + len(value) for key, value in pairs)
-    joined = join_small_side(rows, table, [column], "left", salt_on=rows.columns, size=size)
+    joined = join_small_side(rows, table, [column], "left", size=size)
     return joined.withColumn(column, F.col("__mapped")).drop("__mapped")
 
 

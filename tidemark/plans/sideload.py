@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession, functions as F
 from tidemark import constants as C
 from tidemark.functions import camel_to_snake
 from tidemark.operators.routing import sideload_name, sideload_table
+from tidemark.operators.endpoints import snake_names
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import resolve_versions, store_raw
 from tidemark.sources.landing import raw_envelope, scan_landing, with_row_numbers
@@ -28,10 +29,8 @@ def sideload(
         lines, ods_version=ods, data_model_version=model, tenant_code=tenant_code, api_year=api_year, kind=C.RESOURCES
     )
     snake = camel_to_snake(F.col("name"))
-    asked = spark.createDataFrame([(endpoint,) for endpoint in wanted], "name string").select(
-        camel_to_snake(F.col("name")).alias("__asked")
-    )
-    chosen = rows.join(asked.distinct(), snake == F.col("__asked"), "left_semi")
+    asked = snake_names(spark, wanted).select(F.col("name").alias("__asked"))
+    chosen = rows.join(F.broadcast(asked), snake == F.col("__asked"), "left_semi")  # as many rows as were asked for
     shared = sideload_table(F.col("name")) == C.DESCRIPTORS_TABLE
     named = chosen.withColumns(
         {"kind": F.when(shared, C.DESCRIPTORS).otherwise(C.RESOURCES), "name": sideload_name(F.col("name"), run_type)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,7 +26,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **settings:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a new local one only in local mode without a setting."""
+    """The shared folder that `spark.checkpoint.dir` names. Without it, a new local folder where all runs in one process."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
@@ -35,7 +36,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     context.setCheckpointDir(made)

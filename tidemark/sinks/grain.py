@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.joins import BROADCAST_BYTES, measured_bytes, settled
-from tidemark.sources.tables import partition_folder, path_exists, read_or_empty
+from tidemark.operators.joins import BROADCAST_BYTES, among_values, measured_bytes, settled
+from tidemark.sources.tables import partition_folder, read_or_empty, remove_folder
 
 
 def _writer(df: DataFrame, schema: T.StructType, partition_by: Sequence[str], mode: str, balance: bool = True):
@@ -48,12 +48,13 @@ def insert_once(
     """
     keys = None if among is None else _Keys(among, size)
     table = read_or_empty(df.sparkSession, path, schema, within)
-    earlier = table.filter(again)
+    earlier = table.filter(again) if keys is None else table.filter(keys.among(partition_by)).filter(again)
     if keys is not None:
         earlier = keys.semi(earlier)
     if not earlier.isEmpty():
         touched = settled(earlier.select(*partition_by).distinct())
-        kept = _Keys(touched, measured_bytes(touched)).semi(table)
+        swapped = _Keys(touched, measured_bytes(touched))
+        kept = swapped.semi(table.filter(swapped.among(partition_by)))
         stale = F.coalesce(again, F.lit(False))
         kept = kept.filter(~stale) if keys is None else keys.without(kept, stale)
         _swap(kept, touched, path, schema, partition_by)
@@ -67,10 +68,15 @@ class _Keys:
         if size is None:
             keys = settled(keys.distinct())
             size = measured_bytes(keys)
+        self.keys = keys
         table = keys.select(*[F.col(column).alias(f"__{column}") for column in keys.columns])
         self.table = F.broadcast(table) if size <= BROADCAST_BYTES else table
         self.same = reduce(Column.__and__, [F.col(column).eqNullSafe(F.col(f"__{column}")) for column in keys.columns])
 
+    def among(self, partition_by: Sequence[str]) -> Column:
+        """The partitions that the keys can be in, as literals: a join by itself prunes none."""
+        return among_values(self.keys, [column for column in partition_by if column in self.keys.columns])
+
     def semi(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.table, self.same, "left_semi")
 
@@ -86,7 +92,8 @@ def rewrite(
     """Replace partitions by a changed version: one, given by its values, or those of a small table."""
     if isinstance(partitions, DataFrame):
         touched = settled(partitions.select(*partition_by).distinct())
-        rows = _Keys(touched, measured_bytes(touched)).semi(read_or_empty(spark, path, schema))
+        own = _Keys(touched, measured_bytes(touched))
+        rows = own.semi(read_or_empty(spark, path, schema).filter(own.among(partition_by)))
     else:
         touched = spark.range(1).select(*[F.lit(partitions[column]).alias(column) for column in partition_by])
         rows = read_or_empty(spark, path, schema, partitions)
@@ -108,29 +115,19 @@ def _swap(rows: DataFrame, touched: DataFrame, path: str, schema, partition_by:
         replace(staged, path, schema, partition_by)
     left = _Keys(staged.select(*partition_by))
     for row in left.without(touched, F.lit(True)).toLocalIterator():
-        _clear_leaf(rows.sparkSession, path, schema, partition_by, row.asDict())
+        remove_folder(rows.sparkSession, partition_folder(path, {column: row[column] for column in partition_by}))
 
 
 def clear(
     spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str], within: Mapping[str, object],
     names: Iterable[str] | None = None,
 ) -> None:
-    """Remove all rows of a grain: everything below leading partition values, or only the named last partitions."""
-    if names is not None:
-        for name in names:
-            _clear_leaf(spark, path, schema, partition_by, {**within, partition_by[-1]: name})
-        return
-    rest = [column for column in partition_by if column not in within]
-    if not rest:
-        _clear_leaf(spark, path, schema, partition_by, within)
-        return
-    folder = partition_folder(path, within)
-    if path_exists(spark, folder):
-        nothing = spark.createDataFrame([], schema).drop(*within)
-        nothing.write.mode("overwrite").partitionBy(*rest).parquet(folder)
-
-
-def _clear_leaf(spark, path: str, schema, partition_by: Sequence[str], partition: Mapping[str, object]) -> None:
-    folder = partition_folder(path, {column: partition[column] for column in partition_by})
-    if path_exists(spark, folder):
-        spark.createDataFrame([], schema).drop(*partition_by).write.mode("overwrite").parquet(folder)
+    """Remove all rows of a grain: everything below leading partition values, or only the named last partitions.
+
+    The folders are removed in the file system; no Spark job runs.
+    """
+    leading = {column: within[column] for column in partition_by if column in within}
+    if names is None:
+        remove_folder(spark, partition_folder(path, leading))
+    for name in names or ():
+        remove_folder(spark, partition_folder(path, {**leading, partition_by[-1]: name}))

@@ -30,9 +30,11 @@ def with_run_folders(df: DataFrame, run_at: Column) -> DataFrame:
 def write_landing(df: DataFrame, root: str, payload: str = "payload") -> None:
     """JSON lines below the landing folder, one folder per tenant, year, run, kind and endpoint.
 
-    Only the folders of this run are replaced, so a repeated run leaves one copy.
+    Only the folders of this run are replaced, so a repeated run leaves one copy. A payload over several lines is
+    written as one; one that is no JSON stops the run.
     """
-    lines = df.select(*LANDING_PARTITIONS, F.col(payload).alias("value")).hint("rebalance", *LANDING_PARTITIONS)
+    one_line = F.to_json(F.parse_json(payload))
+    lines = df.select(*LANDING_PARTITIONS, one_line.alias("value")).hint("rebalance", *LANDING_PARTITIONS)
     writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*LANDING_PARTITIONS).text(root)
 

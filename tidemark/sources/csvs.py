@@ -13,10 +13,41 @@ from tidemark.schemas import MATCH_RATE_FILE
 _QUOTES = {"quote": '"', "escape": '"'}
 
 
+#: Column of the text of records that do not fit the header, null for rows that do.
+MALFORMED = "__malformed"
+
+
 def read_text_columns(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
-    """A CSV with a header, every column as text. Blanks are empty text and `NA` stays `NA`."""
+    """A CSV with a header, every column as text, and the text of malformed records in `MALFORMED`.
+
+    Blanks are empty text and `NA` stays `NA`. A record is malformed when it has more or fewer fields than the header.
+    A line break ends a record, also inside quotes, unless `multiline` is set; what it tears apart is malformed.
+    """
     reader = spark.read.options(**_QUOTES).option("header", True).option("multiLine", multiline)
-    return reader.csv(path).na.fill("")
+    names = reader.csv(path).columns
+    schema = T.StructType([*(T.StructField(name, T.StringType()) for name in names), T.StructField(MALFORMED, T.StringType())])
+    if multiline:
+        # all fields are read whatever is asked for, as only a whole record can be seen to be malformed
+        reader = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+        return reader.csv(path).na.fill("", names)
+    lines = spark.read.text(path)
+    first = lines.first()
+    # a file's own header; the reader by itself would take an open quote for a value
+    header = (F.col("_metadata.file_block_start") == 0) & (F.col("value") == F.lit(first["value"] if first else ""))
+    lines = lines.filter(~header & (F.trim("value") != "")).select("value")
+    record = F.from_csv("value", _ddl(schema), {**_QUOTES, "columnNameOfCorruptRecord": MALFORMED})
+    torn = F.regexp_count("value", F.lit('"')) % 2 == 1
+    rows = lines.select("value", record.alias("r"))
+    text = F.when(torn, F.col("value")).otherwise(F.col(f"r.{MALFORMED}")).alias(MALFORMED)
+    return rows.select(*[F.col(f"r.`{name}`") for name in names], text).na.fill("", names)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join("`" + name.replace("`", "``") + "` string" for name in schema.names)
+
+
+def well_formed(records: DataFrame) -> DataFrame:
+    return records.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
 def read_positional(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:

@@ -35,15 +35,42 @@ def roster_of(roster: DataFrame, tenant_code: str, api_year: int, parameters: Ma
 
 
 def pull_slices(
-    windows: DataFrame, fetch: Callable[[dict, int, int], list[str]], *, partitions: int, reverse: bool = True
+    windows: DataFrame, fetch: Callable[[dict, int, int], list[str]], *, partitions: int, reverse: bool = True,
+    count: Callable[[dict], int] | None = None,
 ) -> DataFrame:
     """Records of a paged source, one slice of a window at a time, slices spread over the executors.
 
     `windows` has the grain, the bounds, and the options of the endpoints. `fetch(slice, offset, page_size)` returns
-    one page of JSON texts, an empty one past the end; it runs inside the tasks. A page that fails is tried again.
-    A window without both bounds is one slice. With `reverse` the last slices go first, as rows that change while
-    they are read move to the end.
+    one page of JSON texts, an empty one past the end; it runs inside the tasks. A page may be shorter than asked for:
+    only an empty one ends a slice. A page that fails is tried again. A window without both bounds is one slice.
+
+    With `reverse` the last slices go first, and where `count(slice)` tells the rows of a slice, its last page goes
+    first as well: a row that changes while it is read moves to the end, and what moves up was not yet read.
     """
+    spread, keys = _spread_slices(windows, partitions, reverse)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for piece in _pieces(batches):
+            for page in _pages(fetch, piece, count if reverse else None):
+                yield pd.DataFrame({**{key: piece[key] for key in keys}, "payload": page})
+
+    return spread.mapInPandas(read, f"{_key_types(spread, keys)}, payload string")
+
+
+def count_slices(windows: DataFrame, count: Callable[[dict], int], *, partitions: int) -> DataFrame:
+    """Rows that a paged source tells for every stream, slices asked in the tasks."""
+    spread, keys = _spread_slices(windows, partitions, reverse=False)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for piece in _pieces(batches):
+            tries = _tries(piece)
+            yield pd.DataFrame({**{key: [piece[key]] for key in keys}, "n": [int(_attempt(lambda: count(piece), tries))]})
+
+    counted = spread.mapInPandas(ask, f"{_key_types(spread, keys)}, n bigint")
+    return counted.groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
+def _spread_slices(windows: DataFrame, partitions: int, reverse: bool) -> tuple[DataFrame, list[str]]:
     keys = [column for column in ("kind", "tenant_code", "api_year", "name") if column in windows.columns]
     options = [column for column in ("namespace", "page_size", "num_retries") if column in windows.columns]
     parameters = ["query_parameters"] if "query_parameters" in windows.columns else []
@@ -51,35 +78,51 @@ def pull_slices(
         *keys, *options, "slice", "slice_min", "slice_max", *[F.to_json(column).alias(column) for column in parameters]
     )
     order = F.desc("slice") if reverse else F.asc("slice")
-    spread = slices.repartition(partitions, *keys, "slice").sortWithinPartitions(*keys, order)
-    out = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in spread.schema if field.name in keys)
+    return slices.repartition(partitions, *keys, "slice").sortWithinPartitions(*keys, order), keys
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for piece in batch.astype(object).where(batch.notna(), None).to_dict("records"):
-                if parameters:
-                    piece["query_parameters"] = json.loads(piece["query_parameters"] or "{}")
-                for page in _pages(fetch, piece):
-                    yield pd.DataFrame({**{key: piece[key] for key in keys}, "payload": page})
-
-    return spread.mapInPandas(read, f"{out}, payload string")
-
-
-def _pages(fetch, piece: dict) -> Iterator[list[str]]:
-    size = int(piece.get("page_size") or DEFAULT_PAGE_SIZE)
-    tries = int(DEFAULT_NUM_RETRIES if piece.get("num_retries") is None else piece["num_retries"])
-    offset, page = 0, None
-    while page is None or len(page) == size:
-        page = _attempt(fetch, piece, offset, size, tries)
-        if page:
+
+def _key_types(rows: DataFrame, keys: list[str]) -> str:
+    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in rows.schema if field.name in keys)
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+    for batch in batches:
+        for piece in batch.astype(object).where(batch.notna(), None).to_dict("records"):
+            if "query_parameters" in piece:
+                piece["query_parameters"] = json.loads(piece["query_parameters"] or "{}")
+            yield piece
+
+
+def _tries(piece: dict) -> int:
+    return int(DEFAULT_NUM_RETRIES if piece.get("num_retries") is None else piece["num_retries"])
+
+
+def _pages(fetch, piece: dict, count: Callable[[dict], int] | None) -> Iterator[list[str]]:
+    size, tries = int(piece.get("page_size") or DEFAULT_PAGE_SIZE), _tries(piece)
+
+    def stretch(start: int, end: int | None) -> Iterator[list[str]]:
+        """Pages from a start up to an end, or to the empty page."""
+        offset = start
+        while end is None or offset < end:
+            page = _attempt(lambda: fetch(piece, offset, size if end is None else end - offset), tries)
+            if not page:
+                return
             yield page
-        offset += len(page)
+            offset += len(page)
+
+    if count is None:
+        yield from stretch(0, None)
+        return
+    total = int(_attempt(lambda: count(piece), tries))
+    yield from stretch(total, None)  # what came after the count
+    for start in range((total - 1) // size * size if total else -1, -1, -size):
+        yield from stretch(start, min(start + size, total))
 
 
-def _attempt(fetch, piece: dict, offset: int, size: int, tries: int) -> list[str]:
+def _attempt(ask: Callable[[], object], tries: int):
     while True:
         try:
-            return fetch(piece, offset, size)
+            return ask()
         except Exception:
             if tries == 0:
                 raise

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions import decoded_path, landing_lineage
+from tidemark.operators.joins import join_small_side
 from tidemark.schemas import RAW
+from tidemark.sources.tables import list_files
 
-LANDING_GLOB = "*.{json,jsonl,txt}"
+#: Files that are read; `unread_files` tells the others.
+LANDING_GLOB = "*.{json,jsonl,ndjson,txt,json.gz,jsonl.gz,ndjson.gz,txt.gz}"
+_READ = r"\.(json|jsonl|ndjson|txt)(\.gz)?$"
 
 
 def scan_landing(spark: SparkSession, *paths: str, glob: str = LANDING_GLOB) -> DataFrame:
@@ -36,25 +40,36 @@ def _with_origin(lines: DataFrame) -> DataFrame:
     ).filter(F.trim("value") != "")
 
 
+def unread_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files below a folder that `scan_landing` passes over."""
+    return list_files(spark, path).filter(~F.col("path").rlike(_READ))
+
+
 def with_row_numbers(lines: DataFrame) -> DataFrame:
     """Position of every line in its file, from 1.
 
-    Lines are numbered inside each block of a file and moved by the lines of the blocks before it. A block is
-    never longer than a read split, so a huge file is numbered by many tasks. The offset of a block depends only
-    on where it starts; a block without one stops the query instead of numbering wrongly. What the path tells is
-    read once per block and kept in `origin`, so that `raw_envelope` need not read it for every line.
+    A task reads the lines of a block of a file one after the other, so the ids that Spark gives to rows run on inside
+    a block. A line's position is its id less its block's first id, moved by the lines of the blocks before: only one
+    row for each block is shuffled, no text. Where a scan was cut otherwise than the one that found the blocks, the
+    query stops instead of numbering wrongly. What the path tells is read once per block and kept in `origin`, so that
+    `raw_envelope` need not read it for every line.
     """
     block = ["file_path", "block_start"]
+    numbered = lines.withColumn("__id", F.monotonically_increasing_id())
     before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        lines.groupBy(*block).agg(F.count(F.lit(1)).alias("__lines"))
-        .select(*block, F.coalesce(F.sum("__lines").over(before), F.lit(0)).alias("__offset"), _origin().alias("origin"))
+    found = numbered.groupBy(*block).agg(
+        F.count(F.lit(1)).alias("__lines"), F.min("__id").alias("__first"), F.min_by(F.xxhash64("value"), "__id").alias("__hash")
+    )
+    offsets = found.withColumn("__offset", F.coalesce(F.sum("__lines").over(before), F.lit(0))).withColumn("origin", _origin())
+    inside = F.col("__id") - F.col("__first")
+    wrong = (
+        F.col("__offset").isNull() | (inside < 0) | (inside >= F.col("__lines"))
+        | ((inside == 0) & (F.xxhash64("value") != F.col("__hash")))
     )
-    inside = F.row_number().over(Window.partitionBy(*block).orderBy("__order"))
-    numbered = lines.withColumn("__order", F.monotonically_increasing_id()).withColumn("__inside", inside)
-    missing = F.raise_error(F.lit("a file changed while it was numbered")).cast("bigint")
-    number = F.col("__inside").cast("bigint") + F.coalesce(F.col("__offset"), missing)
-    return numbered.join(offsets, block, "left").withColumn("file_row_number", number).drop("__order", "__inside", "__offset")
+    stop = F.raise_error(F.lit("files changed, or were cut otherwise, while they were numbered")).cast("bigint")
+    number = F.when(wrong, stop).otherwise(F.col("__offset") + inside + 1)
+    joined = join_small_side(numbered, offsets, block, "left")
+    return joined.withColumn("file_row_number", number).drop("__id", "__first", "__lines", "__hash", "__offset")
 
 
 def _origin() -> Column:

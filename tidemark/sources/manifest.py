@@ -5,18 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import base_name, decoded_path, directory_name
-from tidemark.sources.tables import path_exists
-
-_SCHEMA = "path string, length bigint, modificationTime timestamp"
-
-
-def list_files(spark: SparkSession, directory: str) -> DataFrame:
-    """Path, length and time of every file below a folder; the content is not read. No folder, no rows."""
-    if not path_exists(spark, directory):
-        return spark.createDataFrame([], _SCHEMA)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-    return files.select(decoded_path(F.col("path")).alias("path"), "length", "modificationTime")
-
+from tidemark.sources.landing import with_row_numbers
+from tidemark.sources.tables import list_files
 
 def with_match(files: DataFrame, pattern: str | None = None, path: str = "path") -> DataFrame:
     """Whether the base name of a file contains a match of the pattern; without a pattern all do."""
@@ -41,15 +31,16 @@ def file_manifest(spark: SparkSession, directory: str, pattern: str | None = Non
 
 
 def file_fingerprints(spark: SparkSession, *paths: str) -> DataFrame:
-    """A fingerprint of the lines of every text file, whatever its size.
+    """A fingerprint of the lines of every text file and their order, whatever its size and however it is cut.
 
-    Hashes of single lines are summed and combined per file, so a file is never in one task as a whole. The order
-    of the lines does not count.
+    Hashes of lines with their positions are summed per file, so a file is never in one task as a whole.
     """
-    lines = spark.read.option("recursiveFileLookup", "true").text(list(paths))
-    line_hash = F.xxhash64("value")
-    parts = lines.select(F.col("_metadata.file_path").alias("path"), line_hash.alias("h")).groupBy("path").agg(
+    lines = spark.read.option("recursiveFileLookup", "true").text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block_start")
+    )
+    placed = with_row_numbers(lines).select("file_path", F.xxhash64("file_row_number", "value").alias("h"))
+    parts = placed.groupBy("file_path").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s"), F.bit_xor("h").alias("x")
     )
     text = F.concat_ws(":", "n", "s", "x")
-    return parts.select(decoded_path(F.col("path")).alias("path"), F.sha2(text, 256).alias("content_hash"))
+    return parts.select(decoded_path(F.col("file_path")).alias("path"), F.sha2(text, 256).alias("content_hash"))

@@ -48,11 +48,34 @@ def read_or_empty(
         return spark.createDataFrame([], schema)
 
 
+def list_files(spark: SparkSession, directory: str) -> DataFrame:
+    """Path, length and time of every file below a folder; the content is not read. No folder, no rows."""
+    if not path_exists(spark, directory):
+        return spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    return files.select("path", "length", "modificationTime")  # this path is not percent-encoded
+
+
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """`file`, `folder`, or nothing where the file system has none; nothing is listed."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(hadoop):
+        return None
+    return "folder" if system.getFileStatus(hadoop).isDirectory() else "file"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether there is a file or folder; a path with `*` segments where one fits."""
+    if "*" not in path:
+        return path_kind(spark, path) is not None
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return found is not None and len(found) > 0
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all below it; nothing to do where there is none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    spark.catalog.refreshByPath(path)
