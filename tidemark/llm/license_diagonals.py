@@ -76,7 +76,7 @@ def scan(docs: DataFrame, phrases: Sequence[tuple[str, str, bool]] = PHRASES) ->
     spans = _diagonals(docs, table).join(F.broadcast(table), "phrase")
     found = spans.groupBy("__id", "__hash").agg(F.collect_list(F.struct("label", "counted", "grams", "phrase_words", "hits")).alias("spans"))
     keyed = docs.select("doc_id", *text_key(), words_of().alias("words"))
-    rows = join_small_side(keyed, found, ["__id", "__hash"], "left", salt_on=["doc_id"])
+    rows = join_small_side(keyed, found, ["__id", "__hash"], "left")
 
     def verified(span: Column, words: Column) -> Column:
         same = lambda h: F.slice(words, h["pos"] + 1, WIDTH) == F.slice(span["phrase_words"], h["at"] + 1, WIDTH)

@@ -96,12 +96,12 @@ def plan(rows: DataFrame, levels: Sequence[Level], *, share: float, epochs: int,
     leaves = settled(rows.groupBy(*names).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")))
     shares = settled(budgets(leaves, levels, share, epochs))
     part = shares.where("rest > 0").select(*names, "epochs", "rest")
-    placed = join_small_side(rows, part, names, salt_on=["doc_id"]).withColumn("place", place(seed, F.col("epochs")))
+    placed = join_small_side(rows, part, names).withColumn("place", place(seed, F.col("epochs")))
     sums = placed.groupBy(*names, "rest", F.substring("place", 1, RANGE_DIGITS).alias("range")).agg(F.sum("n_tokens").alias("n"))
     by_range = Window.partitionBy(*names).orderBy("range")
     run = sums.withColumn("upto", F.sum("n").over(by_range)).where("upto > rest")
     last = settled(run.groupBy(*names).agg(F.min(F.struct("range", (F.col("upto") - F.col("n")).alias("before"))).alias("e")).select(*names, "e.*"))
-    inside = join_small_side(placed.withColumn("range", F.substring("place", 1, RANGE_DIGITS)), last, [*names, "range"], salt_on=["doc_id"])
+    inside = join_small_side(placed.withColumn("range", F.substring("place", 1, RANGE_DIGITS)), last, [*names, "range"])
     each = inside.groupBy(*names, "rest", "before", "place").agg(F.sum("n_tokens").alias("n"))
     by_place = Window.partitionBy(*names).orderBy("place")
     taken = each.where(F.col("n") >= 0).withColumn("upto", F.col("before") + F.sum("n").over(by_place)).where("upto <= rest")
@@ -116,7 +116,7 @@ def narrow(docs: DataFrame, levels: Sequence[Level]) -> DataFrame:
 
 
 def _copies(rows: DataFrame, planned: DataFrame, names: Sequence[str], seed: int) -> DataFrame:
-    joined = join_small_side(rows, planned.select(*names, "budget", "epochs", "bound"), names, salt_on=["doc_id"])
+    joined = join_small_side(rows, planned.select(*names, "budget", "epochs", "bound"), names)
     last = F.coalesce(place(seed, F.col("epochs")) <= F.col("bound"), F.lit(False)).cast("int")
     times = F.col("epochs") + last
     return joined.where(times > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), times - 1)))
@@ -140,7 +140,7 @@ def mix_documents(docs: DataFrame, levels: Sequence[Level], *, share: float, epo
     values = [F.coalesce(level.value.cast("string"), F.lit("")).alias(n) for level, n in zip(levels, names)]
     own = [c for c in docs.columns if c != "epoch"]
     keyed = docs.select(*[F.col(f"`{c}`") for c in own], *values).where(tokens() > 0)
-    joined = join_small_side(keyed, planned, names, salt_on=["doc_id"])
+    joined = join_small_side(keyed, planned, names)
     last = F.coalesce(place(seed, F.col("__epochs")) <= F.col("__bound"), F.lit(False)).cast("int")
     times = F.col("__epochs") + last
     return joined.where(times > 0).select(*[F.col(f"`{c}`") for c in own], F.explode(F.sequence(F.lit(0), times - 1)).alias("epoch"))
