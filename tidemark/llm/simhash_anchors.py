@@ -211,7 +211,8 @@ def _groups(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     values = settled(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(values, block=block))
     rooted = values.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # settled, as in `components`: so that Spark may split the join at a root of very many values
+    least = settled(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     return rooted.join(least, "root").select("fp", "component_id")
 
 
