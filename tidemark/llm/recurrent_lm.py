@@ -132,9 +132,8 @@ def run(net: Network, state: np.ndarray, words: np.ndarray, keep: dict | None =
     return states, state
 
 
-def _by_class(words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each class with the places of its words."""
-    classes = words // CLASS_SIZE
     order = np.argsort(classes, kind="stable")
     at = np.searchsorted(classes[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
@@ -142,13 +141,22 @@ def _by_class(words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield c, order[at[c]:at[c + 1]]
 
 
+def _weights(states: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """e to the energies, and their sums."""
+    e = states @ rows.T
+    e += bias
+    np.exp(e, out=e)
+    return e, e @ np.ones(e.shape[1], dtype=e.dtype)
+
+
 def log_likelihood(net: Network, states: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Natural logarithms of the words' probabilities after the states."""
-    e = np.exp(states @ net.cls.T + net.cls_bias)
-    out = np.log(e[np.arange(len(words)), words // CLASS_SIZE] / e.sum(axis=1))
-    for c, own in _by_class(words):
-        e = np.exp(states[own] @ net.out[c].T + net.out_bias[c])
-        out[own] += np.log(e[np.arange(len(own)), words[own] % CLASS_SIZE] / e.sum(axis=1))
+    classes, places = np.divmod(words, CLASS_SIZE)
+    e, total = _weights(states, net.cls, net.cls_bias)
+    out = np.log(e[np.arange(len(words)), classes] / total)
+    for c, own in _by_class(classes):
+        e, total = _weights(states[own], net.out[c], net.out_bias[c])
+        out[own] += np.log(e[np.arange(len(own)), places[own]] / total)
     return out
 
 
@@ -160,38 +168,46 @@ def gradients(net: Network, state: np.ndarray, words: np.ndarray, targets: np.nd
     n, h2 = steps * lanes, 2 * STATE
     flat, goal = states.reshape(n, STATE), targets.ravel()
     rows = np.arange(n)
-    e = np.exp(flat @ net.cls.T + net.cls_bias)
-    e /= e.sum(axis=1, keepdims=True)
-    loss = -float(np.log(e[rows, goal // CLASS_SIZE]).sum())
-    e[rows, goal // CLASS_SIZE] -= 1
-    d_cls, d_cls_bias = e.T @ flat, e.sum(axis=0)
+    classes, places = np.divmod(goal, CLASS_SIZE)
+    e, total = _weights(flat, net.cls, net.cls_bias)
+    e /= total[:, None]
+    loss = -float(np.log(e[rows, classes]).sum())
+    e[rows, classes] -= 1
+    ones = np.ones(n, dtype=np.float32)
+    d_cls, d_cls_bias = e.T @ flat, ones @ e
     d_flat = e @ net.cls
     d_out, d_out_bias = np.zeros_like(net.out), np.zeros_like(net.out_bias)
-    for c, own in _by_class(goal):
-        mine = flat[own]
-        e = np.exp(mine @ net.out[c].T + net.out_bias[c])
-        e /= e.sum(axis=1, keepdims=True)
-        here = np.arange(len(own))
-        loss -= float(np.log(e[here, goal[own] % CLASS_SIZE]).sum())
-        e[here, goal[own] % CLASS_SIZE] -= 1
-        d_out[c], d_out_bias[c] = e.T @ mine, e.sum(axis=0)
+    for c, own in _by_class(classes):
+        mine, here = flat[own], rows[: len(own)]
+        e, total = _weights(mine, net.out[c], net.out_bias[c])
+        e /= total[:, None]
+        loss -= float(np.log(e[here, places[own]]).sum())
+        e[here, places[own]] -= 1
+        d_out[c], d_out_bias[c] = e.T @ mine, ones[: len(own)] @ e
         d_flat[own] += e @ net.out[c]
     d_states = d_flat.reshape(steps, lanes, STATE)
+    # what does not depend on later steps, for all steps at a time
+    z, r = kept["zr"][:, :, :STATE], kept["zr"][:, :, STATE:]
+    by_new = (1 - z) * (1 - kept["new"] ** 2)
+    by_z = (kept["before"] - kept["new"]) * z * (1 - z)
+    by_r = kept["own"] * r * (1 - r)
+    on = (words != END).astype(np.float32)[:, :, None]
     d_gates = np.empty((steps, lanes, 3 * STATE), dtype=np.float32)
     d_own = np.empty_like(d_gates)
     back = np.zeros((lanes, STATE), dtype=np.float32)
     inner = np.ascontiguousarray(net.inner.T)
     for t in range(steps - 1, -1, -1):
         d = d_states[t] + back
-        z, r = kept["zr"][t, :, :STATE], kept["zr"][t, :, STATE:]
-        new, before, own = kept["new"][t], kept["before"][t], kept["own"][t]
-        d_new = d * (1 - z) * (1 - new * new)
-        d_gates[t, :, :STATE] = d * (before - new) * z * (1 - z)
-        d_gates[t, :, STATE:h2] = d_new * own * r * (1 - r)
-        d_gates[t, :, h2:] = d_new
-        d_own[t, :, :h2] = d_gates[t, :, :h2]
-        d_own[t, :, h2:] = d_new * r
-        back = (d_own[t] @ inner + d * z) * (words[t] != END)[:, None]
+        gates, own = d_gates[t], d_own[t]
+        d_new = np.multiply(d, by_new[t], out=gates[:, h2:])
+        np.multiply(d, by_z[t], out=own[:, :STATE])
+        np.multiply(d_new, by_r[t], out=own[:, STATE:h2])
+        np.multiply(d_new, r[t], out=own[:, h2:])
+        back = own @ inner
+        d *= z[t]
+        back += d
+        back *= on[t]
+    d_gates[:, :, :h2] = d_own[:, :, :h2]
     d_own = d_own.reshape(n, 3 * STATE)
     d_inner = kept["before"].reshape(n, STATE).T @ d_own
     d_inputs = np.zeros_like(net.inputs)
@@ -199,7 +215,7 @@ def gradients(net: Network, state: np.ndarray, words: np.ndarray, targets: np.nd
     sorted_words = words.ravel()[order]
     first = np.flatnonzero(np.concatenate([[True], sorted_words[1:] != sorted_words[:-1]]))
     d_inputs[sorted_words[first]] = np.add.reduceat(d_gates.reshape(n, 3 * STATE)[order], first, axis=0)
-    parts = [d_inputs, d_inner, d_own.sum(axis=0), d_cls, d_cls_bias, d_out, d_out_bias]
+    parts = [d_inputs, d_inner, ones @ d_own, d_cls, d_cls_bias, d_out, d_out_bias]
     return [p / n for p in parts], loss / n, last
 
 
@@ -325,12 +341,23 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
-    """`counts` is computed before. The head is bounded and goes to the driver."""
+    """`counts` is computed before. The head, at most `head` words, goes to the driver."""
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
-    top = counts.where(F.octet_length("word") > 0).orderBy(F.desc("n"), "word").limit(head).collect()
+    # the least count is found from a histogram, so that no more than the head itself goes to the driver
+    bucket = F.floor(F.log2("n") * 64).cast("int").alias("bucket")
+    sizes = counts.where(F.octet_length("word") > 0).groupBy(bucket).count().collect()
+    least, held = None, 0
+    for row in sorted(sizes, key=lambda r: -r["bucket"]):
+        held += row["count"]
+        if held > head:
+            break
+        least = row["bucket"]
+    chosen = counts.where((F.octet_length("word") > 0) & (bucket >= F.lit(least)))
+    found = chosen.select("word", "n").toArrow()
+    top = sorted(zip(found.column("n").to_pylist(), found.column("word").to_pylist()), key=lambda r: (-r[0], r[1]))
     ends = counts.where(F.octet_length("word") == 0).first()
-    words = {END_WORD: END} | {bytes(r["word"]): i for i, r in enumerate(top, END + 1)}
-    numbers = np.array([0, ends["n"] if ends else 0, *[r["n"] for r in top]], dtype=np.int64)
+    words = {END_WORD: END} | {word: i for i, (_, word) in enumerate(top, END + 1)}
+    numbers = np.array([0, ends["n"] if ends else 0, *[n for n, _ in top]], dtype=np.int64)
     own = numbers[:WORDS]
     return Vocabulary(words, numbers, whole["n"], whole["types"], whole["n"] - int(own.sum()), whole["types"] - int((own > 0).sum()))
 
