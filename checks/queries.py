@@ -25,13 +25,13 @@ from tidemark.session import scratch_path
 from tidemark.sinks import grain
 from tidemark.sinks.jsonl import json_line, with_run_folders, write_archive, write_json_lines, write_landing
 from tidemark.sources.csvs import read_match_rates
-from tidemark.sources.feed import change_window, pull_slices, roster_of
+from tidemark.sources.feed import change_window, count_slices, pull_slices, roster_of
 from tidemark.sources.landing import raw_envelope, scan_landing, scan_variant, with_row_numbers
 from tidemark.sources import manifest
 from tidemark.sources.manifest import with_folder
 from tidemark.sources.tables import list_files
 from tidemark.sources.mappings import mapping_rows
-from tidemark.streaming.landing import ingest_landing
+from tidemark.streaming.landing import ingest_landing, refresh_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -532,6 +532,112 @@ def ingest_twice(spark, sf_dir):
     return _raw_counts(lake.read_raw(spark)).drop("newest")
 
 
+_KINDS = V.with_views("feed") + """,
+kinds as (select *, case name when 'error' then 'resource_deletes' when 'purchase' then 'resource_key_changes' when 'signup' then 'descriptors' else 'resources' end own_kind,
+                 case name when 'signup' then 'signup' when 'view' then 'view' else 'click' end own_name from feed)
+select own_kind kind, tenant_code, 2024 api_year, own_name as name, count(*) n,
+       cast(sum(cast(json_extract(payload,'$.k') as integer)) as bigint) k from kinds"""
+
+
+def _kinds(spark, sf_dir):
+    """The feed with all kinds: errors are deletes of clicks, purchases their key changes, signups a descriptor."""
+    name = F.col("name")
+    kind = (
+        F.when(name == "error", C.RESOURCE_DELETES).when(name == "purchase", C.RESOURCE_KEY_CHANGES)
+        .when(name == "signup", C.DESCRIPTORS).otherwise(C.RESOURCES)
+    )
+    feed = V.feed(spark, sf_dir).withColumn("kind", kind)
+    feed = feed.withColumn("name", F.when(name.isin("signup", "view"), name).otherwise("click"))
+    streams = feed.filter(F.col("kind").isin(C.RESOURCES, C.DESCRIPTORS)).select("kind", *GRAIN).distinct()
+    return feed, streams.withColumn("fetch_deletes", F.col("name") == "click")
+
+
+@query(_KINDS + " group by all")
+def ingest_all_kinds(spark, sf_dir):
+    """Resources, descriptors, deletes and key changes in one run."""
+    lake = _lake(spark, "kinds")
+    feed, known = _kinds(spark, sf_dir)
+    ingest_incremental(spark, lake, feed, known, run_at="2024-02-01 00:00:00", ods_version="7.1", data_model_version="5.0")
+    return _raw_counts(lake.read_raw(spark)).drop("newest")
+
+
+@query(_KINDS + " where own_kind in ('resources', 'descriptors') group by all")
+def refresh_clears_shared(spark, sf_dir):
+    """A full refresh after a run of the early feed: rows are replaced, deletes and key changes emptied."""
+    lake = _lake(spark, "shared")
+    feed, known = _kinds(spark, sf_dir)
+    early = feed.filter(F.col("ts") < F.lit(V.CUT).cast("timestamp_ntz"))
+    options = {"ods_version": "7.1", "data_model_version": "5.0"}
+    ingest_incremental(spark, lake, early, known, run_at="2024-01-16 00:00:00", **options)
+    ingest_incremental(spark, lake, feed, known, run_at="2024-02-01 00:00:00", full_refresh=True, **options)
+    return _raw_counts(lake.read_raw(spark)).drop("newest")
+
+
+@query(
+    V.with_views("feed") + """
+select kind, tenant_code, 2024 api_year, name, 'ED-FI2' ods_version, count(*) n, 'unbounded' window_status from feed group by all"""
+)
+def source_without_versions(spark, sf_dir):
+    """A source that has no versions is taken whole each time, in unbounded windows, and replaces what was there."""
+    lake, known = _lake(spark, "unversioned"), _ingest_endpoints(spark, sf_dir)
+    feed = V.feed(spark, sf_dir).withColumn("change_version", F.lit(None).cast("bigint"))
+    for moment in ("2024-02-01", "2024-02-02"):
+        outcomes = ingest_incremental(spark, lake, feed, known, run_at=moment, has_change_versions=False)
+    counted = lake.read_raw(spark).groupBy("kind", *GRAIN, "ods_version").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(outcomes.select("kind", *GRAIN, "window_status"), ["kind", *GRAIN])
+
+
+@query(
+    V.with_views("feed") + """,
+top as (select max(change_version) newest from feed),
+named as (select distinct tenant_code, name from feed)
+select n.tenant_code, 2024 api_year, n.name, newest + 1 pulled_rows, newest + 1 expected_rows, 'match' count_status, 'success' outcome,
+       cast(newest * (newest + 1) // 2 as bigint) versions from named n, top"""
+)
+def pulled_source_run(spark, sf_dir):
+    """A run over a paged source whose pages are shorter than asked for: nothing is lost, and the count agrees."""
+    lake, known = _lake(spark, "pulled"), _ingest_endpoints(spark, sf_dir)
+    known = known.withColumns({"page_size": F.lit(400), "num_retries": F.lit(1), "change_version_step_size": F.lit(5000), "namespace": F.lit("ed-fi")})
+    newest = V.feed(spark, sf_dir).agg(F.max("change_version")).first()[0]
+
+    def fetch(piece, offset, page_size):
+        low = int(piece["slice_min"]) + offset
+        return [f'{{"version": {v}}}' for v in range(low, min(low + min(page_size, 150), int(piece["slice_max"]) + 1))]
+
+    def count(piece):
+        return int(piece["slice_max"]) - int(piece["slice_min"]) + 1
+
+    outcomes = ingest_incremental(
+        spark, lake, None, known, run_at="2024-02-01 00:00:00", newest=newest, find_versions=lambda: ("7.1", "5.0"),
+        pull=lambda due: pull_slices(due, fetch, partitions=16, count=count),
+        pull_counts=lambda due: count_slices(due, count, partitions=8),
+    )
+    versions = lake.read_raw(spark).filter("ods_version = '7.1'").groupBy(*GRAIN).agg(F.sum(F.variant_get("v", "$.version", "bigint")).alias("versions"))
+    return outcomes.select(*GRAIN, "pulled_rows", "expected_rows", "count_status", "outcome").join(versions, GRAIN)
+
+
+@query(
+    V.with_views("feed") + """
+select tenant_code, name, count(*) n, min(change_version) first_version from feed
+where tenant_code <> 't0' or ts >= timestamp '2024-01-16' group by all"""
+)
+def stream_refresh(spark, sf_dir):
+    """A tenant's grain is cleared and streamed afresh from a folder that holds only its late records."""
+    lake = _lake(spark, "stream-refresh")
+    feed = V.feed(spark, sf_dir).withColumn("payload", F.to_json(F.struct("change_version")))
+    late = feed.filter((F.col("tenant_code") == "t0") & (F.col("ts") >= F.lit(V.CUT).cast("timestamp_ntz")))
+    options = {"ods_version": "7.1", "data_model_version": "5.0"}
+    for rows, folder in ((feed, "all"), (late, "late")):
+        write_landing(with_run_folders(rows, F.date_trunc("week", "ts")), lake.path(folder))
+    ingest_landing(spark, lake, lake.path("all"), lake.path("first"), **options)
+    refresh_landing(
+        spark, lake, lake.path("late"), lake.path("second"), kind=C.RESOURCES, tenant_code="t0", api_year=2024, **options
+    )
+    return lake.read_raw(spark).groupBy("tenant_code", "name").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.variant_get("v", "$.change_version", "bigint")).alias("first_version")
+    )
+
+
 # --- counts and outcomes ---------------------------------------------------------------------------------------
 
 
