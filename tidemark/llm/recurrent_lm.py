@@ -18,17 +18,17 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tidemark.llm.common import held_out, slices, utf8
+from tidemark.llm.common import held_out, utf8
 from tidemark.operators.joins import settled
 from tidemark.session import scratch_path
 
@@ -46,7 +46,12 @@ FOLDS, FOLD = 7, 2
 #: Of eight parts of the training documents, those of each round.
 ROUNDS = ((0,), (1, 2), (3, 4, 5, 6, 7))
 _SLICE = 12 << 20
-_COUNTED = 400_000
+#: What scoring gives of a text: its tokens, those in the head, those not in the network; log-likelihood by the network; sums of
+#: log10(count + 1) of the head's words, and of those not in the network; the words outside of the head, and how often.
+OUT = pa.struct([
+    *((n, pa.int64()) for n in ("n_tokens", "n_known", "n_rare")), *((n, pa.float64()) for n in ("network", "logs", "rare_logs")),
+    ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
+])
 
 
 # --- the network -------------------------------------------------------------------------------------------------
@@ -300,21 +305,35 @@ def score_texts(net: Network, texts: list[np.ndarray]) -> np.ndarray:
 # --- the corpus --------------------------------------------------------------------------------------------------
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+def _pieces(batch: pa.Array, limit: int = _SLICE) -> Iterator[pa.Array]:
+    """Parts of a batch of about `limit` bytes."""
+    ends = np.cumsum(pc.binary_length(batch).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(batch):
+        held = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, held + limit, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, A-Z lower-cased, one after the other, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words = split.flatten()
+    text_of = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at an end makes an empty one
+    if not real.all():
+        words, text_of = words.filter(pa.array(real)), text_of[real]
+    return words, np.bincount(text_of, minlength=len(texts))
+
 
-    counts: Counter = Counter()
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for texts in slices(batch.column("b")):
-            for text in texts:
-                counts.update(text.lower().split())
-            counts[END_WORD] += len(texts)
-            if len(counts) > _COUNTED:
-                yield rows(counts)
-                counts = Counter()
-    if counts:
-        yield rows(counts)
+        for texts in _pieces(batch.column("b")):
+            counts = pc.value_counts(_words(texts)[0])
+            words = pa.concat_arrays([counts.field("values").cast(pa.binary()), pa.array([END_WORD], pa.binary())])
+            n = pa.concat_arrays([counts.field("counts").cast(pa.int64()), pa.array([len(texts)], pa.int64())])
+            yield pa.RecordBatch.from_arrays([words, n], ["word", "n"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -362,10 +381,20 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     return Vocabulary(words, numbers, whole["n"], whole["types"], whole["n"] - int(own.sum()), whole["types"] - int((own > 0).sum()))
 
 
-def _numbers(text: bytes, known: dict[bytes, int]) -> np.ndarray:
-    words = text.lower().split()
-    words.append(END_WORD)
-    return np.fromiter(map(known.get, words, repeat(RARE)), dtype=np.int32, count=len(words))
+def _numbers(texts: pa.Array, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Numbers of all tokens of some texts, each text's end included, and where each text starts; the different words,
+    and the word of each token (-1 for an end). Only different words are looked up."""
+    words, n = _words(texts)
+    coded = words.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    different = coded.dictionary.cast(pa.binary())
+    number = np.fromiter(map(known.get, different.to_pylist(), repeat(RARE)), dtype=np.int32, count=len(different))
+    place = np.arange(len(codes)) + np.repeat(np.arange(len(n)), n)  # moved by the ends before
+    word = np.full(len(codes) + len(n), -1, dtype=np.int64)
+    word[place] = codes
+    out = np.full(len(word), END, dtype=np.int32)
+    out[place] = number[codes]
+    return out, np.cumsum(n + 1) - (n + 1), different, word
 
 
 def _trained(docs: DataFrame, flat: np.ndarray, known: dict[bytes, int], rate: float) -> DataFrame:
@@ -374,8 +403,8 @@ def _trained(docs: DataFrame, flat: np.ndarray, known: dict[bytes, int], rate: f
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(Network.unpacked(flat), rate)
         for batch in batches:
-            for texts in slices(batch.column("b"), _SLICE):
-                trainer.learn(np.concatenate([_numbers(t, known) for t in texts]))
+            for texts in _pieces(batch.column("b")):
+                trainer.learn(_numbers(texts, known)[0])
         if trainer.tokens:
             yield _weighted(trainer.net.packed().astype(np.float64) * trainer.tokens, trainer.tokens)
 
@@ -419,6 +448,25 @@ def train(docs: DataFrame, words: Vocabulary) -> np.ndarray:
     return flat
 
 
+def _score_part(net: Network, head: dict[bytes, int], counts: np.ndarray, logs: np.ndarray, texts: pa.Array) -> list[pa.Array]:
+    """The columns of OUT for some texts."""
+    numbers, start, different, word = _numbers(texts, head)
+    size = np.diff(np.append(start, len(numbers)))
+    rare, outside = numbers >= WORDS, numbers == RARE
+    total = lambda values: np.add.reduceat(values, start)
+    whole = [size, total((counts[numbers] > 0).astype(np.int64)), total((rare | outside).astype(np.int64))]
+    sums = [total(logs[numbers]), total(np.where(rare, logs[numbers], 0.0))]
+    text_of = np.repeat(np.arange(len(size)), size)
+    pairs, times = np.unique(text_of[outside] * max(len(different), 1) + word[outside], return_counts=True)
+    owner, code = np.divmod(pairs, max(len(different), 1))
+    ends = pa.array(np.searchsorted(owner, np.arange(len(size) + 1)).astype(np.int32))
+    likely = score_texts(net, np.split(np.where(rare, RARE, numbers).astype(np.int32), start[1:]))
+    return [
+        *[pa.array(c, pa.int64()) for c in whole], *[pa.array(c, pa.float64()) for c in (likely, *sums)],
+        pa.ListArray.from_arrays(ends, different.take(pa.array(code))), pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+    ]
+
+
 def _scored(flat: np.ndarray, words: Vocabulary) -> Column:
     """Spark function: of a text, what the network and the head give, and the words that are not in the head."""
     kind = "struct<n_tokens:bigint,n_known:bigint,n_rare:bigint,network:double,logs:double,rare_logs:double,words:array<binary>,times:array<int>>"
@@ -426,29 +474,14 @@ def _scored(flat: np.ndarray, words: Vocabulary) -> Column:
     @arrow_udf(kind)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         net, head = Network.unpacked(flat), words.head
-        logs = np.log10(words.counts + 1.0)
+        counts, logs = words.counts, np.log10(words.counts + 1.0)
+        names = ["n_tokens", "n_known", "n_rare", "network", "logs", "rare_logs", "words", "times"]
         for batch in batches:
-            columns: list[list] = [[] for _ in range(8)]
-            for texts in slices(batch, _SLICE):
-                own = []
-                for text in texts:
-                    split = text.lower().split()
-                    split.append(END_WORD)
-                    numbers = np.fromiter(map(head.get, split, repeat(RARE)), dtype=np.int32, count=len(split))
-                    outside = Counter(split[i] for i in np.flatnonzero(numbers == RARE))
-                    rare = numbers >= WORDS
-                    n_outside = sum(outside.values())
-                    in_rare = logs[numbers[rare]].sum()
-                    for column, value in zip(columns, (
-                        len(split), int((words.counts[numbers] > 0).sum()), int(rare.sum()) + n_outside, None, float(logs[numbers].sum()), float(in_rare), list(outside), list(outside.values()),
-                    )):
-                        column.append(value)
-                    numbers[rare] = RARE
-                    own.append(numbers)
-                columns[3][-len(texts):] = score_texts(net, own).tolist()
-            types = [pa.int64()] * 3 + [pa.float64()] * 3 + [pa.list_(pa.binary()), pa.list_(pa.int32())]
-            names = ["n_tokens", "n_known", "n_rare", "network", "logs", "rare_logs", "words", "times"]
-            yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            parts = [_score_part(net, head, counts, logs, texts) for texts in _pieces(batch)]
+            if parts:
+                yield pa.concat_arrays([pa.StructArray.from_arrays(part, names) for part in parts])
+            else:
+                yield pa.array([], OUT)
 
     return score.asNondeterministic()(utf8())
 
