@@ -1,3 +1,5 @@
+"""Tables of edge cases, as fixtures. Not a conftest: two modules of that name would hide one another."""
+
 import pytest
 from pyspark.sql import functions as F
 

@@ -7,6 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 from checks.compare import oracle, rows_of
+from edge_cases import edge, edge_rows, labels, nothing  # noqa: F401
 from pyspark.sql import functions as F
 from test_documents import same
 

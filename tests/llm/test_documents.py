@@ -3,6 +3,7 @@
 import math
 
 import brute
+from edge_cases import edge, edge_rows, labels, no_labels, nothing  # noqa: F401
 import numpy as np
 import pytest
 
