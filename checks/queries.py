@@ -12,7 +12,8 @@ from tidemark import functions as fn
 from tidemark.operators import (
     counts, endpoints as E, logs as L, marks as M, matchrates as R, orgs, outcomes as O, payloads as P, routing, windows as W,
 )
-from tidemark.plans.idmatch import publish_match_rate_file, publish_match_rates
+from tidemark.operators.joins import settled
+from tidemark.plans.idmatch import id_match, publish_match_rate_file, publish_match_rates
 from tidemark.plans.ingest import ingest_incremental, reset_ledger
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import load_raw, store_raw
@@ -330,6 +331,18 @@ def load_raw_table(spark, sf_dir):
     return _raw_summary(lake.read_raw(spark))
 
 
+@query(_RAW_SQL.replace("from feed group", "from feed where name <> 'signup' group"))
+def load_transformed(spark, sf_dir):
+    """A load that changes its rows before the write, read from the table that is told after it."""
+    lake, told = _lake(spark, "transformed"), []
+    _weekly_landing(spark, sf_dir, lake.landing)
+    load_raw(
+        spark, lake, lake.landing, ods_version="7.1", data_model_version="5.0",
+        transform=lambda rows: rows.filter(F.col("name") != "signup"), then=told.append,
+    )
+    return _raw_summary(spark.read.schema(RAW).parquet(told[0]))
+
+
 @query(
     V.with_views("feed") + """
 select tenant_code, name, cast(json_extract(payload, '$.k') as integer) k, count(*) n from feed group by all"""
@@ -862,6 +875,27 @@ def publish_rates(spark, sf_dir):
     return _rounded(lake.read_match_rates(spark), "match_rate")
 
 
+@query(
+    V.with_views("rates") + f"""
+select tenant_code, api_year, assessment_name, source_column_name, edfi_column_name, num_matches, num_rows, round(match_rate, 6) match_rate, true may_load
+from rates where tenant_code='t0' and api_year=1996 and assessment_name='1-URGENT' and match_rate >= {_REQUIRED}
+order by match_rate desc, edfi_column_name desc, source_column_name desc limit 1"""
+)
+def id_match_run(spark, sf_dir):
+    """The ids of one assessment matched with the roster of its tenant-year; the second run finds the published rates."""
+    lake = _lake(spark, "idmatch")
+    grain_of_run = {"tenant_code": "t0", "api_year": 1996, "assessment_name": "1-URGENT"}
+    source = V.source_ids(spark, sf_dir).filter("api_year = 1996 and assessment_name = '1-URGENT'").drop("assessment_name")
+    people = V.roster(spark, sf_dir).withColumns({"tenant_code": F.lit("t0"), "api_year": F.lit(1996)})
+    for _ in range(2):
+        best, passed = id_match(
+            spark, lake, source, people, **grain_of_run, source_columns=["o_custkey", "o_orderkey"],
+            roster_columns=["c_custkey", "c_nationkey"], required=_REQUIRED,
+        )
+        people = people.limit(0)
+    return _rounded(best, "match_rate").withColumn("may_load", F.lit(passed))
+
+
 @query(
     """
 select o_custkey, o_orderkey, tenant_code, cast(api_year as integer) api_year from (
@@ -941,6 +975,27 @@ def tenant_org_status(spark, sf_dir):
     return _results(spark, sf_dir)
 
 
+@query(
+    V.with_views("orgs") + """
+select s.status, count(r.status) > 0 stops from (values ('MATCH'),('MISMATCH'),('NO_MAPPING'),('NO_ORG_ID'),('ERROR')) s(status)
+left join results r using (status) group by all"""
+)
+def status_gate(spark, sf_dir):
+    """For each status, whether a check that fails on it stops."""
+    results = settled(_results(spark, sf_dir).select("connection_id", "status"))
+
+    def stops(status):
+        try:
+            orgs.fail_on_status(results, [status])
+        except O.RunFailed:
+            return True
+        return False
+
+    found = {status: stops(status) for status in C.ORG_STATUSES}
+    rows = [F.struct(F.lit(status).alias("status"), F.lit(stopped).alias("stops")) for status, stopped in found.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 @query(
     V.with_views("orgs") + """
 select tenant, org_id, n_orgs from (select *, count(*) over (partition by tenant) n_orgs from (
