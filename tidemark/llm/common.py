@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Text bytes that a Python task holds as objects at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
