@@ -112,10 +112,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def run(net: Network, state: np.ndarray, words: np.ndarray, keep: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+class Buffers:
+    """Arrays that are used again window after window: new ones of this size would be new pages each time."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        found = self.held.get(name)
+        if found is None or found.shape != shape:
+            found = self.held[name] = np.empty(shape, dtype=np.float32)
+        return found
+
+
+def run(net: Network, state: np.ndarray, words: np.ndarray, keep: Buffers | None = None) -> tuple[np.ndarray, np.ndarray]:
     """States after each of `words` (step, lane) and the last one. An end as input starts from nothing.
 
-    With `keep`, what the way back needs is put there.
+    With `keep`, what the way back needs is put there: states before, gates z and r, new states and their own part.
     """
     steps, lanes = words.shape
     h2 = 2 * STATE
@@ -123,7 +136,7 @@ def run(net: Network, state: np.ndarray, words: np.ndarray, keep: dict | None =
     on = (words != END).astype(np.float32)[:, :, None]
     states = np.empty((steps, lanes, STATE), dtype=np.float32)
     if keep is not None:
-        keep.update(before=np.empty_like(states), zr=np.empty((steps, lanes, h2), np.float32), new=np.empty_like(states), own=np.empty_like(states))
+        before, zrs, news, owns = (keep(n, steps, lanes, w) for n, w in (("before", STATE), ("zr", h2), ("new", STATE), ("own", STATE)))
     for t in range(steps):
         state = state * on[t]
         a = state @ net.inner
@@ -131,7 +144,7 @@ def run(net: Network, state: np.ndarray, words: np.ndarray, keep: dict | None =
         zr = _sigmoid(gates[t, :, :h2] + a[:, :h2])
         new = np.tanh(gates[t, :, h2:] + zr[:, STATE:] * a[:, h2:])
         if keep is not None:
-            keep["before"][t], keep["zr"][t], keep["new"][t], keep["own"][t] = state, zr, new, a[:, h2:]
+            before[t], zrs[t], news[t], owns[t] = state, zr, new, a[:, h2:]
         state = new + zr[:, :STATE] * (state - new)
         states[t] = state
     return states, state
@@ -165,10 +178,11 @@ def log_likelihood(net: Network, states: np.ndarray, words: np.ndarray) -> np.nd
     return out
 
 
-def gradients(net: Network, state: np.ndarray, words: np.ndarray, targets: np.ndarray) -> tuple[list[np.ndarray], float, np.ndarray]:
+def gradients(net: Network, state: np.ndarray, words: np.ndarray, targets: np.ndarray, keep: Buffers | None = None) -> tuple[list[np.ndarray], float, np.ndarray]:
     """Of the mean negative log-likelihood of a window: for each part, the loss, and the state to go on with."""
-    kept: dict = {}
-    states, last = run(net, state, words, kept)
+    keep = keep or Buffers()
+    states, last = run(net, state, words, keep)
+    kept = keep.held
     steps, lanes = words.shape
     n, h2 = steps * lanes, 2 * STATE
     flat, goal = states.reshape(n, STATE), targets.ravel()
@@ -193,12 +207,20 @@ def gradients(net: Network, state: np.ndarray, words: np.ndarray, targets: np.nd
     d_states = d_flat.reshape(steps, lanes, STATE)
     # what does not depend on later steps, for all steps at a time
     z, r = kept["zr"][:, :, :STATE], kept["zr"][:, :, STATE:]
-    by_new = (1 - z) * (1 - kept["new"] ** 2)
-    by_z = (kept["before"] - kept["new"]) * z * (1 - z)
-    by_r = kept["own"] * r * (1 - r)
+    shape = (steps, lanes, STATE)
+    by_new, by_z, by_r, rest = (keep(n, *shape) for n in ("by_new", "by_z", "by_r", "rest"))
+    np.subtract(1, z, out=rest)
+    np.multiply(kept["new"], kept["new"], out=by_new)
+    np.subtract(1, by_new, out=by_new)
+    by_new *= rest
+    np.subtract(kept["before"], kept["new"], out=by_z)
+    by_z *= z
+    by_z *= rest
+    np.subtract(1, r, out=by_r)
+    by_r *= r
+    by_r *= kept["own"]
     on = (words != END).astype(np.float32)[:, :, None]
-    d_gates = np.empty((steps, lanes, 3 * STATE), dtype=np.float32)
-    d_own = np.empty_like(d_gates)
+    d_gates, d_own = (keep(n, steps, lanes, 3 * STATE) for n in ("d_gates", "d_own"))
     back = np.zeros((lanes, STATE), dtype=np.float32)
     inner = np.ascontiguousarray(net.inner.T)
     for t in range(steps - 1, -1, -1):
@@ -229,6 +251,7 @@ class Trainer:
 
     def __init__(self, net: Network, rate: float = RATE):
         self.net, self.rate, self.step, self.tokens = net, rate, 0, 0
+        self.keep = Buffers()
         self.m, self.v = [np.zeros_like(p) for p in net.parts], [np.zeros_like(p) for p in net.parts]
 
     def learn(self, tokens: np.ndarray) -> None:
@@ -241,7 +264,7 @@ class Trainer:
         before = np.vstack([np.full((1, lanes), END, dtype=np.int32), grid[:-1]])
         state = np.zeros((lanes, STATE), dtype=np.float32)
         for t in range(0, length, WINDOW):
-            found, _, state = gradients(self.net, state, before[t:t + WINDOW], grid[t:t + WINDOW])
+            found, _, state = gradients(self.net, state, before[t:t + WINDOW], grid[t:t + WINDOW], self.keep)
             self._move(found)
         self.tokens += len(tokens)
 
