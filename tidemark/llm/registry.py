@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, recurrent_lm, secret_scan, simhash_anchors, token_counts, toxicity_crf
@@ -32,6 +31,8 @@ def op1_compression_quality(spark, sf_dir):
 
 @query()
 def op2_token_counts(spark, sf_dir):
+    import public_tokenizers  # the vocabulary's place; only this query needs it
+
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
