@@ -99,6 +99,9 @@ def test_malformed_records_are_kept_beside_the_rows(spark, folder):
     whole = put(f"{folder}/w.csv", [("p1", "north", "2011", "two\nlines")])
     (target,) = partition_on_tenant_and_year(spark, whole, f"{folder}/out", multiline=True)
     assert rows(read_shards(spark, target), "remark") == [("two\nlines",)] and not Path(folder, "out/_malformed/w").exists()
+    short = put(f"{folder}/s.csv", [("p1", "north", "2011", "two\nlines"), ("p2", "north")])
+    (target,) = partition_on_tenant_and_year(spark, short, f"{folder}/out", multiline=True)
+    assert rows(read_shards(spark, target), "pupil") == [("p1",)] and rows(spark.read.text(f"{folder}/out/_malformed/s")) == [("p2,north",)]
 
 
 def test_what_is_refused(spark, folder):
@@ -130,3 +133,15 @@ def test_maps_of_any_length_give_the_same(spark, entries):
     values = {**{k: f"v{k}" for k in range(entries)}, **{str(k): f"v{k}" for k in range(0, entries, 2)}}
     got = rows(shard_rows(data, "t", values, "y", {}), "id", "tenant_code", "api_year")
     assert got == sorted([(i, f"v{i % 120}" if i % 120 < entries else None, None) for i in range(600)], key=repr)
+
+
+def test_files_without_rows(spark, folder):
+    header = put(f"{folder}/h.csv", [])
+    (target,) = partition_on_tenant_and_year(spark, header, f"{folder}/out")
+    assert not folders(target)
+    only_bad = put(f"{folder}/b.csv", [("p1", "north")])
+    (target,) = partition_on_tenant_and_year(spark, only_bad, f"{folder}/out")
+    assert not folders(target) and rows(spark.read.text(f"{folder}/out/_malformed/b")) == [("p1,north",)]
+    with pytest.raises(KeyError):
+        Path(folder, "e.csv").write_text("")
+        partition_on_tenant_and_year(spark, f"{folder}/e.csv", f"{folder}/out")
