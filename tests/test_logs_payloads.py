@@ -59,6 +59,13 @@ def test_parts_follow_one_rule(spark):
         assert parts == [(0, 4), (1, 1)][: n - 3]
 
 
+def test_errors_without_a_position_are_listed(spark):
+    frame = log(spark, ("some", None, "ERROR", "unplaced"), ("some", -3, "ERROR", "before"), ("some", 2, "ERROR", "placed"), *[("none", None, "ERROR", str(i)) for i in range(5)])
+    parts = rows(L.error_rollup(frame, chunk=3).select("run_type", "part", "n_errors", F.transform("errors", lambda e: e["message"])))
+    assert [(r[0], r[1], r[2], len(r[3])) for r in parts] == [("none", 0, 5, 3), ("none", 1, 5, 2), ("some", 0, 3, 3)]
+    assert parts[2][3] == ["unplaced", "before", "placed"] and sorted(parts[0][3] + parts[1][3]) == list("01234")
+
+
 def test_captured_work_logs_its_error_and_raises(spark, folder):
     lake = Lake(folder)
     run = {"tenant_code": "t", "api_year": 2024, "run_type": "x", "run_date": "2024-01-01", "run_timestamp": "2024-01-01 00:00:00"}

@@ -13,6 +13,8 @@ from tidemark.operators.joins import join_small_side, measured_bytes, settled
 RUN = ["tenant_code", "api_year", "grain_update", "run_type", "run_date", "run_timestamp"]
 ERROR_FIELDS = ["timestamp", "name", "level", "message", "pathname", "lineno"]
 CHUNK_ERRORS = 1000
+#: Block of the errors without a position: below all others.
+_NO_BLOCK = -(1 << 63)
 
 
 def is_error() -> Column:
@@ -29,10 +31,11 @@ def error_rollup(logs: DataFrame, run: Sequence[str] = RUN, chunk: int = CHUNK_E
     `logs` has the run's columns, `seq` (the record's position in its run), and the fields of a log record. There is
     one row for each `chunk` errors of a run, numbered by `part`, so that no task holds all errors of a run; every
     part repeats the run's totals. Runs without errors do not appear. A null and a blank in the run's columns are two
-    runs.
+    runs. Errors whose `seq` is null come first, and are never the last one.
     """
     run = list(run)
-    errors = errors_only(logs).withColumn("__run", _run_key(run)).withColumn("__block", F.floor(F.col("seq") / chunk))
+    block = F.coalesce(F.floor(F.col("seq") / chunk), F.lit(_NO_BLOCK))
+    errors = errors_only(logs).withColumn("__run", _run_key(run)).withColumn("__block", block)
     last = F.max_by(F.struct("args", "kwargs", F.col("timestamp").alias("last_error_timestamp")), "seq")
     first = [F.first(key).alias(key) for key in run]
     totals = settled(errors.groupBy("__run").agg(*first, F.count(F.lit(1)).alias("n_errors"), last.alias("last")))
