@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import logs as L, payloads as P
+from tidemark.operators.joins import join_small_side
 from tidemark.plans.lake import Lake
 from tidemark.plans.runlog import append_run_log, captured
 
@@ -117,6 +118,16 @@ def test_payloads_to_send(sending, options, expected):
     assert rows(P.payloads_to_send(*sending, **options), "endpoint", "payload", "copies", "reason") == expected
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_payloads_without_endpoint_or_text_are_sent(spark, sending, monkeypatch, limit):
+    """Whether the chosen side is broadcast or not."""
+    if limit is not None:
+        monkeypatch.setattr(P, "join_small_side", lambda *sides: join_small_side(*sides, limit=limit))
+    payloads = spark.createDataFrame([(None, "new"), (None, "new"), ("e", None), (None, None), ("", "new"), ("e", "ok")], "endpoint string, payload string")
+    got = rows(P.payloads_to_send(payloads, sending[1]), "endpoint", "payload", "copies", "reason")
+    assert got == sorted([(None, "new", 2, "new"), ("e", None, 1, "new"), (None, None, 1, "new"), ("", "new", 1, "new")], key=repr)
+
+
 def test_changed_inputs(spark):
     current = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "path string, content_hash string")
     state = spark.createDataFrame([("a", "1"), ("b", "old")], "path string, content_hash string")

@@ -25,7 +25,7 @@ def payloads_to_send(
     `payloads` has `endpoint` and `payload`; `sent` has `endpoint`, `payload_hash`, `sent_at`, `status_code` with
     one row per sending, of which the last counts. Copies are one row with `copies`: the second would be skipped
     as already sent. Both sides are reduced to one row per hash before they meet, and only the texts that are to be
-    sent are moved.
+    sent are moved. A null endpoint or payload equals none that was sent.
     """
     hashed = payloads.select("endpoint", payload_hash(F.col("payload")).alias("payload_hash"), "payload")
     distinct = hashed.groupBy("endpoint", "payload_hash").agg(F.count(F.lit(1)).alias("copies"))
@@ -37,9 +37,11 @@ def payloads_to_send(
     resend = _resend(list(resend_status_codes), older_than, newer_than)
     reason = F.when(F.lit(force), FORCED).when(F.col("__sent").isNull(), NEW).when(resend, RESEND)
     joined = distinct.join(last, ["endpoint", "payload_hash"], "left").withColumn("reason", reason)
-    chosen = joined.filter("reason is not null").select("endpoint", "payload_hash", "copies", "reason")
-    texts = join_small_side(hashed, chosen, ["endpoint", "payload_hash"])
-    return texts.dropDuplicates(["endpoint", "payload_hash"]).select("endpoint", "payload_hash", "payload", "copies", "reason")
+    # one text that is never null, for chosen rows with a null endpoint or hash have to find their texts too
+    key = F.to_json(F.struct("endpoint", "payload_hash"), {"ignoreNullFields": "false"}).alias("__key")
+    chosen = joined.filter("reason is not null").select(key, "copies", "reason")
+    texts = join_small_side(hashed.select("*", key), chosen, ["__key"])
+    return texts.dropDuplicates(["__key"]).select("endpoint", "payload_hash", "payload", "copies", "reason")
 
 
 def _resend(codes: list[int], older_than, newer_than) -> Column:
