@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.plans.shard import partition_on_tenant_and_year, read_shards, rejected_rows, shard_rows
+from tidemark.sources.csvs import read_text_columns
 
 DISTRICTS = ["north", "south side", "é-lab", "007"]
 
@@ -104,6 +105,28 @@ def test_malformed_records_are_kept_beside_the_rows(spark, folder):
     assert rows(read_shards(spark, target), "pupil") == [("p1",)] and rows(spark.read.text(f"{folder}/out/_malformed/s")) == [("p2,north",)]
 
 
+@pytest.mark.parametrize("block", ["128m", "64"])
+def test_only_the_first_line_is_the_header(spark, folder, block):
+    """Lines that equal it later on stay, in every block alike."""
+    head = ("pupil", "tenant_code", "api_year", "remark")
+    good = [("p1", "north", "2011", "a"), head, ("p2", "north", "2011", "b"), *[("p3", "south", "2012", "c" * 20)] * 9, head]
+    path = put(f"{folder}/j.csv", good)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        (target,) = partition_on_tenant_and_year(spark, path, f"{folder}/out")
+        assert counts(spark, target) == Counter(r[1:3] for r in good)
+        put(f"{folder}/two/b.csv", good[:3])
+        Path(folder, "two/b.csv").write_text("\n" + Path(folder, "two/b.csv").read_text())
+        put(f"{folder}/two/a.csv", good)
+        both = read_text_columns(spark, f"{folder}/two")
+        assert rows(both, "pupil") == sorted((r[0],) for r in good + good[:3])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_what_is_refused(spark, folder):
     path = put(f"{folder}/in/d.csv", records(9, 3))
     Path(folder, "folder.csv").mkdir()

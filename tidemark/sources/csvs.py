@@ -30,11 +30,8 @@ def read_text_columns(spark: SparkSession, path: str | list[str], *, multiline:
         # all fields are read whatever is asked for, as only a whole record can be seen to be malformed
         reader = reader.schema(schema).option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
         return reader.csv(path).na.fill("", names)
-    lines = spark.read.text(path)
-    first = lines.first()
-    # a file's own header; the reader by itself would take an open quote for a value
-    header = (F.col("_metadata.file_block_start") == 0) & (F.col("value") == F.lit(first["value"] if first else ""))
-    lines = lines.filter(~header & (F.trim("value") != "")).select("value")
+    # the reader by itself would take an open quote for a value
+    lines = _without_headers(spark.read.text(path)).select("value")
     record = F.from_csv("value", _ddl(schema), {**_QUOTES, "columnNameOfCorruptRecord": MALFORMED})
     torn = F.regexp_count("value", F.lit('"')) % 2 == 1
     rows = lines.select("value", record.alias("r"))
@@ -42,6 +39,29 @@ def read_text_columns(spark: SparkSession, path: str | list[str], *, multiline:
     return rows.select(*[F.col(f"r.`{name}`") for name in names], text).na.fill("", names)
 
 
+def _without_headers(lines: DataFrame) -> DataFrame:
+    """The lines that are not blank, without those that are the first of their file and equal the first file's.
+
+    Later lines that equal the header stay. A file's first line is known by the id that Spark gives to its row, a
+    literal in the plan. The only file of a path begins with the first row of the scan, however it is cut.
+    """
+    numbered = lines.select(
+        "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__id"),
+    ).filter(F.trim("value") != "")
+    starts = numbered.filter("__start = 0").select("__file", "__id", "value")
+    first = starts.first()
+    if first is None:
+        return numbered
+    header = F.col("value") == F.lit(first["value"])
+    ids = [first["__id"]]
+    if len(lines.inputFiles()) > 1:
+        heads = starts.groupBy("__file").agg(F.min_by("value", "__id").alias("value"), F.min("__id").alias("__id"))
+        ids = [row["__id"] for row in heads.filter(header).select("__id").collect()]
+    stop = F.raise_error(F.lit("files changed, or were cut otherwise, while their headers were found")).cast("boolean")
+    return numbered.filter(F.when(~F.col("__id").isin(ids), True).when(header, False).otherwise(stop))
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join("`" + name.replace("`", "``") + "` string" for name in schema.names)
 
