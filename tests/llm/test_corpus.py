@@ -42,6 +42,17 @@ def contained_rows(edge_rows, item_rows):
     return [(d[0], i[0], a, b) for d in edge_rows for i in item_rows for _, _, a, b in brute.contained([(0, d[1])], [(0, i[1])])]
 
 
+def test_one_block_of_items_at_a_time(spark, edge):
+    """No plan has more than one block, and each block's finds are written before the next is built."""
+    items = spark.createDataFrame([(i, f"word{i} one two three four five") for i in range(4)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"x word{i} one two three four five y") for i in range(6)], "doc_id long, text string")
+    found, kept = containment.contained(docs, items, bound=1), containment.drop_contaminated(docs, items, bound=1)
+    for frame in (found, kept):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") <= 1
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.where("containment = 1").collect()) == [(i, i) for i in range(4)]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5]
+
+
 def test_partly_contained_items(spark):
     item = " ".join(f"t{i}" for i in range(24))  # 20 shingles
     tail = lambda cut: " ".join(f"t{i}" for i in range(24 - cut))

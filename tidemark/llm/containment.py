@@ -8,7 +8,7 @@ sketch: being long, it is probed with all its shingle hashes, for a signature of
 short passage in it. Candidates are verified by exact containment of the shingles.
 
 Items are the query set; their sketches and shingles go to the tasks in blocks of a bounded number of shingles, one pass
-over the documents for each block, so the documents are never shuffled. Words are runs of letters, digits and
+over the documents for each block, whose finds are written before the next block is built. The documents are never shuffled. Words are runs of letters, digits and
 non-ASCII characters, lower-cased. Null texts count as empty; items of fewer than five words have no shingle and lie in
 no document. Repeated items and documents are each reported.
 """
@@ -20,15 +20,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tidemark.llm.common import slices, utf8
+from tidemark.llm.common import slices, text_key, utf8
+from tidemark.operators.joins import join_small_side
+from tidemark.session import scratch_path
 
 WIDTH, SHARE = 5, 0.8
 #: Shingles of one block of items: what a task holds of them, some 100 bytes each.
 BLOCK_SHINGLES = 500_000
 _MASK = (1 << 64) - 1
+_FOUND = "struct<item_id:bigint,n_shingles:int,n_shared:int>"
 #: Multipliers of a shingle's words, fixed odd numbers.
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -134,7 +137,7 @@ def search(texts: list[bytes], index: Index, hasher: Hasher) -> list[list[tuple[
 
 
 def _finder(index: Index):
-    @arrow_udf("array<struct<item_id:bigint,n_shingles:int,n_shared:int>>")
+    @arrow_udf(f"array<{_FOUND}>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = Hasher()
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_shingles", pa.int32()), ("n_shared", pa.int32())]))
@@ -166,19 +169,33 @@ def item_blocks(items: DataFrame, bound: int = BLOCK_SHINGLES) -> Iterator[list[
         yield block
 
 
+def _found(docs: DataFrame, items: DataFrame, bound: int, columns: list[Column], schema: str) -> DataFrame:
+    """`columns` of the documents and `f`, an item found in them, from a table to which each block appends its own.
+
+    A block's rows are written before the next block is built, so that the driver and the tasks hold one at a time.
+    """
+    path = scratch_path(docs.sparkSession, "containment")
+    docs.sparkSession.createDataFrame([], schema).write.parquet(path)
+
+    def append(block: list[tuple[int | None, bytes]]) -> None:
+        found = docs.select(*columns, F.explode(_finder(Index(block))(utf8())).alias("f"))
+        found.write.mode("append").parquet(path)
+
+    for block in item_blocks(items, bound):
+        append(block)
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
 def contained(docs: DataFrame, items: DataFrame, *, bound: int = BLOCK_SHINGLES) -> DataFrame:
     """Pairs (doc_id, item_id) with `n_shingles` of the item, `n_shared`, and `containment`."""
-    kind = "doc_id long, item_id long, n_shingles int, n_shared int"
-    out = docs.sparkSession.createDataFrame([], kind)
-    for block in item_blocks(items, bound):
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(_finder(Index(block))(utf8())).alias("f"))
-        out = out.unionByName(found.select("doc_id", "f.*"))
-    return out.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    found = _found(docs, items, bound, [F.col("doc_id").cast("long").alias("doc_id")], f"doc_id long, f {_FOUND}")
+    return found.select("doc_id", "f.*").withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, bound: int = BLOCK_SHINGLES) -> DataFrame:
     """The documents that contain no item, with their own columns."""
-    out = docs
-    for number, block in enumerate(item_blocks(items, bound)):
-        out = out.withColumn(f"__found{number}", F.size(_finder(Index(block))(utf8()))).where(f"__found{number} = 0")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _found(docs, items, bound, text_key(), f"__id long, __hash long, f {_FOUND}")
+    dirty = found.select("__id", "__hash").distinct()
+    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *text_key())
+    clean = join_small_side(keyed, dirty, ["__id", "__hash"], "left_anti")
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
