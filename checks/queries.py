@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -730,15 +731,22 @@ with o as (select cast(o_orderkey as varchar) id, c_mktsegment segment, strftime
 """
 
 
-def _one_csv(spark, rows, name):
-    """One CSV file of that name, found where Spark wrote it."""
+def _csvs(spark, rows, header, name):
+    """CSV files of lines (`value`), one for each task that has some, each with the header."""
     root = scratch_path(spark, name)
-    rows.coalesce(1).write.text(root)
-    (file,) = [row["path"] for row in list_files(spark, root).filter("path like '%.txt'").collect()]
-    target = f"{root}/{name}.csv"
+    first = F.monotonically_increasing_id() % (1 << 33) == 0  # a task's first row
+    rows.select(F.when(first, F.concat(F.lit(f"{header}\n"), "value")).otherwise(F.col("value")).alias("value")).write.text(root)
+    files = sorted(row["path"] for row in list_files(spark, root).filter("path like '%.txt' and length > 0").collect())
     hadoop = spark._jvm.org.apache.hadoop.fs
-    hadoop.FileSystem.get(hadoop.Path(target).toUri(), spark._jsc.hadoopConfiguration()).rename(hadoop.Path(file), hadoop.Path(target))
-    return target
+    system = hadoop.FileSystem.get(hadoop.Path(root).toUri(), spark._jsc.hadoopConfiguration())
+    targets = [f"{root}/{name}{number}.csv" for number in range(len(files))]
+    for file, target in zip(files, targets):
+        system.rename(hadoop.Path(file), hadoop.Path(target))
+    return targets
+
+
+def _all_shards(spark, targets):
+    return reduce(DataFrame.unionByName, [read_shards(spark, target) for target in targets])
 
 
 def _order_lines(spark, sf_dir):
@@ -747,15 +755,13 @@ def _order_lines(spark, sf_dir):
     rows = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
     flag = F.when(F.col("o_orderstatus") == "F", "NA").otherwise("")
     line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "c_mktsegment", F.date_format("o_orderdate", "yy"), "o_orderpriority", flag)
-    header = spark.range(1).select(F.lit("id,segment,yy,note,flag").alias("value"), F.lit(0).alias("k"))
-    lines = rows.select(line.alias("value"), F.lit(1).alias("k"))
-    return header.unionByName(lines).repartition(1).sortWithinPartitions("k").select("value")
+    return rows.select(line.alias("value"))
 
 
 def _sharded(spark, sf_dir, **maps):
-    path = _one_csv(spark, _order_lines(spark, sf_dir), "orders")
-    (target,) = partition_on_tenant_and_year(spark, path, scratch_path(spark, "shards"), tenant_col="segment", year_col="yy", **maps)
-    return read_shards(spark, target)
+    paths = _csvs(spark, _order_lines(spark, sf_dir), "id,segment,yy,note,flag", "orders")
+    targets = partition_on_tenant_and_year(spark, paths, scratch_path(spark, "shards"), tenant_col="segment", year_col="yy", **maps)
+    return _all_shards(spark, targets)
 
 
 @query(_SHARD + "select id, segment, yy, note, flag, segment tenant_code, yy api_year from o")
@@ -795,13 +801,11 @@ def csv_rejects(spark, sf_dir):
         F.when(key % 21 == 0, F.concat(text, F.lit(",t,24,surplus"))).when(key % 21 == 7, F.concat(text, F.lit(",\"t\n\",24")))
         .when(key % 21 == 14, F.concat(text, F.lit(",t"))).otherwise(F.concat(text, F.lit(",t,24")))
     )
-    header = spark.range(1).select(F.lit("id,tenant_code,api_year").alias("value"), F.lit(0).alias("k"))
-    lines = V.table(spark, sf_dir, "orders").select(line.alias("value"), F.lit(1).alias("k"))
-    path = _one_csv(spark, header.unionByName(lines).repartition(1).sortWithinPartitions("k").select("value"), "some")
+    paths = _csvs(spark, V.table(spark, sf_dir, "orders").select(line.alias("value")), "id,tenant_code,api_year", "some")
     out = scratch_path(spark, "shards")
-    (target,) = partition_on_tenant_and_year(spark, path, out)
-    rows = read_shards(spark, target).agg(F.count("id").alias("n_lines")).select(F.lit("row").alias("kind"), F.col("n_lines").alias("n"), "n_lines")
-    texts = spark.read.text(f"{out}/_malformed/some")
+    targets = partition_on_tenant_and_year(spark, paths, out)
+    rows = _all_shards(spark, targets).agg(F.count("id").alias("n_lines")).select(F.lit("row").alias("kind"), F.col("n_lines").alias("n"), "n_lines")
+    texts = spark.read.text(f"{out}/_malformed/*")
     # the second half of a torn record has no key
     torn = texts.agg(F.count_if(F.col("value").rlike("^[0-9]+,")).alias("n"), F.count(F.lit(1)).alias("n_lines"))
     return rows.unionByName(torn.select(F.lit("malformed").alias("kind"), "n", "n_lines"))

@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from checks.queries import _all_shards, _csvs
 from tidemark.plans.shard import partition_on_tenant_and_year, read_shards, rejected_rows, shard_rows
 from tidemark.sources.csvs import read_text_columns
 
@@ -127,6 +128,15 @@ def test_only_the_first_line_is_the_header(spark, folder, block):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_csvs_of_queries_are_written_in_parallel(spark, folder):
+    data = [(f"p{i}", "north" if i % 2 else "south", "2011") for i in range(40)]
+    lines = spark.createDataFrame([(",".join(r),) for r in data], "value string").repartition(4)
+    paths = _csvs(spark, lines, "pupil,tenant_code,api_year", "some")
+    assert len(paths) == 4
+    targets = partition_on_tenant_and_year(spark, paths, f"{folder}/out")
+    assert rows(_all_shards(spark, targets)) == sorted(data, key=repr)
+
+
 def test_what_is_refused(spark, folder):
     path = put(f"{folder}/in/d.csv", records(9, 3))
     Path(folder, "folder.csv").mkdir()
