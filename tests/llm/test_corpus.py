@@ -125,6 +125,18 @@ def test_shortages_stay_in_the_family(spark):
     assert taken["d0", "de"] == 3 and taken["d0", "en"] + 3 == total * 4 // 7 and abs(taken["d1", "en"] - total * 3 / 7) <= 1
 
 
+def test_nothing_is_given_for_leaves_without_weight(spark):
+    """A domain is not given tokens that only a language of weight 0 could take."""
+    rows = [(i, "a " * 10, "en", "src0", 20) for i in range(30)] + [(100, "a", "de", "src0", 1)] + [(200 + i, "a " * 10, "de", "src1", 20) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    domain, language, origin = mixing.domain_tree()
+    levels = [mixing.Level("domain", domain.value, F.lit(1)), mixing.Level("language", language.value, F.when(F.col("language") == "en", 0).otherwise(1)), origin]
+    got = mixing.mix(docs, levels, share=0.4, epochs=1, seed=1)
+    taken = {(r["domain"], r["language"]): r["budget"] for r in got.select("domain", "language", "budget").distinct().collect()}
+    total = int(0.4 * 601)
+    assert taken == {("d0", "de"): 1, ("d1", "de"): total - 1}
+
+
 def plain_pipeline(spark, sf_dir):
     """(doc_id, epoch, text) by plain code; only the learned rules are taken from the library."""
     docs = {r["doc_id"]: r for r in read(spark, sf_dir, "documents").collect()}

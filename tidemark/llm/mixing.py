@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -71,7 +72,9 @@ def fill(nodes: DataFrame, family: Sequence[str], node: str) -> DataFrame:
 def budgets(leaves: DataFrame, levels: Sequence[Level], share: float, epochs: int) -> DataFrame:
     """The leaves (level columns, `n_docs`, `n_tokens`) with `budget`, and its `epochs` and `rest`."""
     names = [level.name for level in levels]
-    leaves = leaves.withColumn("capacity", F.col("n_tokens") * epochs)
+    # what lies under a node without weight is never taken, so no node above may be given tokens for it
+    weighted = reduce(Column.__and__, [F.coalesce(level.weight, F.lit(0)).cast("long") > 0 for level in levels])
+    leaves = leaves.withColumn("capacity", F.when(weighted, F.col("n_tokens") * epochs).otherwise(F.lit(0)).cast("long"))
     total = leaves.agg(F.floor(F.coalesce(F.sum("n_tokens"), F.lit(0)) * F.lit(share)).cast("long").alias("n")).first()["n"]
     given = None
     upper: list[str] = []
