@@ -129,6 +129,12 @@ def test_diagonals_bridge_changed_words(spark):
     assert got[3]["labels"] == "" and got[3]["score"] < 0.75
 
 
+@pytest.mark.parametrize("text", ["", "gpl", "mit license"])
+def test_short_phrases_are_refused(spark, nothing, text):
+    with pytest.raises(ValueError, match="fewer than 3 words"):
+        license_diagonals.scan(nothing, [("mit", "under the mit license", True), ("short", text, True)])
+
+
 def test_language_model(spark, sf_dir, given, edge, edge_rows, nothing):
     for got, rows in ((registry.QUERIES["op7_recurrent_lm"](spark, sf_dir), given), (recurrent_lm.score(edge, head=10), [r[:2] for r in edge_rows])):
         got = sorted(got.collect(), key=lambda r: key((r["doc_id"], r["base_score"])))

@@ -6,7 +6,8 @@ words, are merged, and the merged span is verified word by word. A phrase stands
 its hashes; a phrase of which a span has three quarters gives its label too.
 
 Only Spark functions are used. Hashes are joined to the broadcast phrases, whose number is fixed; what is grouped by
-document are the hits. Null texts count as empty. Rows of the same id and text are reported alike, each once.
+document are the hits. Null texts count as empty. Rows of the same id and text are reported alike, each once. A phrase of
+fewer than three words has no hash and is refused.
 """
 
 from __future__ import annotations
@@ -50,9 +51,12 @@ def rolling(words: Column) -> Column:
 
 def phrase_table(spark: SparkSession, phrases: Sequence[tuple[str, str, bool]]) -> DataFrame:
     """phrase (number), label, counted, phrase_words, grams."""
+    short = [text for _, text, _ in phrases if len(text.split()) < WIDTH]
+    if short:
+        raise ValueError(f"phrases of fewer than {WIDTH} words cannot be found: {short}")
     rows = [
         F.struct(F.lit(i).alias("phrase"), F.lit(label).alias("label"), F.lit(counted).alias("counted"), F.array(*[F.lit(w) for w in text.split()]).alias("phrase_words"))
-        for i, (label, text, counted) in enumerate(phrases) if len(text.split()) >= WIDTH
+        for i, (label, text, counted) in enumerate(phrases)
     ]
     return spark.range(1).select(F.inline(F.array(*rows))).withColumn("grams", F.size("phrase_words") - (WIDTH - 1))
 
