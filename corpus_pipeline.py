@@ -27,6 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near copies are those of op10: fingerprints of three-word shingles, linked at 3 bits. Most texts whose five-word
+    shingles have a Jaccard similarity of 0.8 or more lie further apart and all stay; the README has the measured share."""
     return simhash_anchors.keep_one(docs)
 
 
