@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import compression_quality, containment, license_diagonals, mixing, quality_rules, recurrent_lm, secret_scan, simhash_anchors, token_counts, toxicity_crf
+from tidemark.llm import (
+    compression_quality, containment, conversation_audit, digest_index, license_diagonals, mixing, quality_rules, recurrent_lm, secret_scan,
+    simhash_anchors, source_divergence, token_counts, toxicity_crf,
+)
 from tidemark.llm.common import read
+from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +83,20 @@ def op9_secret_scan(spark, sf_dir):
 @query()
 def op10_simhash_anchors(spark, sf_dir):
     return simhash_anchors.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_conversation_audit(spark, sf_dir):
+    conversations = conversation_audit.damaged(read(spark, sf_dir, "conversations"))
+    return conversation_audit.with_digest(conversation_audit.repair(conversations, live=conversations["live"]))
+
+
+@query(digest_index.oracle())
+def op12_digest_index(spark, sf_dir):
+    index = digest_index.DigestIndex(spark, scratch_path(spark, "digest-index"))
+    return digest_index.deduplicate(read(spark, sf_dir, "documents"), index, batch="documents")
+
+
+@query(source_divergence.ORACLE)
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence.divergence(read(spark, sf_dir, "documents"))
