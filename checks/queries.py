@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -28,11 +29,13 @@ from tidemark.sinks import grain
 from tidemark.sinks.jsonl import json_line, with_run_folders, write_archive, write_json_lines, write_landing
 from tidemark.sources.csvs import read_match_rates
 from tidemark.sources.feed import change_window, count_slices, pull_slices, roster_of
+from tidemark.sources.feed_source import feed_options, register_feed
 from tidemark.sources.landing import raw_envelope, scan_landing, scan_variant, with_row_numbers
 from tidemark.sources import manifest
 from tidemark.sources.manifest import with_folder
-from tidemark.sources.tables import list_files
+from tidemark.sources.tables import list_files, remove_folder
 from tidemark.sources.mappings import mapping_rows
+from tidemark.streaming.feed import ingest_feed
 from tidemark.streaming.landing import ingest_landing, refresh_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -525,6 +528,24 @@ def full_refresh_run(spark, sf_dir):
     return lake.read_ledger(spark).filter("is_active").select(*GRAIN, "max_version", "is_deletes", "is_key_changes")
 
 
+@query(
+    V.with_views("feed", "ledger", "live") + """
+select kind, tenant_code, cast(api_year as integer) api_year, name, count(*) n,
+       cast(sum(cast(json_extract(payload,'$.k') as integer)) as bigint) k
+from feed f left join (select tenant_code, name, mv from live where name<>'view') using (tenant_code, name)
+where coalesce(mv,0)=0 or change_version > mv group by all"""
+)
+def delta_mixed_marks(spark, sf_dir):
+    """Endpoints with marks and new ones in one run that counts nothing beforehand: each reads from its own mark on."""
+    lake = _lake(spark, "mixed")
+    grain.insert(V.ledger(spark, sf_dir).filter("name <> 'view'"), lake.ledger, LEDGER, LEDGER_PARTITIONS)
+    ingest_incremental(
+        spark, lake, V.feed(spark, sf_dir), _ingest_endpoints(spark, sf_dir), run_at="2024-02-01 00:00:00", delta_check=False,
+        ods_version="7.1", data_model_version="5.0",
+    )
+    return _raw_counts(lake.read_raw(spark)).drop("newest")
+
+
 def _ingest_endpoints(spark, sf_dir):
     return V.endpoints(spark, sf_dir).withColumns({"kind": F.lit(C.RESOURCES), "fetch_deletes": F.lit(False)})
 
@@ -652,6 +673,76 @@ def stream_refresh(spark, sf_dir):
     )
 
 
+def _feed_streams(spark, sf_dir):
+    """Streams of the feed in steps and pages that are small enough to be several."""
+    options = {"kind": F.lit(C.RESOURCES), "page_size": F.lit(400), "num_retries": F.lit(1), "change_version_step_size": F.lit(2500)}
+    return V.endpoints(spark, sf_dir).withColumns(options)
+
+
+@query(
+    V.with_views("feed", "ledger", "endpoints", "live", "windows") + """
+select f.tenant_code, 2024 api_year, f.name, count(*) n, cast(min(change_version) as bigint) first_version, cast(sum(cast(json_extract(payload,'$.k') as integer)) as bigint) k
+from windows w join feed f using (tenant_code, api_year, name)
+where change_version > 300 and f.name <> 'click' and (f.name='view' or ((change_version > last_version or last_version = 0) and change_version <= newest_version))
+group by all"""
+)
+def feed_source_window(spark, sf_dir):
+    """The feed as a data source: windows cut into steps, one endpoint's unbounded, and filters that the source takes over."""
+    bound = lambda column: F.when(F.col("name") != "view", F.col(column))
+    marked = _windows(spark, sf_dir).join(_feed_streams(spark, sf_dir).drop("endpoint_version"), GRAIN)
+    windows = marked.withColumns({column: bound(column) for column in ("last_version", "newest_version")})
+    register_feed(spark, V.FeedClient(sf_dir), "checked_feed")
+    rows = spark.read.format("checked_feed").options(**feed_options(windows)).load()
+    chosen = rows.filter((F.col("change_version") > 300) & F.col("name").isin("view", "error", "purchase", "signup"))
+    return chosen.groupBy(*GRAIN).agg(
+        F.count(F.lit(1)).alias("n"), F.min("change_version").alias("first_version"), F.sum(F.get_json_object("payload", "$.k").cast("int")).alias("k")
+    )
+
+
+@query(
+    V.with_views("feed") + """
+select kind, tenant_code, cast(api_year as integer) api_year, name, count(*) n,
+       cast(sum(cast(json_extract(payload,'$.k') as integer)) as bigint) k from feed group by all"""
+)
+def feed_stream_twice(spark, sf_dir):
+    """The feed as a stream, at two of its states: the checkpoint is the mark, and a run without news loads nothing."""
+    lake, streams = _lake(spark, "feed-stream"), feed_options(_feed_streams(spark, sf_dir))
+    known = [dict(window) for window in json.loads(streams["windows"])]
+    cut = V.feed(spark, sf_dir).filter(F.col("ts") < F.lit(V.CUT).cast("timestamp_ntz")).agg(F.max("change_version")).first()[0]
+    for upto in (cut, None, None):
+        ingest_feed(spark, lake, V.FeedClient(sf_dir, upto), known, lake.path("checkpoint"), ods_version="7.1", data_model_version="5.0", name="checked_stream")
+    return _raw_counts(lake.read_raw(spark)).drop("newest")
+
+
+@query(
+    V.with_views("feed") + """
+select 'resources' kind, tenant_code, 2024 api_year, name, 'ED-FI2' ods_version, count(*) n from feed group by all"""
+)
+def pulled_unbounded_run(spark, sf_dir):
+    """A paged source without versions: each stream is one slice, page after page."""
+    lake, client = _lake(spark, "pulled-whole"), V.FeedClient(sf_dir)
+    known = _feed_streams(spark, sf_dir).withColumns({"fetch_deletes": F.lit(False), "namespace": F.lit("ed-fi")})
+    ingest_incremental(
+        spark, lake, None, known, run_at="2024-02-01 00:00:00", has_change_versions=False,
+        pull=lambda due: pull_slices(due, client.texts, partitions=8),
+    )
+    return lake.read_raw(spark).groupBy("kind", *GRAIN, "ods_version").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_RAW_SQL)
+def stream_repeated_batch(spark, sf_dir):
+    """Batches appended by id: one whose end was not recorded runs again and is there once; the raw table is not read."""
+    lake, feed = _lake(spark, "stream-ids"), V.feed(spark, sf_dir)
+    checkpoint = lake.path("checkpoint")
+    early = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for part in (feed.filter(early), feed.filter(~early)):
+        write_landing(with_run_folders(part, F.date_trunc("week", "ts")), lake.landing)
+        for _ in range(2):
+            ingest_landing(spark, lake, lake.landing, checkpoint, ods_version="7.1", data_model_version="5.0", batch_ids=True)
+            remove_folder(spark, f"{checkpoint}/commits")
+    return _raw_summary(lake.read_raw(spark))
+
+
 # --- counts and outcomes ---------------------------------------------------------------------------------------
 
 

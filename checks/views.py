@@ -22,6 +22,39 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class FeedClient:
+    """The feed as a paged source, read in the tasks. Each page fails the first time that it is asked for."""
+
+    def __init__(self, sf_dir: str, upto: int | None = None):
+        self.path, self.upto, self.failed = f"{sf_dir}/events.parquet", upto, set()
+
+    def _rows(self, piece: dict, columns: list[str]):
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        low, high = piece.get("slice_min"), piece.get("slice_max")
+        ends = [end for end in (high, self.upto) if end is not None]
+        bounds = [("event_type", "=", piece["name"])] + ([("event_id", ">=", low)] if low is not None else []) + [("event_id", "<=", end) for end in ends]
+        rows = pq.read_table(self.path, columns=["event_id", "user_id", *columns], filters=bounds)
+        user = rows["user_id"]
+        rest = pc.subtract(user, pc.multiply(pc.divide(user, 3), 3))
+        return rows.filter(pc.equal(rest, int(piece["tenant_code"][1:]))).sort_by("event_id")
+
+    def fetch(self, piece: dict, offset: int, page_size: int) -> list[tuple[int, str]]:
+        page = (piece["tenant_code"], piece["name"], piece.get("slice_min"), offset)
+        if page not in self.failed:
+            self.failed.add(page)
+            raise OSError("busy")
+        rows = self._rows(piece, ["props"]).slice(offset, page_size)
+        return list(zip(rows["event_id"].to_pylist(), rows["props"].to_pylist()))
+
+    def texts(self, piece: dict, offset: int, page_size: int) -> list[str]:
+        return [text for _, text in self.fetch(piece, offset, page_size)]
+
+    def newest(self, piece: dict) -> int | None:
+        return max(self._rows(piece, [])["event_id"].to_pylist(), default=None)
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early events as marks, with all values of the flags."""
     events = table(spark, sf_dir, "events").filter(F.col("ts") < F.lit(CUT).cast("timestamp_ntz"))

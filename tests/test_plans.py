@@ -79,6 +79,42 @@ def test_windows_reach_the_scan(spark, sf_dir, bounds, pushed, absent):
     assert sum(r["n"] for r in W.delta_counts(feed, windows).collect()) == want > 0
 
 
+def mixed_windows(spark, *named):
+    frame = spark.createDataFrame([("t1", 2024, *n) for n in named], "tenant_code string, api_year int, name string, last_version long, newest_version long")
+    return W.with_window_status(frame)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_a_new_endpoint_leaves_the_others_their_marks(spark, sf_dir, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(W, "few_rows", lambda windows: None)
+    feed = V.feed(spark, sf_dir)
+    marks = [("click", 300, 950), ("error", 300, 950), ("purchase", 300, 950), ("signup", 301, 950), ("view", 0, 950)]
+    windows = mixed_windows(spark, *marks)
+    plan = plan_of(W.delta_counts(feed, windows))
+    (filters,) = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan)
+    assert "GreaterThan(event_id,300)" in filters and "EqualTo(event_type,view)" in filters and "Or(" in filters
+    want = {n: feed.filter(f"tenant_code = 't1' and name = '{n}' and change_version > {low} and change_version <= {high}" if low else f"tenant_code = 't1' and name = '{n}' and change_version <= {high}").count() for n, low, high in marks}
+    assert {r["name"]: r["n"] for r in W.delta_counts(feed, windows).collect()} == {n: k for n, k in want.items() if k}
+
+
+def test_groups_of_windows_are_bounded():
+    lows = [(i * i * 1000, i * i * 1000) for i in range(100)]
+    cuts = W._cuts(lows)
+    assert len(cuts) == W.GROUPS - 1 and cuts == [i * i * 1000 for i in range(92, 99)]
+    assert W._cuts([]) == [] == W._cuts([(5, 5), (5, 5)])
+
+
+def test_groups_of_many_windows_are_those_of_few(spark):
+    named = [(f"e{i}", low, high) for i, (low, high) in enumerate([(None, 9), (0, 90), (10, 90), (11, None), (5000, 6000), (5001, 7000), (90000, 90001)])] + [(None, 10, 95)]
+    bounds = mixed_windows(spark, *named).selectExpr("tenant_code", "name", "nullif(last_version, 0) __low", "newest_version __high")
+    many = {frozenset(g.values["name"]): (g.low, g.high, g.values["tenant_code"]) for g in W._groups_of_many(bounds, ["tenant_code", "name"])}
+    assert many[frozenset({"e0", "e1"})] == (None, 90, {"t1"})
+    assert many[frozenset({"e6"})] == (90000, 90001, {"t1"})
+    assert set().union(*many) == {n for n, *_ in named} and any(None in names for names in many)
+    assert all(low is None or low in (10, 11, 5000, 5001, 90000) for low, *_ in many.values())
+
+
 def test_ingestion_scans_only_open_windows(spark, sf_dir, folder):
     from tidemark.plans.ingest import due_rows
 

@@ -1,5 +1,9 @@
 """Every registered query against its oracle SQL, and the entry points."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from checks.compare import differences, oracle
 from checks.queries import ORACLE, QUERIES
@@ -29,3 +33,29 @@ def test_entry_points(spark):
     frame = entry_points.entry(spark)
     assert frame.columns == ["tenant_code", "api_year", "name", "last_version", "newest_version", "n"]
     assert not frame.isEmpty()
+
+
+WITHOUT = """
+import sys
+
+class Refuse:
+    def find_spec(self, name, path=None, target=None):
+        if name == "{gone}" or name.startswith("{gone}."):
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+
+sys.meta_path.insert(0, Refuse())
+import __spark_entry__ as entry
+from checks.queries import ORACLE, QUERIES
+assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= ORACLE.keys()
+print(len(entry.queries()) - len(QUERIES), "pipeline" in entry.queries())
+"""
+
+
+@pytest.mark.parametrize("gone", ["tidemark.llm", "corpus_pipeline"])
+def test_entry_points_without_the_training_data_parts(gone):
+    """Each is taken out by itself; with the subpackage there is no pipeline either."""
+    root = Path(entry_points.__file__).parent
+    ran = subprocess.run([sys.executable, "-c", WITHOUT.format(gone=gone)], cwd=root, capture_output=True, text=True, timeout=120)
+    assert ran.returncode == 0, ran.stderr
+    more, pipeline = ran.stdout.split()[-2:]
+    assert pipeline == "False" and (more == "0") == (gone == "tidemark.llm" or not (root / "tidemark" / "llm").exists())

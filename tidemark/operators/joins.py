@@ -7,7 +7,7 @@ which adaptive execution splits the partitions of hot keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -49,15 +49,39 @@ def among_values(small: DataFrame, columns: Sequence[str]) -> Column:
 
     It lets more rows pass than a join does, never fewer. A column of very many values is left out.
     """
+    columns = list(columns)
     if not columns:
         return F.lit(True)
+    rows = few_rows(small.select(*columns))
+    if rows is not None:
+        return among_sets({column: {row[column] for row in rows} for column in columns})
     counts = small.agg(*[F.count_distinct(column).alias(column) for column in columns]).first()
     few = [column for column in columns if counts[column] <= LITERAL_VALUES]
-    values = small.agg(*[F.collect_set(c).alias(c) for c in few], *[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"{c}__null") for c in few]).first() if few else None
+    if not few:
+        return F.lit(True)
+    found = small.agg(*[with_null(column).alias(column) for column in few]).first()
+    return among_sets({column: set(found[column]) for column in few})
+
+
+def few_rows(small: DataFrame) -> list | None:
+    """The rows of a settled table in one short job, or nothing where they are more than may become literals."""
+    rows = small.limit(LITERAL_VALUES + 1).collect()
+    return rows if len(rows) <= LITERAL_VALUES else None
+
+
+def with_null(column: str, where: Column | None = None) -> Column:
+    """The set of a column's values, in the rows that meet a condition; a null is one of them."""
+    where = F.lit(True) if where is None else where
+    value = F.when(where, F.struct(F.col(column).alias("value")))
+    return F.transform(F.collect_set(value), lambda found: found["value"])
+
+
+def among_sets(values: Mapping[str, set]) -> Column:
+    """Rows that have, in each column, one of its values; null stands for null."""
 
     def one(column: str) -> Column:
-        found = sorted(values[column])
+        found = sorted(value for value in values[column] if value is not None)
         same = F.col(column).isin(found) if found else F.lit(False)
-        return same | F.col(column).isNull() if values[f"{column}__null"] else same
+        return same | F.col(column).isNull() if None in values[column] else same
 
-    return reduce(Column.__and__, [one(column) for column in few], F.lit(True))
+    return reduce(Column.__and__, [one(column) for column in values], F.lit(True))

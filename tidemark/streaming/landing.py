@@ -12,16 +12,19 @@ from tidemark.schemas import RAW, RAW_PARTITIONS
 from tidemark.sinks import grain
 from tidemark.sources.landing import raw_envelope, stream_landing
 from tidemark.sources.tables import ANY, path_exists
+from tidemark.streaming.feed import batch_appender
 
 
 def ingest_landing(
     spark: SparkSession, lake: Lake, path: str, checkpoint: str, *, ods_version: str, data_model_version: str,
     tenant_code: str | None = None, api_year: int | None = None, kind: str | None = None, on_bad_line: str = "fail",
-    transform: Callable[[DataFrame], DataFrame] | None = None, files_per_batch: int | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None, files_per_batch: int | None = None, batch_ids: bool = False,
 ) -> None:
     """Load all files that came since the last run with this checkpoint, then stop.
 
-    Rows have no `file_row_number`. For a full refresh see `refresh_landing`.
+    Rows have no `file_row_number`. For a full refresh see `refresh_landing`. A batch that broke off and runs again is
+    found by its files in the raw table, whoever wrote them, or with `batch_ids` by its id alone: the table is not read
+    then, however large it is.
     """
     ods, model = resolve_versions(ods_version, data_model_version)
     lines = stream_landing(spark, path, files_per_batch=files_per_batch)
@@ -35,7 +38,7 @@ def ingest_landing(
     within = {"kind": kind or ANY, "tenant_code": tenant_code, "api_year": api_year} if given else None
     query = (
         rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-        .foreachBatch(_batch_writer(lake, within)).start()
+        .foreachBatch(batch_appender(lake) if batch_ids else _batch_writer(lake, within)).start()
     )
     query.awaitTermination()
 
