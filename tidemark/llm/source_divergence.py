@@ -37,7 +37,7 @@ SHARD_CELLS, SHARD_KEYS = 1 << 20, 1 << 14
 #: Bytes of all hashes and keys up to which they are broadcast.
 BROADCAST_BYTES = 64 << 20
 #: What a task holds: text at a time, different words, and dense counts.
-PIECE_BYTES, HELD_WORDS, HELD_SLOTS = 1 << 20, 200_000, 4 << 20
+PIECE_BYTES, HELD_WORDS, HELD_SLOTS = 1 << 20, 400_000, 16 << 20
 
 _CUT = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -153,10 +153,6 @@ class Slots:
             out[own] = np.where(same.to_numpy(zero_copy_only=False), slot, -1)
         return out
 
-    def shard_and_slot(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        row = np.searchsorted(self.starts, slot, side="right") - 1
-        return self.ids[row], slot - self.starts[row]
-
 
 def shard_of(words: list[bytes], shards: int) -> np.ndarray:
     """As Spark's `pmod(xxhash64(word), shards)`."""
@@ -228,8 +224,28 @@ def sharded(kept: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     return settled(join_small_side(built, langs.select("lang", "shards"), ["lang"])), langs
 
 
+_CELLS = "lang string, source string, shard long, size long, n long, slots binary, counts binary"
+_CELL_NAMES = [part.split()[0] for part in _CELLS.split(", ")]
+
+
+def packed(slots: np.ndarray, counts: np.ndarray) -> tuple[int, bytes, bytes]:
+    """Sum of counts, and slots and counts as bytes, counts in as few as their largest needs."""
+    width = np.min_scalar_type(int(counts.max()) if len(counts) else 0)
+    return int(counts.sum()), slots.astype("<u4").tobytes(), counts.astype(width).tobytes()
+
+
+def unpacked(slots: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(slots, dtype="<u4").astype(np.int64)
+    return at, np.frombuffer(counts, dtype=f"<u{len(counts) // max(1, len(at)) or 1}").astype(np.int64)
+
+
+def _cell_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), types)], _CELL_NAMES)
+
+
 def slot_counts(docs: DataFrame, hashes: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """(lang, source, shard, slot, n) of kept terms that a source has."""
+    """(lang, source, shard, size, n, slots, counts): what a source has of a shard's terms, and their sum n."""
     key_bytes = F.aggregate("keys", F.lit(0).cast("long"), lambda s, k: s + F.octet_length(k) + 8)
     size = hashes.agg(F.coalesce(F.sum(key_bytes + F.octet_length("shifts")), F.lit(0)).alias("b")).first()["b"]
     if size <= limit:
@@ -237,40 +253,78 @@ def slot_counts(docs: DataFrame, hashes: DataFrame, limit: int = BROADCAST_BYTES
         for row in hashes.toLocalIterator():
             by_lang.setdefault(row["lang"], []).append(row.asDict())
         slots = docs.sparkSession.sparkContext.broadcast({lang: Slots(own) for lang, own in by_lang.items()})
-        found = _texts(docs).mapInArrow(lambda batches: _slot_rows(batches, slots.value), "lang string, source string, shard long, slot long, n long")
+        found = _texts(docs).mapInArrow(lambda batches: _slot_rows(batches, slots.value), _CELLS)
     else:
-        keys = hashes.select("lang", "shard", F.posexplode("keys").alias("slot", "term"))
+        keys = hashes.select("lang", "shard", F.size("keys").cast("long").alias("size"), F.posexplode("keys").alias("slot", "term"))
         words = word_rows(docs, by_document=False).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-        found = words.join(keys, ["lang", "term"]).select("lang", "source", "shard", F.col("slot").cast("long").alias("slot"), "n")
-    return found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
+        found = words.join(keys, ["lang", "term"]).select("lang", "source", "shard", "size", F.col("slot").cast("long").alias("slot"), "n").mapInArrow(_packed_rows, _CELLS)
+    # a shard's rows are added up as a stream, however many tasks they come from
+    return found.repartition("lang", "shard").sortWithinPartitions("lang", "shard").mapInArrow(_summed, _CELLS)
 
 
 def _slot_rows(batches: Iterator[pa.RecordBatch], slots: dict[str, Slots]) -> Iterator[pa.RecordBatch]:
     dense: dict[tuple[str, str], np.ndarray] = {}
-    held = 0
+    held = tokens = 0
 
     def written() -> Iterator[pa.RecordBatch]:
         for (lang, source), counts in dense.items():
+            starts, ids = slots[lang].starts, slots[lang].ids
             at = np.flatnonzero(counts)
-            shard, slot = slots[lang].shard_and_slot(at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array([source] * len(at), pa.string()), *map(pa.array, (shard, slot, counts[at]))], ["lang", "source", "shard", "slot", "n"],
-            )
+            cuts = np.searchsorted(at, starts)
+            rows = [
+                (lang, source, int(ids[i]), int(starts[i + 1] - starts[i]), *packed(at[a:b] - starts[i], counts[at[a:b]]))
+                for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
+            ]
+            if rows:
+                yield _cell_batch(rows)
 
     for (lang, source), words in _counted(batches, by_document=False):
         own = slots.get(lang)
         if own is None or not words:
             continue
         found = own.find(list(words))
-        counts = dense.get((lang, source))
-        if counts is None:
-            if held and held + own.size > HELD_SLOTS:
+        n, known = np.fromiter(words.values(), dtype=np.int64, count=len(words)), found >= 0
+        tokens += int(n.sum())
+        more = 0 if (lang, source) in dense else own.size
+        if dense and (held + more > HELD_SLOTS or tokens >= 1 << 32):
+            yield from written()
+            dense, held, tokens, more = {}, 0, int(n.sum()), own.size
+        if more:
+            # where a single flush counts more than fits, its slots are wider
+            dense[lang, source] = np.zeros(own.size, dtype=np.uint32 if tokens < 1 << 32 else np.uint64)
+            held += more
+        dense[lang, source][found[known]] += n[known].astype(dense[lang, source].dtype)
+    yield from written()
+
+
+def _packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of single slots as rows of many, batch by batch."""
+    for batch in batches:
+        rows = batch.to_pandas()
+        if len(rows):
+            yield _cell_batch([
+                (*key, *packed(own["slot"].to_numpy(), own["n"].to_numpy())) for key, own in rows.groupby(["lang", "source", "shard", "size"], sort=False)
+            ])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shard, each source's added up in one dense array."""
+    current, dense = None, {}
+
+    def written() -> Iterator[pa.RecordBatch]:
+        rows = [(*current[:1], source, *current[1:], *packed(at, counts[at])) for source, counts in dense.items() for at in [np.flatnonzero(counts)]]
+        if rows:
+            yield _cell_batch(rows)
+
+    for batch in batches:
+        for lang, source, shard, size, _, slots, counts in zip(*(batch.column(name).to_pylist() for name in _CELL_NAMES)):
+            if current != (lang, shard, size):
                 yield from written()
-                dense, held = {}, 0
-            counts = dense[lang, source] = np.zeros(own.size, dtype=np.int64)
-            held += own.size
-        known = found >= 0
-        counts[found[known]] += np.fromiter(words.values(), dtype=np.int64, count=len(words))[known]
+                current, dense = (lang, shard, size), {}
+            if source not in dense:
+                dense[source] = np.zeros(size, dtype=np.int64)
+            at, n = unpacked(slots, counts)
+            dense[source][at] += n
     yield from written()
 
 
@@ -290,12 +344,13 @@ def _compared(key: tuple, cells: pd.DataFrame, keys: pd.DataFrame, scale: int, t
     if keys.empty:
         return pd.DataFrame(out)
     lang, words, v = key[0], [bytes(k) for k in keys["keys"].iloc[0]], int(keys["v"].iloc[0])
-    totals = cells[cells["slot"] < 0].sort_values("source")
-    sources, n = totals["source"].to_list(), totals["n"].to_numpy()
+    totals = cells[cells["slots"].isna()].sort_values("source")
+    sources, n = totals["source"].to_list(), totals["n"].to_list()
     number = {s: i for i, s in enumerate(sources)}
     counts = np.zeros((len(sources), len(words)), dtype=np.int64)
-    found = cells[cells["slot"] >= 0]
-    counts[found["source"].map(number).to_numpy(dtype=np.int64), found["slot"].to_numpy(dtype=np.int64)] = found["n"].to_numpy()
+    for source, slots, found in cells.loc[~cells["slots"].isna(), ["source", "slots", "counts"]].itertuples(index=False):
+        at, here = unpacked(bytes(slots), bytes(found))
+        counts[number[source], at] = here
     p = np.stack([shares(c, int(total), v, scale) for c, total in zip(counts, n)])
     q = shares(counts.sum(axis=0), sum(int(x) for x in n), v, scale)
     texts = np.array([w.decode("utf-8", "replace") for w in words], dtype=object)
@@ -321,9 +376,10 @@ def divergence(docs: DataFrame, *, least: int = LEAST_DOCUMENTS, scale: int = SC
     counts = settled(slot_counts(docs, hashes, limit))
     totals = groups.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("n")), ["lang", "source"], "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"))
     keys = hashes.join(langs.select("lang", "v"), "lang").select("lang", "shard", "v", "keys")
-    # every shard has a row of each source's total, at the slot -1
-    heads = totals.join(hashes.select("lang", "shard"), "lang").select("lang", "source", "shard", F.lit(-1).cast("long").alias("slot"), "n")
-    cells = counts.unionByName(heads)
+    # every shard has a row of each source's total, without slots
+    nothing = F.lit(None).cast("binary")
+    heads = totals.join(hashes.select("lang", "shard"), "lang").select("lang", "source", "shard", "n", nothing.alias("slots"), nothing.alias("counts"))
+    cells = counts.select(*heads.columns).unionByName(heads)
     parts = cells.groupBy("lang", "shard").cogroup(keys.groupBy("lang", "shard")).applyInPandas(
         lambda key, left, right: _compared(key, left, right, scale, top), "lang string, source string, part string, item string, value long",
     )
