@@ -24,6 +24,7 @@ from pyspark.sql.functions import arrow_udf
 
 from tidemark.llm.common import fit_logistic, held_out, label_sample, slices, utf8
 
+# Bounds of fitting; all of them are parameters of `train` and `score`.
 #: Labelled documents that are looked at; half of them give pieces, half fit the curve.
 LABEL_BOUND = 12_000
 #: Pieces of text for each dictionary, their bytes, and the bytes of a dictionary.
@@ -84,25 +85,32 @@ class Model:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))
 
 
-def _pieces(rows: DataFrame) -> dict[int, list[bytes]]:
-    """At most PIECES pieces of each label, spread over all of the sampled texts by hash."""
+def _pieces(rows: DataFrame, pieces: int = PIECES, piece_bytes: int = PIECE_BYTES) -> dict[int, list[bytes]]:
+    """At most `pieces` pieces of each label, spread over all of the sampled texts by hash."""
     rows = rows.select("doc_id", "label", utf8().alias("b")).where("octet_length(b) > 0")
-    at = F.explode(F.sequence(F.lit(1), F.octet_length("b"), F.lit(PIECE_BYTES))).alias("at")
-    cut = rows.select("doc_id", "label", "b", at).select("label", F.xxhash64("doc_id", "at").alias("h"), F.substring("b", F.col("at"), PIECE_BYTES).alias("piece"))
+    at = F.explode(F.sequence(F.lit(1), F.octet_length("b"), F.lit(piece_bytes))).alias("at")
+    cut = rows.select("doc_id", "label", "b", at).select("label", F.xxhash64("doc_id", "at").alias("h"), F.substring("b", F.col("at"), piece_bytes).alias("piece"))
     out = {}
     for label in (0, 1):
-        got = cut.where(F.col("label") == label).orderBy("h", "piece").limit(PIECES).select("piece").collect()
+        got = cut.where(F.col("label") == label).orderBy("h", "piece").limit(pieces).select("piece").collect()
         out[label] = [bytes(r["piece"]) for r in got]
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bound: int = LABEL_BOUND) -> Model:
-    """Dictionaries and curve from labelled documents outside the held-out fold."""
+def train(
+    docs: DataFrame, labels: DataFrame, *, label: str = "quality", bound: int = LABEL_BOUND, pieces: int = PIECES, piece_bytes: int = PIECE_BYTES,
+    dict_bytes: int = DICT_BYTES,
+) -> Model:
+    """Dictionaries and curve from labelled documents outside the held-out fold.
+
+    At most `bound` labelled documents are looked at, and at most `pieces` pieces of `piece_bytes` make each dictionary of
+    `dict_bytes`.
+    """
     sample = label_sample(labels, label, bound, ~held_out(FOLDS, FOLD))
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     gives = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(2)) == 0
-    pieces = _pieces(rows.where(gives))
-    good, bad = build_dictionary(pieces[1]), build_dictionary(pieces[0])
+    cut = _pieces(rows.where(gives), pieces, piece_bytes)
+    good, bad = (build_dictionary(cut[kind], dict_bytes) for kind in (1, 0))
     measured = rows.where(~gives).select("doc_id", "label", measures(good, bad)(utf8()).alias("m"))
     got = measured.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("m.difference").alias("d"), F.min("m.ratio").alias("r"))
     got = got.toPandas().sort_values("doc_id")
@@ -110,9 +118,13 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bound:
     return Model(good, bad, tuple(float(w) for w in weights))
 
 
-def score(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, bound: int = LABEL_BOUND) -> DataFrame:
-    """One row per document: `held_out`, `score`, `predicted`."""
-    model = train(docs, labels, bound=bound)
+def score(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, **bounds: int) -> DataFrame:
+    """One row per document: `held_out`, `score`, `predicted`. `bounds` are those of `train`."""
+    return scored(docs, train(docs, labels, **bounds), threshold=threshold)
+
+
+def scored(docs: DataFrame, model: Model, *, threshold: float = 0.3) -> DataFrame:
+    """What `score` gives, by a model."""
     measured = docs.select("doc_id", measures(model.good, model.bad)(utf8()).alias("__sizes"))
     rows = measured.select("doc_id", held_out(FOLDS, FOLD).alias("held_out"), model.score("__sizes").alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
