@@ -6,7 +6,8 @@ tokens of toxic documents. A two-state chain is trained on stretches of labelled
 For a text, forward-backward gives each token's marginal probability to be toxic; the largest and the expected number of
 toxic tokens become the document's score by a logistic curve, and tokens of at least one half are the offending spans.
 
-Fitting uses a bounded sample of labelled documents; scoring uses every whole text. Null texts count as empty, which have
+Fitting uses a bounded sample of labelled documents, of whose features those of most evidence and of whose stretches the
+first by hash (all three bounds are parameters); scoring uses every whole text. Null texts count as empty, which have
 the score of no toxic token. Without labels of both kinds every score is the share of toxic labels. Repeated rows have
 equal scores.
 """
@@ -20,22 +21,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tidemark.llm.common import fit_logistic, held_out, label_sample, slices, utf8
 from tidemark.operators.joins import settled
 
-#: Labelled documents, cues, and stretches of tokens that the chain is fitted on.
+#: Bounds of fitting, parameters of `train` and `score`: labelled documents, cues, and stretches of tokens.
 LABEL_BOUND, CUE_BOUND, STRETCHES = 12_000, 5_000, 6_000
 STRETCH = 32
 FOLDS, FOLD = 5, 0
 #: Least evidence (likelihood ratio, over documents and over surroundings) of a cue.
 EVIDENCE = 25.0
+#: Least marginal of an offending word.
+LEAST = 0.5
 _STRIP = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Texts longer than this without a cue are past the ends' influence: what a further token adds is constant.
-_SETTLED = 256
 
 
 def features(word: bytes) -> list[bytes]:
@@ -44,12 +45,14 @@ def features(word: bytes) -> list[bytes]:
     return [b"=" + core, *(core[:n] for n in (4, 5, 6) if len(core) >= n)] if core else []
 
 
-def evidence(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
-    """Signed likelihood ratio of a feature's rate among toxic against clean; negative where clean has the higher rate."""
-    total = toxic + clean
-    expected = np.maximum(total * n_toxic / (n_toxic + n_clean), 1e-12), np.maximum(total * n_clean / (n_toxic + n_clean), 1e-12)
-    g = 2 * sum(np.where(k > 0, k * np.log(np.maximum(k, 1e-12) / e), 0.0) for k, e in zip((toxic, clean), expected))
-    return np.where(toxic / n_toxic > clean / n_clean, g, -g)
+def evidence(n_toxic: int, n_clean: int) -> Column:
+    """Likelihood ratio of a feature's rate among toxic against clean, from `toxic` and `clean`; negative where clean has
+    the higher rate."""
+    toxic, clean = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    total, whole = toxic + clean, float(n_toxic + n_clean)
+    part = lambda k, n: F.when(k > 0, k * F.log(k / (total * (n / whole)))).otherwise(0.0)
+    g = 2 * (part(toxic, n_toxic) + part(clean, n_clean))
+    return F.when(toxic / n_toxic > clean / n_clean, g).otherwise(-g)
 
 
 def _counted(rows: DataFrame, wanted: frozenset[bytes] | None) -> DataFrame:
@@ -75,16 +78,12 @@ def _counted(rows: DataFrame, wanted: frozenset[bytes] | None) -> DataFrame:
     return each.groupBy("feature").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
 
 
-def find_cues(rows: DataFrame, n_toxic: int, n_clean: int) -> list[bytes]:
-    """At most CUE_BOUND features, those of most evidence."""
+def find_cues(rows: DataFrame, n_toxic: int, n_clean: int, bound: int = CUE_BOUND) -> list[bytes]:
+    """At most `bound` features, those of most evidence."""
 
     def strong(counts: DataFrame) -> list[bytes]:
-        # at least as many toxic ones as can reach the evidence when no clean one has the feature
-        least = EVIDENCE / (2 * np.log((n_toxic + n_clean) / n_toxic))
-        got = counts.where(F.col("toxic") >= int(least)).orderBy(F.desc("toxic"), "feature").limit(20 * CUE_BOUND).toPandas()
-        g = evidence(got["toxic"].to_numpy(dtype=float), got["clean"].to_numpy(dtype=float), n_toxic, n_clean)
-        order = np.argsort(-g, kind="stable")[:CUE_BOUND]
-        return [bytes(got["feature"].iloc[i]) for i in order if g[i] >= EVIDENCE]
+        told = counts.withColumn("evidence", evidence(n_toxic, n_clean)).where(F.col("evidence") >= EVIDENCE)
+        return [bytes(row["feature"]) for row in told.orderBy(F.desc("evidence"), F.desc("toxic"), "feature").limit(bound).select("feature").collect()]
 
     first = strong(_counted(rows, None))
     return sorted(strong(_counted(rows, frozenset(first)))) if first else []
@@ -175,16 +174,57 @@ def fit_chain(stretches: list[tuple[list[bytes], list[int]]], cues: list[bytes],
     return Chain({c: float(x) for c, x in zip(cues, w[:k])}, float(w[k]), float(w[k + 1]), tuple(float(x) for x in w[k + 2:]))
 
 
+class Uncued:
+    """Marginals of texts without a cue. All places have one energy, so what comes from the left depends on a place's
+    distance from the start alone, and what comes from the right on that from the end."""
+
+    def __init__(self, chain: Chain):
+        e, (m01, m10, m11) = np.exp(np.clip(chain.bias, -30, 30)), np.exp(chain.moves)
+        self.left = _Repeated(lambda x: (x[0] + x[1] * m10, (x[0] * m01 + x[1] * m11) * e), (1.0, float(np.exp(chain.start) * e)))
+        self.right = _Repeated(lambda x: (x[0] + m01 * e * x[1], m10 * x[0] + m11 * e * x[1]), (1.0, 1.0))
+        self.known: dict[int, tuple[float, float]] = {}
+
+    def marginals(self, n: int) -> np.ndarray:
+        a, b = self.left.first(n), self.right.first(n)[::-1]
+        toxic = a[:, 1] * b[:, 1]
+        return toxic / (a[:, 0] * b[:, 0] + toxic)
+
+    def summary(self, n: int) -> tuple[float, float]:
+        if n not in self.known:
+            self.known[n] = _summary(self.marginals(n))
+        return self.known[n]
+
+
+class _Repeated:
+    """Shares of two numbers under the same step again and again; once a step changes nothing, no other does."""
+
+    def __init__(self, step, start: tuple[float, float]):
+        self.step, self.shares, self.still = step, [self._scaled(start)], False
+
+    @staticmethod
+    def _scaled(x: tuple[float, float]) -> tuple[float, float]:
+        return x[0] / (x[0] + x[1]), x[1] / (x[0] + x[1])
+
+    def first(self, n: int) -> np.ndarray:
+        while len(self.shares) < n and not self.still:
+            after = self._scaled(self.step(self.shares[-1]))
+            self.still = after == self.shares[-1]
+            self.shares.append(after)
+        own = np.array(self.shares[:n]).reshape(-1, 2)
+        return np.concatenate([own, np.repeat(own[-1:], n - len(own), axis=0)]) if len(own) < n else own
+
+
+def _summary(p: np.ndarray) -> tuple[float, float]:
+    return (float(p.max()), float(p.sum())) if len(p) else (0.0, 0.0)
+
+
 class Tagger:
-    """Marginals of whole texts; words' energies are remembered."""
+    """Marginals of whole texts; words' energies are remembered, up to `most` bytes of words."""
 
-    def __init__(self, chain: Chain, most: int = 500_000):
-        self.chain, self.most = chain, most
+    def __init__(self, chain: Chain, most: int = 16 << 20):
+        self.chain, self.most, self.held = chain, most, 0
         self.known: dict[bytes, float] = {}
-        plain = self._run([np.full(_SETTLED, chain.bias)])[0]
-        self.plain_most, self.plain_more = float(plain.max()), float(plain[_SETTLED // 2])
-        # without a cue only the length matters
-        self.plain = [self._summary(p) for p in self._run([np.full(n, chain.bias) for n in range(_SETTLED + 1)])]
+        self.uncued = Uncued(chain)
 
     def _run(self, energies: list[np.ndarray]) -> list[np.ndarray]:
         """Marginals; sequences of like length are run together."""
@@ -206,49 +246,61 @@ class Tagger:
             start += len(own)
         return out
 
-    @staticmethod
-    def _summary(p: np.ndarray) -> tuple[float, float]:
-        return (float(p.max()), float(p.sum())) if len(p) else (0.0, 0.0)
-
     def energies(self, text: bytes) -> np.ndarray:
         words, known = text.lower().split(), self.known
-        if len(known) > self.most:
+        if self.held > self.most:
             known.clear()
+            self.held = 0
         for word in set(words).difference(known):
             known[word] = self.chain.energy(word)
+            self.held += len(word)
         return np.fromiter(map(known.__getitem__, words), dtype=float, count=len(words))
 
     def marginals(self, texts: list[bytes]) -> list[np.ndarray]:
         return self._run([self.energies(t) for t in texts])
 
     def summaries(self, texts: list[bytes]) -> list[tuple[float, float]]:
-        """The largest marginal and the expected number of toxic tokens of each text."""
-        out: list[tuple[float, float]] = []
+        return [found[:2] for found in self.findings(texts)]
+
+    def findings(self, texts: list[bytes], least: float = LEAST) -> list[tuple[float, float, str]]:
+        """The largest marginal, the expected number of toxic tokens, and the places of toxic tokens of each text."""
+        out: list[tuple[float, float, str]] = []
         cued, energies = [], []
         for i, text in enumerate(texts):
             e = self.energies(text)
             if (e != self.chain.bias).any():
                 cued.append(i)
                 energies.append(e)
-                out.append((0.0, 0.0))
-            elif len(e) <= _SETTLED:
-                out.append(self.plain[len(e)])
-            else:
-                most, sum_ = self.plain[_SETTLED]
-                out.append((most, sum_ + (len(e) - _SETTLED) * self.plain_more))
+                out.append((0.0, 0.0, ""))
+                continue
+            most, expected = self.uncued.summary(len(e))
+            out.append((most, expected, _said(_places(text, self.uncued.marginals(len(e)), least)) if most >= least else ""))
         for i, p in zip(cued, self._run(energies)):
-            out[i] = self._summary(p)
+            out[i] = (*_summary(p), _said(_places(texts[i], p, least)))
         return out
 
 
+def _places(text: bytes, p: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """Start, end (code points, exclusive) and marginal of the toxic words of a text."""
+    if not (p >= least).any():
+        return []
+    # the words are those of the bytes, which split at the same characters
+    return [(*w.span(), float(x)) for w, x in zip(_WORD.finditer(text.decode("utf-8", "replace")), p) if x >= least]
+
+
+def _said(places: list[tuple[int, int, float]]) -> str:
+    return ",".join(f"{start}:{end}" for start, end, _ in places)
+
+
 def _summarised(chain: Chain):
-    @arrow_udf("struct<most:double,expected:double>")
+    @arrow_udf("struct<most:double,expected:double,spans:string>")
     def summarise(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = Tagger(chain)
+        kinds = {"most": pa.float64(), "expected": pa.float64(), "spans": pa.string()}
         for batch in batches:
-            rows = [s for texts in slices(batch) for s in tagger.summaries(texts)]
-            columns = list(zip(*rows)) or [(), ()]
-            yield pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns], ["most", "expected"])
+            rows = [s for texts in slices(batch) for s in tagger.findings(texts)]
+            columns = list(zip(*rows)) or [(), (), ()]
+            yield pa.StructArray.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds.values())], list(kinds))
 
     return summarise.asNondeterministic()
 
@@ -264,7 +316,7 @@ def _levels(most: np.ndarray, expected: np.ndarray) -> np.ndarray:
     return np.column_stack([np.log(most / (1 - most)), np.log1p(expected)])
 
 
-def _stretches(rows: DataFrame, cues: list[bytes]) -> list[tuple[list[bytes], list[int]]]:
+def _stretches(rows: DataFrame, cues: list[bytes], bound: int = STRETCHES) -> list[tuple[list[bytes], list[int]]]:
     """Stretches of labelled tokens, half of them with a toxic one where there are enough; the first by hash."""
     known = frozenset(cues)
 
@@ -284,37 +336,48 @@ def _stretches(rows: DataFrame, cues: list[bytes]) -> list[tuple[list[bytes], li
     pieces = rows.select("b", "label").mapInArrow(cut, "words binary, tags string").distinct()
     out = []
     for some in (True, False):
-        chosen = pieces.where(F.col("tags").contains("1") == some).orderBy(F.xxhash64("words"), "words", "tags").limit(STRETCHES // 2)
+        chosen = pieces.where(F.col("tags").contains("1") == some).orderBy(F.xxhash64("words"), "words", "tags").limit(bound // 2)
         out += [(bytes(r["words"]).split(b" "), [int(c) for c in r["tags"]]) for r in chosen.collect()]
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", bound: int = LABEL_BOUND) -> Model:
-    """From labelled documents outside the held-out fold; of those, one third fits the curve and the rest the chain."""
+def train(
+    docs: DataFrame, labels: DataFrame, *, label: str = "toxic", bound: int = LABEL_BOUND, cue_bound: int = CUE_BOUND, stretch_bound: int = STRETCHES,
+) -> Model:
+    """From labelled documents outside the held-out fold; of those, one third fits the curve and the rest the chain.
+
+    At most `bound` labelled documents, `cue_bound` cues (those of most evidence) and `stretch_bound` stretches are fitted on.
+    """
     sample = label_sample(labels, label, bound, ~held_out(FOLDS, FOLD))
     rows = settled(docs.select("doc_id", utf8().alias("b")).join(F.broadcast(sample), "doc_id"))
     curve = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0
     counts = {r["label"]: r["count"] for r in rows.where(~curve).groupBy("label").count().collect()}
-    cues = find_cues(rows.where(~curve), counts[1], counts[0]) if counts.get(0) and counts.get(1) else []
-    chain = fit_chain(_stretches(rows.where(~curve), cues) if cues else [], cues)
+    cues = find_cues(rows.where(~curve), counts[1], counts[0], cue_bound) if counts.get(0) and counts.get(1) else []
+    chain = fit_chain(_stretches(rows.where(~curve), cues, stretch_bound) if cues else [], cues)
     measured = rows.where(curve).select("doc_id", "label", _summarised(chain)(F.col("b")).alias("s"))
     got = measured.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("s.most").alias("most"), F.min("s.expected").alias("expected")).toPandas().sort_values("doc_id")
     weights = fit_logistic(_levels(got["most"].to_numpy(dtype=float), got["expected"].to_numpy(dtype=float)), got["label"].to_numpy(dtype=float), ridge=1e-3)
     return Model(chain, tuple(float(w) for w in weights))
 
 
-def score(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, bound: int = LABEL_BOUND) -> DataFrame:
-    """One row per document: `held_out`, `score`, `predicted`."""
-    model = train(docs, labels, bound=bound)
+def score(
+    docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, bound: int = LABEL_BOUND, cue_bound: int = CUE_BOUND, stretch_bound: int = STRETCHES,
+) -> DataFrame:
+    """One row per document: `held_out`, `score`, `predicted`, and `spans`, the offending words' places `start:end`."""
+    return scored(docs, train(docs, labels, bound=bound, cue_bound=cue_bound, stretch_bound=stretch_bound), threshold=threshold)
+
+
+def scored(docs: DataFrame, model: Model, *, threshold: float = 0.5) -> DataFrame:
+    """What `score` gives, by a model."""
     rows = docs.select("doc_id", held_out(FOLDS, FOLD).alias("held_out"), _summarised(model.chain)(utf8()).alias("__s"))
     most = F.greatest(F.least(F.col("__s.most"), F.lit(1 - 1e-6)), F.lit(1e-6))
     a, b, c = model.weights
     z = F.log(most / (1 - most)) * a + F.log1p("__s.expected") * b + c
-    rows = rows.select("doc_id", "held_out", (1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))).alias("score"))
-    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    rows = rows.select("doc_id", "held_out", (1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))))).alias("score"), F.col("__s.spans").alias("spans"))
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
 
 
-def toxic_spans(docs: DataFrame, model: Model, *, least: float = 0.5) -> DataFrame:
+def toxic_spans(docs: DataFrame, model: Model, *, least: float = LEAST) -> DataFrame:
     """(doc_id, spans): places (code points, end exclusive) and marginals of the toxic words of each document."""
 
     @arrow_udf("array<struct<start:int,end:int,p:double>>")
@@ -322,11 +385,10 @@ def toxic_spans(docs: DataFrame, model: Model, *, least: float = 0.5) -> DataFra
         tagger = Tagger(model.chain)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
         for batch in batches:
-            rows = []
-            for texts in slices(batch):
-                for text, p in zip(texts, tagger.marginals(texts)):
-                    words = _WORD.finditer(text.decode("utf-8", "replace")) if (p >= least).any() else ()
-                    rows.append([{"start": w.start(), "end": w.end(), "p": float(x)} for w, x in zip(words, p) if x >= least])
+            rows = [
+                [dict(zip(("start", "end", "p"), place)) for place in _places(text, p, least)]
+                for texts in slices(batch) for text, p in zip(texts, tagger.marginals(texts))
+            ]
             yield pa.array(rows, kind)
 
     return docs.select("doc_id", tag.asNondeterministic()(utf8()).alias("spans"))
