@@ -6,7 +6,8 @@ output softmax is over classes of words, then over the words of the class.
 
 Counts and training cover every training document. Counts are grouped in Spark. Training goes over the documents once, in
 three rounds: in a round each task trains on its own documents, by backpropagation truncated to windows through which the
-state is carried, and the tasks' weights are averaged, as many tokens as each saw. Scoring carries the state of a text
+state is carried, and the tasks' weights are averaged, as many tokens as each saw; so the model depends on how the
+documents are dealt to tasks, which is by the input's splits. Scoring carries the state of a text
 from window to window, so its likelihood is that of the complete text. Words outside the broadcast head of the vocabulary
 are looked up by a join.
 
@@ -383,20 +384,22 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
-    """`counts` is computed before. The head, at most `head` words, goes to the driver."""
+    """`counts` is computed before. The head, the `head` most frequent words or all, goes to the driver; it has room for
+    the network's words at least. Words of one count are taken by hash."""
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
-    # the least count is found from a histogram, so that no more than the head itself goes to the driver
-    bucket = F.floor(F.log2("n") * 64).cast("int").alias("bucket")
-    sizes = counts.where(F.octet_length("word") > 0).groupBy(bucket).count().collect()
-    least, held = None, 0
-    for row in sorted(sizes, key=lambda r: -r["bucket"]):
-        held += row["count"]
-        if held > head:
+    # where the head ends is found from histograms, so that no more than the head itself goes to the driver
+    rows, room, parts = counts.where(F.octet_length("word") > 0), max(head, WORDS - 2), []
+    place = F.xxhash64("word")
+    for bucket in (-F.floor(F.log2("n") * 64), -F.col("n"), F.shiftright(place, 44), place):
+        within, rest, room = _first_buckets(rows, bucket, room)
+        parts.append(within)
+        if rest is None:
             break
-        least = row["bucket"]
-    chosen = counts.where((F.octet_length("word") > 0) & (bucket >= F.lit(least)))
-    found = chosen.select("word", "n").toArrow()
-    top = sorted(zip(found.column("n").to_pylist(), found.column("word").to_pylist()), key=lambda r: (-r[0], r[1]))
+        rows = rest
+    else:
+        parts.append(rows.orderBy("word").limit(room))  # words of one count and one hash
+    found = [part.select("word", "n").toArrow() for part in parts]
+    top = sorted(((n, word) for table in found for n, word in zip(table.column("n").to_pylist(), table.column("word").to_pylist())), key=lambda r: (-r[0], r[1]))
     ends = counts.where(F.octet_length("word") == 0).first()
     words = {END_WORD: END} | {word: i for i, (_, word) in enumerate(top, END + 1)}
     numbers = np.array([0, ends["n"] if ends else 0, *[n for n, _ in top]], dtype=np.int64)
@@ -404,6 +407,20 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     return Vocabulary(words, numbers, whole["n"], whole["types"], whole["n"] - int(own.sum()), whole["types"] - int((own > 0).sum()))
 
 
+def _first_buckets(rows: DataFrame, bucket: Column, room: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """The rows of the first buckets that there is room for, those of the one that it ends in (or nothing where all have
+    room), and the room left for these."""
+    sizes = rows.groupBy(bucket.alias("bucket")).count()
+    if room <= 0:
+        return rows.limit(0), None, 0
+    before = 0
+    for row in sizes.orderBy("bucket").toLocalIterator():
+        if before + row["count"] > room:
+            return rows.where(bucket < F.lit(row["bucket"])), rows.where(bucket == F.lit(row["bucket"])), room - before
+        before += row["count"]
+    return rows, None, room - before
+
+
 def _numbers(texts: pa.Array, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Numbers of all tokens of some texts, each text's end included, and where each text starts; the different words,
     and the word of each token (-1 for an end). Only different words are looked up."""
