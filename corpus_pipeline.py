@@ -37,8 +37,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """`n_chars` follows the masked text; a text that stays keeps its own."""
-    masked = secret_scan.mask_live(docs)
+    """Owners are counted over the documents that the pipeline starts from: of the copies of an example but one is left
+    here. `n_chars` follows the masked text; a text that stays keeps its own."""
+    masked = secret_scan.mask_live(docs, corpus=read(spark, sf_dir, "documents"))
     marked = F.contains("text", F.lit(secret_scan.MASK))
     return masked.withColumn("n_chars", F.when(marked, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
 

@@ -60,12 +60,25 @@ def candidates(text: str) -> list[tuple[int, int, int, int, int, str, bool]]:
     if long:
         found += [(2, *m.span(), *m.span(), m[0]) for m in HEX.finditer(text)]
         # inside of a pattern's span a token is no finding of its own
-        spans = sorted((a, b) for _, a, b, *_ in found)
-        found += [(3, *m.span(), *m.span(), m[0]) for m in BARE.finditer(text) if looks_random(m[0]) and not any(a < m.end() and m.start() < b for a, b in spans)]
+        bare = outside([m for m in BARE.finditer(text) if looks_random(m[0])], sorted((a, b) for _, a, b, *_ in found))
+        found += [(3, *m.span(), *m.span(), m[0]) for m in bare]
     found.sort(key=lambda f: (f[1], f[0]))
     return [(*f[:5], hashlib.sha256(f[5].encode()).hexdigest(), f[0] == 1 or looks_random(f[5])) for f in found]
 
 
+def outside(matches: list[re.Match], spans: list[tuple[int, int]]) -> list[re.Match]:
+    """Matches, in order, that touch none of the spans, sorted by start. Both lists are walked once."""
+    free, at, reach = [], 0, 0
+    for m in matches:
+        # of the spans that begin before the match ends, the farthest end tells
+        while at < len(spans) and spans[at][0] < m.end():
+            reach = max(reach, spans[at][1])
+            at += 1
+        if reach <= m.start():
+            free.append(m)
+    return free
+
+
 @arrow_udf(ArrayType(_CANDIDATE))
 def _candidates(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     kind = pa.list_(pa.struct([*((n, pa.int32()) for n in _PLACES), ("hash", pa.string()), ("random", pa.bool_())]))
@@ -86,12 +99,25 @@ def _spans(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda c: F.concat_ws(":", F.element_at(kinds, c["rank"] + 1), c["start"], c["end"])), ",")
 
 
-def judged(docs: DataFrame, owner: Column, repository: Column, *, max_owners: int = MAX_OWNERS) -> tuple[DataFrame, DataFrame]:
-    """All rows (doc_id, key, found), and by key the candidates with `live` and `copied`."""
-    rows = docs.select("doc_id", *text_key(), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), _candidates.asNondeterministic()(utf8()).alias("found"))
-    rows = settled(rows)
+def owned(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
+    """All rows (doc_id, key, owner, repository, found)."""
+    found = _candidates.asNondeterministic()(utf8()).alias("found")
+    return docs.select("doc_id", *text_key(), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), found)
+
+
+def judged(
+    docs: DataFrame, owner: Column, repository: Column, *, max_owners: int = MAX_OWNERS, corpus: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """All rows (doc_id, key, found), and by key the candidates with `live` and `copied`. Owners are counted over `docs`,
+    and over `corpus` too where it is given: what `docs` were chosen from."""
+    rows = settled(owned(docs, owner, repository))
     each = rows.where(F.size("found") > 0).select("__id", "__hash", "owner", "repository", F.explode("found").alias("c"))
-    counts = ownership(each.select("owner", "repository", "c.hash"))
+    holders = each.select("owner", "repository", "c.hash")
+    if corpus is not None:
+        more = owned(corpus, owner, repository).select("owner", "repository", F.explode("found").alias("c"))
+        holders = holders.unionByName(more.select("owner", "repository", "c.hash"))
+    # settled, so that Spark may split the join where very many rows hold one value
+    counts = settled(ownership(holders))
     known = each.select("__id", "__hash", "c.*").join(counts, "hash")
     few = F.col("owners") <= max_owners
     item = F.struct("start", "rank", "end", "value_start", "value_end", (few & F.col("random")).alias("live"), (~few).alias("copied"), "owners", "repositories")
@@ -131,14 +157,17 @@ def _masked(text: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def mask_live(docs: DataFrame, *, owner: Column | None = None, repository: Column | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
+def mask_live(
+    docs: DataFrame, *, owner: Column | None = None, repository: Column | None = None, max_owners: int = MAX_OWNERS, corpus: DataFrame | None = None,
+) -> DataFrame:
     """All documents, with live values replaced by a mark; texts without one stay as they are.
 
-    Only documents with a candidate are shuffled with their text.
+    Owners are counted over `docs` and over `corpus`, what they were chosen from: where copies of an example were removed,
+    the one that is left has one owner only. Only documents with a candidate are shuffled with their text.
     """
     owner = F.col("source") if owner is None else owner
     repository = F.col("lang") if repository is None else repository
-    _, known = judged(docs, owner, repository, max_owners=max_owners)
+    _, known = judged(docs, owner, repository, max_owners=max_owners, corpus=corpus)
     live = known.select("__id", "__hash", F.filter("judged", lambda c: c["live"]).alias("__live")).where(F.size("__live") > 0)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.withColumn("__n", F.size(_candidates.asNondeterministic()(utf8())))
