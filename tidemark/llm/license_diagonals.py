@@ -2,7 +2,7 @@
 
 Every rolling three-word hash of a document is joined to the places of that hash in license phrases. A hit votes for its
 diagonal, the word of the document at which the phrase would start. Neighbouring diagonals, apart by inserted or left-out
-words, are merged, and the merged span is verified word by word. A phrase stands at a place where one diagonal has all of
+words, are merged. Hits are verified word by word as they are found, each gram having its words with it. A phrase stands at a place where one diagonal has all of
 its hashes; a phrase of which a span has three quarters gives its label too.
 
 Only Spark functions are used. Hashes are joined to the broadcast phrases, whose number is fixed; what is grouped by
@@ -21,6 +21,7 @@ from tidemark.llm.common import text_key
 from tidemark.operators.joins import join_small_side
 
 WIDTH = 3
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Diagonals up to so many words apart are one span; the share of a phrase's hashes that a span must have.
 GAP, SHARE = 2, 0.75
 #: Label, phrase, whether each of its places is counted.
@@ -40,13 +41,20 @@ PHRASES: tuple[tuple[str, str, bool], ...] = (
 
 
 def words_of(text: str = "text") -> Column:
-    parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
+    # only A-Z are lowered: Spark's own function changes letters beyond ASCII too
+    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, UPPER.lower())
+    parts = F.split(lowered, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
     return F.array_remove(parts, "")
 
 
 def rolling(words: Column) -> Column:
-    """Hashes of three words from each word on. The outer function binds the words, which are else split anew for each."""
-    return F.transform(F.array(words), lambda own: F.transform(own, lambda w, i: F.xxhash64(w, F.get(own, i + 1), F.get(own, i + 2))))[0]
+    """From each word on, the hash of three words (h) and these (three). The outer function binds the words, which are else
+    split anew for each."""
+
+    def gram(own: Column, w: Column, i: Column) -> Column:
+        return F.struct(F.xxhash64(w, F.get(own, i + 1), F.get(own, i + 2)).alias("h"), F.slice(own, i + 1, WIDTH).alias("three"))
+
+    return F.transform(F.array(words), lambda own: F.transform(own, lambda w, i: gram(own, w, i)))[0]
 
 
 def phrase_table(spark: SparkSession, phrases: Sequence[tuple[str, str, bool]]) -> DataFrame:
@@ -61,43 +69,32 @@ def phrase_table(spark: SparkSession, phrases: Sequence[tuple[str, str, bool]])
     return spark.range(1).select(F.inline(F.array(*rows))).withColumn("grams", F.size("phrase_words") - (WIDTH - 1))
 
 
-def _diagonals(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """By key and phrase, merged spans: `hits` (word, place in the phrase)."""
-    places = phrases.select("phrase", "grams", F.posexplode(rolling(F.col("phrase_words"))).alias("at", "h")).where("at < grams").drop("grams")
-    # first the hashes with a row's key alone, then the rare hits
-    grams = docs.select(*text_key(), F.posexplode(rolling(words_of())).alias("pos", "h"))
-    hits = grams.join(F.broadcast(places), "h").withColumn("diagonal", F.col("pos") - F.col("at"))
-    votes = hits.groupBy("__id", "__hash", "phrase", "diagonal").agg(F.collect_set(F.struct("pos", "at")).alias("hits"))
+def _spans(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """By key, merged spans: label, the share of the phrase's hashes, and the starts where the whole of it stands."""
+    places = phrases.select("phrase", "grams", F.posexplode(rolling(F.col("phrase_words"))).alias("at", "g")).where("at < grams")
+    places = places.select("phrase", "at", F.col("g.h").alias("h"), F.col("g.three").alias("want"))
+    # first the hashes with a row's key and their words alone, then the rare hits, verified at once
+    grams = docs.select(*text_key(), F.posexplode(rolling(words_of())).alias("pos", "g")).select("__id", "__hash", "pos", F.col("g.h").alias("h"), F.col("g.three").alias("three"))
+    hits = grams.join(F.broadcast(places), "h").where(F.col("three") == F.col("want")).drop("three", "want", "h").withColumn("diagonal", F.col("pos") - F.col("at"))
+    votes = hits.groupBy("__id", "__hash", "phrase", "diagonal").agg(F.collect_set("at").alias("ats"))
     along = Window.partitionBy("__id", "__hash", "phrase").orderBy("diagonal")
     starts = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > GAP, F.lit(True)).cast("int")
-    spans = votes.withColumn("starts", starts).withColumn("span", F.sum("starts").over(along))
-    return spans.groupBy("__id", "__hash", "phrase", "span").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    spans = votes.withColumn("starts", starts).withColumn("span", F.sum("starts").over(along)).join(F.broadcast(phrases.select("phrase", "label", "counted", "grams")), "phrase")
+    whole = F.when(F.col("counted") & (F.size("ats") == F.col("grams")), F.col("diagonal"))
+    merged = spans.groupBy("__id", "__hash", "phrase", "span", "label", "grams").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.collect_list(whole).alias("whole"))
+    return merged.select("__id", "__hash", "label", (F.size("ats") / F.col("grams")).alias("share"), "whole")
 
 
 def scan(docs: DataFrame, phrases: Sequence[tuple[str, str, bool]] = PHRASES) -> DataFrame:
-    """One row per document: words, counted places, labels, and the best share of a phrase that a span has."""
-    table = phrase_table(docs.sparkSession, phrases)
-    spans = _diagonals(docs, table).join(F.broadcast(table), "phrase")
-    found = spans.groupBy("__id", "__hash").agg(F.collect_list(F.struct("label", "counted", "grams", "phrase_words", "hits")).alias("spans"))
-    keyed = docs.select("doc_id", *text_key(), words_of().alias("words"))
-    rows = join_small_side(keyed, found, ["__id", "__hash"], "left")
-
-    def verified(span: Column, words: Column) -> Column:
-        same = lambda h: F.slice(words, h["pos"] + 1, WIDTH) == F.slice(span["phrase_words"], h["at"] + 1, WIDTH)
-        return F.filter(span["hits"], same)
+    """One row per document: words, counted places, labels, and the best share of a phrase that a span has.
 
-    def judged(span: Column, words: Column) -> Column:
-        # bound once: the verified hits are looked at several times
-        def of(hits: Column) -> Column:
-            diagonals = F.array_distinct(F.transform(hits, lambda h: h["pos"] - h["at"]))
-            whole = F.filter(diagonals, lambda d: F.size(F.filter(hits, lambda h: h["pos"] - h["at"] == d)) == span["grams"])
-            share = F.size(F.array_distinct(F.transform(hits, lambda h: h["at"]))) / span["grams"]
-            return F.struct(span["label"].alias("label"), share.alias("share"), F.when(span["counted"], whole).otherwise(F.array().cast("array<int>")).alias("whole"))
-
-        return F.transform(F.array(verified(span, words)), of)[0]
-
-    judge = F.transform(F.array("words"), lambda words: F.transform(F.coalesce("spans", F.array().cast(rows.schema["spans"].dataType)), lambda s: judged(s, words)))[0]
-    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), judge.alias("j"))
+    Texts and their words stay where they are read; what is joined to the rows are spans.
+    """
+    spans = _spans(docs, phrase_table(docs.sparkSession, phrases))
+    found = spans.groupBy("__id", "__hash").agg(F.collect_list(F.struct("label", "share", "whole")).alias("j"))
+    keyed = docs.select("doc_id", *text_key(), F.size(words_of()).cast("long").alias("n_words"))
+    rows = join_small_side(keyed, found, ["__id", "__hash"], "left")
+    rows = rows.select("doc_id", "n_words", F.coalesce("j", F.array().cast(rows.schema["j"].dataType)).alias("j"))
     labels = lambda test: F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter("j", test), lambda s: s["label"]))), ",")
     stands = lambda s: F.size(s["whole"]) > 0
     whole = F.flatten(F.transform("j", lambda s: s["whole"]))
