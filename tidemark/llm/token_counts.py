@@ -18,6 +18,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from importlib.metadata import version
 
 import numpy as np
 import pyarrow as pa
@@ -26,29 +27,34 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.llm.common import slices, utf8
-from tidemark.operators.joins import settled
+from tidemark.operators.joins import BROADCAST_BYTES, measured_bytes, settled
 from tidemark.session import scratch_path
 from tidemark.sources.tables import read_or_empty
 
-#: Stretches whose counts a task remembers.
-REMEMBERED = 500_000
+#: Characters of stretches whose counts a task remembers.
+REMEMBERED = 16 << 20
 CACHE = StructType([StructField("digest", StringType()), StructField("n_tokens", LongType()), StructField("tokenizer", StringType())])
 
 #: What is not left to stretches: white space before a space, and characters that libraries may see differently.
 _WHOLE = re.compile("\\s |[\x00\x1c-\x1f\x85]")
 
 
+#: How texts are counted, part of a tokenizer's digest.
+OPTIONS = "no special tokens added, none cut off or filled up"
+
+
 def file_digest(path: str) -> str:
-    """Of the tokenizer's file and the way it is used."""
+    """Of the tokenizer's file, the library's version, and the way it is used."""
+    library = "sentencepiece" if path.endswith(".model") else "tokenizers"
     with open(path, "rb") as file:
-        return hashlib.sha256(file.read()).hexdigest()
+        return hashlib.sha256(file.read() + f"\n{library} {version(library)}\n{OPTIONS}".encode()).hexdigest()
 
 
 class Counter:
     """Counts tokens by the library for the file, without special tokens added, cut off or filled up."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        self.remembered, self.counts, self.special = remembered, {}, None
+        self.remembered, self.held, self.counts, self.special = remembered, 0, {}, None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -84,12 +90,14 @@ class Counter:
         if not rest:
             return out
         known = self.counts
-        if len(known) > self.remembered:
+        if self.held > self.remembered:
             known.clear()
+            self.held = 0
         # a stretch has the space before it; the first of a text has none, and is kept apart by a mark
         split = [texts[i].replace(" ", "\0 ").split("\0") for i in rest]
         new = list({s for stretches in split for s in stretches}.difference(known))
         known.update(zip(new, self.encode(new)))
+        self.held += sum(map(len, new))
         for i, stretches in zip(rest, split):
             out[i] = sum(map(known.__getitem__, stretches))
         return out
@@ -116,23 +124,26 @@ def fill_cache(docs: DataFrame, path: str, cache: str) -> DataFrame:
     """Appends the counts of texts that the cache lacks; returns the cache's (digest, n_tokens) of this tokenizer.
 
     Each missing digest chooses one row to be encoded, by the least id; texts meet their digests by that id, so copies
-    do not gather in one task.
+    do not gather in one task. While the missing ones are few they are broadcast, and no text is moved.
     """
-    spark, version = docs.sparkSession, file_digest(path)
+    spark, made = docs.sparkSession, file_digest(path)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), utf8().alias("b"))
-    stored = read_cache(spark, cache, version)
+    stored = read_cache(spark, cache, made)
     wanted = rows.select(F.sha2("b", 256).alias("digest"), F.struct("no_id", "id").alias("k"))
     missing = wanted.groupBy("digest").agg(F.min("k").alias("k")).join(stored, "digest", "left_anti").select("digest", "k.*")
-    chosen = rows.withColumn("digest", F.sha2("b", 256)).join(settled(missing).hint("shuffle_hash"), ["no_id", "id", "digest"], "left_semi")
+    missing = settled(missing)
+    few = measured_bytes(missing) <= BROADCAST_BYTES
+    # many are hashed, as a merge would sort the texts
+    chosen = rows.withColumn("digest", F.sha2("b", 256)).join(F.broadcast(missing) if few else missing.hint("shuffle_hash"), ["no_id", "id", "digest"], "left_semi")
     encoded = chosen.select("digest", counted(path)(F.col("b")).alias("n_tokens"))
     # rows that repeat an id with its text are chosen together
     encoded = encoded.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
-    encoded.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").partitionBy("tokenizer").parquet(cache)
-    return read_cache(spark, cache, version)
+    encoded.select(F.lit(made).alias("tokenizer"), "digest", "n_tokens").write.mode("append").partitionBy("tokenizer").parquet(cache)
+    return read_cache(spark, cache, made)
 
 
-def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame:
-    return read_or_empty(spark, cache, CACHE).where(F.col("tokenizer") == version).select("digest", "n_tokens").groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+def read_cache(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
+    return read_or_empty(spark, cache, CACHE).where(F.col("tokenizer") == tokenizer).select("digest", "n_tokens").groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
 
 
 def token_counts(docs: DataFrame, path: str, *, limit: int, cache: str | None = None) -> DataFrame:
