@@ -20,7 +20,7 @@ from tidemark.plans.ingest import ingest_incremental, reset_ledger
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import load_raw, store_raw
 from tidemark.plans.runlog import append_error_rollup
-from tidemark.plans.shard import partition_on_tenant_and_year, read_shards
+from tidemark.plans.shard import partition_on_tenant_and_year, read_all_shards, read_shards
 from tidemark.plans.sideload import sideload
 from tidemark.plans.totals import store_total_counts
 from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS
@@ -902,6 +902,57 @@ def csv_rejects(spark, sf_dir):
     return rows.unionByName(torn.select(F.lit("malformed").alias("kind"), "n", "n_lines"))
 
 
+@query(
+    """
+select doc_id, md5(text) text_md5, cast(length(text) - length(replace(text, chr(10), '')) as bigint) n_breaks, lang tenant_code,
+       regexp_extract(source, '[0-9]+') api_year from documents"""
+)
+def csv_quoted_breaks(spark, sf_dir):
+    """Documents as quoted fields of CSV files that are read in many splits; records begin and end anywhere in these."""
+    quoted = F.concat(F.lit('"'), F.replace(F.col("text"), F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted, "lang", F.regexp_extract("source", "[0-9]+", 0))
+    paths = _csvs(spark, V.table(spark, sf_dir, "documents").select(line.alias("value")), "doc_id,text,tenant_code,api_year", "texts")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        targets = partition_on_tenant_and_year(spark, paths, scratch_path(spark, "shards"), quoted_breaks=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    return read_all_shards(spark, targets).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"), breaks.cast("bigint").alias("n_breaks"), "tenant_code", "api_year"
+    )
+
+
+@query(
+    """
+select 'f'||(o_orderkey % 100) file, o_orderstatus tenant_code, case when year(o_orderdate) < 1995 then '94' else '95' end api_year, count(*) n,
+       cast(sum(o_orderkey) as bigint) ids
+from orders group by all"""
+)
+def shard_many_files(spark, sf_dir):
+    """A hundred files of two headers, whose columns are in another order: two scans and writes."""
+    orders, key = V.table(spark, sf_dir, "orders"), F.col("o_orderkey").cast("string")
+    year = F.when(F.year("o_orderdate") < 1995, "94").otherwise("95")
+    file = F.col("o_orderkey") % 100
+    line = F.when(file % 2 == 0, F.concat_ws(",", key, "o_orderstatus", year)).otherwise(F.concat_ws(",", "o_orderstatus", year, key))
+    rows = orders.select(file.alias("file"), line.alias("line"))
+    header = F.when(F.col("file") % 2 == 0, "id,status,yy").otherwise("status,yy,id")
+    texts = rows.groupBy("file").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    root = scratch_path(spark, "many")
+    texts.select("file", F.array_join(F.array_prepend("lines", header), "\n").alias("value")).write.partitionBy("file").text(root)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.FileSystem.get(hadoop.Path(root).toUri(), spark._jsc.hadoopConfiguration())
+    paths = []
+    for found in list_files(spark, root).filter("path like '%.txt'").select("path").collect():
+        path = found["path"]
+        target = f"{root}/f{path.split('/file=')[1].split('/')[0]}.csv"
+        system.rename(hadoop.Path(path), hadoop.Path(target))
+        paths.append(target)
+    targets = partition_on_tenant_and_year(spark, sorted(paths), scratch_path(spark, "shards"), tenant_col="status", year_col="yy")
+    return read_all_shards(spark, targets).groupBy("file", "tenant_code", "api_year").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id").cast("bigint")).alias("ids"))
+
+
 # --- id matching -----------------------------------------------------------------------------------------------
 
 _REQUIRED = 0.19
