@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,11 +16,12 @@ from tidemark.operators import (
     counts, endpoints as E, logs as L, marks as M, matchrates as R, orgs, outcomes as O, payloads as P, routing, windows as W,
 )
 from tidemark.operators.joins import settled
+from tidemark.operators.ranges import differing_ranges
 from tidemark.plans.idmatch import id_match, publish_match_rate_file, publish_match_rates
 from tidemark.plans.ingest import ingest_incremental, reset_ledger
 from tidemark.plans.lake import Lake
 from tidemark.plans.load import load_raw, store_raw
-from tidemark.plans.runlog import append_error_rollup
+from tidemark.plans.runlog import append_error_rollup, captured
 from tidemark.plans.shard import partition_on_tenant_and_year, read_all_shards, read_shards
 from tidemark.plans.sideload import sideload
 from tidemark.plans.totals import store_total_counts
@@ -27,6 +29,7 @@ from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIO
 from tidemark.session import scratch_path
 from tidemark.sinks import grain
 from tidemark.sinks.jsonl import json_line, with_run_folders, write_archive, write_json_lines, write_landing
+from tidemark.sinks.sent import SentLedger
 from tidemark.sources.csvs import read_match_rates
 from tidemark.sources.feed import change_window, count_slices, pull_slices, roster_of
 from tidemark.sources.feed_source import feed_options, register_feed
@@ -368,13 +371,41 @@ select tenant_code, api_year, kind, name, count(*) n, true loaded_today from fee
 def load_time_lineage(spark, sf_dir):
     lake = _lake(spark, "load-time")
     _weekly_landing(spark, sf_dir, lake.landing)
+    first = datetime.now(timezone.utc).date()
     load_raw(spark, lake, lake.landing, ods_version="7.1", data_model_version="5.0", lineage="load_time")
+    last = datetime.now(timezone.utc).date()
     raw = lake.read_raw(spark)
     return raw.groupBy("tenant_code", "api_year", "kind", "name").agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(F.date_diff(F.current_date(), "pull_date") <= 1).alias("loaded_today")
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("pull_date").between(first, last)).alias("loaded_today")
     )
 
 
+@query(
+    V.with_views("feed") + """
+select name, 'refused' load, 'csv' kind, 0 loaded from feed where name='view' group by all
+union all select name, 'taken', '', count(*) from feed where name<>'view' group by all"""
+)
+def unread_landing_files(spark, sf_dir):
+    """A folder of each endpoint as it was delivered, of one in a format that is not read: that load stops and names it."""
+    lake, feed = _lake(spark, "unread"), V.feed(spark, sf_dir)
+    known = feed.filter("name <> 'view'")
+    write_landing(with_run_folders(known, F.lit("2024-01-01").cast("timestamp")), lake.path("in"))
+    feed.filter("name = 'view'").select("tenant_code", "payload").write.csv(lake.path("in") + "/t0/2024/20240101/20240101T000000/resources/view.csv")
+    feed.filter("name = 'view'").select("payload").limit(0).write.text(lake.path("other"))
+    write_landing(with_run_folders(known, F.lit("2024-01-01").cast("timestamp")), lake.path("other"))
+    message, options = "", {"ods_version": "7.1", "data_model_version": "5.0", "on_unread": "fail"}
+    try:
+        load_raw(spark, lake, lake.path("in"), **options)
+    except ValueError as error:
+        message = str(error)
+    refused = spark.range(1).filter(F.lit(message).contains("/view.csv/")).select(
+        F.lit("view").alias("name"), F.lit("refused").alias("load"), F.lit("csv").alias("kind"), F.lit(lake.read_raw(spark).count()).alias("loaded"),
+    )
+    load_raw(spark, lake, lake.path("other"), **options)
+    taken = lake.read_raw(spark).groupBy("name").agg(F.count(F.lit(1)).alias("loaded"))
+    return refused.unionByName(taken.select("name", F.lit("taken").alias("load"), F.lit("").alias("kind"), "loaded"))
+
+
 @query(
     """
 select event_type as name, event_id//5000 bucket, event_id,
@@ -855,6 +886,41 @@ def _sharded(spark, sf_dir, **maps):
     return _all_shards(spark, targets)
 
 
+@query(
+    V.with_views("feed") + """,
+lost as (select tenant_code, name, change_version, change_version%997=5 gone, change_version%1409=7 and name<>'view' changed from feed),
+r as (select tenant_code, name, change_version//100*100 range_min, count(*) source_rows, count(*) filter (not gone) loaded_rows, bool_or(gone or changed) differs from lost group by all)
+select tenant_code, 2024 api_year, name, range_min, range_min+99 range_max, source_rows, loaded_rows from r where differs"""
+)
+def reconcile_ranges(spark, sf_dir):
+    """Rows that were lost, and others that were changed, are found by sums over ever narrower ranges."""
+    feed, version = V.feed(spark, sf_dir), F.col("change_version")
+    changed = (version % 1409 == 7) & (F.col("name") != "view")
+    loaded = feed.filter(version % 997 != 5).withColumn("payload", F.when(changed, "{}").otherwise(F.col("payload")))
+    return differing_ranges(feed, loaded, GRAIN, content=["payload"], leaf=100, fan=8)
+
+
+@query(
+    V.with_views("feed") + """
+select tenant_code, 2024 api_year, name, count(distinct ts::date) files_before, 1 files_after, count(*) n,
+       cast(sum(cast(json_extract(payload,'$.k') as integer)) as bigint) k
+from feed where ts < timestamp '2024-01-05' group by all"""
+)
+def compacted_files(spark, sf_dir):
+    """A table filled day by day, then the partitions of many small files rewritten; what it holds stays."""
+    lake, feed = _lake(spark, "compacted"), V.feed(spark, sf_dir).filter("ts < timestamp_ntz'2024-01-05 00:00:00'")
+    for row in sorted(feed.select(F.to_date("ts").alias("day")).distinct().collect()):
+        store_raw(_raw_rows(feed.filter(F.to_date("ts") == F.lit(row["day"]))), lake, full_refresh=False)
+    listed = lambda name: settled(list_files(spark, lake.raw).select(
+        F.regexp_extract("path", "/tenant_code=([^/]*)/", 1).alias("tenant_code"), F.regexp_extract("path", "/name=([^/]*)/", 1).alias("name")
+    ).groupBy("tenant_code", "name").agg(F.count(F.lit(1)).alias(name)))
+    before = listed("files_before")
+    grain.compact_small_files(spark, lake.raw, RAW, RAW_PARTITIONS)
+    after = listed("files_after")
+    held = _raw_counts(lake.read_raw(spark)).drop("newest", "kind")
+    return held.join(before, ["tenant_code", "name"]).join(after, ["tenant_code", "name"]).withColumn("files_after", F.col("files_after").cast("int"))
+
+
 @query(_SHARD + "select id, segment, yy, note, flag, segment tenant_code, yy api_year from o")
 def shard_tenant_year(spark, sf_dir):
     return _sharded(spark, sf_dir)
@@ -953,6 +1019,31 @@ def shard_many_files(spark, sf_dir):
     return read_all_shards(spark, targets).groupBy("file", "tenant_code", "api_year").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id").cast("bigint")).alias("ids"))
 
 
+@query(
+    """
+select r.refused, count(*) n_orders from orders, (values ('a column that is not there'), ('a file that is not there'), ('a map of two values'), ('a name without .csv'), ('two files of one name')) r(refused)
+group by all"""
+)
+def refused_inputs(spark, sf_dir):
+    """Inputs of the orders that sharding refuses before it writes anything; the orders are whole after each."""
+    paths = _csvs(spark, V.table(spark, sf_dir, "orders").select(F.concat_ws(",", "o_orderkey", F.lit("t"), F.lit("24")).alias("value")), "id,tenant_code,api_year", "kept")
+    out = scratch_path(spark, "refused")
+    tries = {
+        "a column that is not there": ([paths[0]], {"tenant_col": "district"}), "a file that is not there": ([*paths, f"{out}/none.csv"], {}),
+        "a map of two values": (paths, {"tenant_map": {1: "a", "1": "b"}}), "a name without .csv": ([paths[0].removesuffix(".csv")], {}),
+        "two files of one name": ([paths[0], paths[0]], {}),
+    }
+    refused = []
+    for name, (own, options) in tries.items():
+        try:
+            partition_on_tenant_and_year(spark, own, out, **options)
+        except (KeyError, ValueError):
+            if not list_files(spark, out).limit(1).count():
+                refused.append(name)
+    orders = spark.read.option("header", True).csv(paths).agg(F.count("id").alias("n_orders"))
+    return orders.select(F.explode(F.array(*[F.lit(name) for name in refused])).alias("refused"), "n_orders")
+
+
 # --- id matching -----------------------------------------------------------------------------------------------
 
 _REQUIRED = 0.19
@@ -1207,6 +1298,52 @@ def run_log(spark, sf_dir):
     return rows.groupBy("tenant_code", "run_date", "run_type", "last_error_timestamp").agg(F.sum("errors").alias("n"))
 
 
+@query(
+    V.with_views("logs", "errors") + """
+select tenant_code, count(*) n_errors, cast(ceil(count(*)/20) as bigint) parts, 20 largest, cast(count(distinct event) as bigint) n_listed
+from (select tenant_code, level||message||lineno event from errors) group by all having count(*) >= 20"""
+)
+def error_rollup_unplaced(spark, sf_dir):
+    """Runs of a whole tenant whose records have no position: each error is listed once, in parts of one size."""
+    logs = V.logs(spark, sf_dir).withColumns({"seq": F.lit(None).cast("bigint"), "run_date": F.lit("2024-01-01").cast("date"), "run_timestamp": F.lit("2024-01-01").cast("timestamp")})
+    rollup = L.error_rollup(logs, chunk=20)
+    texts = F.transform("errors", lambda e: F.concat(e["level"], e["message"], e["lineno"]))
+    sizes = rollup.groupBy("tenant_code", "n_errors").agg(F.count(F.lit(1)).alias("parts"), F.max(F.size("errors")).alias("largest"))
+    listed = rollup.select("tenant_code", F.explode(texts).alias("event")).groupBy("tenant_code").agg(F.count_distinct("event").alias("n_listed"))
+    return sizes.filter("n_errors >= 20").join(listed, "tenant_code")
+
+
+@query(
+    """
+select 't' tenant_code, 2024 api_year, 'orders' run_type, o_orderpriority grain_update,
+       'work stopped by ValueError: '||count(*)||' open orders' message, '"'||o_orderpriority||'"' args
+from orders where o_orderstatus='O' group by o_orderpriority"""
+)
+def captured_work(spark, sf_dir):
+    """Work on the orders of a priority that fails on open ones; its errors and arguments are in the run log."""
+    lake = _lake(spark, "captured")
+    counted = settled(V.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count_if(F.col("o_orderstatus") == "O").alias("n")))
+
+    def work(priority):
+        (n,) = counted.filter(F.col("o_orderpriority") == priority).select("n").first()
+        if n:
+            raise ValueError(f"{n} open orders")
+
+    for row in counted.select("o_orderpriority").toLocalIterator():
+        run = {
+            "tenant_code": "t", "api_year": 2024, "grain_update": row["o_orderpriority"], "run_type": "orders",
+            "run_date": "2024-01-01", "run_timestamp": "2024-01-01 00:00:00",
+        }
+        try:
+            captured(spark, lake, run, work, row["o_orderpriority"])
+        except ValueError:
+            pass
+    return lake.read_run_log(spark).select(
+        "tenant_code", "api_year", "run_type", "grain_update",
+        F.variant_get("result", "$.errors[0].message", "string").alias("message"), F.variant_get("result", "$.args['0']", "string").alias("args"),
+    )
+
+
 @query(
     V.with_views("logs", "errors") + """
 select tenant_code, run_date, case lineno%3 when 0 then 'g' when 1 then '' end grain, lineno map_index,
@@ -1261,22 +1398,35 @@ ls as (select endpoint, payload_hash, max(sent_at) sent_at, arg_max(status_code,
 """
 
 
-@query(
-    _SENT + """
+_TO_SEND = _SENT + """
 select endpoint, payload_hash, copies, case when ls.payload_hash is null then 'new' else 'resend' end reason, n_chars
 from pay left join ls using (endpoint, payload_hash)
 where ls.payload_hash is null or (status_code in (500) and sent_at < date '2024-01-02')"""
-)
+
+
+@query(_TO_SEND)
 def payloads_to_send(spark, sf_dir):
+    return _to_send(spark, sf_dir, V.sent_payloads(spark, sf_dir))
+
+
+def _to_send(spark, sf_dir, sent, **options):
     payloads = V.table(spark, sf_dir, "documents").select(F.col("source").alias("endpoint"), F.col("text").alias("payload"))
-    chosen = P.payloads_to_send(
-        payloads, V.sent_payloads(spark, sf_dir), resend_status_codes=[500], older_than="2024-01-02 00:00:00"
-    )
+    chosen = P.payloads_to_send(payloads, sent, resend_status_codes=[500], older_than="2024-01-02 00:00:00", **options)
     return chosen.select(
         "endpoint", "payload_hash", "copies", "reason", F.length("payload").cast("bigint").alias("n_chars")
     )
 
 
+@query(_TO_SEND)
+def payloads_bucketed(spark, sf_dir):
+    """The same by a ledger in buckets, filled in two runs; new hashes go to its buckets."""
+    ledger, sent = SentLedger(spark, scratch_path(spark, "sent")), V.sent_payloads(spark, sf_dir)
+    early = F.col("sent_at") < F.lit("2024-01-02").cast("timestamp")
+    for rows in (sent.filter(early), sent.filter(~early)):
+        ledger.append(rows)
+    return _to_send(spark, sf_dir, ledger.read(), sent_buckets=ledger.buckets)
+
+
 @query(
     """
 with s as (select source, count(distinct text) n_texts, cast(regexp_extract(source, '[0-9]+') as integer) k from documents group by all)

@@ -31,7 +31,7 @@ def error_rollup(logs: DataFrame, run: Sequence[str] = RUN, chunk: int = CHUNK_E
     `logs` has the run's columns, `seq` (the record's position in its run), and the fields of a log record. There is
     one row for each `chunk` errors of a run, numbered by `part`, so that no task holds all errors of a run; every
     part repeats the run's totals. Runs without errors do not appear. A null and a blank in the run's columns are two
-    runs. Errors whose `seq` is null come first, and are never the last one.
+    runs. Errors whose `seq` is null come first, in no order of theirs, and are never the last one.
     """
     run = list(run)
     block = F.coalesce(F.floor(F.col("seq") / chunk), F.lit(_NO_BLOCK))
@@ -41,13 +41,7 @@ def error_rollup(logs: DataFrame, run: Sequence[str] = RUN, chunk: int = CHUNK_E
     totals = settled(errors.groupBy("__run").agg(*first, F.count(F.lit(1)).alias("n_errors"), last.alias("last")))
     size = measured_bytes(totals)
     fields = [field for field in ERROR_FIELDS if field in logs.columns]
-    # the position of an error is its place in its block of positions, moved by the errors of the blocks before
-    before = Window.partitionBy("__run").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = errors.groupBy("__run", "__block").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = blocks.select("__run", "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    inside = F.row_number().over(Window.partitionBy("__run", "__block").orderBy("seq", *fields))
-    placed = errors.select("__run", "__block", "seq", *fields, inside.alias("__inside")).join(offsets, ["__run", "__block"])
-    placed = placed.withColumn("__position", F.col("__offset") + F.col("__inside") - 1)
+    placed = _placed(errors, fields, chunk)
     ordered = F.sort_array(F.collect_list(F.struct("__position", *fields)))
     parts = placed.groupBy("__run", F.floor(F.col("__position") / chunk).cast("bigint").alias("part")).agg(ordered.alias("errors"))
     without_position = F.transform("errors", lambda error: error.dropFields("__position"))
@@ -56,6 +50,36 @@ def error_rollup(logs: DataFrame, run: Sequence[str] = RUN, chunk: int = CHUNK_E
     )
 
 
+def _placed(errors: DataFrame, fields: list[str], chunk: int) -> DataFrame:
+    """Errors with their position in their run.
+
+    A position is the place in a block of `seq`, moved by the errors of the blocks before. Where many errors share a
+    `seq`, or have none, their block is cut into ranges of a hash, in the order of which they then stand: no range holds
+    much more than `chunk` of them.
+    """
+    blocks = settled(errors.groupBy("__run", "__block").agg(F.count(F.lit(1)).alias("__n")))
+    crowded = blocks.filter(F.col("__n") > 4 * chunk)
+    if crowded.isEmpty():
+        ranged, groups = errors, ["__run", "__block"]
+        sizes = blocks
+    else:
+        groups = ["__run", "__block", "__seq", "__range"]
+        keyed = errors.withColumn("__key", F.coalesce(F.col("seq").cast("bigint"), F.lit(_NO_BLOCK)))
+        own = join_small_side(keyed.select("__run", "__block", "__key"), crowded.select("__run", "__block"), ["__run", "__block"], "left_semi")
+        cuts = own.groupBy("__run", "__block", "__key").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("__cuts"))
+        share = F.shiftrightunsigned(F.xxhash64("seq", *fields), 32) / F.lit(float(1 << 32))
+        ranged = join_small_side(keyed, cuts, ["__run", "__block", "__key"], "left").withColumns(
+            {"__seq": F.when(F.col("__cuts").isNotNull(), F.col("__key")), "__range": F.coalesce(F.floor(share * F.col("__cuts")), F.lit(0))}
+        )
+        ranged = ranged.withColumn("__seq", F.coalesce("__seq", F.lit(0)))
+        sizes = ranged.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__run").orderBy(*groups[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*groups, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    inside = F.row_number().over(Window.partitionBy(*groups).orderBy("seq", *fields))
+    placed = ranged.select(*groups, "seq", *fields, inside.alias("__inside")).join(offsets, groups)
+    return placed.withColumn("__position", F.col("__offset") + F.col("__inside") - 1)
+
+
 def _run_key(run: Sequence[str]) -> Column:
     """One text that tells runs apart, null from blank too."""
     return F.to_json(F.struct(*run), {"ignoreNullFields": "false"})

@@ -18,14 +18,15 @@ def payload_hash(payload: Column) -> Column:
 
 def payloads_to_send(
     payloads: DataFrame, sent: DataFrame, *, force: bool = False, resend_status_codes: Iterable[int] = (),
-    older_than: datetime | str | None = None, newer_than: datetime | str | None = None,
+    older_than: datetime | str | None = None, newer_than: datetime | str | None = None, sent_buckets: int | None = None,
 ) -> DataFrame:
     """Payloads that were not sent, and sent ones that every given filter selects.
 
     `payloads` has `endpoint` and `payload`; `sent` has `endpoint`, `payload_hash`, `sent_at`, `status_code` with
     one row per sending, of which the last counts. Copies are one row with `copies`: the second would be skipped
     as already sent. Both sides are reduced to one row per hash before they meet, and only the texts that are to be
-    sent are moved. A null endpoint or payload equals none that was sent.
+    sent are moved. A null endpoint or payload equals none that was sent. With `sent_buckets`, the buckets of a ledger
+    (`sinks.sent.SentLedger`), the new hashes go to its buckets and the ledger itself is not shuffled.
     """
     hashed = payloads.select("endpoint", payload_hash(F.col("payload")).alias("payload_hash"), "payload")
     distinct = hashed.groupBy("endpoint", "payload_hash").agg(F.count(F.lit(1)).alias("copies"))
@@ -36,6 +37,8 @@ def payloads_to_send(
     )
     resend = _resend(list(resend_status_codes), older_than, newer_than)
     reason = F.when(F.lit(force), FORCED).when(F.col("__sent").isNull(), NEW).when(resend, RESEND)
+    if sent_buckets is not None:
+        distinct = distinct.repartition(sent_buckets, "endpoint", "payload_hash")
     joined = distinct.join(last, ["endpoint", "payload_hash"], "left").withColumn("reason", reason)
     # one text that is never null, for chosen rows with a null endpoint or hash have to find their texts too
     key = F.to_json(F.struct("endpoint", "payload_hash"), {"ignoreNullFields": "false"}).alias("__key")

@@ -74,8 +74,8 @@ def ingest_incremental(
     rows `n` to expect of each of these streams: streams without any are not pulled, and one that falls short of its
     count has failed. `find_versions` asks the source for the versions that are not given.
 
-    Data are written before marks, and marks only for what was loaded whole: a run that breaks off is pulled again, and a
-    run repeated with the same `run_at` replaces its own rows. `through_landing` keeps the pulled rows as JSON lines
+    Data are written before marks, and marks only for what was loaded whole: a run that breaks off is pulled again, a run
+    repeated with the same `run_at` replaces its own rows, and the rows of a stream that fell short are removed again. `through_landing` keeps the pulled rows as JSON lines
     and loads them from there.
     """
     found = find_versions() if find_versions and has_change_versions and not (ods_version and data_model_version) else (None, None)
@@ -131,6 +131,11 @@ def ingest_incremental(
     of_run = written.filter(F.col("pull_timestamp") == moment)
     loaded = row_counts(of_run, STREAM, "pulled_rows")
     landed = settled(_of_streams(loaded, due, size))
+    if not replacing:
+        # a stream that fell short is pulled again from its mark on: what it has brought must not stay
+        short = settled(due.join(landed, STREAM).filter("pulled_rows < n").select(*STREAM))
+        if not short.isEmpty():
+            grain.remove_rows(spark, lake.raw, RAW, RAW_PARTITIONS, stale=F.col("pull_timestamp") == moment, among=short, within=raw_folder)
     if has_change_versions:
         whole = due.join(landed, STREAM).filter(F.coalesce(F.col("pulled_rows") >= F.col("n"), F.lit(True)))
         marked = O.succeeded(due, whole, STREAM).select(

@@ -11,7 +11,7 @@ from tidemark.constants import NO_CHANGE_VERSIONS
 from tidemark.plans.lake import Lake
 from tidemark.schemas import RAW, RAW_PARTITIONS
 from tidemark.sinks import grain
-from tidemark.sources.landing import raw_envelope, scan_landing, with_row_numbers
+from tidemark.sources.landing import raw_envelope, refuse_unread, scan_landing, with_row_numbers
 
 
 def resolve_versions(
@@ -33,16 +33,21 @@ def load_raw(
     data_model_version: str | None = None, has_change_versions: bool = True, full_refresh: bool = False,
     row_numbers: bool = True, lineage: str = "path", on_bad_line: str = "fail",
     transform: Callable[[DataFrame], DataFrame] | None = None, then: Callable[[str], None] | None = None,
-    balance: bool = True,
+    balance: bool = True, on_unread: str = "ignore",
 ) -> None:
     """Load all files below some folders, whatever their number, in one scan and one write.
 
     Appends, or on a full refresh replaces the tenants, years and names found in the files. A source without
     change versions is always refreshed in full. `transform` changes the rows before the write, `then` is called
     with the table's path after it. Without `balance` the rows are written as they were read or numbered: one
-    shuffle less, good when every endpoint has few files.
+    shuffle less, good when every endpoint has few files. Files of other kinds than a landing file's are passed over, or
+    with `on_unread="fail"` stop the load before anything is read; `unread_files` tells them.
     """
+    if on_unread not in ("ignore", "fail"):
+        raise ValueError(f"unknown option: on_unread={on_unread!r}")
     ods, model = resolve_versions(ods_version, data_model_version, has_change_versions=has_change_versions)
+    if on_unread == "fail":
+        refuse_unread(spark, *paths)
     lines = scan_landing(spark, *paths)
     if row_numbers and lineage == "path":
         lines = with_row_numbers(lines)

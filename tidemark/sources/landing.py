@@ -114,7 +114,17 @@ def _column(value: str | Column) -> Column:
     return F.lit(value) if isinstance(value, str) else value
 
 
-def scan_variant(spark: SparkSession, *paths: str, glob: str = "*.{json,jsonl}") -> DataFrame:
+def refuse_unread(spark: SparkSession, *paths: str, shown: int = 20) -> None:
+    """Raise where there are files below the paths that `scan_landing` passes over; the message names some."""
+    for path in paths:
+        unread = unread_files(spark, path).filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+        names = [row["path"] for row in unread.select("path").orderBy("path").limit(shown + 1).collect()]
+        if names:
+            more = " and more" if len(names) > shown else ""
+            raise ValueError(f"files of other kinds are in {path}: {', '.join(names[:shown])}{more}")
+
+
+def scan_variant(spark: SparkSession, *paths: str, glob: str = LANDING_GLOB) -> DataFrame:
     """Records as one variant column, parsed by the JSON reader, with the file they came from."""
     records = (
         spark.read.option("singleVariantColumn", "v").option("recursiveFileLookup", "true")
