@@ -6,8 +6,9 @@ the parent. This is water filling within each family, in exact whole numbers, by
 order of what they have for each unit of weight. A leaf takes whole epochs of its documents and, of the last epoch, the
 longest prefix in a seeded order that stays within its budget.
 
-Only Spark functions are used. A leaf's prefix is found by sums over 4,096 ranges of the order, then inside of the one
-range where the budget ends, and is applied as a bound on the order, so no leaf is sorted and no text is shuffled.
+Only Spark functions are used. A leaf's prefix is found by sums over 4,096 ranges of the order, then over as many of the one
+range where the budget ends, until that one is small, and is applied as a bound on the order: no leaf is sorted, no
+text is shuffled, and what one task sums does not grow with a leaf.
 
 Null levels and weights count as "" and 0. A node of weight 0 takes nothing. Null and empty texts, and those of white
 space, have no tokens and are not chosen. Rows that share an id have one place in the order and are chosen together.
@@ -23,8 +24,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.joins import join_small_side, settled
 
-#: Hex digits of the order's ranges.
-RANGE_DIGITS = 3
+#: Hex digits of the order by which ranges are cut at a time, and rows of a range that is not cut further.
+RANGE_DIGITS, RANGE_ROWS = 3, 4096
+PLACE_DIGITS = 32
 _WIDE = "decimal(18,0)"
 
 
@@ -100,11 +102,12 @@ def plan(rows: DataFrame, levels: Sequence[Level], *, share: float, epochs: int,
     shares = settled(budgets(leaves, levels, share, epochs))
     part = shares.where("rest > 0").select(*names, "epochs", "rest")
     placed = join_small_side(rows, part, names).withColumn("place", place(seed, F.col("epochs")))
-    sums = placed.groupBy(*names, "rest", F.substring("place", 1, RANGE_DIGITS).alias("range")).agg(F.sum("n_tokens").alias("n"))
-    by_range = Window.partitionBy(*names).orderBy("range")
-    run = sums.withColumn("upto", F.sum("n").over(by_range)).where("upto > rest")
-    last = settled(run.groupBy(*names).agg(F.min(F.struct("range", (F.col("upto") - F.col("n")).alias("before"))).alias("e")).select(*names, "e.*"))
-    inside = join_small_side(placed.withColumn("range", F.substring("place", 1, RANGE_DIGITS)), last, [*names, "range"])
+    inside, digits, most = placed.withColumn("before", F.lit(0).cast("long")), 0, RANGE_ROWS + 1
+    while most > RANGE_ROWS and digits < PLACE_DIGITS:
+        digits += RANGE_DIGITS
+        last = _range_of_end(inside, names, digits)
+        most = last.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("n")).first()["n"]
+        inside = join_small_side(placed.withColumn("range", F.substring("place", 1, digits)), last.drop("rows", "rest"), [*names, "range"])
     each = inside.groupBy(*names, "rest", "before", "place").agg(F.sum("n_tokens").alias("n"))
     by_place = Window.partitionBy(*names).orderBy("place")
     taken = each.where(F.col("n") >= 0).withColumn("upto", F.col("before") + F.sum("n").over(by_place)).where("upto <= rest")
@@ -113,6 +116,15 @@ def plan(rows: DataFrame, levels: Sequence[Level], *, share: float, epochs: int,
     return shares.join(ends, names, "left")
 
 
+def _range_of_end(rows: DataFrame, names: Sequence[str], digits: int) -> DataFrame:
+    """Of each leaf, the range of the order in which its rest ends: `range`, the tokens `before` it, `rest`, `rows`."""
+    sums = rows.groupBy(*names, "rest", "before", F.substring("place", 1, digits).alias("range")).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows"))
+    by_range = Window.partitionBy(*names).orderBy("range")
+    run = sums.withColumn("upto", F.col("before") + F.sum("n").over(by_range)).where("upto > rest")
+    first = F.min(F.struct("range", (F.col("upto") - F.col("n")).alias("before"), "rest", "rows"))
+    return settled(run.groupBy(*names).agg(first.alias("e")).select(*names, "e.*"))
+
+
 def narrow(docs: DataFrame, levels: Sequence[Level]) -> DataFrame:
     values = [F.coalesce(level.value.cast("string"), F.lit("")).alias(level.name) for level in levels]
     return docs.select("doc_id", *values, tokens().alias("n_tokens")).where("n_tokens > 0")
@@ -134,7 +146,7 @@ def mix(docs: DataFrame, levels: Sequence[Level], *, share: float, epochs: int,
 
 
 def mix_documents(docs: DataFrame, levels: Sequence[Level], *, share: float, epochs: int, seed: int) -> DataFrame:
-    """The chosen copies with the documents' own columns and `epoch`."""
+    """The chosen copies with the documents' own columns and `epoch`, which takes the place of a column of that name."""
     names = [f"__{level.name}" for level in levels]
     rows = settled(narrow(docs, levels))
     planned = plan(rows, levels, share=share, epochs=epochs, seed=seed)
