@@ -25,10 +25,12 @@ from pyspark.sql.types import LongType
 
 from tidemark.llm.common import slices, text_key, utf8
 from tidemark.llm.components import components
-from tidemark.operators.joins import settled
+from tidemark.operators.joins import join_small_side, measured_bytes, settled
 
 SEED, SHINGLE = 42, 3
 BITS = 3
+#: Shingles whose bits are in memory at a time.
+PART = 100_000
 #: Fingerprints of an anchor that are compared in one block.
 BLOCK = 20_000
 #: Anchors at distance 0 or 3 of an anchor: those whose home fingerprints can come to it.
@@ -42,6 +44,7 @@ def fingerprints(texts: list[bytes], width: int = SHINGLE) -> np.ndarray:
     digest = xxhash.xxh64_digest
     digests: list[bytes] = []
     counts = np.zeros(len(texts), dtype=np.int64)
+    long: dict[int, int] = {}
     for i, text in enumerate(texts):
         words = text.lower().split()
         n = len(words)
@@ -51,16 +54,17 @@ def fingerprints(texts: list[bytes], width: int = SHINGLE) -> np.ndarray:
             digests.append(digest(b" ".join(words), SEED))
             counts[i] = 1
             continue
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
-        starts = [0, *ends[: n - width].tolist()]
-        digests += [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1:] - 1).tolist())]
+        if n > PART:
+            long[i] = _in_stretches(words, width)
+            continue
+        digests += _shingles(words, width)
         counts[i] = n - width + 1
     out = np.zeros(len(texts), dtype=np.uint64)
+    out[list(long)] = list(long.values())
     some = np.flatnonzero(counts)
     if not len(some):
         return out
-    bits = np.unpackbits(np.frombuffer(b"".join(digests), dtype=np.uint8).reshape(-1, 8), axis=1)
+    bits = _bits(digests)
     first = np.concatenate([[0], np.cumsum(counts[some])[:-1]])
     set_bits = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
     majority = 2 * set_bits > counts[some][:, None]
@@ -68,6 +72,26 @@ def fingerprints(texts: list[bytes], width: int = SHINGLE) -> np.ndarray:
     return out
 
 
+def _bits(digests: list[bytes]) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(digests), dtype=np.uint8).reshape(-1, 8), axis=1)
+
+
+def _shingles(words: list[bytes], width: int) -> list[bytes]:
+    """Digests of the shingles of at least `width` words."""
+    joined, n = b" ".join(words), len(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
+    starts = [0, *ends[: n - width].tolist()]
+    return [xxhash.xxh64_digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1:] - 1).tolist())]
+
+
+def _in_stretches(words: list[bytes], width: int) -> int:
+    """The fingerprint of a very long text, its bits counted a stretch of shingles at a time."""
+    total, n = np.zeros(64, dtype=np.int64), len(words) - width + 1
+    for at in range(0, n, PART):
+        total += _bits(_shingles(words[at:min(at + PART, n) + width - 1], width)).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > n).view(">u8")[0])
+
+
 @arrow_udf(LongType())
 def _fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
@@ -229,7 +253,13 @@ def keep_one(docs: DataFrame, *, block: int = BLOCK) -> DataFrame:
     rows = settled(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", *text_key(), "fp"))
     grouped = rows.join(_groups(rows, block), "fp").where("doc_id <=> component_id")
     first = grouped.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")).agg(F.min(F.struct("__id", "__hash")).alias("k"))
-    kept = first.select("k.*")
+    kept = first.select("k.*", F.lit(True).alias("kept"))
+    # rows that go, and kept ones that repeat; while these are few no text is moved
+    keys = rows.groupBy("__id", "__hash").agg(F.count("*").alias("n"))
+    special = settled(keys.join(kept, ["__id", "__hash"], "left").where("kept is null or n > 1").select("__id", "__hash", F.coalesce("kept", F.lit(False)).alias("__again")))
+    size, again = measured_bytes(special), special.where("__again")
     keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *text_key())
-    out = keyed.join(kept, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    out = join_small_side(keyed, special, ["__id", "__hash"], "left_anti", size=size)
+    if not again.isEmpty():
+        out = out.unionByName(join_small_side(keyed, again, ["__id", "__hash"], "left_semi", size=size).dropDuplicates(["__id", "__hash"]))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
