@@ -15,7 +15,7 @@ from edge_cases import edge, edge_rows, labels, nothing  # noqa: F401
 from hypothesis import given as cases, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression_quality, license_diagonals, mixing, recurrent_lm, secret_scan, token_counts, toxicity_crf
+from tidemark.llm import compression_quality, license_diagonals, mixing, recurrent_lm, secret_scan, simhash_anchors, token_counts, toxicity_crf
 from tidemark.llm.common import read
 
 
@@ -248,3 +248,41 @@ def test_mixture_of_repeated_ids_equals_sql(spark, sf_dir, edge, folder):
         names = [d[0] for d in result.description]
         got = mixing.mix(spark.read.parquet(f"{folder}/{name}"), mixing.domain_tree(), **options).select(*names)
         assert by_row(map(tuple, got.collect())) == by_row(result.fetchall())
+
+
+def test_ranges_of_a_leaf_are_cut_until_small(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 1)
+    monkeypatch.setattr(mixing, "RANGE_DIGITS", 1)
+    options = {"share": 0.6, "epochs": 3, "seed": 7}
+    docs = read(spark, sf_dir, "documents")
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
+    result = connection.execute(mixing.oracle(**options))
+    names = [d[0] for d in result.description]
+    assert by_row(map(tuple, mixing.mix(docs, mixing.domain_tree(), **options).select(*names).collect())) == by_row(result.fetchall())
+
+
+def test_long_texts_are_fingerprinted_in_stretches(monkeypatch):
+    source = random.Random(3)
+    texts = [" ".join(source.choice(["a", "bc", "Def", "é"]) for _ in range(n)).encode() for n in (2, 3, 40, 41, 97, 98, 99, 100, 101, 500)]
+    want = [brute.fingerprint(t.decode()) for t in texts]
+    for part in (1, 7, 98, 10**6):
+        monkeypatch.setattr(simhash_anchors, "PART", part)
+        assert simhash_anchors.fingerprints(texts).tolist() == want
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_one_row_of_each_group_stays(spark, edge, edge_rows, monkeypatch, limit):
+    monkeypatch.setattr(simhash_anchors, "join_small_side", lambda *a, f=simhash_anchors.join_small_side, **k: f(*a, **k, limit=limit))
+    prints = [brute.fingerprint(r[1]) for r in edge_rows]
+    groups = brute.component_ids([r[0] for r in edge_rows], prints)
+    got = simhash_anchors.keep_one(edge)
+    assert got.columns == edge.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    by_group = {}
+    for row, print_, group in zip(edge_rows, prints, groups):
+        by_group.setdefault(group if group is not None else ("alone", print_), []).append((row[0], row[1]))
+    assert len(kept) == len(by_group)
+    for group, members in by_group.items():
+        (own,) = [k for k in kept if k in members and (k[0] == group or not isinstance(group, int))]
+        assert own[0] == (group if isinstance(group, int) else None)
