@@ -13,6 +13,7 @@ fewer than three words has no hash and is refused.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
@@ -41,20 +42,22 @@ PHRASES: tuple[tuple[str, str, bool], ...] = (
 
 
 def words_of(text: str = "text") -> Column:
-    # only A-Z are lowered: Spark's own function changes letters beyond ASCII too
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, UPPER.lower())
+    # only A-Z are lowered; Spark's faster function changes letters beyond ASCII too
+    whole = F.coalesce(F.col(text), F.lit(""))
+    lowered = F.when(F.octet_length(whole) == F.char_length(whole), F.lower(whole)).otherwise(F.translate(whole, UPPER, UPPER.lower()))
     parts = F.split(lowered, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
     return F.array_remove(parts, "")
 
 
-def rolling(words: Column) -> Column:
-    """From each word on, the hash of three words (h) and these (three). The outer function binds the words, which are else
-    split anew for each."""
+def rolling(rows: DataFrame, words: str, *keep: str) -> DataFrame:
+    """One row for each word of an array: its place (pos), the hash (h) of it and the two after it, and these three words.
 
-    def gram(own: Column, w: Column, i: Column) -> Column:
-        return F.struct(F.xxhash64(w, F.get(own, i + 1), F.get(own, i + 2)).alias("h"), F.slice(own, i + 1, WIDTH).alias("three"))
-
-    return F.transform(F.array(words), lambda own: F.transform(own, lambda w, i: gram(own, w, i)))[0]
+    Generated code runs from the array to the hash, and beyond it to a broadcast join; the words are not copied on the way.
+    """
+    after = lambda n: F.slice(words, n + 1, F.size(words))
+    grams = rows.select(*keep, F.posexplode(F.arrays_zip(words, *[after(n) for n in range(1, WIDTH)])).alias("pos", "g"))
+    three = [F.col("g")[words], *[F.col("g")[str(n)] for n in range(1, WIDTH)]]
+    return grams.select(*keep, "pos", F.xxhash64(*three).alias("h"), *[word.alias(f"w{n}") for n, word in enumerate(three)])
 
 
 def phrase_table(spark: SparkSession, phrases: Sequence[tuple[str, str, bool]]) -> DataFrame:
@@ -71,11 +74,12 @@ def phrase_table(spark: SparkSession, phrases: Sequence[tuple[str, str, bool]])
 
 def _spans(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """By key, merged spans: label, the share of the phrase's hashes, and the starts where the whole of it stands."""
-    places = phrases.select("phrase", "grams", F.posexplode(rolling(F.col("phrase_words"))).alias("at", "g")).where("at < grams")
-    places = places.select("phrase", "at", F.col("g.h").alias("h"), F.col("g.three").alias("want"))
-    # first the hashes with a row's key and their words alone, then the rare hits, verified at once
-    grams = docs.select(*text_key(), F.posexplode(rolling(words_of())).alias("pos", "g")).select("__id", "__hash", "pos", F.col("g.h").alias("h"), F.col("g.three").alias("three"))
-    hits = grams.join(F.broadcast(places), "h").where(F.col("three") == F.col("want")).drop("three", "want", "h").withColumn("diagonal", F.col("pos") - F.col("at"))
+    places = rolling(phrases, "phrase_words", "phrase", "grams").where("pos < grams")
+    places = places.select("phrase", F.col("pos").alias("at"), "h", *[F.col(f"w{n}").alias(f"v{n}") for n in range(WIDTH)])
+    # the hashes of all words meet the phrases; the rare hits are verified at once
+    grams = rolling(docs.select(*text_key(), words_of().alias("words")), "words", "__id", "__hash")
+    same = reduce(Column.__and__, [F.col(f"w{n}") == F.col(f"v{n}") for n in range(WIDTH)])
+    hits = grams.join(F.broadcast(places), "h").where(same).select("__id", "__hash", "phrase", "at", (F.col("pos") - F.col("at")).alias("diagonal"))
     votes = hits.groupBy("__id", "__hash", "phrase", "diagonal").agg(F.collect_set("at").alias("ats"))
     along = Window.partitionBy("__id", "__hash", "phrase").orderBy("diagonal")
     starts = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > GAP, F.lit(True)).cast("int")
