@@ -38,7 +38,6 @@ FAIL_ON = ("MISMATCH", "NO_MAPPING", "NO_ORG_ID", "ERROR")
 
 # Identifier matching.
 REQUIRED_MATCH_RATE = 0.5
-MATCH_RATES_FILE = "student_id_match_rates.csv"
 
 # Error selection in a run's log.
 ERROR_LEVEL = "ERROR"

@@ -66,14 +66,15 @@ def leas_via_schools(calendars: DataFrame, schools: DataFrame) -> DataFrame:
     A connection without schools in its calendars does not appear.
     """
     used = calendar_schools(calendars)
+    # a school that is listed twice gives its agency twice, which counting different ones does not mind
     owners = schools.select(
         "connection_id",
         F.try_variant_get("v", "$.schoolId", "string").alias("school_id"),
         F.try_variant_get("v", "$.localEducationAgencyReference.localEducationAgencyId", "string").alias("lea_id"),
-    ).filter("school_id is not null and lea_id is not null").distinct()
-    agencies = used.join(owners, ["connection_id", "school_id"], "left").select("connection_id", "lea_id").distinct()
+    ).filter("school_id is not null and lea_id is not null")
+    agencies = used.join(owners, ["connection_id", "school_id"], "left")
     return agencies.groupBy("connection_id").agg(
-        F.count("lea_id").alias("n_via_schools"), F.min("lea_id").alias("lea_from_schools")
+        F.count_distinct("lea_id").alias("n_via_schools"), F.min("lea_id").alias("lea_from_schools")
     )
 
 
