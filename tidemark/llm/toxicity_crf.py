@@ -199,19 +199,25 @@ class _Repeated:
     """Shares of two numbers under the same step again and again; once a step changes nothing, no other does."""
 
     def __init__(self, step, start: tuple[float, float]):
-        self.step, self.shares, self.still = step, [self._scaled(start)], False
+        self.step, self.grid = step, np.array([self._scaled(start)])
 
     @staticmethod
     def _scaled(x: tuple[float, float]) -> tuple[float, float]:
         return x[0] / (x[0] + x[1]), x[1] / (x[0] + x[1])
 
     def first(self, n: int) -> np.ndarray:
-        while len(self.shares) < n and not self.still:
-            after = self._scaled(self.step(self.shares[-1]))
-            self.still = after == self.shares[-1]
-            self.shares.append(after)
-        own = np.array(self.shares[:n]).reshape(-1, 2)
-        return np.concatenate([own, np.repeat(own[-1:], n - len(own), axis=0)]) if len(own) < n else own
+        if len(self.grid) < n:
+            more, last = [], tuple(self.grid[-1].tolist())
+            wanted = 2 * n - len(self.grid)
+            while len(more) < wanted:
+                after = self._scaled(self.step(last))
+                if after == last:
+                    break
+                more.append(after)
+                last = after
+            still = np.tile(last, (wanted - len(more), 1))
+            self.grid = np.concatenate([self.grid, np.array(more).reshape(-1, 2), still])
+        return self.grid[:n]
 
 
 def _summary(p: np.ndarray) -> tuple[float, float]:
