@@ -310,3 +310,56 @@ def test_a_pull_that_falls_short_fails_and_is_not_marked(spark, folder):
     ]
     assert active_marks(spark, lake) == [("students", 5, False, False)]
     assert rows(lake.read_raw(spark).select("ods_version", "data_model_version").distinct()) == [("7", "5")]
+
+
+def test_a_time_used_again_with_newer_rows_keeps_the_earlier_ones(spark, folder):
+    lake = Lake(folder)
+    run(spark, lake, feed_of(spark, (C.RESOURCES, "students", 1)), "2024-01-01")
+    out = run(spark, lake, feed_of(spark, (C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2)), "2024-01-01")
+    assert loaded(spark, lake) == [(C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2)]
+    assert rows(out.filter("kind = 'resources' and name = 'students'"), "expected_rows", "pulled_rows", "outcome") == [(1, 1, "success")]
+    assert active_marks(spark, lake) == [("students", 2, False, False)]
+
+
+@pytest.mark.parametrize("broken", ["insert", "move", "marks"])
+def test_a_run_that_breaks_off_anywhere_is_repeated_whole(spark, folder, monkeypatch, broken):
+    from tidemark.plans import ingest
+
+    lake = Lake(folder)
+    feed = feed_of(spark, (C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2), (C.RESOURCES, "schools", 3))
+
+    def stop(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    def half(session, staged, path, but=()):
+        ingest_move(session, staged, path, but=[*but, "kind=resources/tenant_code=t/api_year=2024/name=schools"])
+        raise KeyboardInterrupt
+
+    ingest_move = ingest.move_files
+    with monkeypatch.context() as patch:
+        if broken == "insert":
+            patch.setattr(ingest.grain, "insert", stop)
+        elif broken == "move":
+            patch.setattr(ingest, "move_files", half)
+        else:
+            patch.setattr(ingest.grain, "insert_once", stop)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, lake, feed, "2024-01-01")
+    assert len(loaded(spark, lake)) == {"insert": 0, "move": 2, "marks": 3}[broken] and active_marks(spark, lake) == []
+    run(spark, lake, feed, "2024-01-01")
+    assert loaded(spark, lake) == [(C.RESOURCES, "schools", 3), (C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2)]
+    assert [name for name, *_ in active_marks(spark, lake)] == ["schools", "students"]
+
+
+def test_a_new_run_does_not_read_the_raw_table(spark, folder):
+    from pathlib import Path
+
+    lake = Lake(folder)
+    run(spark, lake, feed_of(spark, (C.RESOURCES, "students", 1)), "2024-01-01")
+    broken = Path(lake.raw, "kind=resources/tenant_code=t/api_year=2024/name=students/broken.parquet")
+    broken.write_text("no parquet")
+    out = run(spark, lake, feed_of(spark, (C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2)), "2024-01-02")
+    assert rows(out.filter("kind = 'resources' and name = 'students'"), "pulled_rows", "outcome") == [(1, "success")]
+    broken.rename(Path(folder, "broken"))
+    assert loaded(spark, lake) == [(C.RESOURCES, "students", 1), (C.RESOURCES, "students", 2)]
+    assert not Path(folder, "_runs").exists() or not list(Path(folder, "_runs").rglob("*.parquet"))

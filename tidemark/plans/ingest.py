@@ -15,9 +15,10 @@ from tidemark.plans.lake import Lake
 from tidemark.plans.load import resolve_versions, run_moment, store_raw, store_raw_run
 from tidemark.schemas import GRAIN, LEDGER, LEDGER_PARTITIONS, RAW, RAW_PARTITIONS, TENANT_YEAR
 from tidemark.sinks import grain
+from tidemark.sinks.batches import move_files, touch
 from tidemark.sinks.jsonl import with_run_folders, write_landing
 from tidemark.sources.landing import raw_envelope, scan_landing, with_row_numbers
-from tidemark.sources.tables import ANY, partition_folder, path_exists
+from tidemark.sources.tables import ANY, partition_folder, path_exists, read_or_empty, remove_folder
 
 STREAM = ["kind", *GRAIN]
 OPTIONS = ["namespace", "page_size", "num_retries", "change_version_step_size", "query_parameters"]
@@ -122,20 +123,23 @@ def ingest_incremental(
         rows = _of_streams(lines, due, size)
     else:
         rows = _envelope(pulled, moment, ods, model)
+    run = _Run(spark, lake, moment, one)
     if replacing:
         store_raw(rows, lake, full_refresh=True)
-    else:
-        store_raw_run(rows, lake, run_at=moment, streams=due.select(*STREAM), size=size, within=raw_folder)
-
-    written = lake.read_raw(spark, raw_folder).filter(among_values(due, STREAM))
-    of_run = written.filter(F.col("pull_timestamp") == moment)
-    loaded = row_counts(of_run, STREAM, "pulled_rows")
-    landed = settled(_of_streams(loaded, due, size))
-    if not replacing:
-        # a stream that fell short is pulled again from its mark on: what it has brought must not stay
-        short = settled(due.join(landed, STREAM).filter("pulled_rows < n").select(*STREAM))
+        landed = settled(_of_streams(_loaded(spark, lake, raw_folder, moment, due), due, size))
+    elif run.began_before():
+        # rows of an attempt that broke off may be in the table and are replaced, but not those that were marked
+        marked = settled(_marked_at(due, lake.read_ledger(spark, one), moment))
+        before = settled(_of_streams(_loaded(spark, lake, raw_folder, moment, due), marked, size).withColumnRenamed("pulled_rows", "__before"))
+        replaced = O.failed(due, marked, STREAM).select(*STREAM)
+        store_raw_run(rows, lake, run_at=moment, streams=replaced, size=size, within=raw_folder)
+        landed = _of_streams(_loaded(spark, lake, raw_folder, moment, due), due, size).join(before, STREAM, "left")
+        landed = settled(landed.select(*STREAM, (F.col("pulled_rows") - F.coalesce("__before", F.lit(0))).alias("pulled_rows")))
+        short = settled(O.failed(_short(due, landed), marked, STREAM))
         if not short.isEmpty():
             grain.remove_rows(spark, lake.raw, RAW, RAW_PARTITIONS, stale=F.col("pull_timestamp") == moment, among=short, within=raw_folder)
+    else:
+        landed = run.publish(rows, due, size)
     if has_change_versions:
         whole = due.join(landed, STREAM).filter(F.coalesce(F.col("pulled_rows") >= F.col("n"), F.lit(True)))
         marked = O.succeeded(due, whole, STREAM).select(
@@ -147,9 +151,58 @@ def ingest_incremental(
             marks, lake.ledger, LEDGER, LEDGER_PARTITIONS, again=F.col("pull_timestamp") == moment,
             among=marks.select(*GRAIN, "is_deletes", "is_key_changes"), within=one,
         )
+    run.end()
     return _outcomes(windows, landed)
 
 
+def _loaded(spark: SparkSession, lake: Lake, raw_folder: dict | None, moment: Column, due: DataFrame) -> DataFrame:
+    """Rows of a run that are in the raw table, for each stream."""
+    written = lake.read_raw(spark, raw_folder).filter(among_values(due, STREAM))
+    return row_counts(written.filter(F.col("pull_timestamp") == moment), STREAM, "pulled_rows")
+
+
+def _marked_at(due: DataFrame, ledger: DataFrame, moment: Column) -> DataFrame:
+    """Due streams that a run of this time has marked before."""
+    marks = M.prior_marks_by_stream(ledger.filter(F.col("pull_timestamp") == moment))
+    with_stream = due.select(*STREAM).withColumn("stream", M.stream_of_kind(F.col("kind")))
+    return with_stream.join(marks, [*GRAIN, "stream"], "left_semi").select(*STREAM)
+
+
+def _short(due: DataFrame, landed: DataFrame) -> DataFrame:
+    """Streams that fell short of their count: they are pulled again from their mark on, so what they brought must not stay."""
+    return settled(due.join(landed, STREAM).filter("pulled_rows < n").select(*STREAM))
+
+
+class _Run:
+    """The rows of a run, first written apart under the run's time and tenant-year.
+
+    There they are counted, without a look at the raw table, and then moved into it, but for streams that fell short. A run
+    that finds the mark of an earlier attempt at its time has to look for its rows in the table.
+    """
+
+    def __init__(self, spark: SparkSession, lake: Lake, moment: Column, one: dict | None):
+        time = spark.range(1).select(F.date_format(moment, "yyyyMMdd'T'HHmmss.SSSSSS")).first()[0]
+        self.spark, self.lake, self.all = spark, lake, lake.path(f"_runs/{time}")
+        self.home = partition_folder(self.all, one) if one else f"{self.all}/all"
+
+    def began_before(self) -> bool:
+        return path_exists(self.spark, self.home) or path_exists(self.spark, f"{self.all}/all") or (self.home.endswith("/all") and path_exists(self.spark, self.all))
+
+    def publish(self, rows: DataFrame, due: DataFrame, size: int) -> DataFrame:
+        """Rows of each stream (`pulled_rows`), after those of whole streams were moved into the table."""
+        staged = f"{self.home}/rows"
+        touch(self.spark, f"{self.home}/began")
+        grain.insert(rows, staged, RAW, RAW_PARTITIONS)
+        landed = settled(_of_streams(row_counts(read_or_empty(self.spark, staged, RAW), STREAM, "pulled_rows"), due, size))
+        short = [partition_folder("", row.asDict()) for row in _short(due, landed).select(*RAW_PARTITIONS).collect()]
+        move_files(self.spark, staged, self.lake.raw, but=short)
+        return landed
+
+    def end(self) -> None:
+        """The mark that the run began stays."""
+        remove_folder(self.spark, f"{self.home}/rows")
+
+
 def _newest(feed: DataFrame, endpoints: DataFrame, newest: int | None, has_change_versions: bool) -> DataFrame:
     if has_change_versions and newest is None:
         return W.newest_versions(feed)

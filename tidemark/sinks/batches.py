@@ -8,6 +8,7 @@ files were moved has the rest moved; one that is done is passed over. The table
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from tidemark.sources.tables import path_kind, remove_folder
 
 #: Marks of so many earlier batches are kept; Spark repeats the last one only.
 KEPT_MARKS = 100
+MOVES_AT_A_TIME = 16
 
 
 def append_batch(
@@ -36,9 +38,9 @@ def append_batch(
     if path_kind(spark, whole) is None:
         remove_folder(spark, staged)
         grain.insert(rows, staged, schema, partition_by, balance)
-        _touch(spark, whole)
-    _move(spark, staged, path)
-    _touch(spark, done)
+        touch(spark, whole)
+    move_files(spark, staged, path)
+    touch(spark, done)
     remove_folder(spark, staged)
     if batch_id >= KEPT_MARKS:
         remove_folder(spark, f"{commits.rstrip('/')}/{stream}/{batch_id - KEPT_MARKS}")
@@ -49,7 +51,8 @@ def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _touch(spark: SparkSession, path: str) -> None:
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark."""
     place = _path(spark, path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True).close()
 
@@ -66,14 +69,24 @@ def _files(system, folder) -> Iterator[str]:
             yield inner
 
 
-def _move(spark: SparkSession, staged: str, path: str) -> None:
-    """Files keep their names, which no other write has; those that were moved before are gone from the first folder."""
+def move_files(spark: SparkSession, staged: str, path: str, but: Sequence[str] = ()) -> None:
+    """Move the data files below a folder into a table, but for those of some partition folders (relative to either).
+
+    Files keep their names, which no other write has; those that were moved before are gone from the first folder.
+    """
     source = _path(spark, staged)
     system = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    for inner in list(_files(system, source)):
+    hadoop, left_out = spark._jvm.org.apache.hadoop.fs.Path, tuple(f"{folder.strip('/')}/" for folder in but)
+
+    def move(inner: str) -> None:
+        if inner.startswith(left_out):
+            return
         target = hadoop(f"{path.rstrip('/')}/{inner}")
         system.mkdirs(target.getParent())
         if not system.rename(hadoop(source, inner), target):
             raise OSError(f"{inner} of {staged} could not be moved to {path}")
+
+    with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
+        for _ in pool.map(move, list(_files(system, source))):
+            pass
     spark.catalog.refreshByPath(path)
