@@ -1065,6 +1065,20 @@ def match_rates(spark, sf_dir):
     return _rounded(_rates(spark, sf_dir), "match_rate")
 
 
+@query(
+    V.with_views("rates") + f"""
+select tenant_code, api_year, assessment_name, source_column_name, edfi_column_name, num_matches, num_rows, round(match_rate, 6) match_rate
+from rates where match_rate >= {_REQUIRED}"""
+)
+def sufficient_rates(spark, sf_dir):
+    """Only the pairs that suffice, after bitmaps have bounded all of them."""
+    rates = R.sufficient_rates(
+        V.source_ids(spark, sf_dir), V.roster(spark, sf_dir), ["o_custkey", "o_orderkey"], ["c_custkey", "c_nationkey"],
+        by=R.ASSESSMENT, required=_REQUIRED,
+    )
+    return _rounded(rates, "match_rate")
+
+
 _BEST = V.with_views("rates") + f"""
 select tenant_code, api_year, assessment_name, source_column_name, edfi_column_name, num_matches, num_rows, round(match_rate, 6) match_rate from rates
 where match_rate >= {_REQUIRED}

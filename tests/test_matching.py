@@ -36,6 +36,57 @@ def test_match_rates_against_brute_force(spark):
     assert all(math.isclose(row["match_rate"], row["num_matches"] / row["num_rows"]) for row in got.collect())
 
 
+PAIR = ("tenant_code", "source_column_name", "edfi_column_name")
+
+
+@pytest.fixture(scope="module")
+def many_columns(spark):
+    """Ids in `a`, half of them known, one hot; codes that never match in `b`, texts in `c`, nulls in `d`; an unknown tenant."""
+    rng = random.Random(11)
+    source = [
+        (t, rng.choice([rng.randrange(400), 7]), f"code{rng.randrange(50)}", "" if i % 3 else f"text {i}", None)
+        for i in range(1500) for t in [rng.choice(["t", "u", "v", None])]
+    ]
+    people = [(t, i, str(i * 2) if i % 2 else None) for t in ("t", "u") for i in range(200)]
+    return (
+        spark.createDataFrame(source, "tenant_code string, a int, b string, c string, d string"),
+        spark.createDataFrame(people, "tenant_code string, x int, y string"), ["a", "b", "c", "d"], ["x", "y"], ["tenant_code"],
+    )
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+@pytest.mark.parametrize("required", [0.0, 0.05, 0.3, 0.7, 1.0])
+def test_sufficient_rates_are_those_of_match_rates(many_columns, required, limit):
+    every = R.match_rates(*many_columns[:4], by=many_columns[4])
+    got = R.sufficient_rates(*many_columns[:4], by=many_columns[4], required=required, limit=limit)
+    want = rows(every.filter(R.meets_rate(required)))
+    assert got.columns == every.columns and rows(got) == want and (want or required > 0.7)
+
+
+def test_sufficient_rates_without_groups_or_rows(spark, many_columns):
+    source, people, source_columns, roster_columns, _ = many_columns
+    for left, right in ((source, people), (source.filter("false"), people), (source, people.filter("false"))):
+        every = R.match_rates(left, right, source_columns, roster_columns)
+        assert rows(R.sufficient_rates(left, right, source_columns, roster_columns, required=0.2)) == rows(every.filter(R.meets_rate(0.2)))
+
+
+def test_bounds_lose_no_pair_and_leave_out_what_cannot_suffice(many_columns, monkeypatch):
+    source, people, source_columns, roster_columns, by = many_columns
+    ids, known = R._ids(source, source_columns, by, "source_column_name"), R.settled(R._known(people, roster_columns, by))
+    every = R.match_rates(source, people, source_columns, roster_columns, by=by)
+    for required in (0.01, 0.3, 0.6):
+        enough = set(rows(every.filter(R.meets_rate(required)), *PAIR))
+        possible = set(rows(R.possible_pairs(ids, known, roster_columns, by, by, required), *PAIR))
+        assert enough <= possible
+        if required == 0.3:
+            assert enough and {pair[1] for pair in possible} == {"a"}
+    assert R.possible_pairs(ids, known, roster_columns, by, by, 0.3, limit=R.BITMAP_BYTES) is None
+    # all ids at one place: bounds say little, and still lose nothing
+    monkeypatch.setattr(R.F, "xxhash64", lambda *columns: R.F.when(R.F.col(columns[0]).isNotNull(), R.F.lit(5)).otherwise(5))
+    crowded = set(rows(R.possible_pairs(ids, known, roster_columns, by, by, 0.3), *PAIR))
+    assert set(rows(every.filter(R.meets_rate(0.3)), *PAIR)) < crowded
+
+
 def test_best_config_breaks_ties_by_name(spark):
     rates = rate_rows(spark, [("s1", "e1", 5, 10, "t", "x"), ("s2", "e1", 5, 10, "t", "x"), ("s0", "e2", 5, 10, "t", "x"),
                               ("s9", "e9", 4, 10, "t", "x"), ("s1", "e1", 4, 10, "t", "y")])
