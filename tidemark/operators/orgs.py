@@ -23,10 +23,14 @@ RESULT = [
 
 
 def parse_connections(
-    connections: DataFrame, prefix: str = CONNECTION_PREFIX, exclude: Iterable[str] = ()
+    connections: DataFrame, prefix: str = CONNECTION_PREFIX, exclude: Iterable[str] = (), tenant: str = r"\w+"
 ) -> DataFrame:
-    """Connections named `{prefix}_{tenant}_{year}` with tenant and year. The tenant may hold underscores."""
-    pattern = rf"^{re.escape(prefix)}_(\w+)_(\d{{4}})"
+    """Connections named `{prefix}_{tenant}_{year}` with tenant and year. The tenant may hold underscores.
+
+    Of several groups of four digits the last is the year, so a name that goes on with digits after its year needs a
+    narrower pattern of its `tenant` (a regular expression without groups).
+    """
+    pattern = rf"^{re.escape(prefix)}_({tenant})_(\d{{4}})"
     name = F.col("connection_id")
     kept = connections.filter(name.rlike(pattern))
     excluded = list(exclude)
@@ -111,10 +115,10 @@ def with_status(connections: DataFrame) -> DataFrame:
 
 def validate_tenant_orgs(
     connections: DataFrame, token_orgs: DataFrame, leas: DataFrame, calendars: DataFrame, schools: DataFrame,
-    mapping: DataFrame, *, prefix: str = CONNECTION_PREFIX, exclude: Iterable[str] = (),
+    mapping: DataFrame, *, prefix: str = CONNECTION_PREFIX, exclude: Iterable[str] = (), tenant: str = r"\w+",
 ) -> DataFrame:
     """One row per connection: what was expected, what was found, by which step, and the verdict."""
-    parsed = parse_connections(connections, prefix, exclude)
+    parsed = parse_connections(connections, prefix, exclude, tenant)
     expected = mapping.select("tenant", F.col("expected_lea_id").cast("string").alias("expected_lea_id"))
     rows = join_small_side(parsed, expected, ["tenant"], "left")
     for step in (token_leas(token_orgs), listed_leas(leas), leas_via_schools(calendars, schools)):
