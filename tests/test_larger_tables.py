@@ -8,6 +8,7 @@ from checks.compare import TABLES, differences, oracle
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark import functions as fn
 from tidemark.operators import orgs
 
 
@@ -37,3 +38,10 @@ def test_connections_that_end_in_four_digits(spark, altered, name):
 def test_the_pattern_of_tenants_ends_before_the_year(spark):
     frame = spark.createDataFrame([(n,) for n in ("edfi_n_5_2024_1000", "edfi_n_15_2024_12345", "edfi_n_5_2024", "edfi_x_2024")], "connection_id string")
     assert rows(orgs.parse_connections(frame, tenant=r"n_\d+"), "tenant", "year") == [("n_15", "2024"), ("n_5", "2024"), ("n_5", "2024")]
+
+
+def test_moments_on_a_whole_second(spark, altered):
+    changed = altered(events=lambda table: table.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.date_trunc("second", "ts").cast("timestamp_ntz")).otherwise(F.col("ts"))))
+    assert differences(spark, changed, "scalar_functions", oracle(changed)) is None
+    whole = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    assert rows(spark.range(1).select(fn.utc_iso(whole, fraction=True))) == [("2024-01-02T03:04:05.000000+00:00",)]

@@ -24,9 +24,9 @@ def same_text(left: Column, right: Column) -> Column:
     return left.cast("string") == right.cast("string")
 
 
-def utc_iso(moment: Column) -> Column:
-    """ISO text in UTC; the fraction is left out when it is zero."""
+def utc_iso(moment: Column, fraction: bool = False) -> Column:
+    """ISO text in UTC; the fraction is left out when it is zero, unless it is asked for."""
     utc = F.to_utc_timestamp(moment, F.current_timezone())
     whole = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     micros = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    return F.when(F.date_trunc("second", utc) == utc, whole).otherwise(micros)
+    return micros if fraction else F.when(F.date_trunc("second", utc) == utc, whole).otherwise(micros)
