@@ -9,7 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
-from tidemark.operators import orgs
+from tidemark.operators import orgs, ranges
+from tidemark.schemas import GRAIN
 
 
 @pytest.fixture
@@ -45,3 +46,15 @@ def test_moments_on_a_whole_second(spark, altered):
     assert differences(spark, changed, "scalar_functions", oracle(changed)) is None
     whole = F.lit("2024-01-02 03:04:05").cast("timestamp")
     assert rows(spark.range(1).select(fn.utc_iso(whole, fraction=True))) == [("2024-01-02T03:04:05.000000+00:00",)]
+
+
+def test_a_row_meets_one_range_however_many_differ(spark):
+    rows_of = spark.range(4000).select(F.lit("t").alias("tenant_code"), F.lit(2024).alias("api_year"), F.lit(None).cast("string").alias("name"), F.col("id").alias("change_version"))
+    hashed = ranges._hashed(rows_of, GRAIN, [])
+    found = ranges._differing([hashed, hashed.filter("change_version % 20 > 0")], GRAIN, 10)
+    assert found.count() == 200
+    inside = ranges._within(hashed, found, GRAIN, 10)
+    assert inside.count() == 2000
+    plan = inside._jdf.queryExecution().optimizedPlan().toString()
+    (join,) = [line for line in plan.splitlines() if "Join LeftSemi" in line]
+    assert "__number" in join and ">" not in join.replace("<=>", "")  # no row is compared with the bounds of ranges

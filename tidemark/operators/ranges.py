@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.joins import among_values, settled
-from tidemark.operators.windows import VALID, rows_in_window
+from tidemark.operators.joins import BROADCAST_BYTES, measured_bytes, settled
+from tidemark.operators.windows import VALID, scan_condition
 from tidemark.schemas import GRAIN
 
 LEAF, FAN = 1_000, 32
@@ -31,8 +32,9 @@ def differing_ranges(
         width *= fan
     found = _differing(own, keys, width)
     while width > leaf:
+        inside = [_within(rows, found, keys, width) for rows in own]
         width //= fan
-        found = _differing([_within(rows, found, keys) for rows in own], keys, width)
+        found = _differing(inside, keys, width)
     return found.select(*keys, "range_min", "range_max", "source_rows", "loaded_rows")
 
 
@@ -44,35 +46,48 @@ def windows_of(ranges: DataFrame) -> DataFrame:
 
 
 def _hashed(rows: DataFrame, keys: list[str], content: Sequence[str]) -> DataFrame:
-    # keys may be null, and a null equals none in the joins to come: one text tells them apart
-    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("__key")
-    return rows.select(*keys, key, F.col("change_version").cast("bigint").alias("change_version"), F.xxhash64("change_version", *content).alias("__hash"))
+    return rows.select(*keys, F.col("change_version").cast("bigint").alias("change_version"), F.xxhash64("change_version", *content).alias("__hash"))
+
+
+def _number(width: int) -> Column:
+    return F.floor(F.col("change_version") / width)
 
 
 def _sums(rows: DataFrame, keys: list[str], width: int, name: str) -> DataFrame:
-    number = F.floor(F.col("change_version") / width).alias("__number")
-    first = [F.first(key).alias(f"{key}__{name}") for key in keys]
     # hashes are added up as decimals, which do not overflow
     total = F.sum(F.col("__hash").cast("decimal(38,0)")).alias(f"{name}_hash")
-    return rows.groupBy("__key", number).agg(F.count(F.lit(1)).alias(f"{name}_rows"), total, *first)
+    sums = rows.groupBy(*keys, _number(width).alias("__number")).agg(F.count(F.lit(1)).alias(f"{name}_rows"), total)
+    return sums.withColumnsRenamed({key: f"{key}__{name}" for key in [*keys, "__number"]})
 
 
 def _differing(sides: list[DataFrame], keys: list[str], width: int) -> DataFrame:
     source, loaded = (_sums(rows, keys, width, name) for rows, name in zip(sides, ("source", "loaded")))
-    both = source.join(loaded, ["__key", "__number"], "full_outer")
+    own = [*keys, "__number"]
+    both = source.join(loaded, _all_same([(f"{key}__source", f"{key}__loaded") for key in own]), "full_outer")
     same = F.col("source_rows").eqNullSafe(F.col("loaded_rows")) & F.col("source_hash").eqNullSafe(F.col("loaded_hash"))
-    named = [F.coalesce(f"{key}__source", f"{key}__loaded").alias(key) for key in keys]
-    low = F.col("__number") * width
-    return settled(both.filter(~same).select(
-        "__key", *named, low.alias("range_min"), (low + width - 1).alias("range_max"),
+    found = both.filter(~same).select(
+        *[F.coalesce(f"{key}__source", f"{key}__loaded").alias(key) for key in own],
         *[F.coalesce(f"{name}_rows", F.lit(0)).alias(f"{name}_rows") for name in ("source", "loaded")],
-    ))
+    )
+    low = F.col("__number") * width
+    return settled(found.withColumns({"range_min": low, "range_max": low + width - 1}))
 
 
-def _within(rows: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of some ranges; what the ranges have in common reaches the scan."""
+def _within(rows: DataFrame, ranges: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Rows of some ranges of one width; what the ranges have in common reaches the scan.
+
+    A row is in one range of a width, which its number tells: it meets that one only, however many differ.
+    """
     # a range from zero on has no lower bound, as a window of mark zero
     low = F.when(F.col("range_min") == 0, 0).otherwise(F.col("range_min") - 1)
-    windows = ranges.select("__key", low.alias("last_version"), F.col("range_max").alias("newest_version"), F.lit(VALID).alias("window_status"))
-    some = rows.filter(among_values(ranges, keys))  # partitions are pruned by the keys themselves
-    return rows_in_window(some, windows, ["__key"]).select(*rows.columns)
+    windows = ranges.select(*keys, low.alias("last_version"), F.col("range_max").alias("newest_version"))
+    some = rows.filter(scan_condition(windows, keys)).withColumn("__number", _number(width))
+    own = [*keys, "__number"]
+    wanted = ranges.select(*[F.col(key).alias(f"{key}__range") for key in own])
+    wanted = F.broadcast(wanted) if measured_bytes(wanted) <= BROADCAST_BYTES else wanted
+    return some.join(wanted, _all_same([(key, f"{key}__range") for key in own]), "left_semi").select(*rows.columns)
+
+
+def _all_same(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Null equals null."""
+    return reduce(Column.__and__, [F.col(left).eqNullSafe(F.col(right)) for left, right in pairs])
