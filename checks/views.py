@@ -1,7 +1,12 @@
 """The given tables seen as the tables of this package. `SQL` restates them for the oracle."""
 
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.session import scratch_path
+
 CUT = "2024-01-16 00:00:00"
 
 
@@ -22,37 +27,104 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paged_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as the store of a paged source: a folder for each stream in the shared scratch folder, sorted by version.
+
+    Small row groups with their least and greatest versions let a page be read without the rows around it.
+    """
+    path = scratch_path(spark, "paged-feed")
+    rows = feed(spark, sf_dir).select("change_version", "payload", "tenant_code", "name")
+    order = ["tenant_code", "name", "change_version"]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.option("parquet.block.size", 1 << 16).partitionBy("tenant_code", "name").parquet(path)
+    return path
+
+
 class FeedClient:
-    """The feed as a paged source, read in the tasks. Each page fails the first time that it is asked for."""
+    """The feed as a paged source, read in the tasks from a store of `paged_feed`. Each page fails the first time that it is
+    asked for."""
 
-    def __init__(self, sf_dir: str, upto: int | None = None):
-        self.path, self.upto, self.failed = f"{sf_dir}/events.parquet", upto, set()
+    def __init__(self, store: str, upto: int | None = None):
+        self.store, self.upto, self.asked = store, upto, None
+        self.streams, self.groups, self.ends = {}, {}, {}
 
-    def _rows(self, piece: dict, columns: list[str]):
-        import pyarrow.compute as pc
-        import pyarrow.parquet as pq
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "streams": {}, "groups": {}, "ends": {}}
 
+    def _stream(self, piece: dict) -> tuple[tuple, list, list, list]:
+        """A stream, its files, their row groups in the order of versions, and the rows up to the end of each."""
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        key = piece["tenant_code"], piece["name"]
+        if key not in self.streams:
+            system, root = fs.FileSystem.from_uri(self.store) if ":/" in self.store else (fs.LocalFileSystem(), self.store)
+            found = system.get_file_info(fs.FileSelector(f"{root}/tenant_code={key[0]}/name={key[1]}", allow_not_found=True))
+            files = [pq.ParquetFile(info.path, filesystem=system) for info in found if info.base_name.endswith(".parquet")]
+            groups = []
+            for number, file in enumerate(files):
+                for group in range(file.metadata.num_row_groups):
+                    part = file.metadata.row_group(group)
+                    groups.append((part.column(0).statistics.min, part.column(0).statistics.max, number, group, part.num_rows))
+            groups.sort()
+            self.streams[key] = files, groups, list(accumulate(group[-1] for group in groups))
+        return key, *self.streams[key]
+
+    def _rows(self, piece: dict, index: int):
+        """Rows of a row group; the last few are kept."""
+        key, files, groups, _ = self._stream(piece)
+        if (key, index) not in self.groups:
+            if len(self.groups) >= 4:
+                del self.groups[next(iter(self.groups))]
+            self.groups[key, index] = files[groups[index][2]].read_row_group(groups[index][3])
+        return self.groups[key, index]
+
+    def _below(self, piece: dict, version: int) -> int:
+        """Rows of a stream before a version."""
+        _, _, groups, ends = self._stream(piece)
+        index = bisect_left(groups, version, key=lambda group: group[1])
+        if index == len(groups) or version <= groups[index][0]:
+            return ends[index - 1] if index else 0
+        versions = self._rows(piece, index)["change_version"].to_numpy()
+        return ends[index] - groups[index][-1] + int(versions.searchsorted(version))
+
+    def _ends(self, piece: dict) -> tuple[int, int]:
+        """The rows of a piece as positions in its stream."""
         low, high = piece.get("slice_min"), piece.get("slice_max")
-        ends = [end for end in (high, self.upto) if end is not None]
-        bounds = [("event_type", "=", piece["name"])] + ([("event_id", ">=", low)] if low is not None else []) + [("event_id", "<=", end) for end in ends]
-        rows = pq.read_table(self.path, columns=["event_id", "user_id", *columns], filters=bounds)
-        user = rows["user_id"]
-        rest = pc.subtract(user, pc.multiply(pc.divide(user, 3), 3))
-        return rows.filter(pc.equal(rest, int(piece["tenant_code"][1:]))).sort_by("event_id")
+        key, _, _, ends = self._stream(piece)
+        if self.ends.get("of") != (key, low, high):
+            tops = [end for end in (high, self.upto) if end is not None]
+            stop = self._below(piece, min(tops) + 1) if tops else (ends[-1] if ends else 0)
+            self.ends = {"of": (key, low, high), "at": (0 if low is None else self._below(piece, low), stop)}
+        return self.ends["at"]
 
     def fetch(self, piece: dict, offset: int, page_size: int) -> list[tuple[int, str]]:
         page = (piece["tenant_code"], piece["name"], piece.get("slice_min"), offset)
-        if page not in self.failed:
-            self.failed.add(page)
+        if page != self.asked:
+            self.asked = page
             raise OSError("busy")
-        rows = self._rows(piece, ["props"]).slice(offset, page_size)
-        return list(zip(rows["event_id"].to_pylist(), rows["props"].to_pylist()))
+        self.asked = None
+        start, stop = self._ends(piece)
+        at, stop = start + offset, min(start + offset + page_size, stop)
+        *_, groups, ends = self._stream(piece)
+        rows = []
+        while at < stop:
+            index = bisect_right(ends, at)
+            first = ends[index] - groups[index][-1]
+            some = self._rows(piece, index).slice(at - first, stop - at)
+            rows += zip(some["change_version"].to_pylist(), some["payload"].to_pylist())
+            at += len(some)
+        return rows
 
     def texts(self, piece: dict, offset: int, page_size: int) -> list[str]:
         return [text for _, text in self.fetch(piece, offset, page_size)]
 
     def newest(self, piece: dict) -> int | None:
-        return max(self._rows(piece, [])["event_id"].to_pylist(), default=None)
+        _, stop = self._ends(piece)
+        if stop == 0:
+            return None
+        *_, groups, ends = self._stream(piece)
+        index = bisect_left(ends, stop)
+        return self._rows(piece, index)["change_version"][stop - 1 - ends[index] + groups[index][-1]].as_py()
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import json
 import sys
 
 import pytest
+from checks import views as V
 from conftest import rows
 from pyspark import cloudpickle
 from pyspark.sql import datasource as D, functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import datasource as D, functions as F
 from tidemark.plans.lake import Lake
 from tidemark.schemas import RAW, RAW_PARTITIONS
 from tidemark.sinks import batches, grain
-from tidemark.sources.feed_source import FeedReader, FeedStreamReader, feed_options, register_feed, steps
+from tidemark.sources.feed_source import MOST_PARTITIONS, FeedReader, FeedStreamReader, _batches, _steps_of, feed_options, register_feed, steps, stretches
 from tidemark.sources.tables import path_kind, remove_folder
 from tidemark.streaming.feed import ingest_feed
 
@@ -191,3 +192,57 @@ def test_table_is_not_read(spark, folder, table):
     with open(broken, "w") as file:
         file.write("no parquet")
     assert append(1, 3) and not append(1, 3)
+
+
+def test_very_many_steps_share_partitions():
+    windows = [({**WINDOW, "change_version_step_size": 10}, -1, 99), ({**WINDOW, "name": "b"}, 4, 4), ({**WINDOW, "name": "c"}, None, 7)]
+    assert bounds([D.InputPartition(piece) for piece in stretches(windows, 10)]) == [(low, low + 9) for low in range(90, -1, -10)] + [(None, 7)]
+    few = stretches(windows, 4)
+    assert bounds([D.InputPartition(piece) for piece in few]) == [(90, 99), (60, 89), (30, 59), (0, 29), (None, 7)]
+    assert [(s["slice_min"], s["slice_max"]) for piece in few[:2] for s in _steps_of(piece)] == [(90, 99), (80, 89), (70, 79), (60, 69)]
+    versions = [v for piece in few[:4] for batch in _batches(Client(99), piece) for v in batch.column("change_version").to_pylist()]
+    assert sorted(versions) == list(range(100))
+    assert len(FeedReader(Client(), [{**WINDOW, "newest_version": 10**9}]).partitions()) <= MOST_PARTITIONS
+
+
+class Counted(Client):
+    """Tells how often it was asked for pages."""
+
+    def __init__(self, newest):
+        super().__init__(newest)
+        self.asked = 0
+
+    def fetch(self, piece, offset, page_size):
+        self.asked += 1
+        return super().fetch(piece, offset, page_size)
+
+
+def test_short_pages_are_read_into_long_batches():
+    client = Counted(999)
+    found = list(_batches(client, steps({**WINDOW, "page_size": 3}, None, None)[0]))
+    assert client.asked > 300 and [batch.num_rows for batch in found] == [1000]
+
+
+def test_pages_of_the_checked_feed_read_few_rows(spark, folder):
+    """A page is found by its position; the rows that are read grow with the page, not with the stream."""
+    events = spark.range(200_000).select(
+        F.col("id").alias("event_id"), (F.col("id") * 0).alias("user_id"), F.lit("a").alias("event_type"),
+        F.to_json(F.struct(F.xxhash64("id").alias("k"))).alias("props"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"),
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    store = V.paged_feed(spark, folder)
+    client, piece = V.FeedClient(store), {"tenant_code": "t0", "name": "a", "slice_min": 1000, "slice_max": None}
+
+    def page(client, piece, offset, size):
+        with pytest.raises(OSError, match="busy"):
+            client.fetch(piece, offset, size)
+        return [version for version, _ in client.fetch(piece, offset, size)]
+
+    assert page(client, piece, 0, 3) == [1000, 1001, 1002] and page(client, piece, 150_000, 2) == [151_000, 151_001]
+    assert page(client, piece, 198_998, 5) == [198_998 + 1000, 199_999] and page(client, piece, 199_000, 5) == []
+    assert page(client, {**piece, "slice_max": 1003}, 2, 400) == [1002, 1003]
+    long = page(client, piece, 100, 50_000)
+    assert long == list(range(1100, 51_100))
+    assert client.newest({**piece, "slice_min": None}) == 199_999 and client.newest({**piece, "name": "b"}) is None
+    assert V.FeedClient(store, 77).newest({**piece, "slice_min": None}) == 77
+    assert all(len(rows) < 50_000 for rows in client.groups.values()) and len(client.groups) <= 4

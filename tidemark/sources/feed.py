@@ -5,13 +5,16 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.constants import DEFAULT_NUM_RETRIES, DEFAULT_PAGE_SIZE
 from tidemark.operators.endpoints import equality_filter
 from tidemark.operators.windows import window_slices
 
+#: Pages are put together to batches of at least so many rows or characters.
+GATHERED_ROWS, GATHERED_CHARS = 10_000, 4 << 20
+
 
 def change_window(
     feed: DataFrame, low: int | None, high: int | None, parameters: Mapping[str, object] | None = None
@@ -49,24 +52,26 @@ def pull_slices(
     """
     spread, keys = _spread_slices(windows, partitions, reverse)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for piece in _pieces(batches):
-            for page in _pages(fetch, piece, count if reverse else None):
-                yield pd.DataFrame({**{key: piece[key] for key in keys}, "payload": page})
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, types in _pieces(batches):
+            for texts in gathered(_pages(fetch, piece, count if reverse else None)):
+                same = [pa.repeat(pa.scalar(piece[key], types.field(key).type), len(texts)) for key in keys]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(texts, pa.string())], [*keys, "payload"])
 
-    return spread.mapInPandas(read, f"{_key_types(spread, keys)}, payload string")
+    return spread.mapInArrow(read, f"{_key_types(spread, keys)}, payload string")
 
 
 def count_slices(windows: DataFrame, count: Callable[[dict], int], *, partitions: int) -> DataFrame:
     """Rows that a paged source tells for every stream, slices asked in the tasks."""
     spread, keys = _spread_slices(windows, partitions, reverse=False)
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for piece in _pieces(batches):
-            tries = _tries(piece)
-            yield pd.DataFrame({**{key: [piece[key]] for key in keys}, "n": [int(_attempt(lambda: count(piece), tries))]})
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, types in _pieces(batches):
+            told = _attempt(lambda: count(piece), _tries(piece))
+            same = [pa.array([piece[key]], types.field(key).type) for key in keys]
+            yield pa.RecordBatch.from_arrays([*same, pa.array([int(told)], pa.int64())], [*keys, "n"])
 
-    counted = spread.mapInPandas(ask, f"{_key_types(spread, keys)}, n bigint")
+    counted = spread.mapInArrow(ask, f"{_key_types(spread, keys)}, n bigint")
     return counted.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
@@ -85,12 +90,26 @@ def _key_types(rows: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in rows.schema if field.name in keys)
 
 
-def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.Schema]]:
     for batch in batches:
-        for piece in batch.astype(object).where(batch.notna(), None).to_dict("records"):
-            if "query_parameters" in piece:
-                piece["query_parameters"] = json.loads(piece["query_parameters"] or "{}")
-            yield piece
+        for start in range(0, batch.num_rows, GATHERED_ROWS):
+            for piece in batch.slice(start, GATHERED_ROWS).to_pylist():
+                if "query_parameters" in piece:
+                    piece["query_parameters"] = json.loads(piece["query_parameters"] or "{}")
+                yield piece, batch.schema
+
+
+def gathered(pages: Iterator[list], text: Callable[[object], str] = lambda row: row) -> Iterator[list]:
+    """Rows of pages, put together into batches of some size: a batch costs more than its rows when these are few."""
+    held, size = [], 0
+    for page in pages:
+        held += page
+        size += sum(len(text(row) or "") for row in page)
+        if len(held) >= GATHERED_ROWS or size >= GATHERED_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _tries(piece: dict) -> int:

@@ -7,9 +7,9 @@ A client has `fetch(piece, offset, page_size)`, one page of (change version, JSO
 the newest version of a stream, for streams only; and may have `count(piece)`. A piece is a step of a window as a dict: kind,
 tenant_code, api_year, name, slice_min, slice_max, and the endpoint's options. It is pickled and runs in the tasks.
 
-Each step of a window is a partition. Filters on the version and on the columns of a stream choose windows and cut them before
-anything is fetched. As a stream, the offset is the version of every stream up to which rows were read, so Spark's own
-checkpoint is the mark.
+Each step of a window is a partition, or where there are very many, some that follow each other. Filters on the version and
+on the columns of a stream choose windows and cut them before anything is fetched. As a stream, the offset is the version of
+every stream up to which rows were read, so Spark's own checkpoint is the mark.
 """
 
 from __future__ import annotations
@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import datasource as D
 
 from tidemark.constants import DEFAULT_CHANGE_VERSION_STEP
-from tidemark.sources.feed import _pages
+from tidemark.sources.feed import _pages, gathered
 
 FORMAT = "change_feed"
 KEYS = ("kind", "tenant_code", "api_year", "name")
 SCHEMA = "kind string, tenant_code string, api_year int, name string, change_version bigint, payload string"
 _ARROW = pa.schema([("kind", pa.string()), ("tenant_code", pa.string()), ("api_year", pa.int32()), ("name", pa.string()), ("change_version", pa.int64()), ("payload", pa.string())])
 OPTIONS = ("namespace", "page_size", "num_retries", "change_version_step_size", "query_parameters")
+#: Partitions of a read at most, besides one for each window. A partition of several steps has the size of these under `STRETCH`.
+MOST_PARTITIONS, STRETCH = 1_000, "__step"
 
 
 def register_feed(spark: SparkSession, client: object, name: str = FORMAT) -> None:
@@ -64,15 +66,41 @@ def feed_options(windows: DataFrame | Sequence[Mapping]) -> dict[str, str]:
     return {"windows": json.dumps([dict(window) for window in windows])}
 
 
-def steps(window: Mapping, after: int | None, upto: int | None) -> list[dict]:
-    """Pieces of a window of versions after one and up to another, the last first; without both bounds it is one piece."""
+def steps(window: Mapping, after: int | None, upto: int | None, each: int = 1) -> list[dict]:
+    """Pieces of a window of versions after one and up to another, the last first; without both bounds it is one piece.
+
+    With more than one step in `each` piece, it has the size of a step as `STRETCH`.
+    """
     piece = {**{key: window.get(key) for key in KEYS}, **{key: window[key] for key in OPTIONS if window.get(key) is not None}}
     piece["query_parameters"] = window.get("query_parameters") or {}
     if after is None or upto is None:
         return [{**piece, "slice_min": None if after is None else after + 1, "slice_max": upto}]
-    step = int(window.get("change_version_step_size") or DEFAULT_CHANGE_VERSION_STEP)
-    starts = range(after + 1, upto + 1, step)
-    return [{**piece, "slice_min": low, "slice_max": min(low + step - 1, upto)} for low in reversed(starts)]
+    step = _step(window)
+    own = {} if each == 1 else {STRETCH: step}
+    starts = range(after + 1, upto + 1, step * each)
+    return [{**piece, "slice_min": low, "slice_max": min(low + step * each - 1, upto), **own} for low in reversed(starts)]
+
+
+def stretches(bounded: Sequence[tuple[Mapping, int | None, int | None]], most: int = MOST_PARTITIONS) -> list[dict]:
+    """Pieces of windows with their bounds: single steps, or where these are very many, some in each piece."""
+    n_steps = sum(-((after - upto) // _step(window)) for window, after, upto in bounded if None not in (after, upto))
+    each = max(1, -(-n_steps // most))
+    return [piece for window, after, upto in bounded for piece in steps(window, after, upto, each)]
+
+
+def _step(window: Mapping) -> int:
+    return int(window.get("change_version_step_size") or DEFAULT_CHANGE_VERSION_STEP)
+
+
+def _steps_of(piece: dict) -> Iterator[dict]:
+    """The steps of a partition, the last first."""
+    step = piece.get(STRETCH)
+    if step is None:
+        yield piece
+        return
+    piece = {key: value for key, value in piece.items() if key != STRETCH}
+    for low in reversed(range(piece["slice_min"], piece["slice_max"] + 1, step)):
+        yield {**piece, "slice_min": low, "slice_max": min(low + step - 1, piece["slice_max"])}
 
 
 def _after(window: Mapping) -> int | None:
@@ -84,13 +112,17 @@ def _after(window: Mapping) -> int | None:
 def _batches(client: object, piece: dict | None) -> Iterator[pa.RecordBatch]:
     if piece is None:
         return
-    low, high = piece["slice_min"], piece["slice_max"]
-    for page in _pages(client.fetch, piece, getattr(client, "count", None)):
-        # a page may hold more than was asked for; filters that were taken over must hold
-        rows = [(v, text) for v, text in page if (low is None or v >= low) and (high is None or v <= high)]
-        if rows:
-            same = [pa.array([piece[key]] * len(rows), _ARROW.field(key).type) for key in KEYS]
-            yield pa.RecordBatch.from_arrays([*same, pa.array([v for v, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())], schema=_ARROW)
+
+    def pages() -> Iterator[list]:
+        for step in _steps_of(piece):
+            low, high = step["slice_min"], step["slice_max"]
+            for page in _pages(client.fetch, step, getattr(client, "count", None)):
+                # a page may hold more than was asked for; filters that were taken over must hold
+                yield [(v, text) for v, text in page if (low is None or v >= low) and (high is None or v <= high)]
+
+    for rows in gathered(pages(), lambda row: row[1]):
+        same = [pa.repeat(pa.scalar(piece[key], _ARROW.field(key).type), len(rows)) for key in KEYS]
+        yield pa.RecordBatch.from_arrays([*same, pa.array([v for v, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())], schema=_ARROW)
 
 
 class FeedReader(D.DataSourceReader):
@@ -122,13 +154,13 @@ class FeedReader(D.DataSourceReader):
         return isinstance(found, (D.GreaterThan, D.GreaterThanOrEqual, D.EqualTo, D.LessThan, D.LessThanOrEqual, D.IsNotNull))
 
     def partitions(self) -> Sequence[D.InputPartition]:
-        pieces = []
+        bounded = []
         for window in self.windows:
             after = max((bound for bound in (_after(window), self.after) if bound is not None), default=None)
             upto = min((bound for bound in (window.get("newest_version"), self.upto) if bound is not None), default=None)
             if after is None or upto is None or after < upto:
-                pieces += steps(window, after, upto)
-        return [D.InputPartition(piece) for piece in pieces or [None]]
+                bounded.append((window, after, upto))
+        return [D.InputPartition(piece) for piece in stretches(bounded) or [None]]
 
     def read(self, partition: D.InputPartition) -> Iterator[pa.RecordBatch]:
         return _batches(self.client, partition.value)
@@ -159,14 +191,14 @@ class FeedStreamReader(D.DataSourceStreamReader):
         return newest
 
     def partitions(self, start: dict, end: dict) -> Sequence[D.InputPartition]:
-        pieces = []
+        bounded = []
         for key, window in self.windows.items():
             after, upto = start.get(key, self._first(window)), end.get(key)
             if upto is not None and upto < after:
                 raise ValueError(f"the newest version of {key} is {upto}, but {after} was read before")
             if upto is not None:
-                pieces += steps(window, after, upto)
-        return [D.InputPartition(piece) for piece in pieces or [None]]
+                bounded.append((window, after, upto))
+        return [D.InputPartition(piece) for piece in stretches(bounded) or [None]]
 
     def read(self, partition: D.InputPartition) -> Iterator[pa.RecordBatch]:
         return _batches(self.client, partition.value)
