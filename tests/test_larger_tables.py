@@ -9,8 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
-from tidemark.operators import orgs, ranges
+from tidemark.operators import orgs, ranges, windows as W
 from tidemark.schemas import GRAIN
+from tidemark.sources.feed import gathered, pull_slices
 
 
 @pytest.fixture
@@ -58,3 +59,33 @@ def test_a_row_meets_one_range_however_many_differ(spark):
     plan = inside._jdf.queryExecution().optimizedPlan().toString()
     (join,) = [line for line in plan.splitlines() if "Join LeftSemi" in line]
     assert "__number" in join and ">" not in join.replace("<=>", "")  # no row is compared with the bounds of ranges
+
+
+def test_pulled_records_are_not_broadcast(spark):
+    windows = W.with_window_status(
+        spark.createDataFrame([("t", 2024, "a", 0, 40_000)], "tenant_code string, api_year int, name string, last_version long, newest_version long")
+    ).withColumns({"change_version_step_size": F.lit(500), "page_size": F.lit(500)})
+
+    def fetch(piece, offset, size):
+        low = piece["slice_min"] + offset
+        return [f"{version:0400d}" for version in range(low, min(low + size, piece["slice_max"] + 1))]
+
+    pulled = pull_slices(windows, fetch, partitions=4).select(*GRAIN, F.col("payload").cast("bigint").alias("change_version"))
+    rows_of = spark.range(40_001).select(F.lit("t").alias("tenant_code"), F.lit(2024).alias("api_year"), F.lit("a").alias("name"), F.col("id").alias("change_version"), F.repeat(F.lit("x"), 1000).alias("text"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")  # the slices alone are smaller, their records are larger
+    try:
+        joined = rows_of.join(pulled, [*GRAIN, "change_version"])
+        assert joined.select("change_version", "text").distinct().count() == 40_001
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_pages_become_long_batches():
+    pages = [["x" * 10] * 150 for _ in range(200)]
+    assert [len(batch) for batch in gathered(iter(pages))] == [10_050, 10_050, 9_900]
+    assert [len(batch) for batch in gathered(iter([["x" * (1 << 21)]] * 5))] == [2, 2, 1]
+    assert list(gathered(iter([[], []]))) == []

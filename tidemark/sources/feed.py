@@ -58,7 +58,8 @@ def pull_slices(
                 same = [pa.repeat(pa.scalar(piece[key], types.field(key).type), len(texts)) for key in keys]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(texts, pa.string())], [*keys, "payload"])
 
-    return spread.mapInArrow(read, f"{_key_types(spread, keys)}, payload string")
+    # Spark takes the records to be as few as the slices that they come from, and would broadcast them in a join
+    return spread.mapInArrow(read, f"{_key_types(spread, keys)}, payload string").hint("merge")
 
 
 def count_slices(windows: DataFrame, count: Callable[[dict], int], *, partitions: int) -> DataFrame:
