@@ -142,3 +142,16 @@ def test_values_of_any_character(spark, folder):
     path = put(folder, "odd name+.csv", "pupil,tenant_code,api_year\np,a/b c+%20=é,2020\n")
     (target,) = partition_on_tenant_and_year(spark, path, f"{folder}/out")
     assert rows(read_all_shards(spark, [target]), "file", "tenant_code") == [("odd name+", "a/b c+%20=é")]
+
+
+def test_very_many_small_splits_share_tasks(spark, folder, split):
+    split(50)
+    own = [r for seed in range(8) for r in table(seed)]
+    path = put(folder, "many.csv", written(own, "\n"))
+    assert spark.read.text(path).rdd.getNumPartitions() > 200
+    got = read_text_columns(spark, path, quoted_breaks=True)
+    assert got.rdd.getNumPartitions() <= 2 * csvs.TASKS_OF_CORE * spark.sparkContext.defaultParallelism  # whole records, and pieces
+    assert rows(well_formed(got)) == sorted([tuple(r) for r in own], key=repr)
+    split(csvs.TASK_BYTES)
+    lines = spark.read.text([path] * 40)
+    assert csvs._in_fewer_tasks(lines) is lines  # blocks of that size have their own tasks

@@ -114,6 +114,10 @@ def _without_headers(lines: DataFrame) -> DataFrame:
 
 # --- records with line breaks inside quotes -----------------------------------------------------------------------
 
+#: Blocks of up to so many bytes are read by one task, as long as there are some tasks for each core: a task that starts costs
+#: more than a small block.
+TASK_BYTES, TASKS_OF_CORE = 16 << 20, 4
+
 _PIECE = "value string, __file string, __start long, __order int, __closes boolean, __first boolean"
 
 
@@ -129,6 +133,7 @@ def quoted_records(spark: SparkSession, paths: list[str]) -> DataFrame:
         "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
         F.monotonically_increasing_id().alias("__id"),
     )
+    lines = _in_fewer_tasks(lines)
     before = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = lines.groupBy("__file", "__start").agg((F.sum(F.regexp_count("value", F.lit('"'))) % 2).alias("__odd"))
     blocks = blocks.withColumn("__open", F.coalesce(F.sum("__odd").over(before), F.lit(0)) % 2)
@@ -155,6 +160,15 @@ def quoted_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def _in_fewer_tasks(lines: DataFrame) -> DataFrame:
+    """The same blocks of a scan, several to a task where they are small and many; ids and places of rows stay."""
+    spark = lines.sparkSession
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    blocks = lines.rdd.getNumPartitions()
+    tasks = max(-(-blocks // max(1, TASK_BYTES // most)), TASKS_OF_CORE * spark.sparkContext.defaultParallelism)
+    return lines.coalesce(tasks) if tasks < blocks else lines
+
+
 def _without_first(records: DataFrame) -> DataFrame:
     return records.filter(~F.col("__first"))
 
