@@ -12,6 +12,8 @@ from tidemark import functions as fn
 from tidemark.operators import orgs, ranges, windows as W
 from tidemark.schemas import GRAIN
 from tidemark.sources.feed import gathered, pull_slices
+from tidemark.sources.landing import raw_envelope, scan_landing
+from tidemark.streaming.landing import _by_file
 
 
 @pytest.fixture
@@ -89,3 +91,20 @@ def test_pages_become_long_batches():
     assert [len(batch) for batch in gathered(iter(pages))] == [10_050, 10_050, 9_900]
     assert [len(batch) for batch in gathered(iter([["x" * (1 << 21)]] * 5))] == [2, 2, 1]
     assert list(gathered(iter([[], []]))) == []
+
+
+def test_what_a_path_tells_is_read_once_per_file(spark, folder):
+    for name in ("a", "b"):
+        home = f"{folder}/t/2024/20240101/20240101T000000/resources"
+        os.makedirs(home, exist_ok=True)
+        with open(f"{home}/{name}.jsonl", "w") as file:
+            file.write('{"x": 1}\n' * 3)
+    envelope = lambda lines: raw_envelope(lines, ods_version="7", data_model_version="5")
+    lines, seen = scan_landing(spark, folder), []
+    _by_file(lambda batch, _, files: seen.append((batch, files)), envelope, with_files=True)(lines, 0)
+    ((batch, files),) = seen
+    same = lambda frame: rows(frame.withColumn("v", F.to_json("v")))
+    assert same(batch) == same(envelope(lines)) and batch.count() == 6
+    assert rows(files, "kind", "name") == [("resources", "a"), ("resources", "b")]
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" in plan(envelope(lines)) and "regexp_extract" not in plan(batch)

@@ -60,7 +60,7 @@ def with_row_numbers(lines: DataFrame) -> DataFrame:
     found = numbered.groupBy(*block).agg(
         F.count(F.lit(1)).alias("__lines"), F.min("__id").alias("__first"), F.min_by(F.xxhash64("value"), "__id").alias("__hash")
     )
-    offsets = found.withColumn("__offset", F.coalesce(F.sum("__lines").over(before), F.lit(0))).withColumn("origin", _origin())
+    offsets = found.withColumn("__offset", F.coalesce(F.sum("__lines").over(before), F.lit(0))).withColumn("origin", path_origin())
     inside = F.col("__id") - F.col("__first")
     wrong = (
         F.col("__offset").isNull() | (inside < 0) | (inside >= F.col("__lines"))
@@ -72,7 +72,8 @@ def with_row_numbers(lines: DataFrame) -> DataFrame:
     return joined.withColumn("file_row_number", number).drop("__id", "__first", "__lines", "__hash", "__offset")
 
 
-def _origin() -> Column:
+def path_origin() -> Column:
+    """All that the path of a line's file tells."""
     path = decoded_path(F.col("file_path"))
     parts = {"filename": path, **landing_lineage(path)}
     return F.struct(*[column.alias(name) for name, column in parts.items()])
@@ -92,7 +93,7 @@ def raw_envelope(
     if lineage not in ("path", "load_time") or on_bad_line not in ("fail", "null"):
         raise ValueError(f"unknown option: lineage={lineage!r}, on_bad_line={on_bad_line!r}")
     if "origin" not in lines.columns:
-        lines = lines.withColumn("origin", _origin())
+        lines = lines.withColumn("origin", path_origin())
     origin = {name: F.col("origin")[name] for name in lines.schema["origin"].dataType.names}
     if lineage == "load_time":
         origin |= {"pull_date": F.current_date(), "pull_timestamp": F.current_timestamp()}
