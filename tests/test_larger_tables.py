@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark import functions as fn
 from tidemark.operators import orgs, ranges, windows as W
+from tidemark.plans import ingest
+from tidemark.plans.lake import Lake
 from tidemark.schemas import GRAIN
 from tidemark.sources.feed import gathered, pull_slices
 from tidemark.sources.landing import raw_envelope, scan_landing
@@ -93,6 +95,29 @@ def test_pages_become_long_batches():
     assert list(gathered(iter([[], []]))) == []
 
 
+def test_only_streams_and_texts_are_shuffled_before_the_write(spark, folder):
+    texts = spark.range(0, 3000, 1, 6).select(
+        F.lit("resources").alias("kind"), F.lit("t").alias("tenant_code"), F.lit(2024).alias("api_year"),
+        F.concat(F.lit("n"), F.col("id") % 3).alias("name"), F.format_string('{"x": %d}', "id").alias("payload"),
+    )
+    plan = ingest._envelope(texts, F.lit("2024-02-01").cast("timestamp"), "7", "5")._jdf.queryExecution().optimizedPlan().toString()
+    parsed, (shuffled, _) = plan.split("RebalancePartitions")[0], plan.split("RebalancePartitions")[1].split("\n", 1)
+    assert "parse_json" in parsed.lower().replace("parsejson", "parse_json") and "payload" not in shuffled
+    lake = Lake(folder)
+    known = texts.select("kind", *GRAIN).distinct().withColumns({"fetch_deletes": F.lit(False), "enabled": F.lit(True)})
+    feed = texts.withColumn("change_version", F.get_json_object("payload", "$.x").cast("bigint"))
+    done = ingest.ingest_incremental(spark, lake, feed, known, run_at="2024-02-01", ods_version="7", data_model_version="5")
+    assert rows(done, "name", "pulled_rows") == [("n0", 1000), ("n1", 1000), ("n2", 1000)]
+    raw = lake.read_raw(spark)
+    assert raw.select(F.input_file_name()).distinct().count() == 3  # a file for each stream, as it was
+    assert rows(raw.groupBy("name").agg(F.sum(F.variant_get("v", "$.x", "bigint")))) == [("n0", 1498500), ("n1", 1499500), ("n2", 1500500)]
+
+
+def test_texts_without_a_value_are_gathered():
+    assert list(gathered(iter([["a", None], [None]]))) == [["a", None, None]]
+    assert list(gathered(iter([[(1, "a"), (2, None)]]), lambda row: row[1])) == [[(1, "a"), (2, None)]]
+
+
 def test_what_a_path_tells_is_read_once_per_file(spark, folder):
     for name in ("a", "b"):
         home = f"{folder}/t/2024/20240101/20240101T000000/resources"

@@ -125,21 +125,21 @@ def ingest_incremental(
         rows = _envelope(pulled, moment, ods, model)
     run = _Run(spark, lake, moment, one)
     if replacing:
-        store_raw(rows, lake, full_refresh=True)
+        store_raw(rows, lake, full_refresh=True, balance=through_landing)
         landed = settled(_of_streams(_loaded(spark, lake, raw_folder, moment, due), due, size))
     elif run.began_before():
         # rows of an attempt that broke off may be in the table and are replaced, but not those that were marked
         marked = settled(_marked_at(due, lake.read_ledger(spark, one), moment))
         before = settled(_of_streams(_loaded(spark, lake, raw_folder, moment, due), marked, size).withColumnRenamed("pulled_rows", "__before"))
         replaced = O.failed(due, marked, STREAM).select(*STREAM)
-        store_raw_run(rows, lake, run_at=moment, streams=replaced, size=size, within=raw_folder)
+        store_raw_run(rows, lake, run_at=moment, streams=replaced, size=size, within=raw_folder, balance=through_landing)
         landed = _of_streams(_loaded(spark, lake, raw_folder, moment, due), due, size).join(before, STREAM, "left")
         landed = settled(landed.select(*STREAM, (F.col("pulled_rows") - F.coalesce("__before", F.lit(0))).alias("pulled_rows")))
         short = settled(O.failed(_short(due, landed), marked, STREAM))
         if not short.isEmpty():
             grain.remove_rows(spark, lake.raw, RAW, RAW_PARTITIONS, stale=F.col("pull_timestamp") == moment, among=short, within=raw_folder)
     else:
-        landed = run.publish(rows, due, size)
+        landed = run.publish(rows, due, size, balance=through_landing)
     if has_change_versions:
         whole = due.join(landed, STREAM).filter(F.coalesce(F.col("pulled_rows") >= F.col("n"), F.lit(True)))
         marked = O.succeeded(due, whole, STREAM).select(
@@ -188,11 +188,11 @@ class _Run:
     def began_before(self) -> bool:
         return path_exists(self.spark, self.home) or path_exists(self.spark, f"{self.all}/all") or (self.home.endswith("/all") and path_exists(self.spark, self.all))
 
-    def publish(self, rows: DataFrame, due: DataFrame, size: int) -> DataFrame:
+    def publish(self, rows: DataFrame, due: DataFrame, size: int, balance: bool) -> DataFrame:
         """Rows of each stream (`pulled_rows`), after those of whole streams were moved into the table."""
         staged = f"{self.home}/rows"
         touch(self.spark, f"{self.home}/began")
-        grain.insert(rows, staged, RAW, RAW_PARTITIONS)
+        grain.insert(rows, staged, RAW, RAW_PARTITIONS, balance)
         landed = settled(_of_streams(row_counts(read_or_empty(self.spark, staged, RAW), STREAM, "pulled_rows"), due, size))
         short = [partition_folder("", row.asDict()) for row in _short(due, landed).select(*RAW_PARTITIONS).collect()]
         move_files(self.spark, staged, self.lake.raw, but=short)
@@ -215,7 +215,8 @@ def _of_streams(rows: DataFrame, streams: DataFrame, size: int) -> DataFrame:
 
 
 def _envelope(pulled: DataFrame, moment: Column, ods: str, model: str) -> DataFrame:
-    return pulled.select(
+    """Rows of the raw table, balanced for its write: only the streams and their texts are shuffled."""
+    return pulled.select(*STREAM, "payload").hint("rebalance", *RAW_PARTITIONS).select(
         moment.cast("date").alias("pull_date"), moment.alias("pull_timestamp"),
         F.lit(None).cast("bigint").alias("file_row_number"), F.lit(None).cast("string").alias("filename"),
         F.lit(ods).alias("ods_version"), F.lit(model).alias("data_model_version"),

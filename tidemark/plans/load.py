@@ -68,11 +68,11 @@ def store_raw(rows: DataFrame, lake: Lake, full_refresh: bool, balance: bool = T
 
 def store_raw_run(
     rows: DataFrame, lake: Lake, *, run_at: Column, streams: DataFrame, size: int | None = None,
-    within: Mapping[str, object] | None = None,
+    within: Mapping[str, object] | None = None, balance: bool = True,
 ) -> None:
     """Append the rows that a run pulled for some streams; a repeated run replaces its own rows."""
     same_run = F.col("pull_timestamp") == run_at
-    grain.insert_once(rows, lake.raw, RAW, RAW_PARTITIONS, again=same_run, among=streams, size=size, within=within)
+    grain.insert_once(rows, lake.raw, RAW, RAW_PARTITIONS, again=same_run, among=streams, size=size, within=within, balance=balance)
 
 
 def run_moment(run_at: datetime | str) -> Column:

@@ -44,7 +44,7 @@ def replace(df: DataFrame, path: str, schema: T.StructType, partition_by: Sequen
 
 def insert_once(
     df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str], *, again: Column,
-    among: DataFrame | None = None, size: int | None = None, within: Mapping[str, object] | None = None,
+    among: DataFrame | None = None, size: int | None = None, within: Mapping[str, object] | None = None, balance: bool = True,
 ) -> None:
     """Append a batch that may have been written before.
 
@@ -66,7 +66,7 @@ def insert_once(
         stale = F.coalesce(again, F.lit(False))
         kept = kept.filter(~stale) if keys is None else keys.without(kept, stale)
         _swap(kept, touched, path, schema, partition_by)
-    insert(df, path, schema, partition_by)
+    insert(df, path, schema, partition_by, balance)
 
 
 class _Keys:

@@ -100,12 +100,12 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.Schema
                 yield piece, batch.schema
 
 
-def gathered(pages: Iterator[list], text: Callable[[object], str] = lambda row: row) -> Iterator[list]:
+def gathered(pages: Iterator[list], text: Callable[[object], str] | None = None) -> Iterator[list]:
     """Rows of pages, put together into batches of some size: a batch costs more than its rows when these are few."""
     held, size = [], 0
     for page in pages:
         held += page
-        size += sum(len(text(row) or "") for row in page)
+        size += sum(map(len, filter(None, page if text is None else map(text, page))))
         if len(held) >= GATHERED_ROWS or size >= GATHERED_CHARS:
             yield held
             held, size = [], 0
